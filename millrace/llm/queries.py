@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, exact, langid, packing, sharding
+from . import bpe, exact, langid, near, packing, pii, sharding
 from .common import table
 
 
@@ -24,11 +24,19 @@ def op6_exact_dedup(spark, sf_dir):
     return exact.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_near_dedup(spark, sf_dir):
+    return near.near_components(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
+def op9_pii(spark, sf_dir):
+    return pii.digest_spans(table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_packing, op5_langid, op6_exact_dedup, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_packing, op4_near_dedup, op5_langid, op6_exact_dedup, op9_pii, op10_sharding)}
 
 ORACLE_SQL = {
     "op6_exact_dedup": """
