@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import shutil
 import tempfile
@@ -17,6 +18,8 @@ from pyspark.sql.window import Window
 
 #: Most rows that one numbering bucket is meant to hold.
 BUCKET_ROWS = 20_000
+#: Groups that may be called hot at most; it bounds what is broadcast.
+HOT_GROUPS = 10_000
 #: Bounds of the number of buckets; their count, not the rows', bounds what is broadcast.
 LEAST_BUCKETS, MOST_BUCKETS = 256, 65_536
 
@@ -42,6 +45,8 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/millrace/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    gc.collect()  # what led to df is no longer needed: let Spark see that, and delete its shuffle files now
+    spark._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -101,3 +106,18 @@ def number_rows(df: DataFrame, key: Column, order: list[str], out: str, within:
     place = Window.partitionBy(*within, "__bucket").orderBy(*order)
     placed = dealt.withColumn("__place", F.row_number().over(place) - 1)
     return placed.join(offsets, [*within, "__bucket"]).withColumn(out, F.col("__place") + F.col("__before")).drop("__bucket", "__place", "__before")
+
+
+def with_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, spread: str, total: int, how: str) -> DataFrame:
+    """rows joined (inner or left) with the columns of the group of their keys. groups is stored, one row for each group,
+    `size` the rows in it of `total`. Groups of over total / HOT_GROUPS rows are HOT_GROUPS at most: they come by
+    broadcast, and their rows are dealt by `spread`, so that no group sits in one task."""
+    most = max(1000, -(-total // HOT_GROUPS))
+    given = [c for c in groups.columns if c not in (*keys, size)]
+    hot = groups.where(F.col(size) > most).select(*keys, F.lit(True).alias("__hot"), *(F.col(c).alias(f"__hot_{c}") for c in given))
+    rest = groups.where(F.col(size) <= most).select(*keys, F.lit(0).alias("__salt"), F.lit(True).alias("__rest"), *(F.col(c).alias(f"__rest_{c}") for c in given))
+    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(spread), F.lit(1_000_000)).cast("int") + 1).otherwise(F.lit(0))
+    joined = rows.join(F.broadcast(hot), keys, "left").withColumn("__salt", salt).join(rest, [*keys, "__salt"], "left")
+    if how == "inner":
+        joined = joined.where("__hot or __rest")
+    return joined.select(*rows.columns, *(F.coalesce(f"__hot_{c}", f"__rest_{c}").alias(c) for c in given))

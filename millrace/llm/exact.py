@@ -16,11 +16,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import settle
+from .common import settle, with_groups
 
 PREFIX_BITS = 16
-#: Buckets aimed at, and groups that may be called hot at most; both bound what is broadcast.
-BUCKETS, HOT_GROUPS = 1024, 10_000
+#: Buckets aimed at; with a hot group below some prefixes, the directory still has no more than its entries.
+BUCKETS = 1024
 
 
 def normalised(text: Column) -> Column:
@@ -80,13 +80,5 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     keyed = rows.withColumn("hash", F.xxhash64("text"))
     keys = settle(keyed.select("id", "hash", F.sha2("text", 256).alias("digest")), "exact-keys")
     index = build_index(keyed, keys)
-    most = max(1000, -(-keys.count() // HOT_GROUPS))
-    # at most rows / most <= HOT_GROUPS groups are larger: their rows take them from a broadcast and are spread by id
-    hot = index.where(F.col("group_size") > most).select("hash", "digest", F.col("keep_id").alias("hot_id"), F.col("group_size").alias("hot_size"))
-    marked = keys.join(F.broadcast(hot), ["hash", "digest"], "left")
-    is_hot = F.col("hot_size").isNotNull()
-    marked = marked.select("id", F.col("digest").alias("text_sha256"), "hot_id", "hot_size", F.when(is_hot, F.xxhash64("id")).otherwise(F.col("hash")).alias("hash"), F.when(is_hot, F.lit("")).otherwise(F.col("digest")).alias("digest"))
-    rest = index.where(F.col("group_size") <= most).select("hash", "digest", "keep_id", "group_size")
-    joined = marked.join(rest, ["hash", "digest"], "left")
-    keep, size = F.coalesce("hot_id", "keep_id"), F.coalesce("hot_size", "group_size")
-    return joined.select(F.col("id").alias(id_col), keep.alias("keep_id"), size.alias("group_size"), F.coalesce(F.col("id") == keep, keep.isNull()).alias("kept"), "text_sha256")
+    joined = with_groups(keys, index.select("hash", "digest", "keep_id", "group_size", F.col("group_size").alias("size")), ["hash", "digest"], "size", "id", keys.count(), "left")
+    return joined.select(F.col("id").alias(id_col), "keep_id", "group_size", F.coalesce(F.col("id") == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept"), F.col("digest").alias("text_sha256"))

@@ -22,15 +22,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, settle
+from .common import map_rows, settle, with_groups
 from .words import hashes_of, mixed, windows, words_of
 
 ROWS, SKETCH_WORDS = 5, 16
 #: Chance that a pair at the threshold shares no band; standard deviations below the threshold at which a sketch rules out.
 LOST, DEVIATIONS = 1e-6, 5.0
-#: Groups that may be called hot at most: it bounds what is broadcast.
-HOT_GROUPS = 10_000
-
 
 def shingles(text: str | None, size: int) -> np.ndarray:
     """Sorted hashes of the distinct runs of `size` words, A-Z lower-cased; with fewer words, of the whole sequence."""
@@ -112,18 +109,6 @@ def signatures(docs: DataFrame, size: int, bands: int, id_col: str = "doc_id") -
     return map_rows(rows, make, "doc_id long, n_shingles long, digest binary, bands array<long>, sketch array<long>")
 
 
-def with_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, spread: str, most: int) -> DataFrame:
-    """rows left-joined with their group. Groups of more than `most` rows, HOT_GROUPS at most, come by broadcast, and
-    their rows are dealt by `spread`, so that no group sits in one task."""
-    given = [c for c in groups.columns if c not in (key, size)]
-    hot = groups.where(F.col(size) > most).select(F.col(key), F.lit(True).alias("__hot"), *(F.col(c).alias(f"__hot_{c}") for c in given))
-    rest = groups.where(F.col(size) <= most).select(F.col(key).alias("__key"), *given)
-    marked = rows.join(F.broadcast(hot), key, "left")
-    dealt = F.when(F.col("__hot"), F.concat(F.encode(F.lit("hot "), "UTF-8"), F.encode(F.xxhash64(spread).cast("string"), "UTF-8"))).otherwise(F.col(key))
-    joined = marked.withColumn("__dealt", dealt).join(rest, F.col("__dealt") == F.col("__key"), "left")
-    return joined.select(*rows.columns, *(F.coalesce(f"__hot_{c}", c).alias(c) for c in given))
-
-
 def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Of pairs (a, b) of digests, those with 100 * intersection >= percent * union on their full sets; stored."""
     spark = pairs.sparkSession
@@ -230,7 +215,6 @@ def near_components(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
     named = classes.join(labels.withColumnRenamed("node", "digest"), "digest", "left").withColumn("label", F.coalesce("label", "digest"))
     least = named.groupBy("label").agg(F.min("rep").alias("component_id"))
     groups = settle(named.join(least, "label").select("digest", "size", "component_id"), "near-components")
-    most = max(1000, -(-signed.count() // HOT_GROUPS))
-    rows = with_groups(signed.select("doc_id", "n_shingles", "digest"), groups, "digest", "size", "doc_id", most)
+    rows = with_groups(signed.select("doc_id", "n_shingles", "digest"), groups, ["digest"], "size", "doc_id", signed.count(), "left")
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))

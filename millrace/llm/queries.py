@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, exact, langid, near, packing, pii, sharding
+from . import bpe, exact, langid, near, packing, pii, sharding, substring
 from .common import table
 
 
@@ -24,6 +24,10 @@ def op6_exact_dedup(spark, sf_dir):
     return exact.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_substring_dedup(spark, sf_dir):
+    return substring.remove_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op4_near_dedup(spark, sf_dir):
     return near.near_components(table(spark, sf_dir, "documents"), size=3, percent=85)
 
@@ -36,7 +40,7 @@ def op10_sharding(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_packing, op4_near_dedup, op5_langid, op6_exact_dedup, op9_pii, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_packing, op3_substring_dedup, op4_near_dedup, op5_langid, op6_exact_dedup, op9_pii, op10_sharding)}
 
 ORACLE_SQL = {
     "op6_exact_dedup": """
