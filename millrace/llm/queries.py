@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from . import bpe, exact, langid, near, packing, pii, sharding, substring
+from . import ann, bpe, exact, htmltext, langid, near, packing, pii, sharding, substring
 from .common import table
 
 
@@ -32,6 +33,14 @@ def op4_near_dedup(spark, sf_dir):
     return near.near_components(table(spark, sf_dir, "documents"), size=3, percent=85)
 
 
+def op7_html_text(spark, sf_dir):
+    return htmltext.extract_pages(table(spark, sf_dir, "pages"))
+
+
+def op8_ann(spark, sf_dir):
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op9_pii(spark, sf_dir):
     return pii.digest_spans(table(spark, sf_dir, "documents"))
 
@@ -40,7 +49,7 @@ def op10_sharding(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_packing, op3_substring_dedup, op4_near_dedup, op5_langid, op6_exact_dedup, op9_pii, op10_sharding)}
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_packing, op3_substring_dedup, op4_near_dedup, op5_langid, op6_exact_dedup, op7_html_text, op8_ann, op9_pii, op10_sharding)}
 
 ORACLE_SQL = {
     "op6_exact_dedup": """
