@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from .common import map_rows
 
 #: Words, prefixes and pairs of tokens that a codec remembers at most (words in each of two generations); bounds of memory only.
-CACHED_WORDS, CACHED_PREFIXES, CACHED_PAIRS = 150_000, 300_000, 200_000
+CACHED_WORDS, CACHED_PREFIXES, CACHED_PAIRS = 300_000, 400_000, 200_000
 #: Longest piece whose prefixes are kept; longer ones get a table of their own.
 SHORT = 64
 
@@ -189,17 +189,31 @@ _TWO_SPACES = re.compile(r"\s\s").search
 _LONE_SPACE = re.compile(r"(?<!\s) (?!\s)").split
 
 
+#: Signs that end words; behind letters, a row of them is one match of the pattern.
+_SIGNS = ".,;:!?%&*#$)"
+
+
 class _Words(dict):
-    """Text between safe cuts -> packed ids; two generations, so that memory stays bounded."""
+    """Word, that follows a space, -> packed ids of both; two generations, so that memory stays bounded."""
 
     def __init__(self, bpe: PrefixBPE, split):
         super().__init__()
         self.bpe, self.split, self.old = bpe, split, {}
 
+    def encode(self, part: str) -> bytes:
+        return b"".join([self.bpe.encode_packed(piece.encode()) for piece in self.split(part)])
+
     def __missing__(self, word: str) -> bytes:
         ids = self.old.get(word)
         if ids is None:
-            ids = b"".join([self.bpe.encode_packed(piece.encode()) for piece in self.split(word)])
+            # str.isalpha() is true of letters alone, as \p{L} is
+            letters = word.rstrip(_SIGNS)
+            if letters.isalpha():
+                ids = self.bpe.encode_packed(b" " + letters.encode())
+                if len(letters) < len(word):
+                    ids += self.bpe.encode_packed(word[len(letters) :].encode())
+            else:
+                ids = self.encode(" " + word)
         if len(word) <= SHORT:
             if len(self) >= CACHED_WORDS:
                 self.old = dict(self)
@@ -233,9 +247,7 @@ class Codec:
             first, *rest = text.split(" ")
         else:
             first, *rest = _LONE_SPACE(text)
-        ids = [self.words[first]] if first else []
-        ids += map(self.words.__getitem__, [" " + word for word in rest])
-        return b"".join(ids)
+        return self.words.encode(first) + b"".join(map(self.words.__getitem__, rest))
 
     def encode(self, text: str | None) -> np.ndarray:
         return np.frombuffer(self.encode_bytes(text), "<u4")
