@@ -3,12 +3,53 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES: list = []
+from millrace.llm import exact, langid, near, packing, pii
+from millrace.llm.common import settle, table, without_ids
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with letters; a missing lang is filled with the prediction. Learnt from the labelled documents.
+
+    Null, empty and letterless texts get `und` and go. With no labelled document at all nothing can be predicted, and
+    every document stays."""
+    model = langid.fit(docs)
+    if not model.langs:
+        return docs
+    found = langid.predict(docs, model, keep=tuple(docs.columns))
+    lang = F.coalesce("lang", "lang_pred").alias("lang")
+    return found.where(F.col("lang_pred") != langid.UND).select(*(lang if c == "lang" else F.col(c) for c in docs.columns))
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents equal but for the case of A-Z, the one with the largest doc_id. Null ids stay."""
+    return without_ids(docs, exact.exact_groups(docs).where("not kept").select("doc_id"))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by a similarity of 0.8 on five-word shingles, the one with the smallest doc_id. Null ids stay."""
+    return without_ids(docs, near.near_components(docs, size=5, percent=80).where("not kept").select("doc_id"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data masked by its kind, also in disguise; n_chars follows."""
+    return pii.mask_documents(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset of all token pieces."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [("language ID", language), ("exact dedup", exact_dedup), ("near-dedup", near_dedup), ("PII", personal_data), ("packing", pack)]
 #: Language ID, near-dedup, PII and packing can't be expressed in SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs
+    """The last stage's rows over the whole documents table; every stage's result is stored, as the next reads it several times."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = settle(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+    return STAGES[-1][1](spark, docs, sf_dir)

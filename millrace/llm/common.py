@@ -121,3 +121,14 @@ def with_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str,
     if how == "inner":
         joined = joined.where("__hot or __rest")
     return joined.select(*rows.columns, *(F.coalesce(f"__hot_{c}", f"__rest_{c}").alias(c) for c in given))
+
+
+#: Ids that may be sent to every task; more are joined by shuffle.
+SENT_IDS = 1_000_000
+
+
+def without_ids(df: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Rows of df whose key is not in ids (one column); null keys stay. Few ids, by count, are broadcast, so that the rows
+    of df do not move; beyond SENT_IDS both are shuffled."""
+    ids = settle(ids.where(F.col(key).isNotNull()).distinct(), "dropped-ids")
+    return df.join(F.broadcast(ids) if ids.count() <= SENT_IDS else ids, key, "left_anti").select(*df.columns)

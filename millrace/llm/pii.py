@@ -308,3 +308,20 @@ def digest_spans(docs: DataFrame) -> DataFrame:
         return work
 
     return map_rows(docs.select("doc_id", "text"), make, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+
+
+def mask_documents(docs: DataFrame, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
+    """docs with every span masked by its kind, and the length column, if there is one, set to the code points that are
+    left. Null texts stay null; other columns pass unchanged."""
+    columns = docs.columns
+
+    def make():
+        def work(b):
+            b[text_col] = [t if t is None else mask(t, find(t)[1]) for t in b[text_col]]
+            if length_col in b:
+                b[length_col] = [n if t is None else len(t) for t, n in zip(b[text_col], b[length_col])]
+            return b
+
+        return work
+
+    return map_rows(docs, make, ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns))
