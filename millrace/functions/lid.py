@@ -46,8 +46,8 @@ class ProfileModel:
 
 def fit_profiles(df: DataFrame, text: str = "text", lang: str = "lang", most: int = 3000) -> ProfileModel:
     """Trigram profiles of each language, counted by Spark; `most` trigrams of each come to the driver."""
-    padded = F.concat(F.lit(" "), F.lower(F.substring(text, 1, 4000)), F.lit(" "))
-    gram = F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.length(padded) - 2, F.lit(1))), lambda i: F.substr(padded, i, F.lit(3)))).alias("gram")
+    padded = F.concat(F.lit(" "), F.lower(text), F.lit(" "))
+    gram = F.explode(F.regexp_extract_all(padded, F.lit("(?s)(?=(...))"), F.lit(1))).alias("gram")
     counts = df.where(F.col(lang).isNotNull() & has_text(F.col(text))).select(F.col(lang).alias("lang"), gram).groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n"))
     place = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     rows = counts.withColumn("place", F.row_number().over(place)).where(F.col("place") <= most).collect()

@@ -16,6 +16,12 @@ def records(df: DataFrame, value: str = "value", keys: tuple[str, ...] = ("batch
     return df.select(*keys, F.coalesce(F.from_json(F.col(value), "map<string,variant>"), F.from_json(F.lit("{}"), "map<string,variant>")).alias("rec"))
 
 
+def updated(rec: Column, by: Column) -> Column:
+    """Map `rec` with the entries of `by`, which win: null entries too."""
+    names = F.map_keys(by)
+    return F.map_concat(F.map_filter(rec, lambda k, v: ~F.array_contains(names, k)), by)
+
+
 def merge_by_position(sources: list[DataFrame], keys: tuple[str, ...] = ("batch", "line"), strict: bool = False) -> DataFrame:
     """(keys, rec) of line-parallel record sources; of fields in several, the last source's counts, null or not.
 
@@ -26,7 +32,7 @@ def merge_by_position(sources: list[DataFrame], keys: tuple[str, ...] = ("batch"
     if strict and len(sources) > 1:
         there = reduce(lambda a, b: a & b, (F.col(f"__r{i}").isNotNull() for i in range(1, len(sources))))
         joined = joined.where(F.when(there, True).otherwise(F.raise_error(F.lit("premature end of file")).cast("boolean")))
-    merged = F.expr(f"map_concat({', '.join(f'__r{i}' for i in range(len(sources)))})") if len(sources) > 1 else F.col("__r0")
+    merged = reduce(updated, (F.col(f"__r{i}") for i in range(len(sources))))
     return joined.select(*keys, merged.alias("rec"))
 
 

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.joins import updated
+
 
 @dataclass(frozen=True)
 class Spec:
@@ -40,11 +42,15 @@ def project(rec: Column, spec: Spec) -> Column:
     wanted = F.map_filter(rec, lambda k, _: k.isin(list(spec.fields)) if spec.fields else F.lit(False))
     out = rec if spec.every else wanted
     for new, old in spec.rename:
-        entry = F.transform_keys(F.map_filter(rec, lambda k, _, old=old: k == old), lambda *_, new=new: F.lit(new))
-        out = F.map_concat(out, entry)
+        out = updated(out, _renamed(rec, old, new))
     return out
 
 
+def _renamed(rec: Column, old: str, new: str) -> Column:
+    """The one entry of a field, under a new name; empty if it is absent."""
+    return F.transform_keys(F.map_filter(rec, lambda k, v: k == old), lambda k, v: F.lit(new))
+
+
 def typed_projection(columns: list[str], spec: Spec) -> list[Column]:
     """The same over a table's columns, where all are present in every row."""
     taken = [F.col(f"`{c}`") for c in columns if spec.every or c in spec.fields]
