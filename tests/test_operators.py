@@ -1,0 +1,199 @@
+import gzip
+
+import numpy as np
+import pytest
+import zstandard
+from hypothesis import given
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from millrace.operators import joins, mux, route, shard, stats, urls
+from millrace.plans import stages
+from millrace.sources import lines, sinks
+from millrace.streaming.incremental import run_once, stream_parquet
+
+
+@pytest.mark.parametrize(
+    "reason, wds, openlid, glotlid, prob, expected, noise",
+    [
+        ("optout", 0.1, "eng_Latn", "fra_Latn", 0.1, "blocked", None),
+        ("keep", 0.49, "eng_Latn", "eng_Latn", 0.9, "noisy", "wds"),
+        ("keep", 0.5, "eng_Latn", "fra_Latn", 0.9, "noisy", "lid"),
+        ("keep", 0.9, "cmn_Hans", "cmn_Hani", 0.9, "clean", None),
+        ("keep", 0.9, "cmn_Hani", "cmn_Hans", 0.9, "noisy", "lid"),
+        ("keep", 0.9, "eng_Latn", "eng_Latn", 0.49, "noisy", "prob"),
+        ("length_short", 0.9, "eng_Latn", "eng_Latn", 0.9, "noisy", "length"),
+        ("other", 0.9, "eng_Latn", "eng_Latn", 0.9, "noisy", "other"),
+        ("keep", 1.0, "eng_Latn", "eng_Latn", 0.9, "clean", None),
+        ("keep", 0.9, None, "eng_Latn", 0.9, "noisy", "lid"),
+    ],
+)
+def test_route(spark, reason, wds, openlid, glotlid, prob, expected, noise):
+    lid = "struct<lang: array<string>, prob: array<double>>"
+    df = spark.createDataFrame([("t", reason, [wds], ([openlid], [prob]), ([glotlid], [prob]))], f"text string, filter string, doc_scores array<double>, openlid_v3 {lid}, glotlid_v3 {lid}")
+    row = route.routed(df).first()
+    assert (row["route"], row["noise"], row["wds_bin"]) == (expected, noise, int(wds * 10))
+
+
+def test_rows_are_conserved(spark, data):
+    from millrace.plans.queries import corpus
+
+    docs = corpus(spark, data)
+    out = route.routed(docs)
+    assert out.count() == docs.count()
+    assert route.statistics_json(route.route_statistics(out)).count() == 1 + docs.select("file").distinct().count()
+
+
+def test_duplicates_and_skip(spark):
+    ids = spark.createDataFrame([(x,) for x in "aaabcc"], "id string")
+    twice = joins.duplicate_ids(ids)
+    assert {r["id"] for r in twice.collect()} == {"a", "c"}
+    assert joins.duplicate_totals(ids).first().asDict() == {"n": 6, "ids": 2, "d": 3}
+    assert [r["id"] for r in joins.skip_ids(ids, twice).collect()] == ["b"]
+
+
+def test_annotations(spark):
+    docs = spark.createDataFrame([("a",), ("b",), ("c",)], "id string")
+    side = spark.createDataFrame([("a", 0, 1), ("a", 1, 2), ("b", 0, 5), ("b", 1, None)], "id string, line int, value int")
+    out = joins.annotate(docs, {"x": side})
+    assert {r["id"]: r["x"] for r in out.collect()} == {"a": 2, "b": None, "c": None}
+    assert joins.annotation_statistics(out, ["x"]).first()["missing"] == 2
+    assert joins.annotation_type(["id", "fw2hq"]) == ("fw2hq", "fineweb2-hq")
+    with pytest.raises(ValueError):
+        joins.annotation_type(["id"])
+
+
+def test_merge_and_project(spark):
+    rec = lambda rows: joins.records(spark.createDataFrame(rows, "batch int, line int, value string"))
+    one, two = rec([(0, 0, '{"a":1,"b":null}'), (0, 1, "{}")]), rec([(0, 0, '{"a":null,"c":[1]}')])
+    merged = joins.merge_by_position([one, two])
+    assert [r[0] for r in merged.select(F.to_json("rec")).collect()] == ['{"b":null,"a":null,"c":[1]}']
+    with pytest.raises(Exception, match="premature end of file"):
+        joins.merge_by_position([one, two], strict=True).collect()
+    first = rec([(0, 0, '{"a":1}')])
+    project = lambda s: first.select(F.to_json(mux.project(F.col("rec"), mux.parse_spec(s)))).first()[0]
+    assert (project("*,n=a"), project("z"), project("n=a"), project("a")) == ('{"a":1,"n":1}', "{}", '{"n":1}', '{"a":1}')
+    both = mux.fan_out(first, [("x", mux.parse_spec("a")), ("y", mux.parse_spec("*")), ("x", mux.parse_spec("z"))])
+    assert both["x"].count() == 2 and both["y"].count() == 1
+    for bad in ("", ",", "=a", "a="):
+        with pytest.raises(ValueError):
+            mux.parse_spec(bad)
+
+
+def test_robots(spark):
+    rows = spark.createDataFrame([(1, True, True), (2, False, None), (3, True, False), (4, True, None)], "i int, present boolean, allowed boolean")
+    assert [r["i"] for r in rows.where(joins.robots_allowed(F.col("present"), F.col("allowed"))).collect()] == [1, 2]
+
+
+def _fold(sizes, size, before):
+    out, n, held = [], 1, 0
+    for s in sizes:
+        if (held and held + s > size) if before else held >= size:
+            n, held = n + 1, 0
+        out.append(n)
+        held += s
+    return out
+
+
+@given(st.lists(st.integers(1, 30)), st.integers(1, 40), st.booleans(), st.integers(0, 10))
+def test_roll(sizes, size, before, cut):
+    state, got = (1, 0), []
+    for part in (sizes[:cut], sizes[cut:]):
+        shards, state = shard.roll(np.array(part, np.int64), size, state, before)
+        got += shards.tolist()
+    assert got == _fold(sizes, size, before)
+
+
+def test_shards(spark):
+    df = spark.createDataFrame([("a", i, 5) for i in range(5)] + [("b", 9, 4)], "g string, i int, n int")
+    out = shard.greedy_shards(df, ["g"], [("i", True)], ["i"], "n", 8).orderBy("g", "i").collect()
+    assert [r["shard"] for r in out] == [1, 1, 2, 2, 3, 1]
+    down = shard.greedy_shards(df, ["g"], [("i", False)], ["i"], "n", 8).where("g = 'a'").orderBy("i").collect()
+    assert [r["shard"] for r in down] == [3, 2, 2, 1, 1]
+    whole = shard.greedy_shards(df, [], [("g", True), ("i", True)], ["g", "i"], "n", 12, before=True).orderBy("g", "i").collect()
+    assert [r["shard"] for r in whole] == [1, 1, 2, 2, 3, 3]
+    assert shard.first_fit_decreasing([("a", 4.0), ("b", 7.0), ("c", 3.0), ("d", 12.0)], 10.0) == [["d"], ["b", "c"], ["a"]]
+    assert [r["number"] for r in shard.renumber({"a": 3}, df, "g", "i").orderBy("g", "i").collect()] == [4, 5, 6, 7, 8, 1]
+
+
+def test_statistics(spark):
+    assert stats.conversion_success(spark.createDataFrame([("x",), ("",), (None,)], "md string")).first().asDict() == {"ok": 1, "total": 3}
+    assert [r["value"] for r in stats.value_frequencies(spark.createDataFrame([(x,) for x in "abbcc"], "v string"), F.col("v")).collect()] == ["c", "b", "a"]
+
+
+def test_urls(spark):
+    df = spark.createDataFrame([("http://a.com/x",), ("https://b.org/",), (None,)], "u string")
+    assert df.where(~urls.url_blocklist(F.col("u"), ["a.com"])).count() == 2
+    assert urls.drop_domains(df, "x", {"x": ["b.org"]}).count() == 2
+    with pytest.raises(ValueError):
+        urls.drop_domains(df, "y", {"x": []})
+    manifest = spark.createDataFrame([("eng_Latn", "m.txt", 1000, 2, 3, 4, 5)], "name string, map string, bytes long, documents long, segments long, tokens long, characters long")
+    card = urls.dataset_card(manifest, "{{table}}|{{languages}}|{{maps}}")
+    assert "| eng_Latn | 1,000 | 2 | 3 | 4 | 5 |" in card and "- eng" in card and "[eng_Latn](m.txt)" in card
+
+
+def test_lines_and_sinks(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    squeeze = zstandard.ZstdCompressor().compress
+    (folder / "a.zst").write_bytes(squeeze(b'{"t":"x"}\n{"t":"y"}\n') + squeeze(b'{"t":"z"}\n'))
+    (folder / "b.gz").write_bytes(gzip.compress(b'{"t":"q"}\nbroken\n'))
+    (folder / "batch_31.zst").write_bytes(squeeze(b'{"t":"no"}\n'))
+    got = lines.numbered_lines(spark, str(folder), "a.zst").orderBy("line").collect()
+    assert [(r["line"], r["value"]) for r in got] == [(0, '{"t":"x"}'), (1, '{"t":"y"}'), (2, '{"t":"z"}')]
+    assert lines.read_lines(spark, str(folder), "*.zst", exclude=("batch_31",)).count() == 3
+    records = lines.read_jsonl(spark, str(folder), "t string", "b.gz")
+    assert [(r["t"], r["_corrupt"]) for r in records.orderBy("t").collect()] == [(None, "broken"), ("q", None)]
+    with pytest.raises(Exception, match="no JSON object"):
+        lines.checked_objects(lines.read_lines(spark, str(folder), "b.gz")).collect()
+    assert lines.checked_objects(lines.read_lines(spark, str(folder), "b.gz"), strict=False).count() == 1
+    out = str(tmp_path / "out")
+    sinks.write_jsonl(spark.createDataFrame([(i, "v" * i) for i in range(100)], "i int, v string").coalesce(2), out, "1", 3)
+    assert sinks.line_counts(spark, out).agg(F.sum("lines")).first()[0] == 100
+    assert sinks.mark_done(spark, out, {"a": 1, "b": 1}) and not sinks.mark_done(spark, out, {"a": 1, "b": 2})
+    assert (tmp_path / "out" / ".done").exists()
+    sinks.write_partitioned(spark.createDataFrame([("x", 1), ("y", 2)], "lang string, n int"), str(tmp_path / "p"), ["lang"])
+    assert sorted(p.name for p in (tmp_path / "p").glob("lang=*")) == ["lang=x", "lang=y"]
+
+
+def test_releases(spark, tmp_path):
+    import base64
+
+    one = tmp_path / "r1.gz"
+    one.write_bytes(gzip.compress(base64.b64encode("é\n".encode()) + b"\n"))
+    assert lines.read_release(spark, "1", [str(one)]).first()["text"] == "é\n"
+    for name, rows in (("t.gz", b'{"t":"a"}\n{"t":null}\n'), ("m.gz", b'{"crawl_id":"c"}\n{"crawl_id":"d"}\n'), ("s.gz", b"{}\n")):
+        (tmp_path / name).write_bytes(gzip.compress(rows))
+    both = lines.read_release(spark, "2", [str(tmp_path / "t.gz"), str(tmp_path / "m.gz")]).orderBy("line").collect()
+    assert [(r["text"], r["collection"]) for r in both] == [("a", "c"), (None, "d")]
+    with pytest.raises(ValueError):
+        lines.read_release(spark, "2", [str(tmp_path / "t.gz"), str(tmp_path / "s.gz")])
+    for bad in ("3", "1"):
+        with pytest.raises(ValueError):
+            lines.read_release(spark, bad, ["a", "b"])
+    assert lines.optional_source(spark, str(tmp_path / "none.zst"), "allowed boolean") is None
+    bad = spark.createDataFrame([(bytearray(b"a\xffb"),), (bytearray("é".encode()),)], "d binary").select(lines.lenient_utf8(F.col("d")).alias("r")).select("r.*").collect()
+    assert [(r["text"], r["error"]) for r in bad] == [("ab", "invalid UTF-8"), ("é", None)]
+    assert spark.range(1).select(lines.output_folder(F.lit("/x/CC-1/html/7/text.zst"), "/o")).first()[0] == "/o/CC-1/pool/7"
+
+
+def test_stages(spark):
+    from millrace.functions.lid import fit_profiles
+
+    docs = spark.createDataFrame([("f", f"u{i}", "2020", "the cat", "<doc><main><p>the cat</p></main></doc>") for i in range(4)], "f string, u string, ts string, t string, x string")
+    model = fit_profiles(spark.createDataFrame([("the cat", "en")], "text string, lang string"))
+    plain = stages.augment(docs, {"openlid-v3": lambda: model})
+    ids = [r["id"] for r in plain.orderBy("u").collect()]
+    masks = spark.createDataFrame([(ids[0], True), (ids[1], False), (ids[2], None)], "id string, allowed boolean")
+    out = stages.augment(docs, {"openlid-v3": lambda: model}, masks).orderBy("u").collect()
+    assert [r["u"] for r in out] == ["u0", "u3"] and out[0]["md"] == "the cat"
+
+
+def test_stream(spark, tmp_path):
+    src, out, seen = (str(tmp_path / n) for n in ("src", "out", "seen"))
+    go = lambda: run_once(stream_parquet(spark, src, "i long"), lambda d: d.withColumn("j", F.col("i") * 2), out, seen).awaitTermination()
+    spark.range(3).toDF("i").write.parquet(src)
+    go()
+    spark.range(3, 5).toDF("i").write.mode("append").parquet(src)
+    go()
+    assert sorted(r["j"] for r in spark.read.parquet(out).collect()) == [0, 2, 4, 6, 8]
