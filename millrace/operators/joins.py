@@ -84,3 +84,13 @@ def skip_ids(docs: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
 def robots_allowed(present: Column, allowed: Column) -> Column:
     """A row stays if its mask is missing or true; null and false drop it."""
     return ~present | F.coalesce(allowed, F.lit(False))
+
+
+def mask_says_true(value: Column) -> Column:
+    """A mask line as text keeps its row only if it holds `true`."""
+    return F.coalesce(F.contains(value, F.lit("true")), F.lit(False))
+
+
+def mask_lacks_false(value: Column) -> Column:
+    """The lenient reading: only a line that holds `false` drops its row."""
+    return ~F.coalesce(F.contains(value, F.lit("false")), F.lit(False))

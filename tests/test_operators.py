@@ -83,6 +83,9 @@ def test_merge_and_project(spark):
 def test_robots(spark):
     rows = spark.createDataFrame([(1, True, True), (2, False, None), (3, True, False), (4, True, None)], "i int, present boolean, allowed boolean")
     assert [r["i"] for r in rows.where(joins.robots_allowed(F.col("present"), F.col("allowed"))).collect()] == [1, 2]
+    lines_ = spark.createDataFrame([(1, '{"allowed":true}'), (2, '{"allowed":false}'), (3, "{}"), (4, None)], "i int, v string")
+    assert [r["i"] for r in lines_.where(joins.mask_says_true(F.col("v"))).collect()] == [1]
+    assert [r["i"] for r in lines_.where(joins.mask_lacks_false(F.col("v"))).collect()] == [1, 3, 4]
 
 
 def _fold(sizes, size, before):
