@@ -20,11 +20,11 @@ from pyspark.sql.window import Window
 from .common import map_rows, settle
 
 #: Children of a node; rows of the table for each leaf, and most leaves; rows of the sample for each leaf.
-BRANCH, LEAF_ROWS, MOST_LEAVES, LEAF_SAMPLE = 8, 800, 1024, 40
+BRANCH, LEAF_ROWS, MOST_LEAVES, LEAF_SAMPLE = 8, 3200, 1024, 100
 #: Recall aimed at among the neighbours of so many calibration queries.
 RECALL, CALIBRATION = 0.97, 200
 #: Rows and queries that meet in one group at most, about.
-BLOCK_ROWS, BLOCK_QUERIES = 512, 512
+BLOCK_ROWS, BLOCK_QUERIES = 2048, 1024
 NEIGHBOURS = 20
 
 
