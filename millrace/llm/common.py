@@ -108,7 +108,7 @@ def number_rows(df: DataFrame, key: Column, order: list[str], out: str, within:
     return placed.join(offsets, [*within, "__bucket"]).withColumn(out, F.col("__place") + F.col("__before")).drop("__bucket", "__place", "__before")
 
 
-def with_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, spread: str, total: int, how: str) -> DataFrame:
+def with_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, spread: list[str], total: int, how: str) -> DataFrame:
     """rows joined (inner or left) with the columns of the group of their keys. groups is stored, one row for each group,
     `size` the rows in it of `total`. Groups of over total / HOT_GROUPS rows are HOT_GROUPS at most: they come by
     broadcast, and their rows are dealt by `spread`, so that no group sits in one task."""
@@ -116,7 +116,7 @@ def with_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str,
     given = [c for c in groups.columns if c not in (*keys, size)]
     hot = groups.where(F.col(size) > most).select(*keys, F.lit(True).alias("__hot"), *(F.col(c).alias(f"__hot_{c}") for c in given))
     rest = groups.where(F.col(size) <= most).select(*keys, F.lit(0).alias("__salt"), F.lit(True).alias("__rest"), *(F.col(c).alias(f"__rest_{c}") for c in given))
-    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(spread), F.lit(1_000_000)).cast("int") + 1).otherwise(F.lit(0))
+    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*spread), F.lit(1_000_000)).cast("int") + 1).otherwise(F.lit(0))
     joined = rows.join(F.broadcast(hot), keys, "left").withColumn("__salt", salt).join(rest, [*keys, "__salt"], "left")
     if how == "inner":
         joined = joined.where("__hot or __rest")

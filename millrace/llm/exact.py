@@ -80,5 +80,5 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     keyed = rows.withColumn("hash", F.xxhash64("text"))
     keys = settle(keyed.select("id", "hash", F.sha2("text", 256).alias("digest")), "exact-keys")
     index = build_index(keyed, keys)
-    joined = with_groups(keys, index.select("hash", "digest", "keep_id", "group_size", F.col("group_size").alias("size")), ["hash", "digest"], "size", "id", keys.count(), "left")
+    joined = with_groups(keys, index.select("hash", "digest", "keep_id", "group_size", F.col("group_size").alias("size")), ["hash", "digest"], "size", ["id"], keys.count(), "left")
     return joined.select(F.col("id").alias(id_col), "keep_id", "group_size", F.coalesce(F.col("id") == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept"), F.col("digest").alias("text_sha256"))

@@ -6,9 +6,9 @@ the same samples are folded into an odd sketch: a bitmap that keeps of each bit
 it. From the population count of the XOR of two sketches follows how many samples differ.
 
 In each bucket the class that meets most others is the centre: every other member is held against it (first round). What
-that links becomes one component. Only then, in buckets whose members still lie in several components, the other pairs
-across components are looked at (second round); no pair inside a component is ever made. Sketches rule out pairs far
-below the threshold; every other pair is confirmed on the full sets.
+that links becomes one component. Only buckets whose members still lie in several components are looked at again (second
+round): a task compares members of different components, in blocks, and gives no pairs but links, and of these no more
+than join the components. Sketches rule out pairs far below the threshold; every other pair is confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from functools import lru_cache
 from math import ceil, log, sqrt
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame
@@ -26,6 +27,8 @@ from .common import map_rows, settle, with_groups
 from .words import hashes_of, mixed, windows, words_of
 
 ROWS, SKETCH_WORDS = 5, 16
+#: Members of a bucket that meet in one group, about; larger buckets are cut into blocks.
+BLOCK = 1500
 #: Chance that a pair at the threshold shares no band; standard deviations below the threshold at which a sketch rules out.
 LOST, DEVIATIONS = 1e-6, 5.0
 
@@ -109,10 +112,9 @@ def signatures(docs: DataFrame, size: int, bands: int, id_col: str = "doc_id") -
     return map_rows(rows, make, "doc_id long, n_shingles long, digest binary, bands array<long>, sketch array<long>")
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Of pairs (a, b) of digests, those with 100 * intersection >= percent * union on their full sets; stored."""
-    spark = pairs.sparkSession
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct().join(classes.select("digest", F.col("rep").alias("doc_id")), "digest")
+def packed_texts(digests: DataFrame, classes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """digest, packed (a text of that set, compressed) of the classes in `digests`; stored."""
+    needed = digests.join(classes.select("digest", F.col("rep").alias("doc_id")), "digest")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(needed, "doc_id")
 
     def pack():
@@ -125,7 +127,12 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int,
 
         return work
 
-    packed = settle(map_rows(texts.select("digest", "text"), pack, "digest binary, packed binary").dropDuplicates(["digest"]), "near-texts")
+    return settle(map_rows(texts.select("digest", "text"), pack, "digest binary, packed binary").dropDuplicates(["digest"]), "near-texts")
+
+
+def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Of pairs (a, b) of digests, those with 100 * intersection >= percent * union on their full sets; stored."""
+    packed = packed_texts(pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct(), classes, docs, size)
     one = packed.select(F.col("digest").alias("a"), F.col("packed").alias("packed_a"))
     two = packed.select(F.col("digest").alias("b"), F.col("packed").alias("packed_b"))
     both = pairs.select("a", "b").join(one, "a").join(two, "b")
@@ -145,7 +152,98 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int,
 
         return work
 
-    return settle(map_rows(both, verify, "a binary, b binary"), "near-links") if spark else both
+    return settle(map_rows(both, verify, "a binary, b binary"), "near-links")
+
+
+class _Group:
+    """Members of one bucket, or of two blocks of one: finds links between different components of theirs."""
+
+    def __init__(self, size: int, percent: int, flips: int):
+        self.size, self.percent, self.flips = size, percent, flips
+        self.unpack = zstandard.ZstdDecompressor().decompress
+        self.read = lru_cache(2000)(lambda packed: shingles(self.unpack(packed).decode(), size))
+
+    def links(self, members: list[tuple]) -> list[tuple[bytes, bytes]]:
+        """members: (digest, label, n, sketch, packed). Enough confirmed links to join all components that links join."""
+        names = {label: i for i, label in enumerate(dict.fromkeys(m[1] for m in members))}
+        parent = list(range(len(names)))
+
+        def root(i: int) -> int:
+            while parent[i] != i:
+                parent[i] = parent[parent[i]]
+                i = parent[i]
+            return i
+
+        of = np.array([names[m[1]] for m in members])
+        n = np.array([m[2] for m in members], np.int64)
+        sketches = np.array([m[3] for m in members], np.int64).view(np.uint64)
+        # members of the largest component meet the others, but not each other
+        few = np.flatnonzero(of != np.bincount(of).argmax())
+        maybe = np.zeros((len(few), len(members)), bool)
+        for row, i in enumerate(few):
+            near = (100 * np.minimum(n, n[i]) >= self.percent * np.maximum(n, n[i])) & (of != of[i])
+            near[near] = np.bitwise_count(sketches[near] ^ sketches[i]).sum(1) <= self.flips
+            maybe[row] = near
+        rows, cols = np.flatnonzero(maybe.any(1)), np.flatnonzero(maybe.any(0))
+        if not len(rows):
+            return []
+        common = self._common([members[i][4] for i in few[rows]], [members[j][4] for j in cols])
+        joint = n[few[rows]][:, None] + n[cols][None, :] - common
+        found = []
+        for r, c in zip(*np.nonzero(maybe[np.ix_(rows, cols)] & (100 * common >= self.percent * joint))):
+            i, j = few[rows[r]], cols[c]
+            x, y = root(of[i]), root(of[j])
+            if x != y:
+                parent[x] = y
+                found.append((members[i][0], members[j][0]))
+        return found
+
+    def _common(self, one: list[bytes], two: list[bytes]) -> np.ndarray:
+        """Sizes of the intersections of the sets of two lists of texts, as products of incidence matrices."""
+        sets, others = [self.read(p) for p in one], [self.read(p) for p in two]
+        shared = np.intersect1d(np.concatenate(sets), np.concatenate(others))
+        out = np.zeros((len(sets), len(others)), np.float32)
+        places = [np.searchsorted(shared, s[np.isin(s, shared, assume_unique=True)]) for s in sets], [np.searchsorted(shared, s[np.isin(s, shared, assume_unique=True)]) for s in others]
+        for start in range(0, len(shared), 4096):
+            stop = min(len(shared), start + 4096)
+            sides = []
+            for side in places:
+                matrix = np.zeros((len(side), stop - start), np.float32)
+                for i, at in enumerate(side):
+                    matrix[i, at[(at >= start) & (at < stop)] - start] = 1
+                sides.append(matrix)
+            out += sides[0] @ sides[1].T
+        return out.astype(np.int64)
+
+
+def cross_links(open_: DataFrame, size: int, percent: int, flips: int) -> DataFrame:
+    """Confirmed links (a, b) between different components in the buckets of open_ (key, digest, label, n, sketch, packed).
+
+    No pair leaves a task but as a link, and no more links than join the bucket's components. A bucket of over BLOCK
+    members is cut into blocks, and every two of them meet in a group of their own, so that none grows with the bucket."""
+    counts = open_.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("__blocks"))
+    placed = open_.join(counts, "key").withColumn("__block", F.pmod(F.xxhash64("digest"), F.col("__blocks")).cast("int"))
+    met = placed.withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)))
+    met = met.withColumns({"__i": F.least("__block", "__other"), "__j": F.greatest("__block", "__other")})
+    keys = ["key", "__i", "__j"]
+    dealt = met.repartition(*keys).sortWithinPartitions(*keys).select(*keys, "digest", "label", "n", "sketch", "packed")
+    arrow = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+
+    def run(batches):
+        group, now, found = _Group(size, percent, flips), None, []
+        members: list[tuple] = []
+        for batch in batches:
+            for row in zip(*(column.to_pylist() for column in batch.columns)):
+                if row[:3] != now:
+                    found += group.links(members) if len(members) > 1 else []
+                    now, members = row[:3], []
+                members.append(row[3:])
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.binary()) for i in (0, 1)], schema=arrow)
+            found = []
+        found = group.links(members) if len(members) > 1 else []
+        yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.binary()) for i in (0, 1)], schema=arrow)
+
+    return settle(dealt.mapInArrow(run, "a binary, b binary").distinct(), "near-links")
 
 
 def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
@@ -207,14 +305,14 @@ def near_components(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFr
     placed = live.join(labels.withColumnRenamed("node", "digest"), "digest", "left").select("key", "digest", F.coalesce("label", "digest").alias("label"))
     split = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where("n > 2 and low <> high").select("key")
     open_ = settle(placed.join(split, "key"), "near-open")
-    one, two = (open_.select("key", F.col("digest").alias(d), F.col("label").alias(x)) for d, x in (("a", "la"), ("b", "lb")))
-    second = one.join(two, "key").where("a < b and la <> lb").select("a", "b").distinct().join(first, ["a", "b"], "left_anti")
-    second = settle(likely(second), "near-second")
-    if not second.isEmpty():
-        labels = components(confirmed(second, classes, docs, size, percent), labels)
+    if not open_.isEmpty():
+        members = packed_texts(open_.select("digest").distinct(), classes, docs, size).join(sketches, "digest")
+        links = cross_links(open_.join(members, "digest"), size, percent, flips)
+        if not links.isEmpty():
+            labels = components(links, labels)
     named = classes.join(labels.withColumnRenamed("node", "digest"), "digest", "left").withColumn("label", F.coalesce("label", "digest"))
     least = named.groupBy("label").agg(F.min("rep").alias("component_id"))
     groups = settle(named.join(least, "label").select("digest", "size", "component_id"), "near-components")
-    rows = with_groups(signed.select("doc_id", "n_shingles", "digest"), groups, ["digest"], "size", "doc_id", signed.count(), "left")
+    rows = with_groups(signed.select("doc_id", "n_shingles", "digest"), groups, ["digest"], "size", ["doc_id"], signed.count(), "left")
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))

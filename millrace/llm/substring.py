@@ -120,19 +120,19 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     plain = base.select("doc_id", "n_words", "sha256")
     # equal texts: all but the first are repeats from end to end, and add no window that the first lacks
     same = plain.where(F.col("n_words") >= WINDOW).groupBy("sha256").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    placed = settle(with_groups(plain, settle(same, "substring-same"), ["sha256"], "size", "doc_id", total, "left"), "substring-placed")
+    placed = settle(with_groups(plain, settle(same, "substring-same"), ["sha256"], "size", ["doc_id"], total, "left"), "substring-placed")
     copies = placed.where("doc_id > first_id").select("doc_id", "sha256")
     firsts = base.join(copies, ["doc_id", "sha256"], "left_anti").select("doc_id", F.posexplode("anchors").alias("i", "hash"))
     shared = firsts.groupBy("hash").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n")).where("low < high").select("hash", "n")
     shared = settle(shared, "substring-shared")
     at = F.element_at(F.array(*map(F.lit, COVER)), F.col("i") % len(COVER) + 1) + F.floor(F.col("i") / len(COVER)).cast("int") * PERIOD
-    hits = with_groups(firsts.withColumn("spread", F.hash("doc_id", "i")), shared, ["hash"], "n", "spread", total * len(COVER), "inner")
+    hits = with_groups(firsts.withColumn("spread", F.hash("doc_id", "i")), shared, ["hash"], "n", ["spread"], total * len(COVER), "inner")
     positions = hits.groupBy("doc_id").agg(F.collect_set(at).alias("positions"))
     wide = settle(candidate_windows(docs, settle(positions, "substring-positions")).dropDuplicates(["doc_id", "packed"]), "substring-windows")
     every = wide.select("doc_id", F.explode(F.arrays_zip("starts", "one", "two")).alias("w")).select("doc_id", "w.*")
     first_of = every.groupBy("one", "two").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n")).where("low < high").select("one", "two", "low", "n")
     first_of = settle(first_of, "substring-firsts")
-    repeats = with_groups(every.withColumn("spread", F.hash("doc_id", "starts")), first_of, ["one", "two"], "n", "spread", total * len(COVER), "inner").where("low < doc_id")
+    repeats = with_groups(every.withColumn("spread", F.hash("doc_id", "starts")), first_of, ["one", "two"], "n", ["spread"], total * len(COVER), "inner").where("low < doc_id")
     by_doc = repeats.groupBy("doc_id").agg(F.collect_set(F.struct(F.col("starts").alias("start"), "one")).alias("repeats"))
     changed = without_repeats(wide.select("doc_id", "packed").join(by_doc, "doc_id")).dropDuplicates(["doc_id", "sha256"])
     out = placed.join(changed, ["doc_id", "sha256"], "left")
