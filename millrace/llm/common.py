@@ -22,6 +22,8 @@ BUCKET_ROWS = 20_000
 HOT_GROUPS = 10_000
 #: Bounds of the number of buckets; their count, not the rows', bounds what is broadcast.
 LEAST_BUCKETS, MOST_BUCKETS = 256, 65_536
+#: Rows and bytes of a batch that goes to Python.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 2048, "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,8 +63,17 @@ def release(spark: SparkSession) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Batches between Spark and Python of few rows and bytes: what a worker holds doesn't depend on how long texts are."""
+    for name, most in BATCH.items():
+        now = spark.conf.get(name, None)
+        if now is None or not now.isdigit() or int(now) > most:
+            spark.conf.set(name, str(most))
+
+
 def map_rows(df: DataFrame, make: Callable[[], Callable[[dict[str, list]], dict[str, list]]], schema: str) -> DataFrame:
     """mapInArrow by columns: make() runs once per task and returns a function from a batch's lists to the new lists."""
+    bounded_batches(df.sparkSession)
     arrow = to_arrow_schema(T._parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 #: Words whose hashes a worker remembers at most.
-CACHED = 400_000
+CACHED = 150_000
 
 
 class _Hashes(dict):
