@@ -61,17 +61,20 @@ def _runs(starts: np.ndarray, length: int, n: int) -> np.ndarray:
 def candidate_windows(docs: DataFrame, positions: DataFrame) -> DataFrame:
     """doc_id, packed (text), starts, one, two (128-bit hashes) of the windows that contain an anchor at `positions`."""
 
+    def pack():
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        return lambda b: {"doc_id": b["doc_id"], "packed": [squeeze((t or "").encode()) for t in b["text"]]}
+
     def make():
-        squeeze = zstandard.ZstdCompressor(level=1).compress
+        unpack = zstandard.ZstdDecompressor().decompress
 
         def work(b):
-            out = {"doc_id": b["doc_id"], "packed": [], "starts": [], "one": [], "two": []}
-            for text, at in zip(b["text"], b["positions"]):
-                hashes = hashes_of(words_of(text))
+            out = {"doc_id": b["doc_id"], "packed": b["packed"], "starts": [], "one": [], "two": []}
+            for packed, at in zip(b["packed"], b["positions"]):
+                hashes = hashes_of(unpack(packed).split())
                 # an id may come with several texts, and so with positions of another one: they only add candidates
                 mask = _runs(np.array(at) - PERIOD + 1, PERIOD, max(0, len(hashes) - WINDOW + 1))
                 starts = np.flatnonzero(mask)
-                out["packed"].append(squeeze((text or "").encode()))
                 out["starts"].append(starts)
                 out["one"].append(windows(hashes, WINDOW, starts).view(np.int64))
                 out["two"].append(windows(hashes ^ np.uint64(0xA0761D6478BD642F), WINDOW, starts, base=0xE7037ED1A0B428DB).view(np.int64))
@@ -79,8 +82,9 @@ def candidate_windows(docs: DataFrame, positions: DataFrame) -> DataFrame:
 
         return work
 
-    rows = docs.select(F.col("doc_id").cast("long"), "text").join(positions, "doc_id")
-    return map_rows(rows, make, "doc_id long, packed binary, starts array<int>, one array<long>, two array<long>")
+    # texts move compressed: that halves what this join shuffles
+    rows = map_rows(docs.select(F.col("doc_id").cast("long"), "text"), pack, "doc_id long, packed binary")
+    return map_rows(rows.join(positions, "doc_id"), make, "doc_id long, packed binary, starts array<int>, one array<long>, two array<long>")
 
 
 def without_repeats(found: DataFrame) -> DataFrame:
@@ -126,13 +130,13 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     shared = firsts.groupBy("hash").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n")).where("low < high").select("hash", "n")
     shared = settle(shared, "substring-shared")
     at = F.element_at(F.array(*map(F.lit, COVER)), F.col("i") % len(COVER) + 1) + F.floor(F.col("i") / len(COVER)).cast("int") * PERIOD
-    hits = with_groups(firsts.withColumn("spread", F.hash("doc_id", "i")), shared, ["hash"], "n", ["spread"], total * len(COVER), "inner")
+    hits = with_groups(firsts, shared, ["hash"], "n", ["doc_id", "i"], total * len(COVER), "inner")
     positions = hits.groupBy("doc_id").agg(F.collect_set(at).alias("positions"))
     wide = settle(candidate_windows(docs, settle(positions, "substring-positions")).dropDuplicates(["doc_id", "packed"]), "substring-windows")
     every = wide.select("doc_id", F.explode(F.arrays_zip("starts", "one", "two")).alias("w")).select("doc_id", "w.*")
-    first_of = every.groupBy("one", "two").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n")).where("low < high").select("one", "two", "low", "n")
+    first_of = every.groupBy("one", "two").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1")
     first_of = settle(first_of, "substring-firsts")
-    repeats = with_groups(every.withColumn("spread", F.hash("doc_id", "starts")), first_of, ["one", "two"], "n", ["spread"], total * len(COVER), "inner").where("low < doc_id")
+    repeats = with_groups(every, first_of, ["one", "two"], "n", ["doc_id", "starts"], total * len(COVER), "inner").where("low < doc_id")
     by_doc = repeats.groupBy("doc_id").agg(F.collect_set(F.struct(F.col("starts").alias("start"), "one")).alias("repeats"))
     changed = without_repeats(wide.select("doc_id", "packed").join(by_doc, "doc_id")).dropDuplicates(["doc_id", "sha256"])
     out = placed.join(changed, ["doc_id", "sha256"], "left")
