@@ -84,7 +84,9 @@ def candidate_windows(docs: DataFrame, positions: DataFrame) -> DataFrame:
 
     # texts move compressed: that halves what this join shuffles
     rows = map_rows(docs.select(F.col("doc_id").cast("long"), "text"), pack, "doc_id long, packed binary")
-    return map_rows(rows.join(positions, "doc_id"), make, "doc_id long, packed binary, starts array<int>, one array<long>, two array<long>")
+    # rows that repeat id and text are told apart while they are small; the join has brought them together
+    met = rows.join(positions, "doc_id").dropDuplicates(["doc_id", "packed"])
+    return map_rows(met, make, "doc_id long, packed binary, starts array<int>, one array<long>, two array<long>")
 
 
 def without_repeats(found: DataFrame) -> DataFrame:
@@ -132,7 +134,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     at = F.element_at(F.array(*map(F.lit, COVER)), F.col("i") % len(COVER) + 1) + F.floor(F.col("i") / len(COVER)).cast("int") * PERIOD
     hits = with_groups(firsts, shared, ["hash"], "n", ["doc_id", "i"], total * len(COVER), "inner")
     positions = hits.groupBy("doc_id").agg(F.collect_set(at).alias("positions"))
-    wide = settle(candidate_windows(docs, settle(positions, "substring-positions")).dropDuplicates(["doc_id", "packed"]), "substring-windows")
+    wide = settle(candidate_windows(docs, settle(positions, "substring-positions")), "substring-windows")
     every = wide.select("doc_id", F.explode(F.arrays_zip("starts", "one", "two")).alias("w")).select("doc_id", "w.*")
     first_of = every.groupBy("one", "two").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1")
     first_of = settle(first_of, "substring-firsts")
