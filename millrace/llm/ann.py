@@ -177,7 +177,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = NEIGHBOURS, id_col: st
 
     def probe():
         def work(b):
-            out = {"query_id": [], "q": [], "leaf": []}
+            out = {"query_id": [], "q": [], "leaf": [], "turn": []}
             for query, q in zip(b["query_id"], b["q"]):
                 seen = 0
                 for n, leaf in enumerate(sent.value.visit(np.asarray(q))):
@@ -186,30 +186,38 @@ def search(vectors: DataFrame, is_query: Column, k: int = NEIGHBOURS, id_col: st
                         break
                     if leaf in held:
                         seen += held[leaf]
-                        for name, value in zip(out, (query, q, leaf)):
+                        for name, value in zip(out, (query, q, leaf, n)):
                             out[name].append(value)
             return out
 
         return work
 
-    probes = map_rows(queries, probe, "query_id long, q array<double>, leaf long")
+    probes = settle(map_rows(queries, probe, "query_id long, q array<double>, leaf long, turn int"), "ann-probes")
     asked = -(-n_queries * visits // max(1, len(held)))
     cuts = spark.createDataFrame([(leaf, -(-n // BLOCK_ROWS), -(-min(n_queries, 2 * asked) // BLOCK_QUERIES)) for leaf, n in held.items()], "leaf long, by_rows int, by_queries int")
     part = lambda key, n: F.pmod(F.xxhash64(key), n).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     left = index.select("vec_id", "v", "leaf").join(F.broadcast(cuts), "leaf").select("leaf", part("vec_id", F.col("by_rows")).alias("b"), each("by_queries").alias("c"), "vec_id", "v")
-    right = probes.join(F.broadcast(cuts), "leaf").select("leaf", each("by_rows").alias("b"), part("query_id", F.col("by_queries")).alias("c"), "query_id", "q")
 
     def meet(x: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         if not len(x) or not len(q):
             return pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
-        ids, asking = x["vec_id"].to_numpy(), q["query_id"].to_numpy()
+        ids, asking, bound = x["vec_id"].to_numpy(), q["query_id"].to_numpy(), q["bound"].to_numpy(np.float64)
         qi, xi, score = top(_matrix(q["q"]), asking, _matrix(x["v"]), ids, k)
-        return pd.DataFrame({"query_id": asking[qi], "vec_id": ids[xi], "score": score})
+        good = ~(score < bound[qi])
+        return pd.DataFrame({"query_id": asking[qi[good]], "vec_id": ids[xi[good]], "score": score[good]})
 
     keys = ["leaf", "b", "c"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(meet, "query_id long, vec_id long, score double")
-    return _best(found, k).select("query_id", "rank", "vec_id", "score")
+
+    def met(some: DataFrame) -> DataFrame:
+        right = some.join(F.broadcast(cuts), "leaf").select("leaf", each("by_rows").alias("b"), part("query_id", F.col("by_queries")).alias("c"), "query_id", "q", "bound")
+        return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(meet, "query_id long, vec_id long, score double")
+
+    # the first leaf's last neighbour bounds what can still be among the nearest: other leaves give only what reaches it
+    first = settle(met(probes.where("turn = 0").withColumn("bound", F.lit(None).cast("double"))), "ann-first")
+    bounds = _best(first, k).groupBy("query_id").agg(F.min("score").alias("bound"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= k).drop("n")
+    rest = met(probes.where("turn > 0").join(bounds, "query_id", "left"))
+    return _best(first.union(rest), k).select("query_id", "rank", "vec_id", "score")
 
 
 def calibrate(index: DataFrame, queries: DataFrame, n_queries: int, tree: Tree, k: int, recall: float) -> int:
