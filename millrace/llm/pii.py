@@ -149,11 +149,13 @@ _bracketed_at = re.compile(rf"(?i)(?<=[a-z0-9._%+-])\s{{0,3}}{_OPEN}\s{{0,3}}(?:
 _bracketed_dot = re.compile(rf"(?i)(?<=[a-z0-9])\s{{0,3}}{_OPEN}\s{{0,3}}(?:{_DOT_WORDS}|\.)\s{{0,3}}{_SHUT}\s{{0,3}}(?=[a-z0-9])|(?<=[a-z0-9])-dot-(?=[a-z0-9])")
 _label = r"[a-z0-9](?:[a-z0-9-]{0,62}[a-z0-9])?"
 _dot = rf"(?:\s{{1,3}}(?:{_DOT_WORDS})\s{{1,3}}|\s{{1,3}}\.\s{{1,3}}|\s?\.\s?)"
+_host = rf"{_label}(?:{_dot}{_label}){{0,4}}{_dot}(?:{_TLDS.replace(' ', '|')})"
 _bare = re.compile(
-    rf"(?i)(?<![a-z0-9._%+-])(?P<user>[a-z0-9_%+-]+(?:{_dot}[a-z0-9_%+-]+){{0,3}}?)(?P<at>\s{{1,3}}(?:{_AT_WORDS})\s{{1,3}}|\s{{0,3}}@\s{{0,3}})(?P<host>{_label}(?:{_dot}{_label}){{0,4}}{_dot}(?:{_TLDS.replace(' ', '|')}))(?![a-z0-9])"
+    rf"(?i)(?<![a-z0-9._%+-])(?P<user>[a-z0-9_%+-]+(?:{_dot}[a-z0-9_%+-]+){{0,3}}?)(?P<at>\s{{1,3}}(?:{_AT_WORDS})\s{{1,3}}|\s{{0,3}}@\s{{0,3}})(?P<host>{_host})(?![a-z0-9])"
 )
 _any_dot = re.compile(rf"(?i){_dot}")
-_bare_hints = (*(f" {w} " for w in _DOT_WORDS.split("|")), " @", "@ ", " . ")
+# what every match of the pattern above ends with, so that nothing it finds is passed over
+_bare_end = re.compile(rf"(?i)(?:\s(?:{_AT_WORDS})\s|@)\s{{0,3}}{_host}(?![a-z0-9])")
 _bracket_hints = ("[", "(", "{", "<", "-at-", "-dot-")
 
 
@@ -183,6 +185,7 @@ _between = r"(?:\s?[,.-]\s?|\s{1,3})"
 _point = rf"(?:\s{{1,3}}(?:{_DOT_WORDS}|period)\s{{1,3}})"
 _run = re.compile(rf"(?i)(?<![\w+])(?P<plus>plus[\s-]{{1,3}}|\+\s?)?(?P<digits>{_unit}(?:(?:{_point}|{_between}){_unit}){{3,}})(?!\w)")
 _spoken_ip = re.compile(rf"(?i)(?<![\w.])[0-9]{{1,3}}(?:\s{{1,3}}(?:{_DOT_WORDS})\s{{1,3}}[0-9]{{1,3}}){{3}}(?!\w)")
+_spoken_dot = re.compile(rf"(?i)[0-9]\s{{1,3}}(?:{_DOT_WORDS})\s")
 _piece = re.compile(rf"(?i)(?P<dot>{_point})|(?:(?P<times>{_times})[\s-])?(?P<digit>{_spelled}|[0-9]+)(?!\w)")
 
 
@@ -230,8 +233,10 @@ def normalise(text: str) -> Mapped:
     if any(h in low for h in _bracket_hints):
         mapped = mapped.rewrite(_bracketed_at, lambda m: "@").rewrite(_bracketed_dot, lambda m: ".")
         low = mapped.text.lower().replace("\n", " ")
-    if any(h in low for h in _bare_hints):
-        mapped = mapped.rewrite(_bare, _joined).rewrite(_spoken_ip, lambda m: ".".join(re.findall("[0-9]+", m[0])))
+    if _bare_end.search(mapped.text):
+        mapped = mapped.rewrite(_bare, _joined)
+    if _spoken_dot.search(mapped.text):
+        mapped = mapped.rewrite(_spoken_ip, lambda m: ".".join(re.findall("[0-9]+", m[0])))
     if _spells(low):
         mapped = mapped.rewrite(_run, _digits)
     now = mapped.text

@@ -53,6 +53,26 @@ def test_disguises(text, kind, found):
     assert pii.mask(text, every) == text.replace(found, f"[{kind.upper()}]")
 
 
+@pytest.mark.parametrize(
+    "found, kind",
+    [
+        ("joe at example.com", "email"),
+        ("joe\nat\nexample.com", "email"),
+        ("joe arroba example.com", "email"),
+        ("joe@example .com", "email"),
+        ("joe@example. com", "email"),
+        ("joe\t@example.com", "email"),
+        ("jane\tat\texample\tdot\torg", "email"),
+        ("jane\xa0at\u2003example\xa0dot\xa0org", "email"),
+        ("10\tdot\t0\tdot\t0\tdot\t1", "ip"),
+        ("10\r\ndot\r\n0\r\ndot\r\n0\r\ndot\r\n1", "ip"),
+    ],
+)
+def test_no_hint_but_the_disguise_itself(found, kind):
+    text = f"write: {found}; thanks"
+    assert [(k, text[s:e]) for k, s, e in pii.find(text)[1]] == [(kind, found)]
+
+
 def test_clean_texts_stay_clean():
     for text in ("look at the dot product of x", "I met him at work. Then at dot com", "one of the two or three at home", "a (at) b", "un deux trois", None, ""):
         assert pii.find(text) == ([], [])
