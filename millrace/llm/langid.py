@@ -18,8 +18,8 @@ from pyspark.sql.window import Window
 
 from .common import map_rows
 
-#: Labelled documents to learn from, about; words and n-grams kept for each language; longest n-gram.
-SAMPLE, WORDS, GRAMS, LONGEST = 6_000, 20_000, 4_000, 4
+#: Labelled documents of each language to learn from, about; words and n-grams kept for each language; longest n-gram.
+SAMPLE, WORDS, GRAMS, LONGEST = 5_000, 20_000, 4_000, 4
 #: Words of a text that count in full for the certainty of its score.
 CERTAIN = 8
 #: Numbers that a task keeps at most for words it has met, besides those of the model.
@@ -57,14 +57,15 @@ def _log_frequencies(counts: dict[tuple[str, int], Counter], langs: tuple[str, .
 
 
 def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> Model:
-    """Learn from a bounded sample of the labelled rows of df: about `sample` of them, chosen by a hash of the text.
+    """Learn from a bounded sample of the labelled rows of df: of each language about `sample` of them, chosen by a hash of
+    the text, and all rows of a language that has no more.
 
     Rows with a null language or no word don't count. Units are counted on the executors; the driver gets at most WORDS
     words and GRAMS n-grams of each length for each language."""
     rows = df.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("lang is not null and text is not null")
-    n = rows.count()
-    if n > sample:
-        rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < F.lit(int(1_000_000 * sample / n) + 1))
+    large = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > sample)
+    share = F.pmod(F.xxhash64("text"), F.lit(1 << 40)) / F.lit(1 << 40)
+    rows = rows.join(F.broadcast(large), "lang", "left").where(F.col("n").isNull() | (share * F.col("n") < sample)).select("text", "lang")
 
     def make():
         def work(b):

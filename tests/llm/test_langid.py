@@ -51,6 +51,13 @@ def test_labels_of_held_out_rows_teach_nothing(spark):
     assert one == two
 
 
+def test_rare_language_is_learnt(spark):
+    data = [(i, f"{t} number{'abcdefghij'[i % 10]} {chr(97 + i // 10 % 26) * 3} {chr(97 + i // 260) * 4}", lang) for i, (t, lang) in enumerate((TEXTS[k], k) for k in ("en", "de") for _ in range(400))]
+    data += [(5000 + i, f"{TEXTS['fr']} {'abc'[i]}", "fr") for i in range(3)]
+    model = langid.fit(documents(spark, data), sample=20)
+    assert model.langs == ("de", "en", "fr") and langid.Scorer(model).predict("la maison et le jardin")[0] == "fr"
+
+
 def test_backoff():
     model = langid.Model(("a", "b"), {"known": [-1.0, -5.0]}, {"_": [-2.0, -2.0], "xyz": [-9.0, -1.0], "x": [-1.0, -9.0]}, [-12.0, -12.0])
     scorer = langid.Scorer(model)
