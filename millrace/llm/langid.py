@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,6 +23,8 @@ from .common import map_rows
 SAMPLE, WORDS, GRAMS, LONGEST = 5_000, 20_000, 4_000, 4
 #: Words of a text that count in full for the certainty of its score.
 CERTAIN = 8
+#: Longer words are not kept; places in a word that are looked up at once.
+LONG, PLACES = 200, 4096
 #: Numbers that a task keeps at most for words it has met, besides those of the model.
 CACHED = 400_000
 UND = "und"
@@ -33,9 +36,9 @@ def words_of(text: str | None) -> list[str]:
     return _words(text.lower()) if text else []
 
 
-def grams_of(word: str, n: int) -> list[str]:
+def grams_of(word: str, n: int) -> Iterator[str]:
     word = f"_{word}_"
-    return [word[i : i + n] for i in range(len(word) - n + 1)]
+    return (word[i : i + n] for i in range(len(word) - n + 1))
 
 
 @dataclass(frozen=True)
@@ -77,7 +80,7 @@ def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", sample: i
                 grams = [Counter() for _ in range(LONGEST)]
                 for word, times in counts.items():
                     for size, counter in enumerate(grams, 1):
-                        for gram in grams_of(word[:200], size):
+                        for gram in grams_of(word, size):
                             counter[gram] += times
                 for size, counter in enumerate([counts, *grams]):
                     out["lang"] += [lang] * len(counter)
@@ -131,15 +134,18 @@ class Scorer(dict):
         return at
 
     def by_grams(self, word: str) -> np.ndarray:
-        padded, get = f"_{word[:200]}_", self.places.get
-        unknown, found = len(self.places), []
-        for i in range(len(padded)):
-            for size in range(LONGEST, 0, -1):
-                at = get(padded[i : i + size])
-                if at is not None:
-                    break
-            found.append(unknown if at is None else at)
-        return self.gram_rows[found].mean(0)
+        padded, get = f"_{word}_", self.places.get
+        unknown, total = len(self.places), 0
+        for start in range(0, len(padded), PLACES):
+            found = []
+            for i in range(start, min(start + PLACES, len(padded))):
+                for size in range(LONGEST, 0, -1):
+                    at = get(padded[i : i + size])
+                    if at is not None:
+                        break
+                found.append(unknown if at is None else at)
+            total = total + self.gram_rows[found].sum(0, dtype=np.float64)
+        return total / len(padded)
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """The likeliest language and its share of likelihood; `und` and 0 for a text without letters."""
@@ -150,7 +156,10 @@ class Scorer(dict):
         for start in range(0, len(words), 10_000):
             part = words[start : start + 10_000]
             # rows are taken at once: a later word may push out what an earlier one put in
-            ids = [self[w] for w in part]
+            ids = [self[w] for w in part if len(w) <= LONG or w in self]
+            for w in part:
+                if len(w) > LONG and w not in self:
+                    mean += self.by_grams(w)
             mean += self.rows[ids].sum(0, dtype=np.float64)
         mean /= len(words)
         best = int(mean.argmax())

@@ -66,6 +66,18 @@ def test_backoff():
     assert scorer.predict("xyz")[0] == "b" and scorer.predict("x")[0] == "a"
 
 
+def test_all_of_a_long_word_counts():
+    model = langid.Model(("a", "b"), {}, {"x": [-1.0, -9.0], "y": [-9.0, -1.0]}, [-12.0, -12.0])
+    scorer = langid.Scorer(model)
+    assert scorer.predict("x" * 300 + "y" * 400)[0] == "b" and scorer.predict("x" * 9000 + "y" * 8000)[0] == "a"
+    assert scorer.predict("x" * 150 + "y" * 40)[0] == "a" and all(len(w) <= langid.LONG for w in scorer)
+
+
+def test_the_end_of_a_long_word_is_learnt(spark):
+    model = langid.fit(documents(spark, [(1, "x" * 300, "a"), (2, "x" * 300 + "y" * 300, "b")]))
+    assert langid.Scorer(model).predict("yyyy")[0] == "b"
+
+
 def test_no_labels(spark):
     got = langid.identify(documents(spark, [(1, "some text", None), (2, None, None)])).collect()
     assert {r["lang_pred"] for r in got} == {"und"}
