@@ -2,7 +2,8 @@
 
 Pages of one host share a template. Some pages of each host (SEEDS, chosen by hash: the sample the wrapper is fitted on)
 are parsed and their trees aligned by simple tree matching; nodes whose text is the same in most of them are template,
-the others are slots. Every page of the host is then aligned with that wrapper: what matches a template node goes, and of
+the others are slots. Besides, the texts at each path of labels are counted over all pages of the host: those that most
+pages of the host or of one layout have, and those of paths whose texts mostly come again, are template too. Every page of the host is then aligned with that wrapper: what matches a template node goes, and of
 the rest the article's blocks stay. Parts whose names say what they are (menus, footers, forms ...) need no wrapper.
 """
 
@@ -10,11 +11,13 @@ from __future__ import annotations
 
 import json
 import re
+from hashlib import blake2b
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import map_rows, settle, with_groups
 
@@ -246,12 +249,58 @@ def _blocks(node: Node, inside: bool) -> list[tuple[str, int]]:
     return [(text, links) for text, links in ((" ".join(t.split()), n) for t, n in out) if text]
 
 
-def extract(html: str | None, wrapper: str | None = None) -> str:
+def _hash(*parts: str) -> str:
+    return blake2b("\0".join(parts).encode("utf-8", "replace"), digest_size=8).hexdigest().upper()
+
+
+def _texts(root: Node) -> list[tuple[Node, str, str]]:
+    """(node, hash of its path of labels, hash of that and its text) of each node with text; digits in names don't tell."""
+    out, todo = [], [(root, "")]
+    while todo:
+        node, above = todo.pop()
+        path = _hash(above, re.sub("[0-9]+", "#", node.label))
+        if text := node.own_text():
+            out.append((node, path, _hash(path, text)))
+        todo += [(c, path) for c in node.children() if not c.hidden and c.tag not in SILENT]
+    return out
+
+
+def _layout(root: Node) -> str:
+    """The labels of a page's upper levels."""
+    level, seen = [root], set()
+    for _ in range(4):
+        level = [c for n in level for c in n.children() if c.tag not in SILENT and c.tag not in INLINE]
+        seen |= {re.sub("[0-9]+", "#", n.label) for n in level}
+    return _hash(*sorted(seen))
+
+
+def _mark_common(root: Node, body: Node, common: set[str]) -> None:
+    """Mark nodes whose text at their path is common; an article, or a page without one, that is mostly so is one text on
+    many pages, and stays."""
+    found = {id(n) for n, _, key in _texts(root) if key in common and not n.template}
+    if not found:
+        return
+
+    def share(top: Node) -> float:
+        nodes = [(n, len(n.own_text())) for n in _walk(top)]
+        return sum(k for n, k in nodes if id(n) in found or n.template) / max(1, sum(k for _, k in nodes))
+
+    holding = [n for n in _walk(body) if _holds(n)]
+    for top in holding or [body]:
+        if share(top) > (0.5 if holding else 0.9):
+            found -= {id(n) for n in _walk(top)}
+    for node in _walk(root):
+        node.template = node.template or id(node) in found
+
+
+def extract(html: str | None, wrapper: str | None = None, common: set[str] | None = None) -> str:
     """Blocks of the article joined by empty lines; empty if there are none. White space in a block becomes one space."""
     root = parse(html)
     if wrapper:
         _mark(root, wrapper)
     body = next((n for n in root.children() if n.tag == "html"), root)
+    if common:
+        _mark_common(root, body, common)
     found: list[Node] = []
 
     def holders(node: Node, tags) -> None:
@@ -292,21 +341,58 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
 
 
+def common_texts(pages: DataFrame) -> DataFrame:
+    """host, common: the hashes, one after another, of the texts that are template by their support over all pages.
+
+    A text at a path counts if LEAST pages have it and it is on AGREE of the pages of its host or of one layout, or if
+    AGREE of what stands at that path is on LEAST pages. A page that comes in several rows counts once."""
+    rows = pages.select("page_id", host_of(F.col("url")).alias("host"), F.coalesce("html", F.lit("")).alias("html")).where("host <> '' and page_id is not null")
+    again = rows.groupBy("page_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    rows = rows.join(again, "page_id", "left").select("host", "html", (1 / F.coalesce("rows", F.lit(1))).alias("weight"))
+
+    def make():
+        def work(b):
+            out: dict[str, list] = {"host": [], "layout": [], "path": [], "key": [], "weight": []}
+            for host, html, weight in zip(b["host"], b["html"], b["weight"]):
+                root = parse(html)
+                layout = _layout(root)
+                # an empty key counts the pages
+                for path, key in {("", ""), *((p, k) for _, p, k in _texts(root))}:
+                    for name, value in zip(out, (host, layout, path, key, weight)):
+                        out[name].append(value)
+            return out
+
+        return work
+
+    counted = map_rows(rows, make, "host string, layout string, path string, key string, weight double").groupBy("host", "layout", "path", "key").agg(F.sum("weight").alias("n"))
+    counted = settle(counted, "html-texts")
+    sizes = counted.where("key = ''").select("host", "layout", F.col("n").alias("in_layout"))
+    hosts = sizes.groupBy("host").agg(F.sum("in_layout").alias("in_host"))
+    # what is on fewer than LEAST pages in all is only summed by its path
+    texts = counted.where("key <> ''").join(sizes, ["host", "layout"]).groupBy("host", "path", "key").agg(F.sum("n").alias("n"), F.max(F.when(F.col("n") > LEAST - 0.01, F.col("n") / F.col("in_layout"))).alias("share"))
+    often = F.col("n") > LEAST - 0.01
+    paths = texts.groupBy("host", "path").agg((F.sum(F.when(often, F.col("n")).otherwise(0)) / F.sum("n")).alias("repeated"))
+    kept = texts.where(often).join(hosts, "host").join(paths, ["host", "path"]).where(f"n >= {AGREE} * in_host or share >= {AGREE} or repeated >= {AGREE}")
+    return kept.groupBy("host").agg(F.array_join(F.sort_array(F.collect_set("key")), "").alias("common"))
+
+
 def wrappers(pages: DataFrame) -> DataFrame:
-    """host, wrapper, n (pages of the host), stored; hosts of fewer than LEAST pages, or without template, have none."""
+    """host, wrapper, common, n (pages of the host), stored; hosts of fewer than LEAST pages, or without template, have none."""
     light = pages.select("page_id", host_of(F.col("url")).alias("host")).where("host <> '' and page_id is not null")
     counts = light.groupBy("host").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST)
-    picked = light.groupBy("host", F.pmod(F.xxhash64("page_id"), F.lit(SEEDS)).alias("part")).agg(F.min(F.struct(F.xxhash64("page_id").alias("h"), "page_id")).alias("first"))
-    seeds = settle(picked.select("host", F.col("first.page_id").alias("page_id")).join(counts, "host"), "html-seeds")
+    place = F.dense_rank().over(Window.partitionBy("host").orderBy(F.xxhash64("page_id"), "page_id"))
+    picked = light.withColumn("place", place).where(F.col("place") <= SEEDS).select("host", "page_id").distinct()
+    seeds = settle(picked.join(counts, "host"), "html-seeds")
     ids = F.broadcast(seeds) if seeds.count() <= SENT_IDS else seeds
-    texts = pages.select("page_id", "html").join(ids, "page_id").select("host", "page_id", "n", F.coalesce("html", F.lit("")).alias("html"))
+    texts = pages.select("page_id", "html", host_of(F.col("url")).alias("host")).join(ids, ["host", "page_id"]).select("host", "page_id", "n", F.coalesce("html", F.lit("")).alias("html"))
 
     def work(frame):
         frame = frame.sort_values("page_id").drop_duplicates("page_id")
         made = induce(list(frame["html"]))
         return frame.iloc[: 1 if made else 0][["host", "n"]].assign(wrapper=made)
 
-    return settle(texts.groupBy("host").applyInPandas(work, "host string, n long, wrapper string"), "html-wrappers")
+    made = texts.groupBy("host").applyInPandas(work, "host string, n long, wrapper string").select("host", "wrapper")
+    return settle(counts.join(made, "host", "left").join(common_texts(pages), "host", "left").where("wrapper is not null or common is not null"), "html-wrappers")
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
@@ -314,16 +400,25 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     each returned; pages without a host, or of a host with few pages, go by the names of their parts alone."""
     made = wrappers(pages)
     rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
-    if (made.agg(F.sum(F.octet_length("wrapper"))).first()[0] or 0) <= SENT_BYTES:
-        joined = rows.join(F.broadcast(made.select("host", "wrapper")), "host", "left")
+    if (made.agg(F.sum(F.coalesce(F.octet_length("wrapper"), F.lit(0)) + F.coalesce(F.octet_length("common"), F.lit(0)))).first()[0] or 0) <= SENT_BYTES:
+        joined = rows.join(F.broadcast(made.select("host", "wrapper", "common")), "host", "left")
     else:
         joined = with_groups(rows, made, ["host"], "n", ["page_id"], pages.count(), "left")
 
     def make():
+        sets: dict[str, set[str]] = {}
+
+        def common_of(joined: str | None) -> set[str] | None:
+            if joined and joined not in sets:
+                if len(sets) >= 100:
+                    sets.clear()
+                sets[joined] = {joined[i : i + 16] for i in range(0, len(joined), 16)}
+            return sets[joined] if joined else None
+
         def work(b):
-            texts = [extract(h, w) for h, w in zip(b["html"], b["wrapper"])]
+            texts = [extract(h, w, common_of(c)) for h, w, c in zip(b["html"], b["wrapper"], b["common"])]
             return {"page_id": b["page_id"], "url": b["url"], "text": texts, "n_chars": [len(t) for t in texts]}
 
         return work
 
-    return map_rows(joined.select("page_id", "url", "html", "wrapper"), make, "page_id long, url string, text string, n_chars long")
+    return map_rows(joined.select("page_id", "url", "html", "wrapper", "common"), make, "page_id long, url string, text string, n_chars long")

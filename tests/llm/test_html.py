@@ -48,3 +48,16 @@ def test_operator(spark):
     by = {r["page_id"]: r["text"] for r in got}
     assert by[100] == "no host here at all" and by[101] == "alone on its host" and by[102] == ""
     assert H.extract_pages(df.limit(0)).count() == 0
+
+
+def test_template_of_a_part_of_the_pages(spark):
+    def layout(i):
+        extra = '<div class="k1"><span>Moved to a new house this year</span></div>' if i % 5 == 0 else ""
+        return f'<html><body><div class="m"><b>Section {"ABC"[i % 3]} of the site</b></div><article>{extra}<p>Story number {i} tells of {i * 37} things in many words.</p></article></body></html>'
+
+    rows = [(i, f"http://a.example.org/{i}", layout(i)) for i in range(60)] + [(i, f"http://b{j}.example.org/{i}", page(i)) for j in range(20) for i in range(100 + 3 * j, 103 + 3 * j)]
+    got = {r["page_id"]: r["text"] for r in H.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(60):
+        assert got[i] == f"Story number {i} tells of {i * 37} things in many words."
+    for i in range(100, 160):
+        assert "reserved" not in got[i] and f"Story number {i} " in got[i]
