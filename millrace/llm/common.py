@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import os
+import re
 import shutil
 import tempfile
 import uuid
@@ -16,25 +17,29 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
 
+from millrace.session import spread
+
 #: Most rows that one numbering bucket is meant to hold.
 BUCKET_ROWS = 20_000
-#: Groups that may be called hot at most; it bounds what is broadcast.
-HOT_GROUPS = 10_000
+#: Keys that may be called hot at most, which bounds what is broadcast, and rows that no key needs help below.
+HOT_GROUPS, HOT_ROWS = 10_000, 200
 #: Bounds of the number of buckets; their count, not the rows', bounds what is broadcast.
 LEAST_BUCKETS, MOST_BUCKETS = 256, 65_536
 #: Rows and bytes of a batch that goes to Python.
 BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 2048, "spark.sql.execution.arrow.maxBytesPerBatch": 8 << 20}
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, deal: bool = True) -> DataFrame:
+    """A table's rows; deal: in no fewer partitions than the cluster has cores, so that Python work uses all of them."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if deal else df
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, as the session names it; a temporary one where none is set (local runs)."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        if not spark.sparkContext.getConf().get("spark.master", "local").startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.getConf().get("spark.master", "local")):
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         named = "file://" + os.path.join(tempfile.gettempdir(), "millrace-checkpoints")
         spark.sparkContext.setCheckpointDir(named)
@@ -71,10 +76,22 @@ def bounded_batches(spark: SparkSession) -> None:
             spark.conf.set(name, str(most))
 
 
-def map_rows(df: DataFrame, make: Callable[[], Callable[[dict[str, list]], dict[str, list]]], schema: str) -> DataFrame:
-    """mapInArrow by columns: make() runs once per task and returns a function from a batch's lists to the new lists."""
+def unused(name: str, columns: list[str]) -> str:
+    """`name`, with as many underscores before it as make it differ from all the columns."""
+    while name.lower() in {c.lower() for c in columns}:
+        name = f"_{name}"
+    return name
+
+
+def map_rows(df: DataFrame, make: Callable[[], Callable[[dict[str, list]], dict[str, list]]], schema: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """mapInArrow by columns: make() runs once per task and returns a function from a batch's lists to the new lists.
+
+    The `keep` columns, whatever their types, go before the new ones as they are; the function doesn't see them, and must
+    give as many rows as it gets."""
     bounded_batches(df.sparkSession)
-    arrow = to_arrow_schema(T._parse_datatype_string(schema))
+    made = T._parse_datatype_string(schema)
+    full = T.StructType([*(df.schema[c] for c in keep), *made.fields])
+    arrow = to_arrow_schema(full)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = None
@@ -82,10 +99,17 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[[dict[str, list]], dict[
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
                 work = work or make()
-                out = work({n: part.column(i).to_pylist() for i, n in enumerate(part.schema.names)})
-                yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
+                names = part.schema.names
+                out = work({n: part.column(i).to_pylist() for i, n in enumerate(names) if n not in keep})
+                kept = [part.column(names.index(c)).cast(arrow.field(c).type) for c in keep]
+                yield pa.RecordBatch.from_arrays([*kept, *(pa.array(out[f.name], f.type) for f in arrow if f.name not in keep)], schema=arrow)
+
+    return df.mapInArrow(run, full)
+
 
-    return df.mapInArrow(run, schema)
+def with_rows(docs: DataFrame, name: str = "__row") -> DataFrame:
+    """docs with a number for each row, stored, so that a row can be told from others with the same id and text."""
+    return settle(docs.withColumn(name, F.monotonically_increasing_id()), "rows")
 
 
 def buckets_for(rows: int) -> int:
@@ -119,19 +143,37 @@ def number_rows(df: DataFrame, key: Column, order: list[str], out: str, within:
     return placed.join(offsets, [*within, "__bucket"]).withColumn(out, F.col("__place") + F.col("__before")).drop("__bucket", "__place", "__before")
 
 
-def with_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, spread: list[str], total: int, how: str) -> DataFrame:
-    """rows joined (inner or left) with the columns of the group of their keys. groups is stored, one row for each group,
-    `size` the rows in it of `total`. Groups of over total / HOT_GROUPS rows are HOT_GROUPS at most: they come by
-    broadcast, and their rows are dealt by `spread`, so that no group sits in one task."""
-    most = max(1000, -(-total // HOT_GROUPS))
-    given = [c for c in groups.columns if c not in (*keys, size)]
-    hot = groups.where(F.col(size) > most).select(*keys, F.lit(True).alias("__hot"), *(F.col(c).alias(f"__hot_{c}") for c in given))
-    rest = groups.where(F.col(size) <= most).select(*keys, F.lit(0).alias("__salt"), F.lit(True).alias("__rest"), *(F.col(c).alias(f"__rest_{c}") for c in given))
-    salt = F.when(F.col("__hot"), F.pmod(F.xxhash64(*spread), F.lit(1_000_000)).cast("int") + 1).otherwise(F.lit(0))
-    joined = rows.join(F.broadcast(hot), keys, "left").withColumn("__salt", salt).join(rest, [*keys, "__salt"], "left")
-    if how == "inner":
-        joined = joined.where("__hot or __rest")
-    return joined.select(*rows.columns, *(F.coalesce(f"__hot_{c}", f"__rest_{c}").alias(c) for c in given))
+def hot_keys(sizes: DataFrame, keys: list[str], total: int) -> DataFrame | None:
+    """Keys (with `parts`) of more than total / HOT_GROUPS of `total` rows, stored; None without any. sizes: keys and n, the
+    rows of each. They are HOT_GROUPS at most, or total / HOT_ROWS in small tables."""
+    most = max(HOT_ROWS, -(-total // HOT_GROUPS))
+    known = F.lit(True)
+    for key in keys:
+        known = known & F.col(key).isNotNull()
+    hot = sizes.where(known & (F.col("n") > most)).select(*keys, F.ceil(F.col("n") / most).alias("__parts"))
+    return None if hot.isEmpty() else settle(hot, "hot-keys")
+
+
+def counted(rows: DataFrame, *keys: str) -> DataFrame:
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+
+
+def salted_join(rows: DataFrame, groups: DataFrame, keys: list[str], by: list[str], hot: DataFrame | None, how: str = "left") -> DataFrame:
+    """rows joined (inner or left) with groups, one row for each value of `keys`, so that no key is one task's work.
+
+    hot: of hot_keys(); it is broadcast. Rows of a hot key are dealt by a hash of `by` into its parts, and its group is
+    there once for each part. Rows of null keys meet no group, and are dealt out too."""
+    known, mixed, part = F.lit(True), F.xxhash64(*by), F.lit(0).cast("long")
+    for key in keys:
+        known = known & F.col(key).isNotNull()
+    if hot is not None:
+        rows = rows.join(F.broadcast(hot), keys, "left")
+        groups = groups.join(F.broadcast(hot), keys, "left").withColumn("__part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("__parts", F.lit(1).cast("long")) - 1))).drop("__parts")
+        part = F.coalesce(F.pmod(mixed, F.col("__parts")), part)
+    else:
+        groups = groups.withColumn("__part", part)
+    rows = rows.withColumn("__part", F.when(known, part).otherwise(-1 - F.pmod(mixed, F.lit(1 << 20)))).drop("__parts")
+    return rows.join(groups, [*keys, "__part"], how).drop("__part")
 
 
 #: Ids that may be sent to every task; more are joined by shuffle.

@@ -1,10 +1,12 @@
 """Exact dedup with an extendible-hash index on shared files, in DataFrame operations only.
 
-A histogram of hash prefixes builds the directory: it starts with one bucket and doubles whenever an overfull bucket has
-to split at its depth. The directory has 2**PREFIX_BITS entries at most, whatever the input. Texts are grouped by their
-bytes (equal hashes alone never make two texts equal), summed up before they move; each bucket is owned by one task,
-which chains the different texts of one hash. The index lies in the shared folder, without texts, and gives each row its
-group through hash, digest and chain.
+The index has a directory of 2**depth entries, by the leading bits of a text's hash, that point to buckets. It starts with
+one bucket; an overfull one splits, and where it already has the directory's depth, the directory doubles first. Entries
+are different texts, so a text with many copies fills no bucket. Each bucket is a key range owned by one task, which
+orders the entries of one hash into a chain and tells them apart by their bytes.
+
+Only texts whose hash comes more than once have to move; they are summed up before they do. A row finds its entry from
+its hash: directory, bucket, and then along the chain.
 """
 
 from __future__ import annotations
@@ -16,11 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import settle, with_groups
+from .common import hot_keys, salted_join, settle
 
-PREFIX_BITS = 16
-#: Buckets aimed at; with a hot group below some prefixes, the directory still has no more than its entries.
-BUCKETS = 1024
+#: Deepest directory; entries that a bucket holds before it splits.
+DEPTH, CAPACITY = 16, 20_000
+#: Hashes that may be sent to every task, so that other texts don't move; beyond, both sides are shuffled.
+SENT_HASHES = 2_000_000
 
 
 def normalised(text: Column) -> Column:
@@ -29,56 +32,74 @@ def normalised(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, ascii_uppercase, ascii_lowercase))
 
 
-def directory(counts: dict[int, int], capacity: int, bits: int = PREFIX_BITS) -> list[int]:
-    """Bucket number of each prefix of `bits` bits. An overfull bucket splits; at the directory's depth, that doubles it first."""
+def split(counts: dict[int, int], capacity: int, bits: int = DEPTH) -> list[tuple[int, int]]:
+    """(first prefix, own depth) of each bucket, in order, for counts of entries by prefix of `bits` bits."""
     sums = [0]
     for prefix in range(2**bits):
         sums.append(sums[-1] + counts.get(prefix, 0))
-    depth, entries = 0, [(0, 0)]  # entries: (prefix at its own depth, own depth)
-    full = [(0, 0)]
-    done: list[tuple[int, int]] = []
+    done, full = [], [(0, 0)]
     while full:
         prefix, own = full.pop()
         width = bits - own
-        held = sums[(prefix + 1) << width] - sums[prefix << width]
-        if held <= capacity or own == bits:
+        if sums[(prefix + 1) << width] - sums[prefix << width] <= capacity or own == bits:
             done.append((prefix << width, own))
         else:
-            depth = max(depth, own + 1)
             full += [(2 * prefix, own + 1), (2 * prefix + 1, own + 1)]
-    entries = sorted(done)
-    numbers = []
-    for number, (_, own) in enumerate(entries):
-        numbers += [number] * 2 ** (bits - own)
-    return numbers
-
-
-def build_index(keyed: DataFrame, keys: DataFrame) -> DataFrame:
-    """The stored index: bucket, hash, digest, chain, keep_id, group_size, one row for each different text.
-
-    keyed: id, hash, text (normalised); keys: id, hash, digest of the same rows, stored."""
-    spark = keyed.sparkSession
-    prefix = F.shiftrightunsigned("hash", 64 - PREFIX_BITS).cast("int")
-    counts = {r["prefix"]: r["n"] for r in keys.groupBy(prefix.alias("prefix")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    rows = sum(counts.values())
-    numbers = directory(counts, max(1, -(-rows // BUCKETS)))
-    entries = spark.range(1).select(F.posexplode(F.from_json(F.lit(json.dumps(numbers)), "array<int>")).alias("prefix", "bucket"))
-    groups = keyed.groupBy("hash", "text").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    groups = groups.select("hash", F.sha2("text", 256).alias("digest"), "keep_id", "group_size", prefix.alias("prefix"))
-    owned = groups.join(F.broadcast(entries), "prefix").repartition("bucket")
-    chain = Window.partitionBy("bucket", "hash").orderBy("digest")
-    chained = owned.select("bucket", "hash", "digest", "keep_id", "group_size", F.row_number().over(chain).alias("chain"))
-    return settle(chained.sortWithinPartitions("bucket", "hash"), "exact-index")
-
-
-def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    return sorted(done)
+
+
+def directory(buckets: list[tuple[int, int]], bits: int = DEPTH) -> tuple[int, list[int]]:
+    """(depth, bucket number of each entry): the directory is as deep as its deepest bucket, and a bucket of less depth
+    has several entries."""
+    depth = max(own for _, own in buckets)
+    return depth, [number for number, (_, own) in enumerate(buckets) for _ in range(2 ** (depth - own))]
+
+
+class Index:
+    """The directory, and the stored entries: bucket, hash, chain, digest, keep_id, group_size."""
+
+    def __init__(self, keyed: DataFrame, keys: DataFrame, capacity: int = CAPACITY):
+        """keyed: id, hash, text (normalised); keys: id, hash, digest of the same rows, stored."""
+        self.spark = keyed.sparkSession
+        hashes = settle(keys.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("keep_id"), F.min("digest").alias("digest")), "exact-hashes")
+        prefix = F.shiftrightunsigned("hash", 64 - DEPTH).cast("int").alias("prefix")
+        counts = {r["prefix"]: r["n"] for r in hashes.groupBy(prefix).agg(F.count(F.lit(1)).alias("n")).collect()}
+        self.depth, self.buckets = directory(split(counts, capacity))
+        # a hash that comes once has one text
+        single = hashes.where("n = 1").select("hash", F.lit(1).alias("chain"), "digest", "keep_id", F.col("n").alias("group_size"))
+        met = hashes.where("n > 1").select("hash")
+        if met.count() <= SENT_HASHES:
+            met = F.broadcast(met)
+        texts = keyed.join(met, "hash", "left_semi").groupBy("hash", "text").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+        owned = self.located(texts).repartition("bucket")
+        # the owner of a bucket puts the texts of one hash, compared by their bytes, into a chain
+        link = F.dense_rank().over(Window.partitionBy("bucket", "hash").orderBy("text"))
+        chained = owned.withColumn("chain", link).select("bucket", "hash", "chain", F.sha2("text", 256).alias("digest"), "keep_id", "group_size")
+        both = self.located(single).select(chained.columns).union(chained)
+        self.entries = settle(both.repartition("bucket").sortWithinPartitions("bucket", "hash", "chain"), "exact-index")
+
+    def located(self, df: DataFrame) -> DataFrame:
+        """df with the bucket that the directory gives for its hash."""
+        entries = self.spark.range(1).select(F.posexplode(F.from_json(F.lit(json.dumps(self.buckets)), "array<int>")).alias("entry", "bucket"))
+        entry = F.shiftrightunsigned("hash", 64 - self.depth).cast("int") if self.depth else F.lit(0)
+        return df.withColumn("entry", entry).join(F.broadcast(entries), "entry").drop("entry")
+
+    def look_up(self, keys: DataFrame, rows: int) -> DataFrame:
+        """keys (hash, digest and others) with chain, keep_id and group_size: by directory, bucket and chain."""
+        found = ["bucket", "hash", "digest"]
+        hot = hot_keys(self.entries.select(*found, F.col("group_size").alias("n")), found, rows)
+        return salted_join(self.located(keys), self.entries.select(*found, "chain", "keep_id", "group_size"), found, ["id"], hot, "inner")
+
+
+def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
     """One row for each row of df: id, keep_id (largest id of its group), group_size, kept, text_sha256.
 
-    Null and empty texts are one group. Rows that repeat an id and text are each returned and counted; rows whose whole
-    group has null ids have keep_id null and are kept. Extra columns are not looked at."""
+    Ids may be of any type that has an order. Null and empty texts are one group. Rows that repeat an id and text are each
+    returned and counted; rows whose whole group has null ids have keep_id null and are kept. Extra columns are not looked
+    at; an empty table stays empty."""
     rows = df.select(F.col(id_col).alias("id"), normalised(F.col(text_col)).alias("text"))
     keyed = rows.withColumn("hash", F.xxhash64("text"))
     keys = settle(keyed.select("id", "hash", F.sha2("text", 256).alias("digest")), "exact-keys")
-    index = build_index(keyed, keys)
-    joined = with_groups(keys, index.select("hash", "digest", "keep_id", "group_size", F.col("group_size").alias("size")), ["hash", "digest"], "size", ["id"], keys.count(), "left")
-    return joined.select(F.col("id").alias(id_col), "keep_id", "group_size", F.coalesce(F.col("id") == F.col("keep_id"), F.col("keep_id").isNull()).alias("kept"), F.col("digest").alias("text_sha256"))
+    joined = Index(keyed, keys, capacity).look_up(keys, keys.count())
+    kept = F.coalesce(F.col("id") == F.col("keep_id"), F.col("keep_id").isNull())
+    return joined.select(F.col("id").alias(id_col), "keep_id", "group_size", kept.alias("kept"), F.col("digest").alias("text_sha256"))

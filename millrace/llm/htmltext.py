@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import map_rows, settle, with_groups
+from .common import hot_keys, map_rows, salted_join, settle
 
 #: Pages of a host that its wrapper is fitted on, at most; share of them that must agree, and their least number.
 SEEDS, AGREE, LEAST = 8, 0.75, 3
@@ -403,7 +403,7 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     if (made.agg(F.sum(F.coalesce(F.octet_length("wrapper"), F.lit(0)) + F.coalesce(F.octet_length("common"), F.lit(0)))).first()[0] or 0) <= SENT_BYTES:
         joined = rows.join(F.broadcast(made.select("host", "wrapper", "common")), "host", "left")
     else:
-        joined = with_groups(rows, made, ["host"], "n", ["page_id"], pages.count(), "left")
+        joined = salted_join(rows, made.drop("n"), ["host"], ["page_id"], hot_keys(made.select("host", "n"), ["host"], pages.count()))
 
     def make():
         sets: dict[str, set[str]] = {}

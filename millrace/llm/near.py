@@ -7,12 +7,16 @@ it. From the population count of the XOR of two sketches follows how many sample
 
 In each bucket the class that meets most others is the centre: every other member is held against it (first round). What
 that links becomes one component. Only buckets whose members still lie in several components are looked at again (second
-round): a task compares members of different components, in blocks, and gives no pairs but links, and of these no more
-than join the components. Sketches rule out pairs far below the threshold; every other pair is confirmed on the full sets.
+round), in blocks of bounded size: first by their sketches alone, which leaves the members that may have a partner in
+another component, then these by their texts. A task gives no pairs but links, and no more of them than join the
+components. Sketches rule out pairs far below the threshold; every other pair is confirmed on the full sets.
+
+Band keys, centres and labels can be hot: all joins on them are salted.
 """
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from functools import lru_cache
 from math import ceil, log, sqrt
 
@@ -20,15 +24,20 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import map_rows, settle, with_groups
+from .common import counted, hot_keys, map_rows, salted_join, settle
 from .words import hashes_of, mixed, windows, words_of
 
 ROWS, SKETCH_WORDS = 5, 16
-#: Members of a bucket that meet in one group, about; larger buckets are cut into blocks.
-BLOCK = 1500
+#: Members of a bucket that meet by their sketches, and by their texts, in one group, about, and bytes of these texts;
+#: larger buckets are cut into blocks.
+SKETCH_BLOCK, BLOCK, BLOCK_BYTES = 4096, 1500, 8 << 20
+#: Shingles of texts that a task keeps at hand.
+KEPT = 4_000_000
 #: Chance that a pair at the threshold shares no band; standard deviations below the threshold at which a sketch rules out.
 LOST, DEVIATIONS = 1e-6, 5.0
 
@@ -87,12 +96,12 @@ def most_flips(threshold: float, samples: int, words: int = SKETCH_WORDS) -> int
     return ceil(expected + DEVIATIONS * sqrt(n) / 4)
 
 
-def signatures(docs: DataFrame, size: int, bands: int, id_col: str = "doc_id") -> DataFrame:
-    """id, n_shingles, digest (of the set; null for an empty one), bands, sketch."""
+def signatures(docs: DataFrame, size: int, bands: int) -> DataFrame:
+    """doc_id, n_shingles, digest (of the set; null for an empty one), bands, sketch."""
 
     def make():
         def work(b):
-            out = {"doc_id": b["doc_id"], "n_shingles": [], "digest": [], "bands": [], "sketch": []}
+            out = {"n_shingles": [], "digest": [], "bands": [], "sketch": []}
             for text in b["text"]:
                 members = shingles(text, size)
                 out["n_shingles"].append(len(members))
@@ -108,14 +117,13 @@ def signatures(docs: DataFrame, size: int, bands: int, id_col: str = "doc_id") -
 
         return work
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), "text")
-    return map_rows(rows, make, "doc_id long, n_shingles long, digest binary, bands array<long>, sketch array<long>")
+    return map_rows(docs.select("doc_id", "text"), make, "n_shingles long, digest binary, bands array<long>, sketch array<long>", keep=("doc_id",))
 
 
 def packed_texts(digests: DataFrame, classes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
     """digest, packed (a text of that set, compressed) of the classes in `digests`; stored."""
     needed = digests.join(classes.select("digest", F.col("rep").alias("doc_id")), "digest")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(needed, "doc_id")
+    texts = docs.select("doc_id", "text").join(needed, "doc_id")
 
     def pack():
         squeeze = zstandard.ZstdCompressor(level=1).compress
@@ -131,11 +139,11 @@ def packed_texts(digests: DataFrame, classes: DataFrame, docs: DataFrame, size:
 
 
 def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Of pairs (a, b) of digests, those with 100 * intersection >= percent * union on their full sets; stored."""
+    """Of stored pairs (a, b) of digests, those with 100 * intersection >= percent * union on their full sets; stored."""
     packed = packed_texts(pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct(), classes, docs, size)
     one = packed.select(F.col("digest").alias("a"), F.col("packed").alias("packed_a"))
     two = packed.select(F.col("digest").alias("b"), F.col("packed").alias("packed_b"))
-    both = pairs.select("a", "b").join(one, "a").join(two, "b")
+    both = salted_join(pairs.select("a", "b").join(one, "a"), two, ["b"], ["a"], hot_keys(counted(pairs, "b"), ["b"], pairs.count()), "inner")
 
     def verify():
         unpack = zstandard.ZstdDecompressor().decompress
@@ -155,18 +163,52 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, size: int,
     return settle(map_rows(both, verify, "a binary, b binary"), "near-links")
 
 
+def hopeful(labels: np.ndarray, blocks: np.ndarray, n: np.ndarray, sketches: np.ndarray, percent: int, flips: int) -> np.ndarray:
+    """Which members may be near one of another label, as far as sizes and sketches tell. Of two blocks, members meet those
+    of the other; a block by itself, all of its own. Members of the largest label meet the others, but not each other."""
+    found = np.zeros(len(labels), bool)
+    apart = blocks.min() != blocks.max()
+    for i in np.flatnonzero(labels != np.bincount(labels).argmax()):
+        near = (labels != labels[i]) & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i]))
+        if apart:
+            near &= blocks != blocks[i]
+        if near.any():
+            near[near] = np.bitwise_count(sketches[near] ^ sketches[i]).sum(1) <= flips
+        if near.any():
+            found |= near
+            found[i] = True
+    return found
+
+
+def _numbers(labels: list) -> np.ndarray:
+    names = {label: i for i, label in enumerate(dict.fromkeys(labels))}
+    return np.array([names[label] for label in labels])
+
+
 class _Group:
     """Members of one bucket, or of two blocks of one: finds links between different components of theirs."""
 
     def __init__(self, size: int, percent: int, flips: int):
         self.size, self.percent, self.flips = size, percent, flips
         self.unpack = zstandard.ZstdDecompressor().decompress
-        self.read = lru_cache(2000)(lambda packed: shingles(self.unpack(packed).decode(), size))
+        self.kept: OrderedDict[bytes, np.ndarray] = OrderedDict()
+        self.room = KEPT
+
+    def read(self, packed: bytes) -> np.ndarray:
+        """The set of a text; those read last are kept, up to KEPT shingles."""
+        if (found := self.kept.get(packed)) is not None:
+            self.kept.move_to_end(packed)
+            return found
+        found = self.kept[packed] = shingles(self.unpack(packed).decode(), self.size)
+        self.room -= len(found)
+        while self.room < 0 and len(self.kept) > 1:
+            self.room += len(self.kept.popitem(last=False)[1])
+        return found
 
     def links(self, members: list[tuple]) -> list[tuple[bytes, bytes]]:
-        """members: (digest, label, n, sketch, packed). Enough confirmed links to join all components that links join."""
-        names = {label: i for i, label in enumerate(dict.fromkeys(m[1] for m in members))}
-        parent = list(range(len(names)))
+        """members: (block, digest, label, n, sketch, packed). Enough confirmed links to join all components that links join."""
+        of = _numbers([m[2] for m in members])
+        parent = list(range(int(of.max()) + 1))
 
         def root(i: int) -> int:
             while parent[i] != i:
@@ -174,9 +216,8 @@ class _Group:
                 i = parent[i]
             return i
 
-        of = np.array([names[m[1]] for m in members])
-        n = np.array([m[2] for m in members], np.int64)
-        sketches = np.array([m[3] for m in members], np.int64).view(np.uint64)
+        n = np.array([m[3] for m in members], np.int64)
+        sketches = np.array([m[4] for m in members], np.int64).view(np.uint64)
         # members of the largest component meet the others, but not each other
         few = np.flatnonzero(of != np.bincount(of).argmax())
         maybe = np.zeros((len(few), len(members)), bool)
@@ -187,7 +228,7 @@ class _Group:
         rows, cols = np.flatnonzero(maybe.any(1)), np.flatnonzero(maybe.any(0))
         if not len(rows):
             return []
-        common = self._common([members[i][4] for i in few[rows]], [members[j][4] for j in cols])
+        common = self._common([members[i][5] for i in few[rows]], [members[j][5] for j in cols])
         joint = n[few[rows]][:, None] + n[cols][None, :] - common
         found = []
         for r, c in zip(*np.nonzero(maybe[np.ix_(rows, cols)] & (100 * common >= self.percent * joint))):
@@ -195,7 +236,7 @@ class _Group:
             x, y = root(of[i]), root(of[j])
             if x != y:
                 parent[x] = y
-                found.append((members[i][0], members[j][0]))
+                found.append((members[i][1], members[j][1]))
         return found
 
     def _common(self, one: list[bytes], two: list[bytes]) -> np.ndarray:
@@ -216,103 +257,138 @@ class _Group:
         return out.astype(np.int64)
 
 
-def cross_links(open_: DataFrame, size: int, percent: int, flips: int) -> DataFrame:
-    """Confirmed links (a, b) between different components in the buckets of open_ (key, digest, label, n, sketch, packed).
-
-    No pair leaves a task but as a link, and no more links than join the bucket's components. A bucket of over BLOCK
-    members is cut into blocks, and every two of them meet in a group of their own, so that none grows with the bucket."""
-    counts = open_.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("__blocks"))
-    placed = open_.join(counts, "key").withColumn("__block", F.pmod(F.xxhash64("digest"), F.col("__blocks")).cast("int"))
+def _in_blocks(members: DataFrame, hot: DataFrame | None, blocks: Column, columns: list[str], work, schema: str) -> DataFrame:
+    """work(rows) over each bucket, or over every two blocks of one that has several. members: key, digest and `columns`;
+    blocks: how many blocks a bucket is cut into, by its rows. work gets (block, digest, columns) and gives rows of `schema`."""
+    counts = members.groupBy("key").agg(blocks.cast("int").alias("__blocks"))
+    placed = salted_join(members, counts, ["key"], ["digest"], hot, "inner").withColumn("__block", F.pmod(F.xxhash64("digest"), F.col("__blocks")).cast("int"))
     met = placed.withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)))
     met = met.withColumns({"__i": F.least("__block", "__other"), "__j": F.greatest("__block", "__other")})
     keys = ["key", "__i", "__j"]
-    dealt = met.repartition(*keys).sortWithinPartitions(*keys).select(*keys, "digest", "label", "n", "sketch", "packed")
-    arrow = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+    dealt = met.repartition(*keys).sortWithinPartitions(*keys).select(*keys, "__block", "digest", *columns)
+    arrow = to_arrow_schema(T._parse_datatype_string(schema))
 
     def run(batches):
-        group, now, found = _Group(size, percent, flips), None, []
-        members: list[tuple] = []
+        do, now, found = work(), None, []
+        rows: list[tuple] = []
         for batch in batches:
             for row in zip(*(column.to_pylist() for column in batch.columns)):
                 if row[:3] != now:
-                    found += group.links(members) if len(members) > 1 else []
-                    now, members = row[:3], []
-                members.append(row[3:])
-            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.binary()) for i in (0, 1)], schema=arrow)
+                    found += do(now, rows) if len(rows) > 1 else []
+                    now, rows = row[:3], []
+                rows.append(row[3:])
+            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], t.type) for i, t in enumerate(arrow)], schema=arrow)
             found = []
-        found = group.links(members) if len(members) > 1 else []
-        yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.binary()) for i in (0, 1)], schema=arrow)
+        found = do(now, rows) if len(rows) > 1 else []
+        yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], t.type) for i, t in enumerate(arrow)], schema=arrow)
+
+    return dealt.mapInArrow(run, schema)
+
 
-    return settle(dealt.mapInArrow(run, "a binary, b binary").distinct(), "near-links")
+def cross_links(open_: DataFrame, sketches: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int, flips: int, hot: DataFrame | None) -> DataFrame:
+    """Confirmed links (a, b) between different components in the buckets of open_ (key, digest, label).
+
+    No pair leaves a task but as a link, and no more links than join the bucket's components. Large buckets are cut into
+    blocks, and every two of them meet in a group of their own, so that none grows with the bucket. Members meet by
+    sizes and sketches first; only those that may have a partner meet by their texts."""
+
+    def by_sketch():
+        def work(now, rows):
+            blocks, digests, labels, n, sketch = zip(*rows)
+            good = hopeful(_numbers(labels), np.array(blocks), np.array(n, np.int64), np.array(sketch, np.int64).view(np.uint64), percent, flips)
+            return [(now[0], digests[i]) for i in np.flatnonzero(good)]
+
+        return work
+
+    def by_text():
+        group = _Group(size, percent, flips)
+        return lambda now, rows: group.links(rows)
+
+    signed = open_.join(sketches, "digest")
+    maybe = _in_blocks(signed, hot, F.ceil(F.count(F.lit(1)) / SKETCH_BLOCK), ["label", "n", "sketch"], by_sketch, "key long, digest binary").distinct()
+    maybe = settle(maybe, "near-hopeful")
+    texts = packed_texts(maybe.select("digest").distinct(), classes, docs, size)
+    left = open_.join(maybe, ["key", "digest"]).join(sketches, "digest").join(texts, "digest")
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum(F.octet_length("packed")) / BLOCK_BYTES))
+    return settle(_in_blocks(left, hot, blocks, ["label", "n", "sketch", "packed"], by_text, "a binary, b binary").distinct(), "near-links")
 
 
 def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
-    """node, label (smallest node of its component) of every node of links (a, b). Labels spread along links and are then
-    followed to their own labels, so that rounds grow with the logarithm of a chain's length; each is stored."""
-    both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    """node, label (smallest node of its component) of every node of links (a, b), stored. Labels spread along links and are
+    then followed to their own labels, so that rounds grow with the logarithm of a chain's length; each is stored."""
+    both = settle(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "near-both")
     nodes = both.select(F.col("a").alias("node")).distinct()
     if labels is None:
         labels = nodes.withColumn("label", F.col("node"))
     else:
         labels = nodes.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label")).union(labels.join(nodes, "node", "left_anti").select("node", "label"))
     labels = settle(labels, "near-labels")
+    total = both.count()
+    hubs = hot_keys(counted(both, "b"), ["b"], total)
     while True:
-        around = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
+        around = salted_join(both, labels.select(F.col("node").alias("b"), "label"), ["b"], ["a"], hubs, "inner").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         # what a label's own node has met counts for all that carry the label
-        met = labels.join(around, "node", "left").select("node", "label", F.least("label", F.coalesce("near", "label")).alias("new"))
+        met = settle(labels.join(around, "node", "left").select("node", "label", F.least("label", F.coalesce("near", "label")).alias("new")), "near-met")
         of_label = met.groupBy("label").agg(F.min("new").alias("by_label"))
-        follow = met.select(F.col("node").alias("__node"), F.col("new").alias("__next"))
-        moved = met.join(of_label, "label").select("node", F.col("label").alias("old"), F.least("new", "by_label").alias("new"))
-        moved = moved.join(follow, F.col("new") == F.col("__node"), "left").select("node", F.least("new", F.coalesce("__next", "new")).alias("label"), "old")
-        stored = settle(moved, "near-labels")
+        moved = salted_join(met, of_label, ["label"], ["node"], hot_keys(counted(met, "label"), ["label"], total), "inner")
+        moved = settle(moved.select("node", F.col("label").alias("old"), F.least("new", "by_label").alias("new")), "near-moved")
+        follow = met.select(F.col("node").alias("new"), F.col("new").alias("next"))
+        ahead = salted_join(moved, follow, ["new"], ["node"], hot_keys(counted(moved, "new"), ["new"], total))
+        stored = settle(ahead.select("node", F.least("new", F.coalesce("next", "new")).alias("label"), "old"), "near-labels")
         labels = stored.select("node", "label")
         if stored.where("label <> old").isEmpty():
             return labels
 
 
 def near_components(docs: DataFrame, size: int = 3, percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest id reachable), kept of every row of docs.
+    """doc_id, n_shingles, component_id (smallest id reachable), kept of every row of docs (doc_id of any type that has an
+    order, text).
 
     Texts without words (null, empty) have no shingles and are linked with nothing. Rows of the same text are one class;
     each is returned. A row with a null id takes part in no link between different sets; its component has the smallest
-    id of its class and links, or null if all are null, and then it is kept."""
+    id of its class and links, or null if all are null, and then it is kept. An empty table stays empty."""
     threshold = percent / 100
     bands = bands_for(threshold)
     signed = settle(signatures(docs, size, bands), "near-signatures")
-    filled = signed.where("digest is not null")
-    classes = settle(filled.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("size")), "near-classes")
-    chosen = filled.join(classes.where("rep is not null").select("digest", F.col("rep").alias("doc_id")), ["digest", "doc_id"]).dropDuplicates(["digest"])
-    keyed = chosen.select("digest", F.explode("bands").alias("key"))
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    live = settle(keyed.join(shared, "key"), "near-buckets")
+    # all rows of a class have the same bands and sketch
+    classes = signed.where("digest is not null").groupBy("digest").agg(
+        F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("size"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.first("n_shingles").alias("n")
+    )
+    classes = settle(classes, "near-classes")
+    keyed = classes.where("rep is not null").select("digest", F.explode("bands").alias("key"))
+    shared = settle(counted(keyed, "key").where("n > 1"), "near-shared")
+    total = classes.count() * bands
+    hot = hot_keys(shared, ["key"], total)
+    live = settle(salted_join(keyed, shared, ["key"], ["digest"], hot, "inner"), "near-buckets")
     degree = live.groupBy("digest").agg(F.sum(F.col("n") - 1).alias("degree"))
-    centres = live.join(degree, "digest").groupBy("key").agg(F.max(F.struct("degree", "digest")).alias("c")).select("key", F.col("c.digest").alias("centre"))
-    sketches = chosen.select("digest", "sketch", F.col("n_shingles").alias("n"))
+    centres = live.join(degree, "digest").groupBy("key").agg(F.max(F.struct("degree", "digest")).alias("c")).select("key", F.col("c.digest").alias("b"))
+    sketches = classes.select("digest", "sketch", "n")
     flips = most_flips(threshold, bands * ROWS)
-
-    def likely(pairs: DataFrame) -> DataFrame:
-        """Pairs that neither sizes nor sketches rule out."""
-        one = sketches.select(F.col("digest").alias("a"), F.col("sketch").alias("sa"), F.col("n").alias("na"))
-        two = sketches.select(F.col("digest").alias("b"), F.col("sketch").alias("sb"), F.col("n").alias("nb"))
-        apart = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
-        held = pairs.join(one, "a").join(two, "b")
-        return held.where((F.lit(100) * F.least("na", "nb") >= F.lit(percent) * F.greatest("na", "nb")) & (apart <= flips)).select("a", "b")
-
-    first = live.join(centres, "key").where(F.col("digest") != F.col("centre")).select(F.least("digest", "centre").alias("a"), F.greatest("digest", "centre").alias("b")).distinct()
+    # a: member, b: centre
+    first = salted_join(live.select("key", F.col("digest").alias("a")), centres, ["key"], ["a"], hot, "inner").where("a <> b").select("a", "b").distinct()
     first = settle(first, "near-pairs")
-    links = confirmed(settle(likely(first), "near-likely"), classes, docs, size, percent)
-    labels = components(links)
+    one = sketches.select(F.col("digest").alias("a"), F.col("sketch").alias("sa"), F.col("n").alias("na"))
+    two = sketches.select(F.col("digest").alias("b"), F.col("sketch").alias("sb"), F.col("n").alias("nb"))
+    apart = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    held = salted_join(first.join(one, "a"), two, ["b"], ["a"], hot_keys(counted(first, "b"), ["b"], first.count()), "inner")
+    likely = held.where((F.lit(100) * F.least("na", "nb") >= F.lit(percent) * F.greatest("na", "nb")) & (apart <= flips)).select("a", "b")
+    likely = settle(likely, "near-likely")
+    if likely.isEmpty():
+        labels = classes.select(F.col("digest").alias("node"), F.col("digest").alias("label")).limit(0)
+    else:
+        labels = components(confirmed(likely, classes, docs, size, percent))
     placed = live.join(labels.withColumnRenamed("node", "digest"), "digest", "left").select("key", "digest", F.coalesce("label", "digest").alias("label"))
     split = placed.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("label").alias("low"), F.max("label").alias("high")).where("n > 2 and low <> high").select("key")
-    open_ = settle(placed.join(split, "key"), "near-open")
+    open_ = settle(salted_join(placed, split, ["key"], ["digest"], hot, "inner"), "near-open")
     if not open_.isEmpty():
-        members = packed_texts(open_.select("digest").distinct(), classes, docs, size).join(sketches, "digest")
-        links = cross_links(open_.join(members, "digest"), size, percent, flips)
+        links = cross_links(open_, sketches, classes, docs, size, percent, flips, hot)
         if not links.isEmpty():
             labels = components(links, labels)
-    named = classes.join(labels.withColumnRenamed("node", "digest"), "digest", "left").withColumn("label", F.coalesce("label", "digest"))
+    named = settle(classes.select("digest", "rep", "size").join(labels.withColumnRenamed("node", "digest"), "digest", "left").withColumn("label", F.coalesce("label", "digest")), "near-named")
     least = named.groupBy("label").agg(F.min("rep").alias("component_id"))
-    groups = settle(named.join(least, "label").select("digest", "size", "component_id"), "near-components")
-    rows = with_groups(signed.select("doc_id", "n_shingles", "digest"), groups, ["digest"], "size", ["doc_id"], signed.count(), "left")
+    groups = salted_join(named, least, ["label"], ["digest"], hot_keys(counted(named, "label"), ["label"], total), "inner")
+    groups = settle(groups.select("digest", F.col("size").alias("n"), "component_id"), "near-components")
+    copies = hot_keys(groups.select("digest", "n"), ["digest"], signed.count())
+    rows = salted_join(signed.select("doc_id", "n_shingles", "digest"), groups.drop("n"), ["digest"], ["doc_id"], copies)
     component = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))

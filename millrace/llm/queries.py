@@ -22,7 +22,7 @@ def op5_langid(spark, sf_dir):
 
 
 def op6_exact_dedup(spark, sf_dir):
-    return exact.exact_groups(table(spark, sf_dir, "documents"))
+    return exact.exact_groups(table(spark, sf_dir, "documents", deal=False))
 
 
 def op3_substring_dedup(spark, sf_dir):
@@ -30,7 +30,7 @@ def op3_substring_dedup(spark, sf_dir):
 
 
 def op4_near_dedup(spark, sf_dir):
-    return near.near_components(table(spark, sf_dir, "documents"), size=3, percent=85)
+    return near.near_components(table(spark, sf_dir, "documents").withColumn("doc_id", F.col("doc_id").cast("long")), size=3, percent=85)
 
 
 def op7_html_text(spark, sf_dir):
@@ -46,7 +46,7 @@ def op9_pii(spark, sf_dir):
 
 
 def op10_sharding(spark, sf_dir):
-    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+    return sharding.shard_documents(table(spark, sf_dir, "documents", deal=False))
 
 
 QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_packing, op3_substring_dedup, op4_near_dedup, op5_langid, op6_exact_dedup, op7_html_text, op8_ann, op9_pii, op10_sharding)}

@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, settle, with_groups
+from .common import hot_keys, map_rows, salted_join, settle
 from .words import hashes_of, windows, words_of
 
 WINDOW, PERIOD = 50, 31
@@ -123,22 +123,26 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     nothing goes from it. kept_text is null where nothing was removed (the words are then those of the text)."""
     base = settle(anchors(docs), "substring-anchors")
     total = base.count()
-    plain = base.select("doc_id", "n_words", "sha256")
+    # texts shorter than a window repeat nothing, however often they come: they have no key
+    plain = base.select("doc_id", "n_words", "sha256", F.when(F.col("n_words") >= WINDOW, F.col("sha256")).alias("key"))
     # equal texts: all but the first are repeats from end to end, and add no window that the first lacks
-    same = plain.where(F.col("n_words") >= WINDOW).groupBy("sha256").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    placed = settle(with_groups(plain, settle(same, "substring-same"), ["sha256"], "size", ["doc_id"], total, "left"), "substring-placed")
+    same = plain.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    same = settle(same, "substring-same")
+    placed = salted_join(plain, same.select("key", "first_id"), ["key"], ["doc_id"], hot_keys(same, ["key"], total))
+    placed = settle(placed.select("doc_id", "n_words", "sha256", "first_id"), "substring-placed")
     copies = placed.where("doc_id > first_id").select("doc_id", "sha256")
     firsts = base.join(copies, ["doc_id", "sha256"], "left_anti").select("doc_id", F.posexplode("anchors").alias("i", "hash"))
     shared = firsts.groupBy("hash").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n")).where("low < high").select("hash", "n")
     shared = settle(shared, "substring-shared")
     at = F.element_at(F.array(*map(F.lit, COVER)), F.col("i") % len(COVER) + 1) + F.floor(F.col("i") / len(COVER)).cast("int") * PERIOD
-    hits = with_groups(firsts, shared, ["hash"], "n", ["doc_id", "i"], total * len(COVER), "inner")
+    hits = salted_join(firsts, shared.select("hash"), ["hash"], ["doc_id", "i"], hot_keys(shared, ["hash"], total * len(COVER)), "inner")
     positions = hits.groupBy("doc_id").agg(F.collect_set(at).alias("positions"))
     wide = settle(candidate_windows(docs, settle(positions, "substring-positions")), "substring-windows")
     every = wide.select("doc_id", F.explode(F.arrays_zip("starts", "one", "two")).alias("w")).select("doc_id", "w.*")
     first_of = every.groupBy("one", "two").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1")
     first_of = settle(first_of, "substring-firsts")
-    repeats = with_groups(every, first_of, ["one", "two"], "n", ["doc_id", "starts"], total * len(COVER), "inner").where("low < doc_id")
+    hot = hot_keys(first_of, ["one", "two"], total * len(COVER))
+    repeats = salted_join(every, first_of.select("one", "two", "low"), ["one", "two"], ["doc_id", "starts"], hot, "inner").where("low < doc_id")
     by_doc = repeats.groupBy("doc_id").agg(F.collect_set(F.struct(F.col("starts").alias("start"), "one")).alias("repeats"))
     changed = without_repeats(wide.select("doc_id", "packed").join(by_doc, "doc_id")).dropDuplicates(["doc_id", "sha256"])
     out = placed.join(changed, ["doc_id", "sha256"], "left")

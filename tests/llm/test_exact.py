@@ -33,9 +33,30 @@ def test_plan_has_no_python(spark, data):
 
 
 def test_directory_doubles_where_it_must():
-    numbers = exact.directory({0: 50, 1: 50, 12: 10}, 60, bits=4)
-    assert len(numbers) == 16 and numbers[0] != numbers[1] and numbers == sorted(numbers)
-    assert numbers[8] == numbers[15] and numbers[2] == numbers[3]
-    assert exact.directory({}, 5, bits=3) == [0] * 8
-    # a prefix that stays overfull at full depth is a bucket by itself
-    assert exact.directory({5: 1000}, 1, bits=3).count(exact.directory({5: 1000}, 1, bits=3)[5]) == 1
+    buckets = exact.split({0: 50, 1: 50, 12: 10}, 60, bits=4)
+    assert buckets == [(0, 4), (1, 4), (2, 3), (4, 2), (8, 1)]
+    depth, entries = exact.directory(buckets, bits=4)
+    assert depth == 4 and entries == [0, 1, 2, 2, 3, 3, 3, 3] + [4] * 8
+    assert exact.directory(exact.split({}, 5, bits=3), bits=3) == (0, [0])
+    # what can't be told apart at full depth stays together, however full
+    assert exact.directory(exact.split({5: 1000}, 1, bits=3), bits=3) == (3, [0, 0, 0, 0, 1, 2, 3, 3])
+
+
+def test_rows_are_found_through_directory_bucket_and_chain(spark, monkeypatch):
+    # a poor hash makes chains of different texts
+    monkeypatch.setattr(exact.F, "xxhash64", lambda *c: (exact.F.length(c[0]) if c[0] == "text" else exact.F.hash(*c).cast("long")) * (1 << 56) if len(c) == 1 else exact.F.hash(*c).cast("long"))
+    rows = [(i, "abcd"[i % 4] * (1 + i % 7)) for i in range(400)]
+    got = exact.exact_groups(documents(spark, rows), capacity=2).collect()
+    sizes = Counter(t for _, t in rows)
+    keep = {t: max(i for i, u in rows if u == t) for t in sizes}
+    of = dict(rows)
+    assert len(got) == 400 and all((r["keep_id"], r["group_size"]) == (keep[of[r["doc_id"]]], sizes[of[r["doc_id"]]]) for r in got)
+
+
+def test_buckets_have_owners_and_bounds(spark):
+    rows = documents(spark, [(i, f"text {i}") for i in range(300)] + [(1000 + i, "copy") for i in range(300)])
+    keyed = rows.select(exact.F.col("doc_id").alias("id"), exact.normalised(exact.F.col("text")).alias("text")).withColumn("hash", exact.F.xxhash64("text"))
+    keys = keyed.select("id", "hash", exact.F.sha2("text", 256).alias("digest"))
+    index = exact.Index(keyed, keys, capacity=20)
+    full = Counter(r["bucket"] for r in index.entries.collect())
+    assert sum(full.values()) == 301 and max(full.values()) <= 20 and len(full) >= 16 and 2**index.depth == len(index.buckets)

@@ -70,6 +70,46 @@ def test_operator(spark, size, percent):
     assert len({c for _, c in expected.values()}) < len(rows) - 20
 
 
+def test_hot_keys_and_small_blocks(spark, monkeypatch):
+    """One large group of near copies, in buckets that are salted and cut into many blocks."""
+    from millrace.llm import common
+
+    monkeypatch.setattr(common, "HOT_ROWS", 2)
+    monkeypatch.setattr(near, "SKETCH_BLOCK", 4)
+    monkeypatch.setattr(near, "BLOCK", 3)
+    rng = random.Random(4)
+    hub = sentence(rng, 300).split()
+    rows = []
+    for k in range(30):
+        copy = list(hub)
+        for j in range(k % 12):
+            copy[(25 * k + 47 * j) % 300] = f"h{k}-{j}"
+        rows.append((100 + k, " ".join(copy)))
+    rows += [(1000 + k, "the same words once more in every row of these") for k in range(20)] + [(2000 + k, None) for k in range(20)]
+    expected = brute(rows, 3, 85)
+    got = near.near_components(documents(spark, rows)).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == expected
+
+
+def test_hopeful_finds_every_near_pair():
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**63, 400).astype(np.uint64)
+    sets = []
+    for k in range(40):
+        s = base.copy() if k % 2 else rng.integers(0, 2**63, 400).astype(np.uint64)
+        s[: k % 20] = rng.integers(0, 2**63, k % 20).astype(np.uint64)
+        sets.append(np.unique(s))
+    sketches = np.array([near.odd_sketch(near.minhash(s, 120)) for s in sets]).view(np.uint64)
+    labels, n = np.arange(40) // 3, np.array([len(s) for s in sets])
+    near_one = np.array([any(labels[i] != labels[j] and len(np.intersect1d(sets[i], sets[j])) >= 0.85 * len(np.union1d(sets[i], sets[j])) for j in range(40)) for i in range(40)])
+    for blocks in (np.zeros(40, int), np.arange(40) % 2):
+        found = near.hopeful(labels, blocks, n, sketches, 85, near.most_flips(0.85, 120))
+        if not blocks.any():
+            assert found[near_one].all() and not found[0::2].any()
+        else:
+            assert not found[0::2].any()
+
+
 def test_empty(spark):
     assert near.near_components(documents(spark, [])).count() == 0
     got = near.near_components(documents(spark, [(1, None), (2, ""), (3, "a"), (4, "A"), (5, "b c")])).orderBy("doc_id").collect()
