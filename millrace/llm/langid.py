@@ -1,8 +1,11 @@
 """Language identification by words first, then ever shorter character n-grams.
 
-The model holds, for each language, log frequencies of its commonest words and of its commonest n-grams. A word that any
+The model holds, for each language, frequencies of its commonest words and of its commonest n-grams. A word that any
 language knows is scored by its word frequencies; another one by n-grams: at each place the longest known one, from
 LONGEST characters down to one.
+
+Units are kept by a 64-bit hash, and of each only the languages that know it: what a task holds grows with the entries
+(languages x WORDS), not with words x languages.
 """
 
 from __future__ import annotations
@@ -11,21 +14,26 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import map_rows
+from .common import map_rows, unused
 
-#: Labelled documents of each language to learn from, about; words and n-grams kept for each language; longest n-gram.
+#: Labelled documents of each language to learn from at most; commonest words, and n-grams of each length, that are kept
+#: for each language; longest n-gram.
 SAMPLE, WORDS, GRAMS, LONGEST = 5_000, 20_000, 4_000, 4
+#: What a unit counts in a language that has not shown it; log frequency of a place where not even one character is known.
+UNSEEN, UNKNOWN = 0.1, -12.0
 #: Words of a text that count in full for the certainty of its score.
 CERTAIN = 8
-#: Longer words are not kept; places in a word that are looked up at once.
-LONG, PLACES = 200, 4096
-#: Numbers that a task keeps at most for words it has met, besides those of the model.
+#: Longer words are not remembered; places in a word, and words of a text, that are looked up at once.
+LONG, PLACES, TOGETHER = 200, 4096, 10_000
+#: Numbers that a task remembers at most for words that it has met.
 CACHED = 400_000
 UND = "und"
 
@@ -41,41 +49,76 @@ def grams_of(word: str, n: int) -> Iterator[str]:
     return (word[i : i + n] for i in range(len(word) - n + 1))
 
 
+def key_of(unit: str) -> int:
+    return xxhash.xxh3_64_intdigest(unit)
+
+
+@dataclass(frozen=True)
+class Units:
+    """Log frequencies of words, or of n-grams of one length, by language: of unit i, the languages langs[starts[i] :
+    starts[i + 1]] have base + gains; all others base."""
+
+    keys: np.ndarray
+    starts: np.ndarray
+    langs: np.ndarray
+    gains: np.ndarray
+    base: np.ndarray
+
+    def sums(self, at: np.ndarray) -> np.ndarray:
+        """Sum of the log frequencies of the units at these places, by language."""
+        first, n = self.starts[at], self.starts[at + 1] - self.starts[at]
+        flat = np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        return len(at) * self.base + np.bincount(self.langs[flat], self.gains[flat], len(self.base))
+
+
 @dataclass(frozen=True)
 class Model:
     langs: tuple[str, ...]
-    words: dict[str, list[float]]
-    grams: dict[str, list[float]]
-    floor: list[float]
+    words: Units
+    #: by length, from 1 on
+    grams: tuple[Units, ...]
+
+
+def units(lang: np.ndarray, key: np.ndarray, n: np.ndarray, langs: int) -> Units:
+    """Units of counts n of (language number, hash)."""
+    order = np.lexsort((lang, key))
+    lang, key, n = lang[order], key[order], n[order].astype(np.float64)
+    keys, starts = np.unique(key, return_index=True)
+    totals = np.log(np.bincount(lang, n, langs) + UNSEEN * max(1, len(keys)))
+    return Units(keys, np.append(starts, len(key)), lang.astype(np.int32), (np.log(n + UNSEEN) - np.log(UNSEEN)).astype(np.float32), np.log(UNSEEN) - totals)
 
 
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
-def _log_frequencies(counts: dict[tuple[str, int], Counter], langs: tuple[str, ...], size: int) -> dict[str, list[float]]:
-    totals = [sum(counts[lang, size].values()) for lang in langs]
-    known = {unit for lang in langs for unit in counts[lang, size]}
-    return {unit: [float(np.log((counts[lang, size][unit] + 0.1) / (total + 0.1 * len(known)))) for lang, total in zip(langs, totals)] for unit in known}
+def sampled(df: DataFrame, text_col: str, lang_col: str, id_col: str, sample: int) -> DataFrame:
+    """text, lang of at most `sample` labelled rows of each language, chosen by a hash of id and text, so that copies of one
+    text are neither all in nor all out; all rows of a language that has no more."""
+    draw = F.xxhash64(id_col, text_col) if id_col in df.columns else F.xxhash64(text_col)
+    rows = df.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), draw.alias("draw")).where("lang is not null and text is not null")
+    large = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > sample)
+    # most rows go before any of them moves: half as many again as are wanted stay
+    share = F.pmod("draw", F.lit(1 << 40)) / F.lit(1 << 40)
+    few = rows.join(F.broadcast(large), "lang", "left").where(F.col("n").isNull() | (share * F.col("n") < 1.5 * sample)).withColumn("share", share)
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("share", "draw"))
+    return few.withColumn("place", place).where(F.col("place") <= sample).select("text", "lang")
 
 
-def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> Model:
-    """Learn from a bounded sample of the labelled rows of df: of each language about `sample` of them, chosen by a hash of
-    the text, and all rows of a language that has no more.
+def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", sample: int = SAMPLE) -> Model:
+    """Learn from a bounded sample of the labelled rows of df: of each language at most `sample` of them, and all rows of a
+    language that has no more.
 
-    Rows with a null language or no word don't count. Units are counted on the executors; the driver gets at most WORDS
-    words and GRAMS n-grams of each length for each language."""
-    rows = df.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("lang is not null and text is not null")
-    large = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > sample)
-    share = F.pmod(F.xxhash64("text"), F.lit(1 << 40)) / F.lit(1 << 40)
-    rows = rows.join(F.broadcast(large), "lang", "left").where(F.col("n").isNull() | (share * F.col("n") < sample)).select("text", "lang")
+    Rows with a null language or no word don't count; repeated rows count each. Units are counted on the executors; the
+    driver gets at most WORDS words and GRAMS n-grams of each length for each language, the commonest, ties by hash. Of an
+    empty table, or one without labels, comes a model without languages."""
 
     def make():
         def work(b):
             words: dict[str, Counter] = {}
             for text, lang in zip(b["text"], b["lang"]):
                 words.setdefault(lang, Counter()).update(words_of(text))
-            out: dict[str, list] = {"lang": [], "size": [], "unit": [], "n": []}
+            out: dict[str, list] = {"lang": [], "size": [], "key": [], "n": []}
             for lang, counts in words.items():
                 grams = [Counter() for _ in range(LONGEST)]
                 for word, times in counts.items():
@@ -85,110 +128,133 @@ def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", sample: i
                 for size, counter in enumerate([counts, *grams]):
                     out["lang"] += [lang] * len(counter)
                     out["size"] += [size] * len(counter)
-                    out["unit"] += counter.keys()
+                    out["key"].append(np.array([key_of(u) for u in counter], np.uint64).view(np.int64))
                     out["n"] += counter.values()
+            out["key"] = np.concatenate(out["key"])
             return out
 
         return work
 
-    counted = map_rows(rows, make, "lang string, size int, unit string, n long").groupBy("lang", "size", "unit").agg(F.sum("n").alias("n")).where("n > 1 or size > 0")
-    place = F.row_number().over(Window.partitionBy("lang", "size").orderBy(F.desc("n"), "unit"))
-    top = counted.withColumn("place", place).where(F.col("place") <= F.when(F.col("size") == 0, WORDS).otherwise(GRAMS))
-    counts: dict[tuple[str, int], Counter] = {}
-    for r in top.collect():
-        counts.setdefault((r["lang"], r["size"]), Counter())[r["unit"]] = r["n"]
-    langs = tuple(sorted({lang for lang, _ in counts}))
-    for lang in langs:
-        for size in range(LONGEST + 1):
-            counts.setdefault((lang, size), Counter())
-    words = _log_frequencies(counts, langs, 0)
-    grams: dict[str, list[float]] = {}
-    for size in range(1, LONGEST + 1):
-        grams |= _log_frequencies(counts, langs, size)
-    return Model(langs, words, grams, [-12.0] * len(langs))
-
-
-class Scorer(dict):
-    """word -> row of a matrix of log frequencies; unseen words are worked out once and kept within bounds."""
+    rows = sampled(df, text_col, lang_col, id_col, sample)
+    counted = map_rows(rows, make, "lang string, size int, key long, n long").groupBy("lang", "size", "key").agg(F.sum("n").alias("n"))
+    place = F.row_number().over(Window.partitionBy("lang", "size").orderBy(F.desc("n"), "key"))
+    top = counted.withColumn("place", place).where(F.col("place") <= F.when(F.col("size") == 0, WORDS).otherwise(GRAMS)).drop("place").toArrow()
+    langs = tuple(sorted(set(top["lang"].unique().to_pylist())))
+    size, key, n = (top[c].to_numpy() for c in ("size", "key", "n"))
+    coded = top["lang"].combine_chunks().dictionary_encode() if top.num_rows else None
+    lang = np.array([langs.index(v) for v in coded.dictionary.to_pylist()], np.int64)[coded.indices.to_numpy()] if top.num_rows else np.zeros(0, np.int64)
+    of = lambda s: units(lang[size == s], key[size == s].view(np.uint64), n[size == s], len(langs))
+    return Model(langs, of(0), tuple(of(s) for s in range(1, LONGEST + 1)))
+
+
+class Scorer:
+    """Predicts by a model. Where a word is among the known ones, or the sums of an unknown one, is remembered within bounds."""
 
     def __init__(self, model: Model):
-        super().__init__()
-        self.model = model
-        n = max(1, len(model.langs))
-        self.most = len(model.words) + max(1000, CACHED // n)
-        self.rows = np.zeros((self.most, n), np.float32)
-        for word, values in model.words.items():
-            self.rows[len(self)] = values
-            self[word] = len(self)
-        self.places = {gram: i for i, gram in enumerate(model.grams)}
-        self.gram_rows = np.array([*model.grams.values(), model.floor], np.float32).reshape(-1, n)
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= self.most:
-            known = len(self.model.words)
-            for old in [w for w, i in self.items() if i >= known]:
-                del self[old]
-        at = len(self)
-        self.rows[at] = self.by_grams(word)
-        self[word] = at
+        self.model, self.n = model, max(1, len(model.langs))
+        self.most = max(2000, CACHED // self.n)
+        self.places: dict[str, int] = {}
+        self.unknown: dict[str, np.ndarray] = {}
+        self.grams: list[dict[str, int]] = [{} for _ in model.grams]
+
+    @staticmethod
+    def _find(units: Units, seen: dict[str, int], unit: str, most: int) -> int:
+        """Place of a unit, -1 for an unknown one."""
+        at = seen.get(unit)
+        if at is None:
+            key = key_of(unit)
+            at = int(np.searchsorted(units.keys, np.uint64(key)))
+            at = at if at < len(units.keys) and int(units.keys[at]) == key else -1
+            if len(seen) >= most:
+                seen.clear()
+            seen[unit] = at
         return at
 
     def by_grams(self, word: str) -> np.ndarray:
-        padded, get = f"_{word}_", self.places.get
-        unknown, total = len(self.places), 0
+        """Mean over the places of a word of the log frequencies of the longest n-gram there that is known."""
+        padded, total = f"_{word}_", np.zeros(self.n)
         for start in range(0, len(padded), PLACES):
-            found = []
+            found: list[list[int]] = [[] for _ in self.grams]
             for i in range(start, min(start + PLACES, len(padded))):
                 for size in range(LONGEST, 0, -1):
-                    at = get(padded[i : i + size])
-                    if at is not None:
+                    gram = padded[i : i + size]
+                    seen = self.grams[size - 1]
+                    at = seen.get(gram)
+                    if at is None:
+                        at = self._find(self.model.grams[size - 1], seen, gram, 200_000)
+                    # at the end of a word, shorter n-grams than asked for are of their own length
+                    if at >= 0 and len(gram) == size:
+                        found[size - 1].append(at)
                         break
-                found.append(unknown if at is None else at)
-            total = total + self.gram_rows[found].sum(0, dtype=np.float64)
+                else:
+                    total += UNKNOWN
+            for units, at in zip(self.model.grams, found):
+                if at:
+                    total += units.sums(np.array(at))
         return total / len(padded)
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        """The likeliest language and its share of likelihood; `und` and 0 for a text without letters."""
+        """The likeliest language and its share of likelihood; `und` and 0 for a text without letters. Ties go to the first
+        language in alphabetical order."""
         words = words_of(text)
         if not self.model.langs or not any(c.isalpha() for word in words for c in word):
             return UND, 0.0
-        mean = np.zeros(len(self.model.langs))
-        for start in range(0, len(words), 10_000):
-            part = words[start : start + 10_000]
-            # rows are taken at once: a later word may push out what an earlier one put in
-            ids = [self[w] for w in part if len(w) <= LONG or w in self]
-            for w in part:
-                if len(w) > LONG and w not in self:
-                    mean += self.by_grams(w)
-            mean += self.rows[ids].sum(0, dtype=np.float64)
-        mean /= len(words)
+        total, units = np.zeros(self.n), self.model.words
+        for start in range(0, len(words), TOGETHER):
+            known = []
+            for w in words[start : start + TOGETHER]:
+                at = self.places.get(w)
+                if at is None:
+                    at = self._find(units, self.places if len(w) <= LONG else {}, w, 200_000)
+                if at >= 0:
+                    known.append(at)
+                    continue
+                sums = self.unknown.get(w)
+                if sums is None:
+                    sums = self.by_grams(w)
+                    if len(w) <= LONG:
+                        if len(self.unknown) >= self.most:
+                            self.unknown.clear()
+                        self.unknown[w] = sums
+                total += sums
+            if known:
+                total += units.sums(np.array(known))
+        mean = total / len(words)
         best = int(mean.argmax())
         share = 1 / np.exp((mean - mean[best]) * min(len(words), CERTAIN)).sum()
         return self.model.langs[best], float(share)
 
 
-def predict(df: DataFrame, model: Model, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The `keep` columns with lang_pred and score of every row; only the text decides.
+@lru_cache(1)
+def _scorer(sent) -> Scorer:
+    """One for each Python worker and model, so that tasks share what is remembered."""
+    return Scorer(sent.value)
+
+
+def predict(df: DataFrame, model: Model, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The `keep` columns with the predicted language and score, named by `out`, of every row; only the text decides.
 
     Null, empty and letterless texts get `und` and 0; with a model of no language all do. Ties go to the first language
-    in alphabetical order."""
+    in alphabetical order; repeated rows are each returned, an empty table stays empty."""
     sent = df.sparkSession.sparkContext.broadcast(model)
+    text = unused("text", [*keep, *out])
 
     def make():
-        scorer = Scorer(sent.value)
+        scorer = _scorer(sent)
 
         def work(b):
-            found = [scorer.predict(t) for t in b["__text"]]
-            return {k: b[k] for k in keep} | {"lang_pred": [f[0] for f in found], "score": [f[1] for f in found]}
+            found = [scorer.predict(t) for t in b[text]]
+            return {out[0]: [f[0] for f in found], out[1]: [f[1] for f in found]}
 
         return work
 
-    fields = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
-    return map_rows(df.select(*keep, F.col(text_col).alias("__text")), make, f"{fields}, lang_pred string, score double")
+    return map_rows(df.select(*keep, F.col(text_col).alias(text)), make, f"`{out[0]}` string, `{out[1]}` double", keep=keep)
 
 
 def identify(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, lang_pred, score of every document, learnt from those that are not held out."""
+    """doc_id, held_out, lang_pred, score of every document, learnt from those that are not held out.
+
+    Null, empty and letterless texts get `und`; a null id is not held out; repeated rows are each returned."""
     model = fit(docs.where(~held_out(F.col("doc_id"))))
     out = predict(docs, model)
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")

@@ -1,5 +1,9 @@
+import math
 import random
+import re
 
+import numpy as np
+import pytest
 from helpers import documents
 
 from millrace.llm import langid
@@ -58,19 +62,82 @@ def test_rare_language_is_learnt(spark):
     assert model.langs == ("de", "en", "fr") and langid.Scorer(model).predict("la maison et le jardin")[0] == "fr"
 
 
+def model_of(langs, words, grams):
+    """words: {word: {language: n}}; grams: the same for n-grams of any length."""
+    def units(table):
+        rows = [(langs.index(k), langid.key_of(u), n) for u, by in table.items() for k, n in by.items()]
+        lang, key, n = zip(*rows) if rows else ((), (), ())
+        return langid.units(np.array(lang, int), np.array(key, np.uint64), np.array(n, int), len(langs))
+
+    return langid.Model(langs, units(words), tuple(units({g: by for g, by in grams.items() if len(g) == size}) for size in range(1, langid.LONGEST + 1)))
+
+
+def plain(langs, words, grams, text):
+    """Word-first backoff by its definition, one unit at a time: mean log frequency of each language."""
+    def logs(table, unit):
+        return [math.log((table[unit].get(k, 0) + 0.1) / (sum(by.get(k, 0) for by in table.values()) + 0.1 * len(table))) for k in langs]
+
+    cache, total, found = {}, [0.0] * len(langs), re.findall(r"[^\W\d_]+", text.lower())
+    for w in found:
+        if w not in cache:
+            if w in words:
+                cache[w] = logs(words, w)
+            else:
+                padded, sums = f"_{w}_", [0.0] * len(langs)
+                for i in range(len(padded)):
+                    gram = next((padded[i : i + n] for n in range(4, 0, -1) if len(padded[i : i + n]) == n and padded[i : i + n] in grams), None)
+                    if ("g", gram) not in cache:
+                        cache["g", gram] = [-12.0] * len(langs) if gram is None else logs({g: by for g, by in grams.items() if len(g) == len(gram)}, gram)
+                    sums = [a + b for a, b in zip(sums, cache["g", gram])]
+                cache[w] = [x / len(padded) for x in sums]
+        total = [a + b for a, b in zip(total, cache[w])]
+    return [t / len(found) for t in total]
+
+
 def test_backoff():
-    model = langid.Model(("a", "b"), {"known": [-1.0, -5.0]}, {"_": [-2.0, -2.0], "xyz": [-9.0, -1.0], "x": [-1.0, -9.0]}, [-12.0, -12.0])
-    scorer = langid.Scorer(model)
+    scorer = langid.Scorer(model_of(("a", "b"), {"known": {"a": 9, "b": 1}, "other": {"b": 9}}, {"_": {"a": 5, "b": 5}, "xyz": {"b": 8}, "x": {"a": 8}, "zz": {"a": 1}}))
     assert scorer.predict("known")[0] == "a"
     # the longest n-gram counts: xyz speaks for b though x speaks for a
     assert scorer.predict("xyz")[0] == "b" and scorer.predict("x")[0] == "a"
 
 
+@pytest.mark.parametrize("n_langs", [3, 200])
+def test_against_brute_force(n_langs):
+    rng = random.Random(n_langs)
+    langs = tuple(f"l{i:03}" for i in range(n_langs))
+    word = lambda: "".join(rng.choice("abcdeé") for _ in range(rng.randrange(1, 7)))
+    some = lambda: {k: rng.randrange(1, 50) for k in rng.sample(langs, min(3, n_langs))}
+    words = {word(): some() for _ in range(150)}
+    grams = {"".join(rng.choice("_abcdeé") for _ in range(n)): some() for n in (1, 2, 3, 4) for _ in range(40)}
+    scorer = langid.Scorer(model_of(langs, words, grams))
+    texts = [" ".join(rng.choice([*words, word(), "7"]) for _ in range(40)) for _ in range(25)] + ["".join(rng.choice("abcdeé") for _ in range(100_000)), "a" * 250 + " " + "b" * 5000 + " known"]
+    for text in texts:
+        mean = plain(langs, words, grams, text)
+        lang, score = scorer.predict(text)
+        n = len(re.findall(r"[^\W\d_]+", text.lower()))
+        assert mean[langs.index(lang)] >= max(mean) - 1e-5
+        assert abs(score - 1 / sum(math.exp((m - max(mean)) * min(n, langid.CERTAIN)) for m in mean)) < 1e-4
+
+
+def test_memory_for_many_languages():
+    """200 languages of 20,000 words, no word in more than three of them: under 150 MB, where a dense table took over 3 GB."""
+    rng = np.random.default_rng(1)
+    lang, key = np.repeat(np.arange(200), 20_000), rng.integers(0, 2**63, 4_000_000).astype(np.uint64)
+    made = langid.units(lang, key, rng.integers(1, 1000, len(key)), 200)
+    assert sum(x.nbytes for x in (made.keys, made.starts, made.langs, made.gains, made.base)) < 150e6
+
+
+def test_one_text_many_times_is_sampled_by_row(spark):
+    data = [(i, TEXTS["en"], "en") for i in range(3000)] + [(5000 + i, f"{TEXTS['de']} {chr(97 + i % 26)}", "de") for i in range(400)]
+    rows = langid.sampled(documents(spark, data), "text", "lang", "doc_id", 100)
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    assert counts == {"en": 100, "de": 100}
+
+
 def test_all_of_a_long_word_counts():
-    model = langid.Model(("a", "b"), {}, {"x": [-1.0, -9.0], "y": [-9.0, -1.0]}, [-12.0, -12.0])
-    scorer = langid.Scorer(model)
+    scorer = langid.Scorer(model_of(("a", "b"), {}, {"x": {"a": 900, "b": 1}, "y": {"a": 1, "b": 900}}))
     assert scorer.predict("x" * 300 + "y" * 400)[0] == "b" and scorer.predict("x" * 9000 + "y" * 8000)[0] == "a"
-    assert scorer.predict("x" * 150 + "y" * 40)[0] == "a" and all(len(w) <= langid.LONG for w in scorer)
+    assert scorer.predict("x" * 150 + "y" * 40)[0] == "a" and all(len(w) <= langid.LONG for w in scorer.unknown)
 
 
 def test_the_end_of_a_long_word_is_learnt(spark):
