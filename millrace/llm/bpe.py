@@ -286,7 +286,10 @@ def decode_documents(df: DataFrame, path: str, id_col: str = "doc_id", ids_col:
 
 
 def digest_documents(df: DataFrame, path: str) -> DataFrame:
-    """Encode, decode again, and return doc_id, n_tokens, ids_sha256 and decoded_sha256; nothing but digests leaves the worker."""
+    """Encode, decode again, and return doc_id, n_tokens, ids_sha256 and decoded_sha256; nothing but digests leaves the worker.
+
+    Null and empty texts have no tokens; repeated rows are each returned; an empty table stays empty; extra columns are not
+    looked at."""
 
     def make():
         c = codec(path)

@@ -145,7 +145,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, keys: tuple[str, ...] = ("
 
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece of every document."""
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece of every document.
+
+    A null or empty text is its end id alone; rows that repeat an id each have pieces and places of their own; pieces of
+    one length are interchangeable. An empty table stays empty; extra columns are not looked at."""
     path = path or public_tokenizers.path("byte_bpe_50k.tiktoken")
     made = token_pieces(docs, path, capacity)
     crc = made.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))

@@ -297,7 +297,10 @@ def find_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def digest_spans(docs: DataFrame) -> DataFrame:
-    """doc_id, the counts of base spans by kind, base_sha256 and all spans as text."""
+    """doc_id, the counts of base spans by kind, base_sha256 and all spans as text.
+
+    Null and empty texts have no spans; repeated rows are each returned; of spans of one kind that overlap, a base one
+    counts, else the first. An empty table stays empty; extra columns are not looked at."""
 
     def make():
         def work(b):
@@ -317,16 +320,18 @@ def digest_spans(docs: DataFrame) -> DataFrame:
 
 def mask_documents(docs: DataFrame, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
     """docs with every span masked by its kind, and the length column, if there is one, set to the code points that are
-    left. Null texts stay null; other columns pass unchanged."""
+    left. Null texts stay null, empty ones empty; repeated rows are each returned; other columns pass unchanged."""
     columns = docs.columns
+    keep = tuple(c for c in columns if c not in (text_col, length_col))
 
     def make():
         def work(b):
-            b[text_col] = [t if t is None else mask(t, find(t)[1]) for t in b[text_col]]
-            if length_col in b:
-                b[length_col] = [n if t is None else len(t) for t, n in zip(b[text_col], b[length_col])]
-            return b
+            texts = [t if t is None else mask(t, find(t)[1]) for t in b[text_col]]
+            if length_col not in b:
+                return {text_col: texts}
+            return {text_col: texts, length_col: [n if t is None else len(t) for t, n in zip(texts, b[length_col])]}
 
         return work
 
-    return map_rows(docs, make, ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns))
+    new = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns if c not in keep)
+    return map_rows(docs, make, new, keep=keep).select(*(f"`{c}`" for c in columns))

@@ -65,13 +65,12 @@ def shard_rows(df: DataFrame, key: str, shards: int, seed: int = 20, order: list
 
     def make():
         def work(b):
-            shard, slot = locate(np.array(b["row"], "i8"), n, shards, seed)
-            return b | {"shard": shard, "slot": slot}
+            shard, slot = locate(np.array(b["__row"], "i8"), n, shards, seed)
+            return {"shard": shard, "slot": slot}
 
         return work
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in numbered.schema)
-    return map_rows(numbered, make, f"{fields}, shard int, slot long")
+    return map_rows(numbered.withColumn("__row", F.col("row")), make, "shard int, slot long", keep=tuple(numbered.columns))
 
 
 def shard_documents(docs: DataFrame, shards: int = 24, seed: int = 20) -> DataFrame:

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import corpus_pipeline
 from helpers import documents, sentence
@@ -15,13 +16,14 @@ def test_stages(spark, tmp_path):
     texts = [sentence(rng, 120) for _ in range(12)]
     rows = [(i, t) for i, t in enumerate(texts)]
     rows += [(100, texts[0].upper()), (101, texts[1].replace(texts[1].split()[60], "zzz", 1)), (102, None), (103, "12 34"), (104, texts[2] + " mail bob@example.com"), (105, texts[3])]
-    documents(spark, rows, clash=False).write.parquet(str(tmp_path / "documents.parquet"))
+    documents(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
     docs, sizes = spark.read.parquet(str(tmp_path / "documents.parquet")), []
+    columns = docs.columns
     for name, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, str(tmp_path))
         docs.write.parquet(str(tmp_path / name))
         docs = spark.read.parquet(str(tmp_path / name))
-        assert docs.columns == COLUMNS
+        assert docs.columns == columns and columns[:5] == COLUMNS
         sizes.append(sorted(r["doc_id"] for r in docs.collect()))
     live = [(i, t) for i, t in rows if i not in (102, 103)]
     assert sizes[0] == [i for i, _ in live]
@@ -40,6 +42,30 @@ def test_stages(spark, tmp_path):
     assert key(whole) == key(one)
 
 
+def test_rows_that_share_ids(spark):
+    """What a stage drops is a row, judged by its text, whatever its id; one of repeated rows stays."""
+    rng = random.Random(2)
+    long, other = sentence(rng, 100), sentence(rng, 100)
+    changed = " ".join(["zzz", *long.split()[1:]])
+    rows = [(5, "alpha beta"), (9, "ALPHA beta"), (5, "a wholly different text"), (7, "twice"), (7, "twice"), (None, "twice"), (None, "no id"), (None, "NO id"), (3, ""), (4, None)]
+    left = Counter((r["doc_id"], r["text"]) for r in corpus_pipeline.exact_dedup(spark, documents(spark, rows), "").collect())
+    assert left == Counter({(9, "ALPHA beta"): 1, (5, "a wholly different text"): 1, (7, "twice"): 1, (4, None): 1}) + Counter(k for k in left if k[1] and k[1].lower() == "no id")
+    assert sum(n for (_, t), n in left.items() if t and t.lower() == "no id") == 1
+    rows = [(5, long), (2, changed), (5, other), (2, "short one"), (2, "short one"), (None, changed + " end"), (8, None), (8, ""), (8, None)]
+    left = Counter((r["doc_id"], r["text"]) for r in corpus_pipeline.near_dedup(spark, documents(spark, rows), "").collect())
+    assert left == Counter({(2, changed): 1, (5, other): 1, (2, "short one"): 1, (8, None): 2, (8, ""): 1})
+    masked = corpus_pipeline.personal_data(spark, documents(spark, [(1, "bob@example.com"), (1, "bob@example.com"), (2, None), (None, "")]), "").collect()
+    assert sorted((r["doc_id"] or 0, r["text"] or "", r["lang_pred"], r["score"]) for r in masked) == [(0, "", "p", 8), (1, "[EMAIL]", "p", 8), (1, "[EMAIL]", "p", 8), (2, "", "p", 8)]
+    packed = corpus_pipeline.pack(spark, documents(spark, [(1, "one two"), (1, "one two"), (2, None)]), "").collect()
+    assert len({(r["sequence_id"], r["offset"]) for r in packed}) == 3
+
+
+def test_empty_tables(spark):
+    docs = documents(spark, [])
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, "").count() == 0
+
+
 def test_contract(spark, data):
     import __spark_entry__ as entry
 
