@@ -21,7 +21,7 @@ from pyspark.sql.window import Window
 from .common import hot_keys, salted_join, settle
 
 #: Deepest directory; entries that a bucket holds before it splits.
-DEPTH, CAPACITY = 16, 20_000
+DEPTH, CAPACITY = 16, 16
 #: Hashes that may be sent to every task, so that other texts don't move; beyond, both sides are shuffled.
 SENT_HASHES = 2_000_000
 
