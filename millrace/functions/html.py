@@ -15,6 +15,7 @@ from html.parser import HTMLParser
 from typing import Protocol
 
 import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -309,3 +310,11 @@ def html_records(make: Callable[[], Extractor] = BlockExtractor, tags: TagFilter
             yield pd.DataFrame({f: [r.get(f) for r in rows] for f in PAGE.names}, dtype=object)
 
     return run
+
+
+def extract_files(spark: SparkSession, paths: str | list[str], least: int = 250, limit: float = 10.0) -> DataFrame:
+    """path, text of HTML files, each read whole: an empty text where extraction takes too long or gives less than `least`
+    characters in all, with error telling which."""
+    pages = spark.read.option("wholetext", True).text(paths if isinstance(paths, list) else [paths]).select(F.col("_metadata.file_path").alias("path"), html_records(lambda: BlockExtractor(least), limit=limit)("value").alias("r"))
+    late = F.exists(F.coalesce("r.traferr", F.array().cast("array<string>")), lambda e: F.startswith(e, F.lit("Extraction timed out")))
+    return pages.select("path", F.coalesce("r.t", F.lit("")).alias("text"), F.when(late, "TIMEOUT").alias("error"))

@@ -8,6 +8,7 @@ from collections import Counter
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,41 +25,70 @@ class LanguageModel(Protocol):
     def predict(self, text: str, k: int) -> tuple[list[str], list[float]]: ...
 
 
+#: Labelled texts of each language that profiles are counted from at most, and trigrams kept for each.
+SAMPLE, TRIGRAMS = 5_000, 3_000
+UNKNOWN = -14.0
+
+
 class ProfileModel:
-    """Character trigrams with log frequencies by language; probabilities are softmax of the mean."""
+    """Character trigrams with log frequencies by language; probabilities are softmax of the mean.
+
+    Trigrams are held by their code points in one number, sorted, so that a text is looked up at once."""
+
+    def __init__(self, grams: list[str], logs: np.ndarray, langs: list[str]):
+        keys = np.array([self.keys_of(g)[0] for g in grams], np.uint64)
+        order = np.argsort(keys)
+        self.keys, self.logs, self.langs = keys[order], np.concatenate([logs[order], np.full((1, len(langs)), UNKNOWN)]).astype(np.float32), langs
 
-    def __init__(self, grams: dict[str, list[float]], langs: list[str]):
-        self.grams, self.langs = grams, langs
-        self.floor = [-14.0] * len(langs)
+    @staticmethod
+    def keys_of(text: str) -> np.ndarray:
+        c = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
+        return (c[:-2] << np.uint64(42)) | (c[1:-1] << np.uint64(21)) | c[2:]
 
     def predict(self, text, k):
-        counts = Counter(padded[i : i + 3] for padded in (f" {text.lower()} ",) for i in range(len(padded) - 2))
-        total, n = [0.0] * len(self.langs), max(1, sum(counts.values()))
-        for gram, times in counts.items():
-            for i, value in enumerate(self.grams.get(gram, self.floor)):
-                total[i] += times * value
-        mean = [t / n for t in total]
-        top = max(mean)
-        weights = [math.exp(8 * (m - top)) for m in mean]
-        ranked = sorted(zip(weights, self.langs), key=lambda x: (-x[0], x[1]))[:k]
-        return [PREFIX + lang for _, lang in ranked], [w / sum(weights) for w, _ in ranked]
-
-
-def fit_profiles(df: DataFrame, text: str = "text", lang: str = "lang", most: int = 3000) -> ProfileModel:
-    """Trigram profiles of each language, counted by Spark; `most` trigrams of each come to the driver."""
-    padded = F.concat(F.lit(" "), F.lower(text), F.lit(" "))
+        keys, n = np.unique(self.keys_of(f" {text.lower()} "), return_counts=True)
+        if not len(self.langs) or not len(keys):
+            return [], []
+        at = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
+        at = np.where(self.keys[at] == keys, at, len(self.keys)) if len(self.keys) else np.zeros(len(keys), int)
+        mean = (n[:, None] * self.logs[at]).sum(0, dtype=np.float64) / n.sum()
+        weights = np.exp(8 * (mean - mean.max()))
+        ranked = sorted(zip(-weights, self.langs))[:k]
+        return [PREFIX + lang for _, lang in ranked], [float(-w / weights.sum()) for w, _ in ranked]
+
+
+def fit_profiles(df: DataFrame, text: str = "text", lang: str = "lang", most: int = TRIGRAMS, sample: int = SAMPLE) -> ProfileModel:
+    """Trigram profiles of each language, counted by Spark from about `sample` texts of each, chosen by hash, and from all of a
+    language that has no more; `most` trigrams of each come to the driver."""
+    rows = df.where(F.col(lang).isNotNull() & has_text(F.col(text))).select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(*df.columns).alias("h"))
+    large = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > sample)
+    share = F.pmod("h", F.lit(1 << 40)) / F.lit(1 << 40)
+    some = rows.join(F.broadcast(large), "lang", "left").where(F.col("n").isNull() | (share * F.col("n") < sample))
+    padded = F.concat(F.lit(" "), F.lower("text"), F.lit(" "))
     gram = F.explode(F.regexp_extract_all(padded, F.lit("(?s)(?=(...))"), F.lit(1))).alias("gram")
-    counts = df.where(F.col(lang).isNotNull() & has_text(F.col(text))).select(F.col(lang).alias("lang"), gram).groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n"))
+    counts = some.select("lang", gram).groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n"))
     place = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    rows = counts.withColumn("place", F.row_number().over(place)).where(F.col("place") <= most).collect()
-    langs = sorted({r["lang"] for r in rows})
+    top = counts.withColumn("place", F.row_number().over(place)).where(F.col("place") <= most).collect()
+    langs = sorted({r["lang"] for r in top})
+    grams = {g: i for i, g in enumerate(sorted({r["gram"] for r in top}))}
     totals = Counter()
-    for r in rows:
+    for r in top:
         totals[r["lang"]] += r["n"]
-    grams: dict[str, list[float]] = {}
-    for r in rows:
-        grams.setdefault(r["gram"], [-14.0] * len(langs))[langs.index(r["lang"])] = math.log(r["n"] / totals[r["lang"]])
-    return ProfileModel(grams, langs)
+    logs = np.full((len(grams), len(langs)), UNKNOWN)
+    for r in top:
+        logs[grams[r["gram"]], langs.index(r["lang"])] = math.log(r["n"] / totals[r["lang"]])
+    return ProfileModel(list(grams), logs, langs)
+
+
+#: Fixed value: where a record's text shows a language that is not the only label.
+LABELLED = r'"openlid-v3": ?\{"lang": ?\["([a-z]{3}_[A-Z][a-z]{3})",'
+
+
+def labelled_language(line: Column) -> Column:
+    """First language of a JSON line's identification, found in its text without parsing it; null where there is none, or
+    no second one."""
+    found = F.regexp_extract(line, LABELLED, 1)
+    return F.when(found != "", found)
 
 
 def model_file(identity: str) -> str | None:

@@ -59,8 +59,8 @@ def language_of(code: Column) -> Column:
 
 
 def crawl_infix(crawl: Column) -> Column:
-    """Short name of the crawl family: ab, ia, or cc for all others and null."""
-    return F.when(F.startswith(crawl, F.lit("archivebot")), "ab").when(F.startswith(crawl, F.lit("wide")), "ia").otherwise("cc")
+    """Short name of the crawl family: ab for `archivebot` itself, ia for names that begin with `wide`, cc for others and null."""
+    return F.when(crawl == "archivebot", "ab").when(F.startswith(crawl, F.lit("wide")), "ia").otherwise("cc")
 
 
 def wds_bin(score: Column, scale: int = 1) -> Column:

@@ -57,27 +57,34 @@ def typed_projection(columns: list[str], spec: Spec) -> list[Column]:
     return taken + [F.col(f"`{old}`").alias(new) for new, old in spec.rename if old in columns]
 
 
-def fan_out(records: DataFrame, specs: list[tuple[str, Spec]]) -> dict[str, DataFrame]:
-    """Output name -> JSON lines; an output that is named twice gets the records of both. Persist `records` if computing
-    them is costly, as each output is read by itself."""
+def fan_out(records: DataFrame, specs: list[tuple[str, Spec]], together: bool = False) -> dict[str, DataFrame]:
+    """Output name -> JSON lines. Of an output that is named twice the later specification counts; together: it gets the
+    records of both. Persist `records` if computing them is costly, as each output is read by itself."""
     out: dict[str, DataFrame] = {}
     for name, spec in specs:
         lines = records.select(F.to_json(project(F.col("rec"), spec)).alias("value"))
-        out[name] = out[name].union(lines) if name in out else lines
+        out[name] = out[name].union(lines) if together and name in out else lines
     return out
 
 
 def pool_record(df: DataFrame) -> dict[str, DataFrame]:
-    """Stage records normalised and split into text, markup (xml, md) and metadata (the rest)."""
+    """Stage records normalised and split into text, markup (xml, md) and metadata (the rest).
+
+    A missing xml or md is null. Without an md, xml is converted, but neither a null nor an empty one is."""
     names = {"t": "text", "x": "xml", "htmllang": "html_lang"}
     for old, new in names.items():
         if old in df.columns:
             df = df.withColumnRenamed(old, new)
-    for name in ("text", "xml", "md"):
+    for name in ("text", "xml"):
         if name not in df.columns:
             df = df.withColumn(name, F.lit(None).cast("string"))
-    if {"lang", "prob"} <= set(df.columns):
-        df = df.withColumn("openlid_v2", F.struct("lang", "prob")).drop("lang", "prob")
+    if "md" not in df.columns:
+        from millrace.functions.xml2md import xml_to_markdown
+
+        df = df.withColumn("md", xml_to_markdown(F.when(F.col("xml") != "", F.col("xml")))["md"])
+    if "lang" in df.columns:
+        wrapped_ = [c for c in ("lang", "prob") if c in df.columns]
+        df = df.withColumn("openlid_v2", F.struct(*wrapped_)).drop(*wrapped_)
     return {"text": df.select("id", "text"), "markup": df.select("id", "xml", "md"), "metadata": df.drop("text", "xml", "md")}
 
 

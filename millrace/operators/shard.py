@@ -1,8 +1,10 @@
 """Size-bounded shards, batches and tasks.
 
 Greedy sharding is a running sum that starts anew at each roll, so that what a shard has over is forgotten: no window sum
-expresses it. Only (group, order, size) go through the fold, group by group in sorted order and batch by batch, with
-constant memory: a group is never held in one piece. The rows themselves are joined with their shard afterwards.
+expresses it. Rows are sorted by group and order in parallel, into range partitions (blocks). What a block does depends on
+one thing of all before it: the open shard's number and size. For groups that span blocks these are found by a walk over
+the blocks' totals, which opens only those blocks in which a shard ends; all groups walk at once. Then every block is
+folded on its own, over sizes alone, and gives the points at which shards begin; rows look theirs up.
 """
 
 from __future__ import annotations
@@ -17,6 +19,12 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
 
+from millrace.operators.stats import listed
+from millrace.sources.shared import settle
+
+#: Rows that are folded by one task without a walk.
+FOLD_ROWS = 500_000
+
 
 def roll(sizes: np.ndarray, size: int, state: tuple[int, int], before: bool) -> tuple[np.ndarray, tuple[int, int]]:
     """Shard numbers of rows in order, and the state (shard, bytes in it) after them.
@@ -41,41 +49,125 @@ def roll(sizes: np.ndarray, size: int, state: tuple[int, int], before: bool) ->
     return out, (shard, held)
 
 
-def greedy_shards(df: DataFrame, group: list[str], order: list[tuple[str, bool]], keep: list[str], size_col: str, size: int, name: str = "shard", before: bool = False) -> DataFrame:
-    """group and keep columns with the shard number (from 1) of each row, in order of (column, ascending) in each group.
+def _fold(rows: DataFrame, states: dict[tuple, tuple[int, int]], groups: int, size: int, before: bool, whole: bool) -> DataFrame:
+    """The state at the start and end of every (group, block) of rows, and where its shards begin.
 
-    One task folds a group at a time, over the narrow columns alone; sorting spills to disk."""
-    columns = [*dict.fromkeys([*group, *keep, *(c for c, _ in order)])]
-    narrow = df.select(*columns, F.coalesce(F.col(size_col), F.lit(0)).cast("long").alias("__size"))
-    dealt = narrow.repartition(*group) if group else narrow.coalesce(1)
-    keys = [F.col(c).asc() if up else F.col(c).desc() for c, up in order]
-    sorted_ = dealt.sortWithinPartitions(*group, *keys).select(*group, *keep, "__size")
-    schema = T.StructType([f for f in sorted_.schema if f.name != "__size"]).add(name, "long")
+    rows: groups, __block, __at (a number in order), __size; states: (group, block) -> (shard, bytes in it) where a block
+    goes on with a group. whole: all rows are one block."""
+    kinds = rows.schema.fields[:groups]
+    schema = T.StructType([*kinds, T.StructField("__block", T.LongType()), T.StructField("__shard", T.LongType()), T.StructField("__begins", T.ArrayType(T.LongType())), T.StructField("__last", T.LongType()), T.StructField("__held", T.LongType())])
     arrow = to_arrow_schema(schema)
-
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, state = None, (1, 0)
+    dealt = (rows.coalesce(1) if whole else rows.repartition("__block")).sortWithinPartitions("__at")
+
+    def folded(key: tuple, at: list[np.ndarray], sizes: list[np.ndarray]) -> tuple:
+        shard, held = states.get(key, (1, 0))
+        at, shards = np.concatenate(at), None
+        shards, (last, now) = roll(np.concatenate(sizes), size, (shard, held), before)
+        begins = at[1:][shards[1:] != shards[:-1]]
+        # a roll at the very first row begins a shard there
+        begins = np.concatenate([at[:1], begins]) if shards[0] != shard else begins
+        return (*key[:-1], key[-1], shard, begins.tolist(), last, now)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, at, sizes = None, [], []
         for batch in batches:
-            keys = list(zip(*(batch.column(i).to_pylist() for i in range(len(group))))) or [()] * batch.num_rows
-            sizes = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False).astype(np.int64)
-            shards, start = np.empty(batch.num_rows, np.int64), 0
-            while start < len(keys):
-                stop = start
-                while stop < len(keys) and keys[stop] == keys[start]:
-                    stop += 1
-                if keys[start] != last:
-                    last, state = keys[start], (1, 0)
-                shards[start:stop], state = roll(sizes[start:stop], size, state, before)
+            columns = [batch.column(i).to_pylist() for i in range(groups + 1)]
+            keys = [(*k[:-1], 0 if whole else k[-1]) for k in zip(*columns)]
+            number, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in (groups + 1, groups + 2))
+            start, done = 0, []
+            for stop in [i for i in range(1, len(keys)) if keys[i] != keys[i - 1]] + [len(keys)]:
+                if keys[start] != key:
+                    if key is not None:
+                        done.append(folded(key, at, sizes))
+                    key, at, sizes = keys[start], [], []
+                at.append(number[start:stop])
+                sizes.append(n[start:stop].astype(np.int64))
                 start = stop
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(shards)], schema=arrow)
+            yield pa.RecordBatch.from_arrays([pa.array([d[i] for d in done], f.type) for i, f in enumerate(arrow)], schema=arrow)
+        if key is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(folded(key, at, sizes), arrow)], schema=arrow)
+
+    return dealt.mapInArrow(run, schema)
+
+
+def _walk(rows: DataFrame, group: list[str], size: int, before: bool) -> dict[tuple, tuple[int, int]]:
+    """(group, block) -> state of every block that goes on with a group of an earlier one."""
+    totals = rows.groupBy(*group, "__block").agg(F.sum("__size").alias("__total"))
+    # no more than two for each block: the groups of several blocks
+    several = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
+    spans: dict[tuple, list[tuple[int, int]]] = {}
+    for r in totals.withColumn("__blocks", F.count(F.lit(1)).over(several)).where("__blocks > 1").collect():
+        spans.setdefault(tuple(r[: len(group)]), []).append((r["__block"], r["__total"]))
+    states: dict[tuple, tuple[int, int]] = {}
+    at = {}
+    for key, blocks in spans.items():
+        blocks.sort()
+        at[key] = (0, (1, 0))
+    while at:
+        to_open = {}
+        for key, (i, state) in list(at.items()):
+            blocks = spans[key]
+            while i < len(blocks):
+                block, total = blocks[i]
+                states[(*key, block)] = state
+                ends = state[1] + total > size if before else state[1] + total >= size
+                if ends:
+                    break
+                i, state = i + 1, (state[0], state[1] + total)
+            if i < len(blocks) - 1:
+                to_open[(*key, blocks[i][0])] = i
+            else:
+                del at[key]
+        if not to_open:
+            break
+        some = rows.where(F.col("__block").isin(sorted({k[-1] for k in to_open})))
+        for r in _fold(some, {k: states[k] for k in to_open}, len(group), size, before, False).collect():
+            key = tuple(r[: len(group) + 1])
+            if key in to_open:
+                at[key[:-1]] = (to_open[key] + 1, (r["__last"], r["__held"]))
+    return states
+
+
+def greedy_shards(df: DataFrame, group: list[str], order: list[tuple[str, bool]], keep: list[str], size_col: str, size: int, name: str = "shard", before: bool = False, fold_rows: int = FOLD_ROWS) -> DataFrame:
+    """group and keep columns with the shard number (from 1) of each row, in order of (column, ascending) in each group.
 
-    return sorted_.mapInArrow(fold, schema)
+    before=False: a shard is closed once it has reached `size`, True: before it would pass it. Null sizes are 0. Rows that
+    tie in the order come in any order. The result is stored order, so `keep` may be all columns: they move once."""
+    columns = [*dict.fromkeys([*group, *keep, *(c for c, _ in order)])]
+    keys = [*(F.col(c).asc() for c in group), *(F.col(c).asc() if up else F.col(c).desc() for c, up in order)] or [F.lit(0)]
+    sized = df.select(*columns, F.coalesce(F.col(size_col), F.lit(0)).cast("long").alias("__size"))
+    # the number of a row: its partition, then its place there
+    stored = settle(sized.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("__at", F.monotonically_increasing_id()), "shard-order")
+    stored = stored.withColumn("__block", F.shiftright("__at", 33))
+    narrow = stored.select(*group, "__block", "__at", "__size")
+    whole = narrow.count() <= fold_rows
+    states = {} if whole else _walk(narrow, group, size, before)
+    begins = settle(_fold(narrow, states, len(group), size, before, whole), "shard-begins").select(*(F.col(g).alias(f"__g{i}") for i, g in enumerate(group)), F.col("__block").alias("__b"), "__shard", "__begins")
+    stored = stored.withColumn("__k", F.lit(0).cast("long") if whole else F.col("__block"))
+    same = F.col("__k") == F.col("__b")
+    for i, g in enumerate(group):
+        same = same & F.col(g).eqNullSafe(F.col(f"__g{i}"))
+    if whole:
+        begins = F.broadcast(begins)
+    past = F.size(F.filter("__begins", lambda b: b <= F.col("__at")))
+    return stored.join(begins, same).select(*dict.fromkeys([*group, *keep]), (F.col("__shard") + past).alias(name))
+
+
+def shard_totals(shards: DataFrame, group: list[str], size_col: str, size: int | None = None, name: str = "shard") -> DataFrame:
+    """group, shard, documents, bytes of each shard. size: with the empty shard that a writer which opens the next file at
+    once is left with, where the last one of a group is full."""
+    totals = shards.groupBy(*group, name).agg(F.count(F.lit(1)).alias("documents"), F.sum(size_col).alias("bytes"))
+    if size is None:
+        return totals
+    last = totals.groupBy(*group).agg(F.max_by("bytes", name).alias("bytes"), F.max(name).alias(name)).where(F.col("bytes") >= size)
+    return totals.unionByName(last.select(*group, (F.col(name) + 1).alias(name), F.lit(0).cast("long").alias("documents"), F.lit(0).cast("long").alias("bytes")))
 
 
 def round_robin(df: DataFrame, order: list[Column], batch: int, nodes: int) -> DataFrame:
-    """df with batch and node of each row: batches of `batch` rows in order, dealt to nodes in turn. For lists of paths."""
+    """df with batch and node of each row: batches of `batch` rows in order, dealt to nodes in turn. A plan for a list of
+    files, ordered in one task; a longer list than stats.LISTED is an error."""
     n = F.row_number().over(Window.orderBy(*order)) - 1
-    return df.withColumn("batch", F.floor(n / batch).cast("long")).withColumn("node", F.col("batch") % nodes)
+    return listed(df).withColumn("batch", F.floor(n / batch).cast("long")).withColumn("node", F.col("batch") % nodes)
 
 
 def first_fit_decreasing(sizes: list[tuple[str, float]], capacity: float) -> list[list[str]]:
@@ -92,7 +184,8 @@ def first_fit_decreasing(sizes: list[tuple[str, float]], capacity: float) -> lis
 
 
 def ffd_batches(df: DataFrame, name: str, size: str, capacity: float) -> DataFrame:
-    """batch, name, size by first-fit decreasing: a plan for a list of files, made in one task."""
+    """batch, name, size by first-fit decreasing: a plan for a list of files, made in one task; a longer list than
+    stats.LISTED is an error."""
     schema = df.select(F.lit(0).cast("long").alias("batch"), F.col(name), F.col(size).cast("double").alias(size)).schema
 
     def plan(frame):
@@ -100,7 +193,7 @@ def ffd_batches(df: DataFrame, name: str, size: str, capacity: float) -> DataFra
         rows = [(b, n, sizes[n]) for b, names in enumerate(first_fit_decreasing(list(sizes.items()), capacity)) for n in names]
         return type(frame)(rows, columns=["batch", name, size])
 
-    return df.select(name, size).groupBy().applyInPandas(plan, schema)
+    return listed(df.select(name, size)).groupBy().applyInPandas(plan, schema)
 
 
 def renumber(existing: dict[str, int], incoming: DataFrame, folder: str, file: str) -> DataFrame:

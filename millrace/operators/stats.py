@@ -2,15 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.functions.text import length_class, line_count
 
+#: Files that a plan over a list of files takes at most.
+LISTED = 1_000_000
 ERROR_KEYS = ("collection", "lang", "traferr", "lenclass")
 
 
+def listed(df: DataFrame, most: int = LISTED) -> DataFrame:
+    """df, if it is short enough to be planned in one task; else a ValueError."""
+    if df.limit(most + 1).count() > most:
+        raise ValueError(f"a plan over a list of files takes at most {most} of them")
+    return df
+
+
 def error_map(df: DataFrame) -> DataFrame:
     """Sums by collection, first language or `null`, error or `OK`, and length class."""
     error = F.when(F.size(F.coalesce("traferr", F.array().cast("array<string>"))) == 0, "OK").otherwise(F.array_join("traferr", ";"))
@@ -21,12 +30,9 @@ def error_map(df: DataFrame) -> DataFrame:
 
 def error_rollup(mapped: DataFrame) -> DataFrame:
     """The sums of error_map for all keys, and with collection, then language, then everything left out (null)."""
-    mapped.createOrReplaceTempView("__errors")
-    return mapped.sparkSession.sql(
-        """SELECT collection, lang, traferr, lenclass, sum(text_newlines) AS text_newlines, sum(text_chars) AS text_chars, sum(docs) AS docs,
-                  CAST(grouping_id(collection, lang, traferr, lenclass) AS INT) AS level
-           FROM __errors GROUP BY GROUPING SETS ((collection, lang, traferr, lenclass), (lang, traferr, lenclass), (traferr, lenclass), ())"""
-    )
+    sets = [[*ERROR_KEYS], [*ERROR_KEYS[1:]], [*ERROR_KEYS[2:]], []]
+    sums = [F.sum(c).alias(c) for c in ("text_newlines", "text_chars", "docs")]
+    return mapped.groupingSets(sets, *ERROR_KEYS).agg(*sums, F.grouping_id(*ERROR_KEYS).cast("int").alias("level"))
 
 
 def value_frequencies(df: DataFrame, value: Column) -> DataFrame:
@@ -39,9 +45,10 @@ def total_gigabytes(df: DataFrame, size: str = "size") -> DataFrame:
 
 
 def space_estimate(df: DataFrame, size: str = "size", tie: str = "path", factor: int = 7) -> DataFrame:
-    """Files by size, largest first, with rank and running need of scratch space in TiB. A list of files, sorted in one task."""
+    """Files by size, largest first, with rank and running need of scratch space in TiB. A plan for a list of files: it is
+    ordered in one task, and a longer list than LISTED is an error."""
     order = Window.orderBy(F.desc(size), tie)
-    return df.withColumn("n", F.row_number().over(order)).withColumn("tib", factor * F.sum(size).over(order.rowsBetween(Window.unboundedPreceding, 0)) / 2**40)
+    return listed(df).withColumn("n", F.row_number().over(order)).withColumn("tib", factor * F.sum(size).over(order.rowsBetween(Window.unboundedPreceding, 0)) / 2**40)
 
 
 def uneven_counts(df: DataFrame, group: str = "dir", file: str = "file", lines: str = "lines") -> DataFrame:
@@ -70,6 +77,15 @@ def pool_statistics(df: DataFrame, keys: tuple[str, ...] = ("crawl", "batch")) -
     )
 
 
+def pool_sizes(spark: SparkSession, path: str, names: tuple[str, ...] = ("text", "metadata", "markup")) -> DataFrame:
+    """folder, <name>_size: bytes on disk of the files named after each output (`text.zst` ...) in the folders below path.
+    Files are listed, not read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
+    name = F.regexp_extract("path", r"([^/.]*)[^/]*$", 1)
+    folder = F.regexp_replace("path", r"/[^/]*$", "").alias("folder")
+    return found.groupBy(folder).agg(*(F.coalesce(F.sum(F.when(name == n, F.col("length"))), F.lit(0)).alias(f"{n}_size") for n in names))
+
+
 def pool_languages(df: DataFrame, keys: tuple[str, ...] = ("crawl", "batch")) -> DataFrame:
     """Documents and characters by language (`null` for none) of each batch, one row each."""
     lang = F.coalesce("lang", F.lit("null")).alias("lang")
@@ -85,9 +101,8 @@ def language_maps(languages: DataFrame, keys: tuple[str, ...] = ("crawl", "batch
 def merged_pool_statistics(stats: DataFrame, by: str = "crawl") -> DataFrame:
     """Sums of pool_statistics over the batches of each crawl (the name up to its first dot), and over all (`total`)."""
     sums = [c for c, kind in stats.dtypes if kind == "bigint"]
-    stats.withColumn(by, F.split_part(by, F.lit("."), F.lit(1))).createOrReplaceTempView("__pool")
-    cols = ", ".join(f"sum(`{c}`) AS `{c}`" for c in sums)
-    return stats.sparkSession.sql(f"SELECT coalesce({by}, 'total') AS {by}, {cols} FROM __pool GROUP BY GROUPING SETS (({by}), ())")
+    rows = stats.withColumn(by, F.split_part(by, F.lit("."), F.lit(1)))
+    return rows.groupingSets([[by], []], by).agg(*(F.sum(c).alias(c) for c in sums)).withColumn(by, F.coalesce(by, F.lit("total")))
 
 
 def merged_maps(stats: DataFrame, column: str, by: str = "crawl") -> DataFrame:

@@ -2,24 +2,28 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import text as X
 from millrace.functions.html import TagFilter, html_records
 from millrace.functions.ids import document_id
-from millrace.functions.lid import fit_profiles, identify
-from millrace.functions.xml2md import xml_to_markdown
+from millrace.functions.lid import fit_profiles, identify, labelled_language
+from millrace.functions.xml2md import markdown_lines, xml_to_markdown
 from millrace.operators import joins, mux, quality, route, shard, stats, urls
 from millrace.plans import stages
-from millrace.sources import lines
+from millrace.session import spread
+from millrace.sources import lines, sinks
+from millrace.sources.shared import shared_dir
 
 # What the scored corpus has and the tables lack, as expressions that both engines read alike.
 DERIVED = {
     "id": "lpad(CAST(doc_id AS STRING), 10, '0')",
     "file": "concat('part-', CAST(doc_id % 7 AS STRING))",
     "batch": "CAST(doc_id % 4 AS BIGINT)",
-    "crawl_id": "CASE doc_id % 5 WHEN 0 THEN 'archivebot.7' WHEN 1 THEN 'wide00016.2' WHEN 2 THEN NULL ELSE 'CC-MAIN-2025-05' END",
+    "crawl_id": "CASE doc_id % 5 WHEN 0 THEN 'archivebot.7' WHEN 1 THEN 'wide00016.2' WHEN 2 THEN NULL WHEN 3 THEN 'archivebot' ELSE 'CC-MAIN-2025-05' END",
     "wds": "CAST((doc_id * 37) % 101 AS DOUBLE) / 100",
     "reason": "CASE doc_id % 13 WHEN 0 THEN 'optout' WHEN 1 THEN 'adult_ut1_x' WHEN 2 THEN 'length_short' WHEN 3 THEN 'other' ELSE 'keep' END",
     "openlid": "CASE WHEN doc_id % 41 = 0 THEN NULL WHEN doc_id % 17 = 0 THEN 'cmn_Hans' WHEN lang = 'en' THEN 'eng_Latn' WHEN lang = 'de' THEN 'deu_Latn' WHEN lang = 'fr' THEN 'fra_Latn' ELSE 'spa_Latn' END",
@@ -40,12 +44,14 @@ ROUTED = (
     + f""", fit AS (SELECT *, coalesce(openlid = glotlid OR (split_part(openlid, '_', 1) = split_part(glotlid, '_', 1) AND split_part(openlid, '_', 2) IN ('Hans', 'Hant')
         AND split_part(glotlid, '_', 2) = 'Hani'), false) AS ok FROM scored),
     routed AS (SELECT *, {ROUTE} AS route, {NOISE} AS noise, CAST(floor(wds * 10) AS INTEGER) AS wds_bin,
-        CASE WHEN starts_with(crawl_id, 'archivebot') THEN 'ab' WHEN starts_with(crawl_id, 'wide') THEN 'ia' ELSE 'cc' END AS infix FROM fit)"""
+        CASE WHEN crawl_id = 'archivebot' THEN 'ab' WHEN starts_with(crawl_id, 'wide') THEN 'ia' ELSE 'cc' END AS infix FROM fit)"""
 )
 
 
-def table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+def table(spark: SparkSession, d: str, name: str, deal: bool = False) -> DataFrame:
+    """A table's rows; deal: where Python work follows, in no fewer partitions than there are cores."""
+    df = spark.read.parquet(f"{d}/{name}.parquet")
+    return spread(df) if deal else df
 
 
 def scored(spark: SparkSession, d: str) -> DataFrame:
@@ -98,6 +104,26 @@ def route_stats(spark, d):
     return route.route_statistics(route.routed(corpus(spark, d)))
 
 
+_PARTS = [(p, f"part = '{p}'") for p in route.PARTS] + [(f"noisy_{r}", f"part = 'noisy' AND noise = '{r}'") for r in route.NOISE]
+
+
+@query(
+    ROUTED
+    + """, seen AS (SELECT file, length(text) AS n, labels.quality, CASE WHEN routed.doc_id % 10 = 0 THEN 'skipped' WHEN routed.doc_id % 29 = 0 THEN NULL ELSE route END AS part,
+        CASE WHEN noise IN ('wds', 'lid', 'prob', 'adult_ut1', 'adult_text', 'length', 'word_avg', 'char_avg', 'lang_ratio') THEN noise WHEN noise IS NOT NULL THEN 'filter' END AS noise, routed.doc_id % 10 > 0 AS read
+        FROM routed LEFT JOIN labels ON routed.doc_id = labels.doc_id)
+    SELECT file, CASE WHEN grouping(file) = 1 THEN count(DISTINCT file) END AS files, count(part) AS documents, CAST(coalesce(sum(n) FILTER (part IS NOT NULL), 0) AS BIGINT) AS characters,
+        count(*) FILTER (part IS NULL) AS invalid, count(quality) FILTER (read) AS annotations, count(*) FILTER (read AND quality IS NULL) AS missing_quality, """
+    + ", ".join(f"count(*) FILTER ({c}) AS {n}_documents, CAST(coalesce(sum(n) FILTER ({c}), 0) AS BIGINT) AS {n}_characters" for n, c in _PARTS)
+    + " FROM seen GROUP BY GROUPING SETS ((file), ())"
+)
+def filter_stats(spark, d):
+    labels = table(spark, d, "labels").select("doc_id", F.lit(0).alias("line"), F.col("quality").alias("value"))
+    # some documents lack a required field
+    docs = corpus(spark, d).withColumn("filter", F.when(F.col("doc_id") % 29 > 0, F.col("filter"))).withColumn("skipped", F.col("doc_id") % 10 == 0)
+    return route.filter_statistics(route.judged(joins.annotate(docs, {"quality": labels}, "doc_id")), ("quality",))
+
+
 @query("SELECT md5(text) AS id, count(*) AS copies FROM documents GROUP BY md5(text) HAVING count(*) > 1")
 def duplicate_ids(spark, d):
     return joins.duplicate_ids(table(spark, d, "documents"), F.md5("text"))
@@ -314,10 +340,10 @@ def char_counts(spark, d):
     return table(spark, d, "documents").select("doc_id", F.length(t).cast("long").alias("characters"), X.line_count(t).alias("text_lines"), X.length_class(t).alias("lenclass"))
 
 
-@query("SELECT doc_id, text FROM documents")
+@query("SELECT doc_id, to_base64(encode(text)) AS coded, text FROM documents")
 def base64_decode(spark, d):
-    coded = table(spark, d, "documents").select("doc_id", F.base64(F.encode("text", "UTF-8")).alias("c"))
-    return coded.select("doc_id", X.decoded_base64(F.regexp_replace("c", r"\s", "")).alias("text"))
+    coded = table(spark, d, "documents").select("doc_id", F.regexp_replace(F.base64(F.encode("text", "UTF-8")), r"\s", "").alias("coded"))
+    return coded.withColumn("text", X.decoded_base64(F.col("coded")))
 
 
 @query("SELECT doc_id, CAST(q + CASE WHEN r > 5 OR (r = 5 AND q % 2 = 1) THEN 1 ELSE 0 END AS DOUBLE) / 10000 AS p, lang AS label FROM (SELECT doc_id, lang, doc_id * 5 // 10 AS q, doc_id * 5 % 10 AS r FROM documents)")
@@ -369,7 +395,7 @@ def document_ids(spark, d):
 
 
 def _pages(spark, d):
-    return table(spark, d, "pages").select("page_id", "url", html_records()(F.col("html")).alias("r"))
+    return table(spark, d, "pages", deal=True).select("page_id", "url", html_records()(F.col("html")).alias("r"))
 
 
 @query()
@@ -382,10 +408,22 @@ def lang_hints(spark, d):
     return _pages(spark, d).select("page_id", "r.htmllang")
 
 
-@query()
+@query("SELECT page_id, CASE WHEN page_id % 5 = 0 THEN ['div', 'id', 'my-WP-Translate'] END AS tagfilter FROM pages")
 def tag_filter(spark, d):
     marked = F.concat(F.col("html"), F.when(F.col("page_id") % 5 == 0, '<div id="my-WP-Translate"></div>').otherwise(""))
-    return table(spark, d, "pages").select("page_id", html_records(tags=TagFilter())(marked)["tagfilter"].alias("tagfilter"))
+    return table(spark, d, "pages", deal=True).select("page_id", html_records(tags=TagFilter())(marked)["tagfilter"].alias("tagfilter"))
+
+
+@query(
+    """SELECT doc_id, 'Language ' || lang || chr(10) || 'Document ' || doc_id || ' & its text' AS t, [lang, lang || '_' || upper(lang)] AS metalang,
+        CASE WHEN doc_id % 3 > 0 THEN [lang || '-' || doc_id] END AS htmllang FROM documents"""
+)
+def html_fields(spark, d):
+    tag = F.when(F.col("doc_id") % 3 > 0, F.concat(F.lit('<html lang="'), "lang", F.lit("-"), "doc_id", F.lit('">'))).otherwise("<html>")
+    head = F.concat(F.lit('<head><meta property="og:locale" content="'), "lang", F.lit("_"), F.upper("lang"), F.lit('"><meta http-equiv="content-language" content="'), "lang", F.lit('"></head>'))
+    body = F.concat(F.lit("<body><nav><a href=/>Home</a></nav><article><h1>Language "), "lang", F.lit("</h1><p>Document "), "doc_id", F.lit(" &amp; its\n text</article><footer>end</footer></body></html>"))
+    rows = table(spark, d, "documents", deal=True).select("doc_id", html_records()(F.concat(tag, head, body)).alias("r"))
+    return rows.select("doc_id", "r.t", "r.metalang", "r.htmllang")
 
 
 @query()
@@ -393,9 +431,76 @@ def xml_to_md(spark, d):
     return _pages(spark, d).select("page_id", xml_to_markdown("r.x").alias("c")).select("page_id", "c.md", "c.error", "c.severity")
 
 
-@query("SELECT count(*) AS ok, count(*) AS total FROM pages")
+@query(
+    """SELECT doc_id, CASE doc_id % 5 WHEN 0 THEN '## Language ' || lang || chr(10) || chr(10) || 'Document **' || doc_id || '** in \\*' || lang || '\\* here' WHEN 1 THEN '- ' || lang || chr(10) || '- [' || doc_id || '](http://x.org/' || doc_id || ')'
+        WHEN 2 THEN '| lang | id |' || chr(10) || '|---|---|' || chr(10) || '| ' || lang || ' | ' || doc_id || ' |' WHEN 3 THEN '' END AS md,
+        CASE WHEN doc_id % 5 = 3 THEN 1 WHEN doc_id % 5 = 4 THEN 3 END AS severity FROM documents"""
+)
+def markdown_forms(spark, d):
+    """The forms that the tables' pages lack, of texts made from ids and languages."""
+    forms = [
+        ['<head rend="h2">Language ', "lang", "</head><p>Document <hi rend=\"#b\">", "doc_id", "</hi> in *", "lang", "* here</p>"],
+        ["<list><item>", "lang", '</item><item><ref target="http://x.org/', "doc_id", '">', "doc_id", "</ref></item></list>"],
+        ['<table><row><cell role="head">lang</cell><cell role="head">id</cell></row><row><cell>', "lang", "</cell><cell>", "doc_id", "</cell></row></table>"],
+        [" "],
+        ["<list><p>no item</p></list>"],
+    ]
+    body = F.lit(None).cast("string")
+    for i, parts in enumerate(forms):
+        body = F.when(F.col("doc_id") % 5 == i, F.concat(*(F.col(p).cast("string") if p in ("lang", "doc_id") else F.lit(p) for p in parts))).otherwise(body)
+    xml = F.concat(F.lit("<doc><main>"), body, F.lit("</main></doc>"))
+    return table(spark, d, "documents", deal=True).select("doc_id", xml_to_markdown(xml).alias("c")).select("doc_id", "c.md", "c.severity")
+
+
+@query("""SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '' WHEN 1 THEN 'no json ' || doc_id WHEN 2 THEN '{"md":null}' ELSE '{"md":"Document ' || doc_id || '"}' END AS line FROM documents""")
+def md_lines(spark, d):
+    xml = F.concat(F.lit('{"x":"<doc><main><p>Document '), "doc_id", F.lit('</p></main></doc>"}'))
+    line = F.when(F.col("doc_id") % 4 == 0, "  ").when(F.col("doc_id") % 4 == 1, F.concat(F.lit("no json "), "doc_id")).when(F.col("doc_id") % 4 == 2, '{"x": null}').otherwise(xml)
+    return table(spark, d, "documents", deal=True).select("doc_id", markdown_lines(line, md_only=True).alias("line"))
+
+
+@query("SELECT count(*) FILTER (doc_id % 7 > 1) AS ok, count(*) AS total FROM documents")
 def conversion_success(spark, d):
-    return stats.conversion_success(_pages(spark, d).select(xml_to_markdown("r.x")["md"].alias("md")))
+    """Some documents are broken XML and some have no content: neither is a success."""
+    part = F.col("doc_id") % 7
+    xml = F.when(part == 0, "<doc><main><p>open").when(part == 1, "<doc><main> </main></doc>").otherwise(F.concat(F.lit("<doc><main><p>"), "doc_id", F.lit("</p></main></doc>")))
+    return stats.conversion_success(table(spark, d, "documents", deal=True).select(xml_to_markdown(xml)["md"].alias("md")))
+
+
+@query(SCORED + """ SELECT doc_id, CASE WHEN doc_id % 3 > 0 THEN openlid END AS lang FROM scored""")
+def labelled_languages(spark, d):
+    """Only where a second label follows, and none where there is no identification."""
+    rest = F.when(F.col("doc_id") % 3 == 1, '","deu_Latn"],"prob":[0.9,0.1]}}').when(F.col("doc_id") % 3 == 2, '", "x"]}}').otherwise('"]}}')
+    line = F.concat(F.lit('{"id":1,"openlid-v3": {"lang": ["'), "openlid", rest)
+    return scored(spark, d).select("doc_id", labelled_language(F.coalesce(line, F.lit('{"openlid-v3":null}'))).alias("lang"))
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS id, CASE WHEN doc_id % 4 > 0 THEN 'Text ' || doc_id END AS md, CASE doc_id % 4 WHEN 0 THEN '' ELSE '<doc><main><p>Text ' || doc_id || '</p></main></doc>' END AS xml FROM documents")
+def pool_markup(spark, d):
+    xml = F.when(F.col("doc_id") % 4 == 0, "").otherwise(F.concat(F.lit("<doc><main><p>Text "), "doc_id", F.lit("</p></main></doc>")))
+    return mux.pool_record(table(spark, d, "documents", deal=True).select(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("t"), xml.alias("x")))["markup"]
+
+
+@query("SELECT lang, (i - 1) // 50 + 1 AS number, count(*) AS lines, min(doc_id) AS first, max(doc_id) AS last FROM (SELECT lang, doc_id, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS i FROM documents) GROUP BY ALL")
+def shard_writer(spark, d):
+    """Files of 50 lines a language, written and read again."""
+    path = f"{shared_dir(spark)}/millrace/{spark.sparkContext.applicationId}/written-{uuid.uuid4().hex}"
+    sinks.write_shards(table(spark, d, "documents").select("lang", "doc_id"), path, ["lang"], None, [("doc_id", True)], 50, lines=True)
+    rows = lines.read_lines(spark, f"{path}/*", "*.jsonl.zst", trace=True)
+    lang, number = F.regexp_extract("path", r"/([^/]+)/([0-9]+)\.jsonl\.zst$", 1), F.regexp_extract("path", r"/([^/]+)/([0-9]+)\.jsonl\.zst$", 2)
+    doc = F.get_json_object("value", "$.doc_id").cast("long")
+    return rows.groupBy(lang.alias("lang"), number.cast("long").alias("number")).agg(F.count(F.lit(1)).alias("lines"), F.min(doc).alias("first"), F.max(doc).alias("last"))
+
+
+@query(
+    "WITH RECURSIVE "
+    + _folded("documents", "source", "doc_id", "n_chars", 20_000, False)
+    + """, totals AS (SELECT n.g AS source, f.shard, count(*) AS documents, CAST(sum(n.size) AS BIGINT) AS bytes FROM numbered n JOIN folded f ON n.g = f.g AND n.i = f.i GROUP BY ALL)
+    SELECT * FROM totals UNION ALL SELECT source, shard + 1, 0, 0 FROM totals t WHERE bytes >= 20000 AND shard = (SELECT max(shard) FROM totals u WHERE u.source = t.source)"""
+)
+def shard_sizes(spark, d):
+    docs = table(spark, d, "documents")
+    return shard.shard_totals(shard.greedy_shards(docs, ["source"], [("doc_id", True)], ["doc_id", "n_chars"], "n_chars", 20_000), ["source"], "n_chars", 20_000)
 
 
 def _model(spark, d):
@@ -405,18 +510,18 @@ def _model(spark, d):
 
 @query()
 def language_id(spark, d):
-    return table(spark, d, "documents").select("doc_id", identify(F.col("text"), _model(spark, d), "openlid-v3").alias("openlid_v3"))
+    return table(spark, d, "documents", deal=True).select("doc_id", identify(F.col("text"), _model(spark, d), "openlid-v3").alias("openlid_v3"))
 
 
 @query()
 def stage2(spark, d):
-    return stages.pages_to_text(table(spark, d, "pages").select("page_id", F.col("html").alias("h")), _model(spark, d))
+    return stages.pages_to_text(table(spark, d, "pages", deal=True).select("page_id", F.col("html").alias("h")), _model(spark, d))
 
 
 @query()
 def stage3(spark, d):
     model = _model(spark, d)
-    rows = table(spark, d, "documents").select(F.lit("f").alias("f"), F.col("source").alias("u"), F.col("doc_id").cast("string").alias("ts"), F.col("text").alias("t"), F.concat(F.lit("<doc><main><p>"), F.regexp_replace("text", "[<&>]", " "), F.lit("</p></main></doc>")).alias("x"))
+    rows = table(spark, d, "documents", deal=True).select(F.lit("f").alias("f"), F.col("source").alias("u"), F.col("doc_id").cast("string").alias("ts"), F.col("text").alias("t"), F.concat(F.lit("<doc><main><p>"), F.regexp_replace("text", "[<&>]", " "), F.lit("</p></main></doc>")).alias("x"))
     return stages.augment(rows, {"openlid-v3": model, "glotlid-v3": model})
 
 

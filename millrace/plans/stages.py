@@ -11,7 +11,7 @@ from millrace.functions.html import html_records
 from millrace.functions.ids import add_ids
 from millrace.functions.lid import LanguageModel, with_language
 from millrace.functions.xml2md import xml_to_markdown
-from millrace.operators.joins import duplicate_ids, skip_ids
+from millrace.operators.joins import annotate, duplicate_ids, skip_ids
 from millrace.operators.quality import with_score
 from millrace.operators.route import routed
 from millrace.operators.shard import greedy_shards
@@ -40,12 +40,11 @@ def augment(text: DataFrame, models: dict[str, Callable[[], LanguageModel]], all
 def release(docs: DataFrame, size: int, key: str = "id", annotations: dict[str, DataFrame] | None = None) -> DataFrame:
     """Release: no copy of ids that occur twice, annotated, routed, and dealt to shards by route and bin, best first.
 
-    Two shuffles of whole rows at most (ids and shards are joined back by key); shard numbers are folded over keys alone."""
-    from millrace.operators.joins import annotate
-
+    Whole rows move once, into the order in which they are written; shard numbers are folded over sizes alone. Rows with a
+    null id stay: they are no copies of each other."""
     kept = with_score(skip_ids(docs, duplicate_ids(docs, key), key))
     if annotations:
         kept = annotate(kept, annotations, key)
     out = routed(kept).withColumn("__n", F.octet_length("text"))
-    shards = greedy_shards(out, ["route", "wds_bin"], [("wds", False), (key, False)], [key], "__n", size)
-    return out.drop("__n").join(shards.select(key, "shard"), key)
+    columns = [c for c in out.columns if c != "__n"]
+    return greedy_shards(out, ["route", "wds_bin"], [("wds", False), (key, False)], columns, "__n", size).select(*columns, "shard")

@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
-import os
+import posixpath
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyarrow import fs as pafs
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
 
+from millrace.operators.shard import greedy_shards
+from millrace.sources.lines import numbered_lines
+from millrace.sources.shared import write_text
+
 #: Uncompressed bytes of a frame, so that readers can start inside a file.
 FRAME = 512 * 1024
 
@@ -24,16 +30,27 @@ def write_partitioned(df: DataFrame, path: str, by: list[str], order: list[str]
     (dealt.sortWithinPartitions(*by, *order) if order else dealt).write.mode(mode).partitionBy(*by).parquet(path)
 
 
+def file_system(path: str) -> tuple[pafs.FileSystem, str]:
+    """File system and path there of a local path or a URI (file, s3 and s3a, gs, hdfs, abfs ...)."""
+    if not re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", path):
+        return pafs.LocalFileSystem(), path
+    if path.startswith("file:"):
+        return pafs.LocalFileSystem(), re.sub(r"^file:(//)?", "", path)
+    return pafs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", path))
+
+
 @dataclass
 class Written(WriterCommitMessage):
-    path: str
-    rows: int
+    #: (temporary file, file) of each that a task has written
+    files: list[tuple[str, str]]
 
 
 class ZstdLines(DataSource):
-    """format("zstdlines"): one string column to `<prefix>_<task>.jsonl.zst` below a shared folder, in frames of FRAME bytes.
+    """format("zstdlines"): lines to zstd files below a folder of any file system, in frames of FRAME bytes.
 
-    Options: path, prefix, level. Files appear under their names only when the whole job has succeeded."""
+    With one string column, to `<prefix>_<task>.jsonl.zst`. With two, the first one names the file, and a file's rows
+    must come one after another in one task. Options: path, prefix, level, frame. Files appear under their names only
+    when the whole job has succeeded."""
 
     @classmethod
     def name(cls) -> str:
@@ -45,50 +62,114 @@ class ZstdLines(DataSource):
 
 class _ZstdWriter(DataSourceArrowWriter):
     def __init__(self, options: dict):
-        self.folder = options["path"].removeprefix("file://").removeprefix("file:")
-        self.prefix, self.level = options.get("prefix", "part"), int(options.get("level", 3))
+        self.folder = options["path"].rstrip("/")
+        self.prefix, self.level, self.frame = options.get("prefix", "part"), int(options.get("level", 3)), int(options.get("frame", FRAME))
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         from pyspark import TaskContext
 
         task = TaskContext.get()
-        os.makedirs(self.folder, exist_ok=True)
-        path = os.path.join(self.folder, f".{self.prefix}_{task.partitionId()}.{task.taskAttemptId()}.tmp")
-        squeeze, held, size, rows = zstandard.ZstdCompressor(level=self.level), [], 0, 0
-        with open(path, "wb") as out:
-            for batch in iterator:
-                for line in batch.column(0).to_pylist():
-                    data = (line or "").encode() + b"\n"
-                    held.append(data)
-                    size, rows = size + len(data), rows + 1
-                    if size >= FRAME:
-                        out.write(squeeze.compress(b"".join(held)))
-                        held, size = [], 0
+        where, root = file_system(self.folder)
+        squeeze = zstandard.ZstdCompressor(level=self.level)
+        files: list[tuple[str, str]] = []
+        out, name, held, size = None, None, [], 0
+
+        def flush() -> None:
+            nonlocal held, size
             if held:
                 out.write(squeeze.compress(b"".join(held)))
-        return Written(path, rows)
-
-    def _final(self, message: Written) -> str:
-        return os.path.join(self.folder, os.path.basename(message.path)[1:].rsplit(".", 2)[0] + ".jsonl.zst")
+                held, size = [], 0
+
+        for batch in iterator:
+            lines = batch.column(batch.num_columns - 1).to_pylist()
+            names = batch.column(0).to_pylist() if batch.num_columns > 1 else [f"{self.prefix}_{task.partitionId()}.jsonl.zst"] * len(lines)
+            for file, line in zip(names, lines):
+                if file != name:
+                    if out is not None:
+                        flush()
+                        out.close()
+                    name, final = file, posixpath.join(root, file)
+                    temporary = posixpath.join(posixpath.dirname(final), f".{posixpath.basename(final)}.{task.taskAttemptId()}.tmp")
+                    where.create_dir(posixpath.dirname(final), recursive=True)
+                    out = where.open_output_stream(temporary, compression=None)
+                    files.append((temporary, final))
+                data = (line or "").encode() + b"\n"
+                held.append(data)
+                size += len(data)
+                if size >= self.frame:
+                    flush()
+        if out is not None:
+            flush()
+            out.close()
+        return Written(files)
 
     def commit(self, messages) -> None:
+        where, _ = file_system(self.folder)
         for m in messages:
-            if m and m.rows:
-                os.replace(m.path, self._final(m))
-            elif m:
-                os.remove(m.path)
+            for temporary, final in m.files if m else ():
+                where.move(temporary, final)
 
     def abort(self, messages) -> None:
+        where, _ = file_system(self.folder)
         for m in messages:
-            if m and os.path.exists(m.path):
-                os.remove(m.path)
+            for temporary, _ in m.files if m else ():
+                if where.get_file_info(temporary).type != pafs.FileType.NotFound:
+                    where.delete_file(temporary)
+
+
+def _save(lines: DataFrame, path: str, **options) -> None:
+    lines.sparkSession.dataSource.register(ZstdLines)
+    lines.write.format("zstdlines").options(path=path, **{k: str(v) for k, v in options.items()}).mode("append").save()
+
+
+def as_json(df: DataFrame, leave: tuple[str, ...] = ()) -> Column:
+    """Rows as JSON, null fields left out."""
+    return F.to_json(F.struct(*(f"`{c}`" for c in df.columns if c not in leave)))
 
 
 def write_jsonl(df: DataFrame, path: str, prefix: str = "part", level: int = 3) -> None:
-    """Rows as JSON Lines, null fields left out, in zstd files of several frames."""
-    df.sparkSession.dataSource.register(ZstdLines)
-    lines = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
-    lines.write.format("zstdlines").options(path=path, prefix=prefix, level=level).mode("append").save()
+    """Rows as JSON Lines, null fields left out, in zstd files of several frames, one for each task."""
+    _save(df.select(as_json(df).alias("value")), path, prefix=prefix, level=level)
+
+
+def write_files(df: DataFrame, path: str, file: str, value: str, order: list[Column], level: int = 3, frame: int = FRAME) -> None:
+    """Lines (`value`) to the files that each row names, in order. A file is one task's work, so that its rows lie one after
+    another: bound files by their size (greedy_shards)."""
+    dealt = df.repartition(file).sortWithinPartitions(file, *order)
+    _save(dealt.select(F.col(file), F.col(value)), path, level=level, frame=frame)
+
+
+def write_shards(df: DataFrame, path: str, folder: list[str], bin_: str | None, order: list[tuple[str, bool]], size: int, infix: str | None = None, lines: bool = False, start: int = 1, level: int = 3) -> None:
+    """Rows as JSON Lines to `<folder columns>/[<bin>_]<n>[.<infix>].jsonl.zst`, each file closed once it has `size` bytes (or
+    lines), n from `start`, in order within each. What names a file isn't written into it; folders without rows do not come
+    into being."""
+    group = [*folder, *([bin_] if bin_ else []), *([infix] if infix else [])]
+    record = df.withColumn("__value", as_json(df, tuple(folder)))
+    sized = record.withColumn("__size", F.lit(1) if lines else F.octet_length("__value") + 1).withColumns({f"__o{i}": F.col(c) for i, (c, _) in enumerate(order)})
+    placed = greedy_shards(sized.select(*group, *(f"__o{i}" for i in range(len(order))), "__value", "__size"), group, [(f"__o{i}", up) for i, (_, up) in enumerate(order)], [*(f"__o{i}" for i in range(len(order))), "__value"], "__size", size, "__shard")
+    number = (F.col("__shard") + (start - 1)).cast("string")
+    base = F.concat_ws("_", *([F.col(bin_).cast("string")] if bin_ else []), number)
+    name = F.concat(*(x for c in folder for x in (F.col(c).cast("string"), F.lit("/"))), base, *([F.coalesce(F.concat(F.lit("."), F.col(infix)), F.lit(""))] if infix else []), F.lit(".jsonl.zst"))
+    keys = [F.col(f"__o{i}").asc() if up else F.col(f"__o{i}").desc() for i, (_, up) in enumerate(order)]
+    write_files(placed.withColumn("__file", name), path, "__file", "__value", keys, level)
+
+
+def reshard(spark: SparkSession, source: str, target: str, bins: range = range(11), size: int = 128 << 30, suffix: str = ".jsonl.l.zst", level: int = 10) -> None:
+    """Existing files `<bin>_*<suffix>` of a folder anew as `<bin>_<n>.jsonl.zst`, lines in the order of files, each file
+    closed once it has `size` characters. The only file of a bin keeps its name and its lines, whatever its size."""
+    where, root = file_system(source)
+    names = sorted(i.base_name for i in where.get_file_info(pafs.FileSelector(root)) if i.is_file and i.base_name.endswith(suffix))
+    of = {b: [n for n in names if n.startswith(f"{b}_")] for b in bins}
+    found = [f"{source.rstrip('/')}/{n}" for several in of.values() for n in several]
+    if not found:
+        return
+    rows = numbered_lines(spark, found).withColumn("__bin", F.regexp_extract("file", r"^([0-9]+)_", 1).cast("int"))
+    alone = {n for several in of.values() if len(several) == 1 for n in several}
+    placed = greedy_shards(rows.withColumn("__n", F.when(F.col("file").isin(sorted(alone)), 0).otherwise(F.length("value") + 1)), ["__bin"], [("file", True), ("line", True)], ["file", "line", "value"], "__n", size)
+    own = F.concat(F.regexp_replace("file", re.escape(suffix) + "$", ""), F.lit(".jsonl.zst"))
+    new = F.concat(F.col("__bin").cast("string"), F.lit("_"), F.col("shard").cast("string"), F.lit(".jsonl.zst"))
+    named = placed.withColumn("__file", F.when(F.col("file").isin(sorted(alone)), own).otherwise(new))
+    write_files(named, target, "__file", "value", [F.col("file"), F.col("line")], level)
 
 
 def shard_names(bin_col: str = "wds_bin", shard_col: str = "shard", infix: str | None = None):
@@ -107,14 +188,18 @@ def mark_done(spark: SparkSession, folder: str, counts: dict[str, int]) -> bool:
     """Write `.done` with the counts if all are equal; whether it was written."""
     if len(set(counts.values())) > 1:
         return False
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder.rstrip("/") + "/.done")
-    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True)
-    out.write(bytearray("".join(f"{n}\t{c}\n" for n, c in sorted(counts.items())).encode()))
-    out.close()
+    write_text(spark, folder.rstrip("/") + "/.done", "".join(f"{n}\t{c}\n" for n, c in sorted(counts.items())))
     return True
 
 
+def write_filter_json(spark: SparkSession, folder: str, statistics: DataFrame, by: str = "file") -> None:
+    """`.<file>.filter.json` of each input and `.filter.json` of all (null): one small file for each row, known suffixes of
+    a file's name left out."""
+    for r in statistics.toLocalIterator():
+        name = re.sub(r"(\.jsonl)?(\.zstd?)?$", "", r[by], count=1) if r[by] is not None else None
+        write_text(spark, f"{folder.rstrip('/')}/{'' if name is None else f'.{name}'}.filter.json", r["statistics"])
+
+
 def write_statistics(df: DataFrame, path: str) -> None:
     """Statistics as one tab-separated file with a header."""
     df.coalesce(1).write.mode("overwrite").option("sep", "\t").option("header", True).csv(path)

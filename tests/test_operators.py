@@ -1,4 +1,6 @@
 import gzip
+import json
+import re
 
 import numpy as np
 import pytest
@@ -35,6 +37,25 @@ def test_route(spark, reason, wds, openlid, glotlid, prob, expected, noise):
     assert (row["route"], row["noise"], row["wds_bin"]) == (expected, noise, int(wds * 10))
 
 
+def test_route_without_values(spark):
+    """Empty arrays crash nothing; what is unknown is incompatible. Rows without a required field are counted, not routed."""
+    lid = "struct<lang: array<string>, prob: array<double>>"
+    rows = [("t", "keep", [], (["a_B"], [0.9]), (["a_B"], [0.9])), ("t", "keep", [0.9], ([], []), ([], [])), ("tt", None, [0.9], (["a_B"], [0.9]), (["a_B"], [0.9]))]
+    df = spark.createDataFrame(rows, f"text string, filter string, doc_scores array<double>, openlid_v3 {lid}, glotlid_v3 {lid}").selectExpr("*", "'f' AS file", "false AS skipped")
+    assert [(r["route"], r["noise"]) for r in route.judged(df).collect()] == [("clean", None), ("noisy", "lid"), (None, None)]
+    total = route.filter_statistics(route.judged(df)).where("file IS NULL").first()
+    assert (total["files"], total["documents"], total["invalid"], total["noisy_lid_documents"], total["clean_characters"]) == (1, 2, 1, 1, 1)
+    assert '"noisy":{"documents":1,"characters":1,"wds":' in route.filter_json(route.filter_statistics(route.judged(df))).first()["statistics"]
+    assert route.judged(df.drop("glotlid_v3")).where("route IS NULL").count() == 3
+
+
+def test_crawl_names(spark):
+    from millrace.functions.text import crawl_infix
+
+    rows = spark.createDataFrame([(x,) for x in ("archivebot", "archivebot.7", "wide16", None, "CC-MAIN-2025-05")], "c string")
+    assert [r[0] for r in rows.select(crawl_infix(F.col("c"))).collect()] == ["ab", "cc", "ia", "cc", "cc"]
+
+
 def test_rows_are_conserved(spark, data):
     from millrace.plans.queries import corpus
 
@@ -74,7 +95,8 @@ def test_merge_and_project(spark):
     project = lambda s: first.select(F.to_json(mux.project(F.col("rec"), mux.parse_spec(s)))).first()[0]
     assert (project("*,n=a"), project("z"), project("n=a"), project("a")) == ('{"a":1,"n":1}', "{}", '{"n":1}', '{"a":1}')
     both = mux.fan_out(first, [("x", mux.parse_spec("a")), ("y", mux.parse_spec("*")), ("x", mux.parse_spec("z"))])
-    assert both["x"].count() == 2 and both["y"].count() == 1
+    assert [r["value"] for r in both["x"].collect()] == ["{}"] and both["y"].count() == 1
+    assert mux.fan_out(first, [("x", mux.parse_spec("a")), ("x", mux.parse_spec("z"))], together=True)["x"].count() == 2
     for bad in ("", ",", "=a", "a="):
         with pytest.raises(ValueError):
             mux.parse_spec(bad)
@@ -119,6 +141,82 @@ def test_shards(spark):
     assert [r["number"] for r in shard.renumber({"a": 3}, df, "g", "i").orderBy("g", "i").collect()] == [4, 5, 6, 7, 8, 1]
 
 
+@pytest.mark.parametrize("before", [False, True])
+def test_shards_of_groups_that_span_blocks(spark, before):
+    """Blocks are walked and folded apart, and give what one pass gives: hot groups, small ones, null keys and sizes."""
+    rng = np.random.default_rng(7)
+    rows = [(["hot", "b", "c", None][min(3, int(rng.integers(0, 12)) // 3 if i % 3 == 0 else 0)], int(i), None if i % 50 == 0 else int(rng.integers(0, 40))) for i in range(900)]
+    df = spark.createDataFrame(rows, "g string, i int, n int").repartition(5)
+    expected = {}
+    for g in {r[0] for r in rows}:
+        mine = sorted((r[1], r[2] or 0) for r in rows if r[0] == g)
+        expected |= {(g, i): s for (i, _), s in zip(mine, _fold([n for _, n in mine], 100, before))}
+    for size, want in ((100, expected), (100_000, {k: 1 for k in expected})):
+        got = shard.greedy_shards(df, ["g"], [("i", True)], ["i"], "n", size, before=before, fold_rows=0)
+        assert {(r["g"], r["i"]): r["shard"] for r in got.collect()} == want
+    alone = shard.greedy_shards(df, [], [("i", True)], ["i"], "n", 100, before=before, fold_rows=0).orderBy("i").collect()
+    assert [r["shard"] for r in alone] == _fold([r[2] or 0 for r in rows], 100, before)
+    assert shard.greedy_shards(df.limit(0), ["g"], [("i", True)], ["i"], "n", 100).count() == 0
+
+
+def test_files_are_cut_at_their_size(spark, tmp_path):
+    docs = spark.createDataFrame([("clean" if i % 3 else "noisy", i % 2, "cc" if i % 5 else "ia", i, "x" * (i % 30)) for i in range(300)], "route string, wds_bin int, infix string, id int, text string")
+    out = str(tmp_path / "release")
+    sinks.write_shards(docs, out, ["route"], "wds_bin", [("id", False)], 1000, "infix")
+    sizes, seen = {}, []
+    for path in (tmp_path / "release").rglob("*.zst"):
+        text = zstandard.ZstdDecompressor().stream_reader(path.open("rb"), read_across_frames=True).read().decode()
+        records = [json.loads(line) for line in text.splitlines()]
+        bin_, number, infix = re.fullmatch(r"(\d+)_(\d+)\.(\w+)\.jsonl\.zst", path.name).groups()
+        assert all((str(r["wds_bin"]), r["infix"]) == (bin_, infix) and "route" not in r for r in records)
+        assert [r["id"] for r in records] == sorted((r["id"] for r in records), reverse=True)
+        assert len(text.encode()) - len(text.splitlines()[-1]) - 1 < 1000
+        sizes.setdefault((path.parent.name, bin_, infix), {})[int(number)] = len(text.encode())
+        seen += [(path.parent.name, r["id"], r.get("text")) for r in records]
+    assert sorted(seen) == sorted((r["route"], r["id"], r["text"]) for r in docs.collect())
+    for of in sizes.values():
+        assert sorted(of) == list(range(1, len(of) + 1)) and all(n >= 1000 for k, n in of.items() if k < len(of))
+    assert not list((tmp_path / "release").rglob(".*.tmp"))
+    # by lines, from a number on, and again into other sizes; the only file of a bin stays as it is
+    sinks.write_shards(docs.select("wds_bin", "id").where("wds_bin = 0 or id < 20"), str(tmp_path / "l"), [], "wds_bin", [("id", True)], 40, lines=True, start=4)
+    assert sorted(p.name for p in (tmp_path / "l").iterdir()) == ["0_4.jsonl.zst", "0_5.jsonl.zst", "0_6.jsonl.zst", "0_7.jsonl.zst", "1_4.jsonl.zst"]
+    sinks.reshard(spark, str(tmp_path / "l"), str(tmp_path / "r"), size=2000, suffix=".jsonl.zst")
+    assert sorted(p.name for p in (tmp_path / "r").iterdir()) == ["0_1.jsonl.zst", "0_2.jsonl.zst", "1_4.jsonl.zst"]
+    both = [[r["value"] for r in lines.numbered_lines(spark, str(tmp_path / d), "*.zst").orderBy("file", "line").collect()] for d in ("l", "r")]
+    assert both[0] == both[1]
+
+
+def test_small_frames_and_hidden_files(spark, tmp_path):
+    rows = spark.createDataFrame([("a.jsonl.zst", f"line {i}") for i in range(100)], "f string, v string")
+    sinks.write_files(rows, f"file://{tmp_path}/one", "f", "v", [F.col("v")], frame=64)
+    data = (tmp_path / "one" / "a.jsonl.zst").read_bytes()
+    assert data.count(b"\x28\xb5\x2f\xfd") > 5
+    assert [r["value"] for r in lines.numbered_lines(spark, str(tmp_path / "one")).orderBy("line").collect()] == sorted(f"line {i}" for i in range(100))
+    (tmp_path / ".x.ids.zst").write_bytes(data)
+    assert lines.hidden_lines(spark, str(tmp_path)).count() == 100 and lines.hidden_lines(spark, str(tmp_path), "none").count() == 0
+    (tmp_path / "page.html").write_text("<article>" + "<p>some text</p>" * 40 + "</article>")
+    (tmp_path / "short.html").write_text("<p>short</p>")
+    from millrace.functions.html import extract_files
+
+    assert [len(r["text"]) for r in extract_files(spark, str(tmp_path / "*.html")).orderBy("path").collect()] == [399, 0]
+    stats_ = spark.createDataFrame([("a.jsonl.zst", '{"n":1}'), (None, '{"n":2}')], "file string, statistics string")
+    sinks.write_filter_json(spark, str(tmp_path / "s"), stats_)
+    assert (tmp_path / "s" / ".a.filter.json").read_text() == '{"n":1}' and (tmp_path / "s" / ".filter.json").read_text() == '{"n":2}'
+    assert {r["text_size"] for r in stats.pool_sizes(spark, str(tmp_path / "one")).collect()} == {0}
+
+
+def test_plans_over_lists_are_bounded(spark):
+    with pytest.raises(ValueError):
+        stats.listed(spark.range(11), 10)
+
+
+def test_release_keeps_rows_without_id(spark):
+    lid = "struct<lang: array<string>, prob: array<double>>"
+    rows = [(i, "t", "keep", [0.9], (["a_B"], [0.9]), (["a_B"], [0.9])) for i in ("a", "b", "b", None, None)]
+    out = stages.release(spark.createDataFrame(rows, f"id string, text string, filter string, doc_scores array<double>, openlid_v3 {lid}, glotlid_v3 {lid}"), 2)
+    assert sorted(r["id"] or "" for r in out.collect()) == ["", "", "a"] and out.where("shard > 0").count() == 3
+
+
 def test_statistics(spark):
     assert stats.conversion_success(spark.createDataFrame([("x",), ("",), (None,)], "md string")).first().asDict() == {"ok": 1, "total": 3}
     assert [r["value"] for r in stats.value_frequencies(spark.createDataFrame([(x,) for x in "abbcc"], "v string"), F.col("v")).collect()] == ["c", "b", "a"]
@@ -175,8 +273,11 @@ def test_releases(spark, tmp_path):
         with pytest.raises(ValueError):
             lines.read_release(spark, bad, ["a", "b"])
     assert lines.optional_source(spark, str(tmp_path / "none.zst"), "allowed boolean") is None
-    bad = spark.createDataFrame([(bytearray(b"a\xffb"),), (bytearray("é".encode()),)], "d binary").select(lines.lenient_utf8(F.col("d")).alias("r")).select("r.*").collect()
-    assert [(r["text"], r["error"]) for r in bad] == [("ab", "invalid UTF-8"), ("é", None)]
+    bad = spark.createDataFrame([(bytearray(b"a\xffb"),), (bytearray("é".encode()),)], "d binary")
+    assert [(r["text"], r["error"]) for r in lines.lenient_utf8(bad, "d").collect()] == [("ab", "invalid UTF-8"), ("é", None)]
+    assert [r["text"] for r in lines.lenient_utf8(bad, "d", strict=True).collect()] == ["é"]
+    own = spark.createDataFrame([(bytearray("ok \ufffd ".encode() + b"\xff bad"),), (None,)], "d binary")
+    assert [r["text"] for r in lines.lenient_utf8(own, "d").collect()] == ["ok \ufffd  bad", None]
     assert spark.range(1).select(lines.output_folder(F.lit("/x/CC-1/html/7/text.zst"), "/o")).first()[0] == "/o/CC-1/pool/7"
 
 
