@@ -3,7 +3,8 @@
 The tree is fitted on a bounded sample; every row is put into a leaf. A query goes through the tree best bin first: a
 priority queue holds the branches not yet taken, and leaves are visited in its order. How many, is calibrated: for a
 sample of queries the exact neighbours are found among all rows, in blocks, and visits widen until RECALL of them are
-seen. Leaves are cut into blocks of rows and of queries, so that no leaf, however full, meets in one task.
+seen. Leaves are cut into blocks by the rows and the queries that they have, so that no leaf, however full or however
+often asked, meets in one task.
 """
 
 from __future__ import annotations
@@ -15,12 +16,16 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from .common import map_rows, settle
 
-#: Children of a node; rows of the table for each leaf, and most leaves; rows of the sample for each leaf.
-BRANCH, LEAF_ROWS, MOST_LEAVES, LEAF_SAMPLE = 8, 3200, 1024, 100
+#: Children of a node; rows of the table for each leaf, so that leaves grow with it, and most leaves; rows of the sample for
+#: each leaf, and rows of the sample at most.
+BRANCH, LEAF_ROWS, MOST_LEAVES, LEAF_SAMPLE, SAMPLE = 8, 1000, 8192, 100, 102_400
+#: Rows that a query meets before what it has found bounds what other leaves give.
+FIRST_ROWS = 3000
 #: Recall aimed at among the neighbours of so many calibration queries.
 RECALL, CALIBRATION = 0.97, 200
 #: Rows and queries that meet in one group at most, about.
@@ -142,22 +147,27 @@ def _best(found: DataFrame, k: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def search(vectors: DataFrame, is_query: Column, k: int = NEIGHBOURS, id_col: str = "vec_id", vector_col: str = "embedding", recall: float = RECALL) -> DataFrame:
+def search(
+    vectors: DataFrame, is_query: Column, k: int = NEIGHBOURS, id_col: str = "vec_id", vector_col: str = "embedding", recall: float = RECALL, leaf_rows: int = LEAF_ROWS
+) -> DataFrame:
     """query_id, rank, vec_id, score: each query's k nearest of those found, fewer if there are no more rows.
 
     Rows with a null id, or vectors that are null, zero, or hold null or non-finite components, take no part; nor do
-    vectors of another length than the commonest (of equally common ones, the longest). Rows that repeat an id are
-    candidates one by one, but none for their own id."""
+    vectors of another length than the commonest (of equally common ones, the longest), which have no inner product with
+    the others. Rows that repeat an id are candidates one by one, but none for their own id. An empty table gives none."""
     spark = vectors.sparkSession
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    vec = F.col(vector_col).cast("array<double>")
+    kind = vectors.schema[vector_col].dataType
+    # numbers of single precision move as such, and are reckoned with in double
+    vec = F.col(vector_col) if kind == T.ArrayType(T.FloatType()) else F.col(vector_col).cast("array<double>")
+    numbers = "array<float>" if kind == T.ArrayType(T.FloatType()) else "array<double>"
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), vec.alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks")).where(usable(F.col("v")) & F.col("vec_id").isNotNull())
     sizes = rows.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("d")).first()
     if sizes is None:
         return empty
     rows, total = rows.where(F.size("v") == sizes["d"]), sizes["n"]
-    leaves = max(1, min(MOST_LEAVES, total // LEAF_ROWS))
-    wanted = LEAF_SAMPLE * leaves
+    leaves = max(1, min(MOST_LEAVES, total // leaf_rows))
+    wanted = min(SAMPLE, LEAF_SAMPLE * leaves)
     hashed = F.pmod(F.xxhash64("vec_id"), F.lit(1_000_000_007))
     near = rows.select("v", hashed.alias("h")).where(F.col("h") < int(1_000_000_007 * min(1.0, 1.1 * wanted / total)) + 1)
     sample = near.orderBy("h").limit(wanted).select("v").toPandas()["v"]
@@ -165,9 +175,9 @@ def search(vectors: DataFrame, is_query: Column, k: int = NEIGHBOURS, id_col: st
     sent = spark.sparkContext.broadcast(tree)
 
     def put():
-        return lambda b: {"vec_id": b["vec_id"], "v": b["v"], "asks": b["asks"], "leaf": sent.value.assign(_matrix(b["v"])) if b["v"] else []}
+        return lambda b: {"leaf": sent.value.assign(_matrix(b["__v"])) if b["__v"] else []}
 
-    index = settle(map_rows(rows, put, "vec_id long, v array<double>, asks boolean, leaf long"), "ann-index")
+    index = settle(map_rows(rows.withColumn("__v", F.col("v")), put, "leaf long", keep=("vec_id", "v", "asks")), "ann-index")
     held = {r["leaf"]: r["n"] for r in index.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()}
     queries = index.where("asks").select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
     n_queries = queries.count()
@@ -177,27 +187,25 @@ def search(vectors: DataFrame, is_query: Column, k: int = NEIGHBOURS, id_col: st
 
     def probe():
         def work(b):
-            out = {"query_id": [], "q": [], "leaf": [], "turn": []}
+            out = {"query_id": [], "q": [], "leaf": [], "early": []}
             for query, q in zip(b["query_id"], b["q"]):
                 seen = 0
-                for n, leaf in enumerate(sent.value.visit(np.asarray(q))):
+                for n, leaf in enumerate(sent.value.visit(np.asarray(q, np.float64))):
                     # widen, too, until there are enough rows
                     if n >= visits and seen > k:
                         break
                     if leaf in held:
-                        seen += held[leaf]
-                        for name, value in zip(out, (query, q, leaf, n)):
+                        for name, value in zip(out, (query, q, leaf, seen < FIRST_ROWS)):
                             out[name].append(value)
+                        seen += held[leaf]
             return out
 
         return work
 
-    probes = settle(map_rows(queries, probe, "query_id long, q array<double>, leaf long, turn int"), "ann-probes")
-    asked = -(-n_queries * visits // max(1, len(held)))
-    cuts = spark.createDataFrame([(leaf, -(-n // BLOCK_ROWS), -(-min(n_queries, 2 * asked) // BLOCK_QUERIES)) for leaf, n in held.items()], "leaf long, by_rows int, by_queries int")
+    probes = settle(map_rows(queries, probe, f"query_id long, q {numbers}, leaf long, early boolean"), "ann-probes")
+    full = spark.createDataFrame(list(held.items()), "leaf long, n long")
     part = lambda key, n: F.pmod(F.xxhash64(key), n).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = index.select("vec_id", "v", "leaf").join(F.broadcast(cuts), "leaf").select("leaf", part("vec_id", F.col("by_rows")).alias("b"), each("by_queries").alias("c"), "vec_id", "v")
 
     def meet(x: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         if not len(x) or not len(q):
@@ -210,13 +218,19 @@ def search(vectors: DataFrame, is_query: Column, k: int = NEIGHBOURS, id_col: st
     keys = ["leaf", "b", "c"]
 
     def met(some: DataFrame) -> DataFrame:
-        right = some.join(F.broadcast(cuts), "leaf").select("leaf", each("by_rows").alias("b"), part("query_id", F.col("by_queries")).alias("c"), "query_id", "q", "bound")
+        """What the probes (with bound) find. Leaves that none of them asks are left out."""
+        asked = some.groupBy("leaf").agg(F.count(F.lit(1)).alias("__asked")).join(full, "leaf")
+        cuts = asked.select("leaf", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("by_rows"), F.ceil(F.col("__asked") / BLOCK_QUERIES).cast("int").alias("by_queries"))
+        # as many rows as there are leaves
+        cuts = F.broadcast(settle(cuts, "ann-cuts"))
+        left = index.select("vec_id", "v", "leaf").join(cuts, "leaf").select("leaf", part("vec_id", F.col("by_rows")).alias("b"), each("by_queries").alias("c"), "vec_id", "v")
+        right = some.join(cuts, "leaf").select("leaf", each("by_rows").alias("b"), part("query_id", F.col("by_queries")).alias("c"), "query_id", "q", "bound")
         return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(meet, "query_id long, vec_id long, score double")
 
-    # the first leaf's last neighbour bounds what can still be among the nearest: other leaves give only what reaches it
-    first = settle(met(probes.where("turn = 0").withColumn("bound", F.lit(None).cast("double"))), "ann-first")
+    # the first leaves' last neighbour bounds what can still be among the nearest: others give only what reaches it
+    first = settle(met(probes.where("early").withColumn("bound", F.lit(None).cast("double"))), "ann-first")
     bounds = _best(first, k).groupBy("query_id").agg(F.min("score").alias("bound"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= k).drop("n")
-    rest = met(probes.where("turn > 0").join(bounds, "query_id", "left"))
+    rest = met(probes.where("not early").join(bounds, "query_id", "left"))
     return _best(first.union(rest), k).select("query_id", "rank", "vec_id", "score")
 
 

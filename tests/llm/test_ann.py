@@ -19,8 +19,14 @@ def frame(spark, ids, vectors):
     return spark.createDataFrame([(i, v) for i, v in zip(ids, vectors)], "vec_id long, embedding array<float>").selectExpr("*", "'l' AS leaf", "1 AS q", "'r' AS rank")
 
 
-@pytest.mark.parametrize("n, spread", [(3000, 1.0), (900, 0.05), (10, 1.0)])
-def test_recall(spark, n, spread):
+@pytest.mark.parametrize("n, spread", [(20_000, 0.4), (3000, 1.0), (900, 0.05), (10, 1.0)])
+def test_recall(spark, n, spread, monkeypatch):
+    """The largest case has 20 leaves and more, of which queries visit a part; its hot leaf is cut into blocks."""
+    visited = []
+    calibrate = ann.calibrate
+    monkeypatch.setattr(ann, "calibrate", lambda *a: visited.append((len(a[3].leaves), calibrate(*a))) or visited[-1][1])
+    monkeypatch.setattr(ann, "BLOCK_ROWS", 500)
+    monkeypatch.setattr(ann, "BLOCK_QUERIES", 200)
     rng = np.random.default_rng(n)
     centres = rng.normal(size=(9, 16))
     x = (centres[rng.integers(0, 9, n)] + spread * rng.normal(size=(n, 16))).astype(np.float32)
@@ -41,6 +47,7 @@ def test_recall(spark, n, spread):
         exact = dict(truth[q])
         assert all(exact.get(m[1], m[2]) == m[2] for m in mine)
     assert hits >= 0.9 * total
+    assert n < 20_000 or visited[0][0] >= 20 and visited[0][1] < visited[0][0]
 
 
 def test_odd_vectors(spark):
