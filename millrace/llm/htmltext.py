@@ -1,18 +1,25 @@
 """Main text of web pages by wrapper induction.
 
 Pages of one host share a template. Some pages of each host (SEEDS, chosen by hash: the sample the wrapper is fitted on)
-are parsed and their trees aligned by simple tree matching; nodes whose text is the same in most of them are template,
-the others are slots. Besides, the texts at each path of labels are counted over all pages of the host: those that most
-pages of the host or of one layout have, and those of paths whose texts mostly come again, are template too. Every page of the host is then aligned with that wrapper: what matches a template node goes, and of
-the rest the article's blocks stay. Parts whose names say what they are (menus, footers, forms ...) need no wrapper.
+are parsed and their trees aligned by simple tree matching. What most of them share is the wrapper: nodes whose text is
+the same are template, the lowest node that holds nearly all of the varying prose is the slot of the article, and parts
+that come again under a name for comments, adverts and the like are slots of something else. Besides, the texts at each
+path of labels are counted over all pages of the host: those that most pages of the host or of one layout have, and those
+of paths whose texts mostly come again, are template too.
+
+Every page of the host is aligned with the wrapper: the text is what stands in the article's slot and is no template.
+Class names decide by themselves only on pages whose host has no wrapper, and never about a paragraph.
 """
 
 from __future__ import annotations
 
 import json
 import re
-from hashlib import blake2b
+from bisect import bisect_left
+from collections import Counter
 from dataclasses import dataclass, field
+from functools import lru_cache
+from hashlib import blake2b
 from html.parser import HTMLParser
 
 from pyspark.sql import Column, DataFrame
@@ -23,9 +30,11 @@ from .common import hot_keys, map_rows, salted_join, settle
 
 #: Pages of a host that its wrapper is fitted on, at most; share of them that must agree, and their least number.
 SEEDS, AGREE, LEAST = 8, 0.75, 3
-#: Elements deeper than this are taken as if at this depth; pairs of children that a matching looks at, at most: beyond
-#: it, the middle is taken as a slot. Both keep text, and only bound the time.
+#: Elements deeper than this become leaves side by side at this depth, in page order; pairs of children that are all compared:
+#: longer lists are first cut at children that are the same, and alike once, in both. Both bound the time, and drop nothing.
 DEPTH, PAIRS = 120, 60_000
+#: Share of the varying prose that the article's slot holds.
+SLOT = 0.9
 #: Bytes of wrappers, and ids of seeds, that may be broadcast; beyond, they are joined by shuffle.
 SENT_BYTES, SENT_IDS = 32 << 20, 1_000_000
 
@@ -53,6 +62,8 @@ NOISE = re.compile(
     r"alert|hidden|sr-?only|screen-?reader-?text|print-?only|tag-?cloud|outbrain|taboola)(?:$|[-_\s0-9])",
     re.I,
 )
+#: Elements that a name may take out; paragraphs, headings, items and cells it never does.
+NAMED = frozenset("div section header table figure center details".split())
 HOLDER = re.compile(r"(?:^|[-_\s])(?:article|article-?body|post|post-?body|post-?content|entry|entry-?content|story|content|main|main-?content|page-?content|text-?body)(?:$|[-_\s0-9])", re.I)
 
 
@@ -65,6 +76,10 @@ class Node:
     #: strings and nodes in order
     items: list = field(default_factory=list)
     template: bool = False
+    #: the article's slot; whether the wrapper has this part
+    slot: bool = False
+    known: bool = False
+    digest: int = 0
 
     @property
     def label(self) -> str:
@@ -84,37 +99,56 @@ class _Builder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("#root")
         self.open = [self.root]
+        #: open elements that lie too deep to be opened
+        self.deep: list[Node] = []
 
     def handle_starttag(self, tag, attrs):
         for closing in [tag] if tag in CLOSES else ["p"] if tag not in INLINE and tag not in VOID else []:
             for i in range(len(self.open) - 1, 0, -1):
-                if self.open[i].tag in CLOSES[closing]:
+                if self.open[i].tag in CLOSES[closing] and not self.deep:
                     del self.open[i:]
                     break
                 if self.open[i].tag in SCOPES and not (closing == "tr" and self.open[i].tag in ("td", "th")):
                     break
         at = dict(attrs)
         style = (at.get("style") or "").replace(" ", "").lower()
-        node = Node(tag, " ".join(filter(None, (at.get("class"), at.get("id")))), "hidden" in at or at.get("aria-hidden") == "true" or "display:none" in style or "visibility:hidden" in style, (at.get("role") or "").lower())
+        hidden = "hidden" in at or at.get("aria-hidden") == "true" or "display:none" in style or "visibility:hidden" in style
+        node = Node(tag, " ".join(filter(None, (at.get("class"), at.get("id")))), hidden, (at.get("role") or "").lower())
         self.open[-1].items.append(node)
-        if tag not in VOID and len(self.open) < DEPTH:
-            self.open.append(node)
+        if self.deep:
+            above = self.deep[-1]
+            node.hidden = node.hidden or above.hidden or above.tag in SILENT or above.tag in ASIDE
+        if tag not in VOID:
+            if len(self.open) < DEPTH:
+                self.open.append(node)
+            else:
+                self.deep.append(node)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
-        if self.open[-1].tag == tag and tag not in VOID:
-            self.open.pop()
+        if tag not in VOID:
+            self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
+        for i in range(len(self.deep) - 1, -1, -1):
+            if self.deep[i].tag == tag:
+                del self.deep[i:]
+                if self.deep:
+                    # what follows goes on with the element around, behind the one that ended
+                    above = self.deep[-1]
+                    self.deep[-1] = Node(above.tag, above.name, above.hidden, above.role)
+                    self.open[-1].items.append(self.deep[-1])
+                return
         for i in range(len(self.open) - 1, 0, -1):
             if self.open[i].tag == tag:
                 del self.open[i:]
+                self.deep.clear()
                 return
             if self.open[i].tag in SCOPES and tag not in SCOPES:
                 return
 
     def handle_data(self, data):
-        self.open[-1].items.append(data)
+        (self.deep or self.open)[-1].items.append(data)
 
 
 def parse(html: str | None) -> Node:
@@ -124,83 +158,192 @@ def parse(html: str | None) -> Node:
     return builder.root
 
 
-def _is_noise(node: Node, inside: bool) -> bool:
-    """Whether a part is no article text by what it is called; a header inside the article holds its heading."""
+def _named_noise(node: Node) -> bool:
+    return node.tag in NAMED and bool(node.name) and bool(NOISE.search(node.name))
+
+
+def _is_noise(node: Node, inside: bool, wrapped: bool = False) -> bool:
+    """Whether a part is no article text by what it is: its element, or its name. A header inside the article holds its
+    heading. wrapped: names count only where the wrapper has the part, too."""
     if node.hidden or node.tag in SILENT or node.tag in ASIDE or node.role in ROLES or node.tag == "header" and not inside:
         return True
-    return bool(node.name) and node.tag not in ("html", "body") and not (inside is False and node.tag in ("article", "main") and not re.search("comment|related|teaser", node.name, re.I)) and bool(NOISE.search(node.name))
+    return _named_noise(node) and (node.known or not wrapped)
 
 
-def match(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]]:
-    """Simple tree matching: the most nodes that two trees share, and the pairs, when labels, parents and order must agree."""
-    if a.label != b.label:
-        return 0, []
-    xs, ys = a.children(), b.children()
-    head = tail = 0
-    pairs = [(a, b)]
-    total = 1
-    # equal ends match each other in some best matching; this keeps the table below small
-    same = lambda x, y: x.label == y.label and x.own_text() == y.own_text()
-    while head < min(len(xs), len(ys)) and same(xs[head], ys[head]):
+def _digests(root: Node) -> None:
+    """Sets the digest of every node: equal where label, texts and children are."""
+    order, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        order.append(node)
+        todo += node.children()
+    for node in reversed(order):
+        node.digest = hash((node.tag, node.name, node.own_text(), *(c.digest for c in node.children())))
+
+
+def _pairs_of(a: Node, b: Node) -> list[tuple[Node, Node]]:
+    """Pairs of two equal trees."""
+    out, todo = [], [(a, b)]
+    while todo:
+        x, y = todo.pop()
+        out.append((x, y))
+        todo += zip(x.children(), y.children())
+    return out
+
+
+def _anchors(xs: list[Node], ys: list[Node]) -> list[tuple[int, int]]:
+    """Places of children that are equal, and alike once on each side: the longest run of them in order on both."""
+    once = lambda side: {d: i for i, d in enumerate(n.digest for n in side) if sum_[d] == 1}
+    sum_ = Counter(n.digest for n in xs)
+    mine = once(xs)
+    sum_ = Counter(n.digest for n in ys)
+    theirs = once(ys)
+    both = [(i, theirs[d]) for d, i in mine.items() if d in theirs]
+    tails, at, back = [], [], []
+    for k, (_, j) in enumerate(both):
+        place = bisect_left(tails, j)
+        back.append(at[place - 1] if place else None)
+        tails[place : place + 1], at[place : place + 1] = [j], [k]
+    out, k = [], at[-1] if at else None
+    while k is not None:
+        out.append(both[k])
+        k = back[k]
+    return out[::-1]
+
+
+def _aligned(xs: list[Node], ys: list[Node]) -> tuple[int, list[tuple[Node, Node]]]:
+    """The best matching of two lists of children in order: its weight, and its pairs."""
+    total, pairs, head, tail = 0, [], 0, 0
+    # equal ends are matched in some best matching
+    while head < min(len(xs), len(ys)) and xs[head].digest == ys[head].digest:
         head += 1
-    while tail < min(len(xs), len(ys)) - head and same(xs[-1 - tail], ys[-1 - tail]):
+    while tail < min(len(xs), len(ys)) - head and xs[-1 - tail].digest == ys[-1 - tail].digest:
         tail += 1
     for x, y in [*zip(xs[:head], ys[:head]), *zip(xs[len(xs) - tail :], ys[len(ys) - tail :])]:
-        n, more = match(x, y)
-        total, pairs = total + n, pairs + more
+        same = _pairs_of(x, y)
+        total, pairs = total + sum(1 + 2 * (n.own_text() != "") for n, _ in same), pairs + same
     xs, ys = xs[head : len(xs) - tail], ys[head : len(ys) - tail]
-    if xs and ys and len(xs) * len(ys) <= PAIRS:
-        won = [[(0, [])] * len(ys) for _ in xs]
-        best = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
-        for i, x in enumerate(xs):
-            for j, y in enumerate(ys):
-                won[i][j] = match(x, y)
-                # equal text weighs as much as two nodes, so that of like blocks the constant ones meet
-                gain = won[i][j][0] and won[i][j][0] + 2 * (x.own_text() == y.own_text() != "")
-                best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + gain)
-        i, j = len(xs), len(ys)
-        while i and j:
-            if best[i][j] == best[i - 1][j]:
-                i -= 1
-            elif best[i][j] == best[i][j - 1]:
-                j -= 1
-            else:
-                i, j = i - 1, j - 1
-                total, pairs = total + won[i][j][0], pairs + won[i][j][1]
+    if not xs or not ys:
+        return total, pairs
+    if len(xs) * len(ys) > PAIRS:
+        cuts = _anchors(xs, ys)
+        if not cuts:
+            # nothing to cut at: in order, each child meets the next one with its label
+            cuts, places, j = [], {}, 0
+            for k, y in enumerate(ys):
+                places.setdefault(y.label, []).append(k)
+            for i, x in enumerate(xs):
+                of = places.get(x.label, [])
+                k = bisect_left(of, j)
+                if k < len(of):
+                    cuts.append((i, of[k]))
+                    j = of[k] + 1
+            for i, j in cuts:
+                n, more = match(xs[i], ys[j])
+                total, pairs = total + n, pairs + more
+            return total, pairs
+        last = (-1, -1)
+        for i, j in [*cuts, (len(xs), len(ys))]:
+            n, more = _aligned(xs[last[0] + 1 : i], ys[last[1] + 1 : j])
+            total, pairs = total + n, pairs + more
+            if i < len(xs):
+                n, more = match(xs[i], ys[j])
+                total, pairs = total + n, pairs + more
+            last = (i, j)
+        return total, pairs
+    won = [[match(x, y) for y in ys] for x in xs]
+    best = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
+    for i in range(len(xs)):
+        for j in range(len(ys)):
+            best[i + 1][j + 1] = max(best[i][j + 1], best[i + 1][j], best[i][j] + won[i][j][0])
+    i, j = len(xs), len(ys)
+    while i and j:
+        if best[i][j] == best[i - 1][j]:
+            i -= 1
+        elif best[i][j] == best[i][j - 1]:
+            j -= 1
+        else:
+            i, j = i - 1, j - 1
+            total, pairs = total + won[i][j][0], pairs + won[i][j][1]
     return total, pairs
 
 
+def match(a: Node, b: Node) -> tuple[int, list[tuple[Node, Node]]]:
+    """Simple tree matching, when labels, parents and order must agree: the greatest weight, and its pairs. A pair weighs one,
+    and two more if its text is the same, so that of like blocks the constant ones meet. Nodes need their digests."""
+    if a.label != b.label:
+        return 0, []
+    if a.digest == b.digest:
+        same = _pairs_of(a, b)
+        return sum(1 + 2 * (n.own_text() != "") for n, _ in same), same
+    n, pairs = _aligned(a.children(), b.children())
+    return n + 1 + 2 * (a.own_text() == b.own_text() != ""), [(a, b), *pairs]
+
+
 def _letters(node: Node) -> int:
     return len(node.own_text()) + sum(map(_letters, node.children()))
 
 
+def _prose(node: Node, marked=None) -> int:
+    """Letters of running text below a node that is no template: not in links, nor in parts that are never article."""
+    if node.tag in SILENT or node.tag in ASIDE or node.tag == "a" or node.hidden or node.role in ROLES:
+        return 0
+    own = 0 if (marked(node) if marked else node.template) else len(node.own_text())
+    return own + sum(_prose(c, marked) for c in node.children())
+
+
 def induce(pages: list[str]) -> str | None:
-    """The wrapper of a host as JSON: the first page's tree with the texts that the pages agree on; None without any."""
+    """The wrapper of a host as JSON: of the first page's tree, the nodes with a text that the pages agree on, the article's
+    slot, and the parts that come again under a name that is no article's. None without any."""
     trees = [parse(p) for p in pages]
     if len(trees) < LEAST:
         return None
-    agreed: dict[int, int] = {}
+    for tree in trees:
+        _digests(tree)
+    agreed: Counter = Counter()
+    met: Counter = Counter()
     for other in trees[1:]:
         for mine, theirs in match(trees[0], other)[1]:
-            if mine.own_text() and mine.own_text() == theirs.own_text():
-                agreed[id(mine)] = agreed.get(id(mine), 0) + 1
-    enough = AGREE * (len(trees) - 1)
+            met[id(mine)] += 1
+            agreed[id(mine)] += mine.own_text() == theirs.own_text() != ""
+    enough = max(AGREE * (len(trees) - 1), LEAST - 1)
 
     def is_template(node: Node) -> bool:
-        return agreed.get(id(node), 0) >= max(enough, LEAST - 1)
+        return agreed[id(node)] >= enough
 
     def same_letters(node: Node) -> int:
         return is_template(node) * len(node.own_text()) + sum(map(same_letters, node.children()))
 
+    def slot_of(body: Node) -> Node | None:
+        whole = _prose(body, is_template)
+        if not whole:
+            return None
+        path = [body]
+        while inner := next((c for c in path[-1].children() if met[id(c)] >= enough and c.tag not in INLINE and _prose(c, is_template) >= SLOT * whole), None):
+            if inner.tag in ("p", "ul", "ol", "blockquote", "pre", "table"):
+                break
+            path.append(inner)
+        # a heading of the page beside the text belongs to it
+        slot = path.pop()
+        while path and not any(n.tag == "h1" for n in _walk(slot)):
+            if any(n.tag == "h1" and not is_template(n) for n in _walk(path[-1])):
+                slot = path[-1]
+                break
+            path.pop()
+        return None if slot is body else slot
+
+    body = next((n for n in _walk(trees[0]) if n.tag == "body"), trees[0])
+    slot = slot_of(body)
+
     def keep(node: Node, doubtful: bool):
         # an article of which most stays the same is one text on many pages, and not template
-        if _holds(node):
+        if _holds(node) or node is slot:
             doubtful = 2 * same_letters(node) > _letters(node)
         kids = [k for k in (keep(c, doubtful) for c in node.children()) if k]
         text = node.own_text() if is_template(node) and not doubtful else None
-        return [node.tag, node.name, text, kids] if kids or text else None
+        known = met[id(node)] >= enough and (node is slot or _named_noise(node))
+        return [node.tag, node.name, text, kids, int(node is slot)] if kids or text or known else None
 
-    body = next((n for n in _walk(trees[0]) if n.tag == "body"), trees[0])
     kept = keep(trees[0], same_letters(body) > 0.9 * _letters(body) and not any(_holds(n) for n in _walk(body)))
     return json.dumps(kept, ensure_ascii=False) if kept else None
 
@@ -216,16 +359,30 @@ def _holds(node: Node) -> bool:
 
 
 def _read(kept: list) -> Node:
-    tag, name, text, kids = kept
-    return Node(tag, name, items=[*([text] if text else []), *map(_read, kids)])
+    tag, name, text, kids, slot = kept
+    return Node(tag, name, items=[*([text] if text else []), *map(_read, kids)], slot=bool(slot))
+
+
+@lru_cache(100)
+def _wrapper(kept: str) -> Node:
+    root = _read(json.loads(kept))
+    _digests(root)
+    return root
 
 
-def _mark(page: Node, wrapper: str) -> None:
-    for template, node in match(_read(json.loads(wrapper)), page)[1]:
-        node.template = bool(template.own_text()) and template.own_text() == node.own_text()
+def _mark(page: Node, wrapper: str) -> Node | None:
+    """Marks what the wrapper says about the page's nodes, and gives the one in the article's slot."""
+    found = None
+    _digests(page)
+    for ours, node in match(_wrapper(wrapper), page)[1]:
+        node.known = True
+        node.template = bool(ours.own_text()) and ours.own_text() == node.own_text()
+        if ours.slot:
+            found = node
+    return found
 
 
-def _blocks(node: Node, inside: bool) -> list[tuple[str, int]]:
+def _blocks(node: Node, inside: bool, wrapped: bool = False) -> list[tuple[str, int]]:
     """(text, letters in links) of each block below a node, in page order; texts with white space as it comes."""
     out: list[list] = [["", 0]]
 
@@ -237,7 +394,7 @@ def _blocks(node: Node, inside: bool) -> list[tuple[str, int]]:
                     out[-1][1] += linked * len("".join(item.split()))
             elif item.tag in ("br", "wbr"):
                 out[-1][0] += " " if item.tag == "br" else ""
-            elif not _is_noise(item, inside):
+            elif not _is_noise(item, inside, wrapped):
                 block = item.tag not in INLINE
                 if block:
                     out.append(["", 0])
@@ -296,16 +453,19 @@ def _mark_common(root: Node, body: Node, common: set[str]) -> None:
 def extract(html: str | None, wrapper: str | None = None, common: set[str] | None = None) -> str:
     """Blocks of the article joined by empty lines; empty if there are none. White space in a block becomes one space."""
     root = parse(html)
-    if wrapper:
-        _mark(root, wrapper)
+    slot = _mark(root, wrapper) if wrapper else None
     body = next((n for n in root.children() if n.tag == "html"), root)
     if common:
         _mark_common(root, body, common)
+    wrapped = bool(wrapper)
+    # the slot decides if it holds the better part of what the page has to say
+    if slot is not None and 2 * _prose(slot) > _prose(body) and (blocks := _blocks(slot, True, True)):
+        return "\n\n".join(text for text, _ in blocks)
     found: list[Node] = []
 
     def holders(node: Node, tags) -> None:
         for child in node.children():
-            if not _is_noise(child, False):
+            if not _is_noise(child, False, wrapped) or child.tag in ("article", "main") and not child.hidden:
                 if tags(child):
                     found.append(child)
                 else:
@@ -313,25 +473,25 @@ def extract(html: str | None, wrapper: str | None = None, common: set[str] | Non
 
     for tags in (lambda n: n.tag == "article" or n.role == "article", lambda n: n.tag == "main" or n.role == "main", _holds):
         holders(body, tags)
-        found = [n for n in found if _blocks(n, True)]
+        found = [n for n in found if _blocks(n, True, wrapped)]
         if found:
             break
     if found:
-        blocks = [b for n in found for b in _blocks(n, True)]
+        blocks = [b for n in found for b in _blocks(n, True, wrapped)]
     else:
-        blocks = _largest(body)
+        blocks = _largest(body, wrapped)
         # without any name to go by, a block of links alone is a menu
         blocks = [b for b in blocks if b[1] < 0.8 * len("".join(b[0].split()))]
     return "\n\n".join(text for text, _ in blocks)
 
 
-def _largest(body: Node) -> list[tuple[str, int]]:
+def _largest(body: Node, wrapped: bool) -> list[tuple[str, int]]:
     """Blocks of the lowest part that holds most of the running text: from the top, go down while one child has it."""
     prose = lambda bs: sum(len(t) - n for t, n in bs if len(t.split()) >= 8)
-    node, blocks = body, _blocks(body, False)
+    node, blocks = body, _blocks(body, False, wrapped)
     while True:
-        kids = [k for k in node.children() if k.tag not in INLINE and k.tag not in VOID and not _is_noise(k, False)]
-        best = max(((prose(b := _blocks(k, False)), i, k, b) for i, k in enumerate(kids)), default=None, key=lambda x: x[:2])
+        kids = [k for k in node.children() if k.tag not in INLINE and k.tag not in VOID and not _is_noise(k, False, wrapped)]
+        best = max(((prose(b := _blocks(k, False, wrapped)), i, k, b) for i, k in enumerate(kids)), default=None, key=lambda x: x[:2])
         if best is None or not best[0] or best[0] < 0.8 * prose(blocks) or best[2].tag in ("p", "ul", "ol", "blockquote", "pre", "table"):
             return blocks
         node, blocks = best[2], best[3]
