@@ -36,6 +36,8 @@ ROWS, SKETCH_WORDS = 5, 16
 #: Members of a bucket that meet by their sketches, and by their texts, in one group, about, and bytes of these texts;
 #: larger buckets are cut into blocks.
 SKETCH_BLOCK, BLOCK, BLOCK_BYTES = 4096, 1500, 8 << 20
+#: Blocks are smaller where a task's fair share of the rows is, but not below this.
+LEAST_BLOCK = 256
 #: Shingles of texts that a task keeps at hand.
 KEPT = 4_000_000
 #: Chance that a pair at the threshold shares no band; standard deviations below the threshold at which a sketch rules out.
@@ -304,12 +306,15 @@ def cross_links(open_: DataFrame, sketches: DataFrame, classes: DataFrame, docs:
         group = _Group(size, percent, flips)
         return lambda now, rows: group.links(rows)
 
+    def block(rows: DataFrame, most: int) -> int:
+        return min(most, max(LEAST_BLOCK, rows.count() // int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+
     signed = open_.join(sketches, "digest")
-    maybe = _in_blocks(signed, hot, F.ceil(F.count(F.lit(1)) / SKETCH_BLOCK), ["label", "n", "sketch"], by_sketch, "key long, digest binary").distinct()
+    maybe = _in_blocks(signed, hot, F.ceil(F.count(F.lit(1)) / block(open_, SKETCH_BLOCK)), ["label", "n", "sketch"], by_sketch, "key long, digest binary").distinct()
     maybe = settle(maybe, "near-hopeful")
     texts = packed_texts(maybe.select("digest").distinct(), classes, docs, size)
     left = open_.join(maybe, ["key", "digest"]).join(sketches, "digest").join(texts, "digest")
-    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum(F.octet_length("packed")) / BLOCK_BYTES))
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / block(maybe, BLOCK), F.sum(F.octet_length("packed")) / BLOCK_BYTES))
     return settle(_in_blocks(left, hot, blocks, ["label", "n", "sketch", "packed"], by_text, "a binary, b binary").distinct(), "near-links")
 
 
