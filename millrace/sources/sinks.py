@@ -139,6 +139,12 @@ def write_files(df: DataFrame, path: str, file: str, value: str, order: list[Col
     _save(dealt.select(F.col(file), F.col(value)), path, level=level, frame=frame)
 
 
+def write_single(df: DataFrame, path: str, name: str, order: list[Column], level: int = 3) -> None:
+    """Rows as JSON Lines in one file `name`, in order; writing it is one task's work."""
+    lines = df.withColumns({"__file": F.lit(name), "__value": as_json(df)})
+    write_files(lines, path, "__file", "__value", order, level)
+
+
 def write_shards(df: DataFrame, path: str, folder: list[str], bin_: str | None, order: list[tuple[str, bool]], size: int, infix: str | None = None, lines: bool = False, start: int = 1, level: int = 3) -> None:
     """Rows as JSON Lines to `<folder columns>/[<bin>_]<n>[.<infix>].jsonl.zst`, each file closed once it has `size` bytes (or
     lines), n from `start`, in order within each. What names a file isn't written into it; folders without rows do not come

@@ -1,4 +1,6 @@
+import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from millrace.functions import html as H
@@ -123,3 +125,53 @@ def test_language(spark):
     out = with_language(rows.union(spark.createDataFrame([("", None), (None, None)], "text string, lang string")), lambda: model, "openlid-v3").collect()
     assert all(r["openlid_v3"]["lang"][0] == r["lang"] for r in out if r["text"])
     assert all(r["openlid_v3"]["lang"] is None for r in out if not r["text"])
+
+
+def test_profiles_against_plain_counts():
+    """Looking trigrams up all at once gives what adding them up one by one gives."""
+    import math
+    import random
+
+    rng = random.Random(3)
+    langs, grams = ["a", "b", "c"], ["".join(rng.choice("xyz é\U0001f600") for _ in range(3)) for _ in range(60)]
+    grams = sorted(set(grams))
+    logs = np.array([[rng.uniform(-9, -1) for _ in langs] for _ in grams])
+    model = ProfileModel(grams, logs, langs)
+    for _ in range(50):
+        text = "".join(rng.choice("xyz é\U0001f600") for _ in range(rng.randrange(1, 80)))
+        padded = f" {text.lower()} "
+        seen = [padded[i : i + 3] for i in range(len(padded) - 2)]
+        mean = [sum(logs[grams.index(g)][k] if g in grams else -14.0 for g in seen) / len(seen) for k in range(3)]
+        weights = [math.exp(8 * (m - max(mean))) for m in mean]
+        names, probs = model.predict(text, 3)
+        assert names == ["__label__" + langs[k] for k in sorted(range(3), key=lambda k: -weights[k])]
+        assert probs == pytest.approx(sorted((w / sum(weights) for w in weights), reverse=True), abs=1e-5)
+
+
+def test_ids_by_a_second_implementation(spark):
+    """128-bit xxHash of the parts as they are; the value for abc was worked out apart."""
+    from millrace.functions.ids import document_id
+
+    rows = spark.createDataFrame([("a", "b", "c"), ("ab", "c", ""), ("é", "/x", "2"), ("a", None, "c")], "f string, u string, t string")
+    got = [r[0] for r in rows.select(document_id(F.col("f"), F.col("u"), F.col("t"))).collect()]
+    state = xxhash.xxh3_128()
+    for part in ("é", "/x", "2"):
+        state.update(part.encode())
+    assert got == ["06b05ab6733a618578af5f94892f3950"] * 2 + [state.hexdigest(), None]
+
+
+def test_labelled_language(spark):
+    from millrace.functions.lid import labelled_language
+
+    rows = spark.createDataFrame([(x,) for x in ('{"openlid-v3": {"lang": ["eng_Latn", "x"]}}', '{"openlid-v3":{"lang":["eng_Latn"]}}', "{}", None)], "v string")
+    assert [r[0] for r in rows.select(labelled_language(F.col("v"))).collect()] == ["eng_Latn", None, None, None]
+
+
+def test_markdown_lines_and_raw(spark):
+    from millrace.functions.xml2md import markdown_lines, raw_markdown
+
+    rows = spark.createDataFrame([(x,) for x in ('{"a":[1],"x":"<doc><main><p>t</p></main></doc>"}', ' {"a":null} ', "", "broken {", "[1]", None)], "v string")
+    assert [r[0] for r in rows.select(markdown_lines(F.col("v"))).collect()] == ['{"a":[1],"x":"<doc><main><p>t</p></main></doc>","md":"t"}', '{"a":null,"md":null}', "", "broken {", "[1]", None]
+    assert [r[0] for r in rows.select(markdown_lines(F.col("v"), md_only=True)).collect()][:2] == ['{"md":"t"}', '{"md":null}']
+    xml = spark.createDataFrame([("<doc><main><p>t</p></main></doc>",), ("",), (None,), ("<doc/>",)], "x string")
+    assert [r[0] for r in xml.select(raw_markdown("x")).collect()] == ["t", None, None, None]

@@ -301,3 +301,16 @@ def test_stream(spark, tmp_path):
     spark.range(3, 5).toDF("i").write.mode("append").parquet(src)
     go()
     assert sorted(r["j"] for r in spark.read.parquet(out).collect()) == [0, 2, 4, 6, 8]
+
+
+def test_release_order_is_global(spark):
+    from millrace.operators import quality
+
+    rows = spark.createDataFrame([(float(i % 7), f"d{i:03}") for i in range(200)], "wds double, id string").repartition(6)
+    got = [(r["wds"], r["id"]) for r in quality.release_order(rows, partitions=3).collect()]
+    assert got == sorted(got, reverse=True) and len(got) == 200
+
+
+def test_one_file(spark, tmp_path):
+    sinks.write_single(spark.range(50).repartition(4), str(tmp_path), "all.jsonl.zst", [F.col("id")])
+    assert [json.loads(r["value"])["id"] for r in lines.numbered_lines(spark, str(tmp_path)).orderBy("line").collect()] == list(range(50))
