@@ -31,10 +31,10 @@ SAMPLE, WORDS, GRAMS, LONGEST = 5_000, 20_000, 4_000, 4
 UNSEEN, UNKNOWN = 0.1, -12.0
 #: Words of a text that count in full for the certainty of its score.
 CERTAIN = 8
-#: Longer words are not remembered; places in a word, and words of a text, that are looked up at once.
-LONG, PLACES, TOGETHER = 200, 4096, 10_000
-#: Numbers that a task remembers at most for words that it has met.
-CACHED = 400_000
+#: Longer words are not remembered; places in a word, and units of a text, that are added up at once.
+LONG, PLACES, TOGETHER = 200, 4096, 20_000
+#: Numbers for words, and n-grams, that a task remembers at most; units of a model that it finds by a dictionary.
+CACHED, INDEXED = 1_000_000, 1_000_000
 UND = "und"
 
 _words = re.compile(r"[^\W\d_]+").findall
@@ -49,43 +49,44 @@ def grams_of(word: str, n: int) -> Iterator[str]:
     return (word[i : i + n] for i in range(len(word) - n + 1))
 
 
-def key_of(unit: str) -> int:
-    return xxhash.xxh3_64_intdigest(unit)
+def key_of(unit: str, size: int) -> int:
+    """Hash of a word (size 0) or of an n-gram."""
+    # seeds that differ in all their bits: of short units, near ones would only flip a few of the hash's input
+    return xxhash.xxh3_64_intdigest(unit, seed=size * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
 
 
 @dataclass(frozen=True)
-class Units:
-    """Log frequencies of words, or of n-grams of one length, by language: of unit i, the languages langs[starts[i] :
-    starts[i + 1]] have base + gains; all others base."""
+class Model:
+    """Log frequencies by language, of words (size 0) and of n-grams by their length. Unit i, with the hash keys[i], has
+    base[sizes[i]] + gains in the languages langs_of[starts[i] : starts[i + 1]], and base[sizes[i]] in all others. The last
+    unit, without a hash, stands for a place where nothing is known."""
 
+    langs: tuple[str, ...]
     keys: np.ndarray
+    sizes: np.ndarray
     starts: np.ndarray
-    langs: np.ndarray
+    langs_of: np.ndarray
     gains: np.ndarray
     base: np.ndarray
 
-    def sums(self, at: np.ndarray) -> np.ndarray:
-        """Sum of the log frequencies of the units at these places, by language."""
+    def sums(self, at: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """Weighted sum of the log frequencies of the units at these places, by language."""
         first, n = self.starts[at], self.starts[at + 1] - self.starts[at]
         flat = np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        return len(at) * self.base + np.bincount(self.langs[flat], self.gains[flat], len(self.base))
-
+        by_size = np.bincount(self.sizes[at], weights, len(self.base))
+        return by_size @ self.base + np.bincount(self.langs_of[flat], self.gains[flat] * np.repeat(weights, n), self.base.shape[1])
 
-@dataclass(frozen=True)
-class Model:
-    langs: tuple[str, ...]
-    words: Units
-    #: by length, from 1 on
-    grams: tuple[Units, ...]
 
-
-def units(lang: np.ndarray, key: np.ndarray, n: np.ndarray, langs: int) -> Units:
-    """Units of counts n of (language number, hash)."""
+def model(langs: tuple[str, ...], lang: np.ndarray, size: np.ndarray, key: np.ndarray, n: np.ndarray) -> Model:
+    """The model of counts n of (language number, size, hash)."""
     order = np.lexsort((lang, key))
-    lang, key, n = lang[order], key[order], n[order].astype(np.float64)
+    lang, size, key, n = lang[order].astype(np.int32), size[order], key[order], n[order].astype(np.float64)
     keys, starts = np.unique(key, return_index=True)
-    totals = np.log(np.bincount(lang, n, langs) + UNSEEN * max(1, len(keys)))
-    return Units(keys, np.append(starts, len(key)), lang.astype(np.int32), (np.log(n + UNSEEN) - np.log(UNSEEN)).astype(np.float32), np.log(UNSEEN) - totals)
+    sizes = np.append(size[starts], LONGEST + 1).astype(np.int8)
+    known = np.bincount(sizes, minlength=LONGEST + 2)
+    totals = np.stack([np.bincount(lang[size == s], n[size == s], len(langs)) + UNSEEN * max(1, known[s]) for s in range(LONGEST + 1)])
+    base = np.concatenate([np.log(UNSEEN) - np.log(totals), np.full((1, len(langs)), UNKNOWN)])
+    return Model(langs, keys, sizes, np.concatenate([starts, [len(key)] * 2]), lang, (np.log(n + UNSEEN) - np.log(UNSEEN)).astype(np.float32), base)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -128,7 +129,7 @@ def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: s
                 for size, counter in enumerate([counts, *grams]):
                     out["lang"] += [lang] * len(counter)
                     out["size"] += [size] * len(counter)
-                    out["key"].append(np.array([key_of(u) for u in counter], np.uint64).view(np.int64))
+                    out["key"].append(np.array([key_of(u, size) for u in counter], np.uint64).view(np.int64))
                     out["n"] += counter.values()
             out["key"] = np.concatenate(out["key"])
             return out
@@ -143,85 +144,83 @@ def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: s
     size, key, n = (top[c].to_numpy() for c in ("size", "key", "n"))
     coded = top["lang"].combine_chunks().dictionary_encode() if top.num_rows else None
     lang = np.array([langs.index(v) for v in coded.dictionary.to_pylist()], np.int64)[coded.indices.to_numpy()] if top.num_rows else np.zeros(0, np.int64)
-    of = lambda s: units(lang[size == s], key[size == s].view(np.uint64), n[size == s], len(langs))
-    return Model(langs, of(0), tuple(of(s) for s in range(1, LONGEST + 1)))
+    return model(langs, lang, size, key.view(np.uint64), n)
 
 
 class Scorer:
-    """Predicts by a model. Where a word is among the known ones, or the sums of an unknown one, is remembered within bounds."""
+    """Predicts by a model. The units that words and n-grams stand for are remembered within bounds."""
 
     def __init__(self, model: Model):
-        self.model, self.n = model, max(1, len(model.langs))
-        self.most = max(2000, CACHED // self.n)
-        self.places: dict[str, int] = {}
-        self.unknown: dict[str, np.ndarray] = {}
-        self.grams: list[dict[str, int]] = [{} for _ in model.grams]
-
-    @staticmethod
-    def _find(units: Units, seen: dict[str, int], unit: str, most: int) -> int:
+        self.model, self.nothing = model, len(model.keys)
+        # a dictionary where it stays small, else a search in the sorted hashes
+        self.index = dict(zip(model.keys.tolist(), range(self.nothing))) if self.nothing <= INDEXED else None
+        self.words: dict[str, tuple[int, ...]] = {}
+        self.grams: dict[str, int] = {}
+        self.room = CACHED
+
+    def find(self, unit: str, size: int) -> int:
         """Place of a unit, -1 for an unknown one."""
-        at = seen.get(unit)
-        if at is None:
-            key = key_of(unit)
-            at = int(np.searchsorted(units.keys, np.uint64(key)))
-            at = at if at < len(units.keys) and int(units.keys[at]) == key else -1
-            if len(seen) >= most:
-                seen.clear()
-            seen[unit] = at
-        return at
-
-    def by_grams(self, word: str) -> np.ndarray:
-        """Mean over the places of a word of the log frequencies of the longest n-gram there that is known."""
-        padded, total = f"_{word}_", np.zeros(self.n)
-        for start in range(0, len(padded), PLACES):
-            found: list[list[int]] = [[] for _ in self.grams]
-            for i in range(start, min(start + PLACES, len(padded))):
-                for size in range(LONGEST, 0, -1):
-                    gram = padded[i : i + size]
-                    seen = self.grams[size - 1]
-                    at = seen.get(gram)
-                    if at is None:
-                        at = self._find(self.model.grams[size - 1], seen, gram, 200_000)
-                    # at the end of a word, shorter n-grams than asked for are of their own length
-                    if at >= 0 and len(gram) == size:
-                        found[size - 1].append(at)
-                        break
-                else:
-                    total += UNKNOWN
-            for units, at in zip(self.model.grams, found):
-                if at:
-                    total += units.sums(np.array(at))
-        return total / len(padded)
+        key = key_of(unit, size)
+        if self.index is not None:
+            return self.index.get(key, -1)
+        at = int(np.searchsorted(self.model.keys, np.uint64(key)))
+        return at if at < self.nothing and int(self.model.keys[at]) == key else -1
+
+    def units_of(self, word: str) -> Iterator[tuple[int, ...]]:
+        """The units that an unknown word stands for, in pieces: at each place the longest n-gram there that is known."""
+        padded, seen, out = f"_{word}_", self.grams, []
+        for i in range(len(padded)):
+            for size in range(min(LONGEST, len(padded) - i), 0, -1):
+                gram = padded[i : i + size]
+                at = seen.get(gram)
+                if at is None:
+                    if len(seen) >= CACHED:
+                        seen.clear()
+                    at = seen[gram] = self.find(gram, size)
+                if at >= 0:
+                    break
+            out.append(at if at >= 0 else self.nothing)
+            if len(out) == PLACES:
+                yield tuple(out)
+                out = []
+        if out:
+            yield tuple(out)
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """The likeliest language and its share of likelihood; `und` and 0 for a text without letters. Ties go to the first
         language in alphabetical order."""
-        words = words_of(text)
-        if not self.model.langs or not any(c.isalpha() for word in words for c in word):
+        counts = Counter(words_of(text))
+        if not self.model.langs or not any(c.isalpha() for word in counts for c in word):
             return UND, 0.0
-        total, units = np.zeros(self.n), self.model.words
-        for start in range(0, len(words), TOGETHER):
-            known = []
-            for w in words[start : start + TOGETHER]:
-                at = self.places.get(w)
-                if at is None:
-                    at = self._find(units, self.places if len(w) <= LONG else {}, w, 200_000)
-                if at >= 0:
-                    known.append(at)
-                    continue
-                sums = self.unknown.get(w)
-                if sums is None:
-                    sums = self.by_grams(w)
-                    if len(w) <= LONG:
-                        if len(self.unknown) >= self.most:
-                            self.unknown.clear()
-                        self.unknown[w] = sums
-                total += sums
-            if known:
-                total += units.sums(np.array(known))
-        mean = total / len(words)
+        total, n = np.zeros(len(self.model.langs)), sum(counts.values())
+        at: list[int] = []
+        weights: list[float] = []
+        for word, times in counts.items():
+            units = self.words.get(word)
+            if units is None and (place := self.find(word, 0)) >= 0:
+                units = (place,)
+            elif units is None and len(word) > LONG:
+                for part in self.units_of(word):
+                    total += self.model.sums(np.array(part), np.full(len(part), times / (len(word) + 2)))
+                continue
+            elif units is None:
+                (units,) = self.units_of(word)
+            if len(word) <= LONG and word not in self.words:
+                self.room -= len(units) + 1
+                if self.room < 0:
+                    self.words.clear()
+                    self.room = CACHED
+                self.words[word] = units
+            at += units
+            weights += [times / len(units)] * len(units)
+            if len(at) >= TOGETHER:
+                total += self.model.sums(np.array(at), np.array(weights))
+                at, weights = [], []
+        if at:
+            total += self.model.sums(np.array(at), np.array(weights))
+        mean = total / n
         best = int(mean.argmax())
-        share = 1 / np.exp((mean - mean[best]) * min(len(words), CERTAIN)).sum()
+        share = 1 / np.exp((mean - mean[best]) * min(n, CERTAIN)).sum()
         return self.model.langs[best], float(share)
 
 

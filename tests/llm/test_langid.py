@@ -64,12 +64,10 @@ def test_rare_language_is_learnt(spark):
 
 def model_of(langs, words, grams):
     """words: {word: {language: n}}; grams: the same for n-grams of any length."""
-    def units(table):
-        rows = [(langs.index(k), langid.key_of(u), n) for u, by in table.items() for k, n in by.items()]
-        lang, key, n = zip(*rows) if rows else ((), (), ())
-        return langid.units(np.array(lang, int), np.array(key, np.uint64), np.array(n, int), len(langs))
-
-    return langid.Model(langs, units(words), tuple(units({g: by for g, by in grams.items() if len(g) == size}) for size in range(1, langid.LONGEST + 1)))
+    tables = [(0, words), *((len(g), {g: by}) for g, by in grams.items())]
+    rows = [(langs.index(k), size, langid.key_of(u, size), n) for size, table in tables for u, by in table.items() for k, n in by.items()]
+    lang, size, key, n = zip(*rows)
+    return langid.model(langs, np.array(lang, int), np.array(size, int), np.array(key, np.uint64), np.array(n, int))
 
 
 def plain(langs, words, grams, text):
@@ -109,11 +107,13 @@ def test_against_brute_force(n_langs):
     some = lambda: {k: rng.randrange(1, 50) for k in rng.sample(langs, min(3, n_langs))}
     words = {word(): some() for _ in range(150)}
     grams = {"".join(rng.choice("_abcdeé") for _ in range(n)): some() for n in (1, 2, 3, 4) for _ in range(40)}
-    scorer = langid.Scorer(model_of(langs, words, grams))
+    scorer, other = (langid.Scorer(model_of(langs, words, grams)) for _ in range(2))
+    other.index = None
     texts = [" ".join(rng.choice([*words, word(), "7"]) for _ in range(40)) for _ in range(25)] + ["".join(rng.choice("abcdeé") for _ in range(100_000)), "a" * 250 + " " + "b" * 5000 + " known"]
     for text in texts:
         mean = plain(langs, words, grams, text)
         lang, score = scorer.predict(text)
+        assert other.predict(text) == (lang, score)
         n = len(re.findall(r"[^\W\d_]+", text.lower()))
         assert mean[langs.index(lang)] >= max(mean) - 1e-5
         assert abs(score - 1 / sum(math.exp((m - max(mean)) * min(n, langid.CERTAIN)) for m in mean)) < 1e-4
@@ -123,8 +123,9 @@ def test_memory_for_many_languages():
     """200 languages of 20,000 words, no word in more than three of them: under 150 MB, where a dense table took over 3 GB."""
     rng = np.random.default_rng(1)
     lang, key = np.repeat(np.arange(200), 20_000), rng.integers(0, 2**63, 4_000_000).astype(np.uint64)
-    made = langid.units(lang, key, rng.integers(1, 1000, len(key)), 200)
-    assert sum(x.nbytes for x in (made.keys, made.starts, made.langs, made.gains, made.base)) < 150e6
+    made = langid.model(tuple(map(str, range(200))), lang, np.zeros(len(key), int), key, rng.integers(1, 1000, len(key)))
+    assert sum(x.nbytes for x in (made.keys, made.sizes, made.starts, made.langs_of, made.gains, made.base)) < 150e6
+    assert langid.Scorer(made).index is None and langid.Scorer(made).find("no word", 0) == -1
 
 
 def test_one_text_many_times_is_sampled_by_row(spark):
@@ -137,7 +138,7 @@ def test_one_text_many_times_is_sampled_by_row(spark):
 def test_all_of_a_long_word_counts():
     scorer = langid.Scorer(model_of(("a", "b"), {}, {"x": {"a": 900, "b": 1}, "y": {"a": 1, "b": 900}}))
     assert scorer.predict("x" * 300 + "y" * 400)[0] == "b" and scorer.predict("x" * 9000 + "y" * 8000)[0] == "a"
-    assert scorer.predict("x" * 150 + "y" * 40)[0] == "a" and all(len(w) <= langid.LONG for w in scorer.unknown)
+    assert scorer.predict("x" * 150 + "y" * 40)[0] == "a" and all(len(w) <= langid.LONG for w in scorer.words)
 
 
 def test_the_end_of_a_long_word_is_learnt(spark):
