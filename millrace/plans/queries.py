@@ -229,7 +229,16 @@ def bin_shards(spark, d):
     return shard.greedy_shards(docs, ["wds_bin"], [("wds", False), ("id", False)], ["id"], "n", 100_000).withColumn("name", shard_names())
 
 
-@query()
+_FIRST = "coalesce(list_position(list_transform(f.used, lambda u: u + n.size <= 400000), true), 0)"
+
+
+@query(
+    f"""WITH RECURSIVE items AS (SELECT source, size, row_number() OVER (ORDER BY size DESC, source) AS i FROM (SELECT source, CAST(sum(n_chars) AS DOUBLE) AS size FROM documents GROUP BY source)),
+    filled AS (SELECT CAST(0 AS BIGINT) AS i, CAST(NULL AS VARCHAR) AS source, CAST(0 AS DOUBLE) AS size, CAST([] AS DOUBLE[]) AS used, CAST(0 AS BIGINT) AS batch
+        UNION ALL SELECT n.i, n.source, n.size, CASE WHEN {_FIRST} = 0 THEN list_append(f.used, n.size) ELSE list_transform(f.used, lambda u, k: CASE WHEN k = {_FIRST} THEN u + n.size ELSE u END) END,
+            CASE WHEN {_FIRST} = 0 THEN len(f.used) ELSE {_FIRST} - 1 END FROM filled f JOIN items n ON n.i = f.i + 1)
+    SELECT batch, source, size FROM filled WHERE i > 0"""
+)
 def ffd_batches(spark, d):
     sizes = table(spark, d, "documents").groupBy("source").agg(F.sum("n_chars").alias("size"))
     return shard.ffd_batches(sizes, "source", "size", 400_000.0)
@@ -246,6 +255,16 @@ def wds_bins_sorted(spark, d):
     return quality.release_order(quality.with_score(corpus(spark, d)).select("id", "wds", X.wds_bin(F.col("wds")).alias("wds_bin")))
 
 
+@query(SCORED + " SELECT id, lag(id) OVER (ORDER BY wds DESC, id DESC) AS before FROM scored WHERE wds >= 0.9")
+def release_neighbours(spark, d):
+    """The order of the best, as it is written: each row with the one before it in the file."""
+    path = f"{shared_dir(spark)}/millrace/{spark.sparkContext.applicationId}/sorted-{uuid.uuid4().hex}"
+    best = quality.score_range(quality.with_score(corpus(spark, d)), 0.9).select("id", "wds")
+    sinks.write_shards(best, path, [], None, [("wds", False), ("id", False)], 1 << 40)
+    rows = lines.numbered_lines(spark, path).select("line", F.get_json_object("value", "$.id").alias("id"))
+    return rows.alias("a").join(rows.select((F.col("line") + 1).alias("line"), F.col("id").alias("before")), "line", "left").select("id", "before")
+
+
 @query(SCORED + " SELECT id, wds FROM scored WHERE wds >= 0.25 AND wds < 0.75")
 def wds_range(spark, d):
     return quality.score_range(quality.with_score(corpus(spark, d)), 0.25, 0.75).select("id", "wds")
