@@ -2,7 +2,8 @@ import random
 from collections import Counter
 
 import corpus_pipeline
-from helpers import documents, sentence
+import duckdb
+from helpers import corpus, documents, sentence
 from pyspark.sql import functions as F
 from test_near import brute as near_groups
 
@@ -60,6 +61,17 @@ def test_rows_that_share_ids(spark):
     assert len({(r["sequence_id"], r["offset"]) for r in packed}) == 3
 
 
+def test_exact_dedup_against_sql(spark, tmp_path):
+    docs = documents(spark, [*corpus(seed=8, n=60), (None, "short"), (None, "only without an id"), (7, "sHort É"), (8, "short é")])
+    docs.coalesce(1).write.parquet(str(tmp_path / "d"))
+    left = corpus_pipeline.exact_dedup(spark, spark.read.parquet(str(tmp_path / "d")), "")
+    want = duckdb.sql(
+        f"""SELECT doc_id, text FROM (SELECT doc_id, text, row_number() OVER (PARTITION BY translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')
+        ORDER BY doc_id DESC NULLS LAST) AS r FROM '{tmp_path}/d/*.parquet') WHERE r = 1"""
+    ).fetchall()
+    assert Counter((r["doc_id"], r["text"]) for r in left.collect()) == Counter(want)
+
+
 def test_empty_tables(spark):
     docs = documents(spark, [])
     for _, stage in corpus_pipeline.STAGES:
