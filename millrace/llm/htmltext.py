@@ -19,9 +19,9 @@ from bisect import bisect_left
 from collections import Counter
 from dataclasses import dataclass, field
 from functools import lru_cache
-from hashlib import blake2b
 from html.parser import HTMLParser
 
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -80,6 +80,7 @@ class Node:
     slot: bool = False
     known: bool = False
     digest: int = 0
+    text: str | None = None
 
     @property
     def label(self) -> str:
@@ -89,7 +90,10 @@ class Node:
         return [i for i in self.items if isinstance(i, Node)]
 
     def own_text(self) -> str:
-        return " ".join(" ".join(i for i in self.items if isinstance(i, str)).split())
+        """The node's own strings, white space as one space; kept, as it is asked for often: call it on finished trees."""
+        if self.text is None:
+            self.text = " ".join(" ".join(i for i in self.items if isinstance(i, str)).split())
+        return self.text
 
 
 class _Builder(HTMLParser):
@@ -407,7 +411,7 @@ def _blocks(node: Node, inside: bool, wrapped: bool = False) -> list[tuple[str,
 
 
 def _hash(*parts: str) -> str:
-    return blake2b("\0".join(parts).encode("utf-8", "replace"), digest_size=8).hexdigest().upper()
+    return f"{xxhash.xxh3_64_intdigest(chr(0).join(parts).encode('utf-8', 'replace')):016X}"
 
 
 def _texts(root: Node) -> list[tuple[Node, str, str]]:
@@ -507,8 +511,9 @@ def common_texts(pages: DataFrame) -> DataFrame:
     A text at a path counts if LEAST pages have it and it is on AGREE of the pages of its host or of one layout, or if
     AGREE of what stands at that path is on LEAST pages. A page that comes in several rows counts once."""
     rows = pages.select("page_id", host_of(F.col("url")).alias("host"), F.coalesce("html", F.lit("")).alias("html")).where("host <> '' and page_id is not null")
-    again = rows.groupBy("page_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    rows = rows.join(again, "page_id", "left").select("host", "html", (1 / F.coalesce("rows", F.lit(1))).alias("weight"))
+    again = settle(rows.groupBy("page_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1"), "html-again")
+    # pages don't move for it, unless ever so many come twice
+    rows = rows.join(F.broadcast(again) if again.count() <= SENT_IDS else again, "page_id", "left").select("host", "html", (1 / F.coalesce("rows", F.lit(1))).alias("weight"))
 
     def make():
         def work(b):
