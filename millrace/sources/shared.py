@@ -6,11 +6,17 @@ import gc
 import os
 import re
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Least time between two collections of garbage, for runs over small tables with disk to spare.
+COLLECT_SECONDS = 0.0
+_collected = [0.0]
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder that the session names in spark.checkpoint.dir; a temporary one where none is set, in local runs only."""
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -32,8 +38,10 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    gc.collect()  # what led to df is no longer needed: let Spark see that, and delete its shuffle files now
-    spark._jvm.System.gc()
+    if time.monotonic() - _collected[0] >= COLLECT_SECONDS:
+        gc.collect()  # what led to df is no longer needed: let Spark see that, and delete its shuffle files now
+        spark._jvm.System.gc()
+        _collected[0] = time.monotonic()
     return spark.read.schema(df.schema).parquet(path)
 
 

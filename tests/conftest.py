@@ -24,6 +24,9 @@ def spark():
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    from millrace.sources import shared
+
+    shared.COLLECT_SECONDS = 10.0
     yield session
     session.stop()
 
