@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from . import ann, bpe, exact, htmltext, langid, near, packing, pii, sharding, substring
+from . import align, ann, bpe, exact, htmltext, langid, mtree, near, packing, pii, sharding, substring, turns
 from .common import table
 
 
@@ -49,7 +49,19 @@ def op10_sharding(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents", deal=False))
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_packing, op3_substring_dedup, op4_near_dedup, op5_langid, op6_exact_dedup, op7_html_text, op8_ann, op9_pii, op10_sharding)}
+def op11_alignment(spark, sf_dir):
+    return align.align_documents(table(spark, sf_dir, "documents"))
+
+
+def op12_topk(spark, sf_dir):
+    return mtree.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op13_turns(spark, sf_dir):
+    return turns.audit_damaged(table(spark, sf_dir, "conversations", deal=False))
+
+
+QUERIES = {f.__name__: f for f in (op1_byte_bpe, op2_packing, op3_substring_dedup, op4_near_dedup, op5_langid, op6_exact_dedup, op7_html_text, op8_ann, op9_pii, op10_sharding, op11_alignment, op12_topk, op13_turns)}
 
 ORACLE_SQL = {
     "op6_exact_dedup": """
@@ -57,4 +69,10 @@ ORACLE_SQL = {
         SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
                doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
         FROM n""",
+    "op12_topk": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+                   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 10""",
 }
