@@ -36,6 +36,21 @@ def merge_by_position(sources: list[DataFrame], keys: tuple[str, ...] = ("batch"
     return joined.select(*keys, merged.alias("rec"))
 
 
+def spliced(lines: list[Column]) -> Column:
+    """Line-parallel JSON objects as one, put together as text: nothing is parsed, keys that several have are all kept, in
+    order, and empty objects leave no comma. Null where one of them is; a line that is no object is an error."""
+
+    def inner(line: Column) -> Column:
+        text = F.rtrim(line, F.lit(" \t\r\n"))
+        is_object = F.startswith(line, F.lit("{")) & F.endswith(text, F.lit("}"))
+        checked = F.when(line.isNull() | is_object, text).otherwise(F.raise_error(F.concat(F.lit("no JSON object: "), F.left(line, F.lit(80)))).cast("string"))
+        bare = F.substring(checked, F.lit(2), F.length(checked) - 2)
+        return F.when(line.isNotNull(), F.nullif(bare, F.lit("")))
+
+    all_there = reduce(lambda a, b: a & b, (line.isNotNull() for line in lines))
+    return F.when(all_there, F.concat(F.lit("{"), F.concat_ws(",", *map(inner, lines)), F.lit("}")))
+
+
 def last_annotation(table: DataFrame, key: str = "id", value: str = "value", order: str = "line") -> DataFrame:
     """One row for each key: the value of the last line; keys whose last value is null are left out."""
     return table.groupBy(key).agg(F.max_by(F.col(value), F.col(order)).alias(value)).where(F.col(value).isNotNull())

@@ -57,16 +57,27 @@ def typed_projection(columns: list[str], spec: Spec) -> list[Column]:
     return taken + [F.col(f"`{old}`").alias(new) for new, old in spec.rename if old in columns]
 
 
+def _outputs(specs: list[tuple[str, Spec]], together: bool) -> list[tuple[str, Spec]]:
+    """Of an output that is named twice the later specification counts, unless both do."""
+    return specs if together else list(dict(specs).items())
+
+
 def fan_out(records: DataFrame, specs: list[tuple[str, Spec]], together: bool = False) -> dict[str, DataFrame]:
     """Output name -> JSON lines. Of an output that is named twice the later specification counts; together: it gets the
-    records of both. Persist `records` if computing them is costly, as each output is read by itself."""
+    records of both. Each output is read by itself; to write all in one pass, see sinks.write_fan_out()."""
     out: dict[str, DataFrame] = {}
-    for name, spec in specs:
+    for name, spec in _outputs(specs, together):
         lines = records.select(F.to_json(project(F.col("rec"), spec)).alias("value"))
-        out[name] = out[name].union(lines) if together and name in out else lines
+        out[name] = out[name].union(lines) if name in out else lines
     return out
 
 
+def fanned(records: DataFrame, specs: list[tuple[str, Spec]], together: bool = False) -> DataFrame:
+    """output, value: the JSON lines of all outputs from one pass over the records, those of a record one after another."""
+    lines = [F.struct(F.lit(name).alias("output"), F.to_json(project(F.col("rec"), spec)).alias("value")) for name, spec in _outputs(specs, together)]
+    return records.select(F.explode(F.array(*lines)).alias("__line")).select("__line.output", "__line.value")
+
+
 def pool_record(df: DataFrame) -> dict[str, DataFrame]:
     """Stage records normalised and split into text, markup (xml, md) and metadata (the rest).
 

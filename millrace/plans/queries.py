@@ -15,7 +15,7 @@ from millrace.functions.xml2md import markdown_lines, xml_to_markdown
 from millrace.operators import joins, mux, quality, route, shard, stats, urls
 from millrace.plans import stages
 from millrace.session import spread
-from millrace.sources import lines, sinks
+from millrace.sources import frames, lines, sinks
 from millrace.sources.shared import shared_dir
 
 # What the scored corpus has and the tables lack, as expressions that both engines read alike.
@@ -198,7 +198,7 @@ def robots_mask(spark, d):
 
 def _folded(source: str, group: str, order: str, size: str, limit: int, before: bool, keep: str = "doc_id") -> str:
     """SQL of a running sum that starts anew, row by row."""
-    roll = f"f.held + n.size > {limit} AND f.held > 0" if before else f"f.held >= {limit}"
+    roll = f"f.held + n.size > {limit}" if before else f"f.held >= {limit}"
     return f"""
     numbered AS (SELECT {group} AS g, {keep}, {size} AS size, row_number() OVER (PARTITION BY {group} ORDER BY {order}) AS i FROM {source}),
     folded AS (SELECT g, i, CAST(1 AS BIGINT) AS shard, CAST(size AS BIGINT) AS held FROM numbered WHERE i = 1
@@ -229,6 +229,52 @@ def bin_shards(spark, d):
     return shard.greedy_shards(docs, ["wds_bin"], [("wds", False), ("id", False)], ["id"], "n", 100_000).withColumn("name", shard_names())
 
 
+def _scratch(spark, name: str) -> str:
+    return f"{shared_dir(spark)}/millrace/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+@query("""SELECT CASE WHEN lang = 'de' THEN '__HIVE_DEFAULT_PARTITION__' ELSE lang END AS lang, CASE WHEN doc_id % 5 > 0 THEN doc_id % 3 END AS bin, CASE WHEN doc_id % 7 > 0 THEN source END AS infix,
+    count(*) AS lines, min(doc_id) AS first, max(doc_id) AS last FROM documents GROUP BY ALL""")
+def shard_writer_nulls(spark, d):
+    """Files by columns that are null in some rows, one of each group, written and read again: the names tell the groups."""
+    path = _scratch(spark, "nulls")
+    docs = table(spark, d, "documents").select(F.when(F.col("lang") != "de", F.col("lang")).alias("lang"), F.when(F.col("doc_id") % 5 > 0, F.col("doc_id") % 3).alias("bin"), F.when(F.col("doc_id") % 7 > 0, F.col("source")).alias("infix"), "doc_id")
+    sinks.write_shards(docs, path, ["lang"], "bin", [("doc_id", True)], 1 << 40, "infix")
+    rows = lines.read_lines(spark, f"{path}/*", "*.jsonl.zst", trace=True)
+    part = lambda i: F.nullif(F.regexp_extract("path", r"/([^/]+)/(?:([0-9]+)_)?1(?:[.]([^/]+))?[.]jsonl[.]zst$", i), F.lit(""))
+    doc = F.get_json_object("value", "$.doc_id").cast("long")
+    return rows.groupBy(part(1).alias("lang"), part(2).cast("long").alias("bin"), part(3).alias("infix")).agg(F.count(F.lit(1)).alias("lines"), F.min(doc).alias("first"), F.max(doc).alias("last"))
+
+
+@query("SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS line, CAST(length(text) AS BIGINT) AS characters FROM documents")
+def frame_ranges(spark, d):
+    """One file of many frames, written and read again by ranges of frames, with the numbers of its lines."""
+    path = _scratch(spark, "frames")
+    docs = table(spark, d, "documents").select("doc_id", F.to_json(F.struct("doc_id", "text")).alias("v"), F.lit("all.jsonl.zst").alias("f"))
+    sinks.write_files(docs, path, "f", "v", [F.col("doc_id")], frame=1 << 16)
+    rows = frames.zstd_lines(spark, path, target=1 << 17)
+    return lines.parsed(rows, "doc_id long, text string").select("doc_id", "line", F.length("text").cast("long").alias("characters"))
+
+
+@query("""SELECT 'ids' AS output, '{"event_id":' || event_id || '}' AS value FROM events UNION ALL SELECT 'kinds', '{"event_id":' || event_id || ',"kind":"' || event_type || '"}' FROM events
+    UNION ALL SELECT 'users', '{"user_id":' || user_id || '}' FROM events""")
+def fan_out(spark, d):
+    """Three outputs of one pass, written and read again."""
+    path = _scratch(spark, "fan")
+    rows = table(spark, d, "events").select("event_id", F.to_json(F.struct("event_id", "user_id", "event_type")).alias("value"))
+    sinks.write_fan_out(joins.records(rows, keys=("event_id",)), path, [(name, mux.parse_spec(s)) for name, s in (("ids", "event_id"), ("kinds", "event_id,kind=event_type"), ("users", "user_id"))])
+    back = lines.read_lines(spark, f"{path}/*", "*.jsonl.zst", trace=True)
+    return back.select(F.regexp_extract("path", "/([^/]+)/[^/]*$", 1).alias("output"), "value")
+
+
+@query("""SELECT doc_id, '{' || concat_ws(',', CASE WHEN doc_id % 4 > 0 THEN '"id":' || doc_id END, CASE WHEN doc_id % 3 > 0 THEN '"lang":"' || lang || '"' END, CASE WHEN doc_id % 5 > 0 THEN '"lang":null,"n":' || n_chars END) || '}' AS value FROM documents""")
+def json_splice(spark, d):
+    """Line-parallel objects put together as text: some are empty, and a key comes twice."""
+    field = lambda when, *parts: F.when(when, F.concat(F.lit("{"), *(F.lit(p) if i % 2 == 0 else F.col(p).cast("string") for i, p in enumerate(parts)), F.lit("}"))).otherwise("{}")
+    parts = [field(F.col("doc_id") % 4 > 0, '"id":', "doc_id"), field(F.col("doc_id") % 3 > 0, '"lang":"', "lang", '"'), field(F.col("doc_id") % 5 > 0, '"lang":null,"n":', "n_chars")]
+    return table(spark, d, "documents").select("doc_id", joins.spliced(parts).alias("value"))
+
+
 _FIRST = "coalesce(list_position(list_transform(f.used, lambda u: u + n.size <= 400000), true), 0)"
 
 

@@ -16,23 +16,36 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from millrace.functions.text import decoded_base64
+from millrace.sources.frames import SPLIT, listed, zstd_lines
 
 
 def read_lines(spark: SparkSession, paths: str | list[str], pattern: str | None = None, exclude: tuple[str, ...] = (), trace: bool = False) -> DataFrame:
-    """value, file of text files in any compression that the Hadoop readers know (zstd of several frames, gzip ...).
+    """value, file of text files in any compression that the Hadoop readers know (zstd of several frames, gzip ...). Where all
+    are zstd and one is larger than a split, they are read by ranges of frames, else file by file.
 
     pattern: a glob on file names. exclude: names that contain one of these are dropped. Files that begin with a dot or an
     underscore are only read by hidden_lines(). trace: also the path."""
     reader = spark.read.option("recursiveFileLookup", "false")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    df = reader.text(paths if isinstance(paths, list) else [paths])
-    out = df.select("value", F.col("_metadata.file_name").alias("file"), *([F.col("_metadata.file_path").alias("path")] if trace else []))
+    if _worth_cutting(spark, paths, pattern):
+        out = zstd_lines(spark, paths, pattern, numbers=False).select("value", "file", *(["path"] if trace else []))
+    else:
+        df = reader.text(paths if isinstance(paths, list) else [paths])
+        out = df.select("value", F.col("_metadata.file_name").alias("file"), *([F.col("_metadata.file_path").alias("path")] if trace else []))
     for name in exclude:
         out = out.where(~F.contains("file", F.lit(name)))
     return out
 
 
+def _worth_cutting(spark: SparkSession, paths: str | list[str], pattern: str | None) -> bool:
+    """Whether the files are zstd, and one is too large for one task. They are listed, not read."""
+    if pattern and not pattern.endswith(("zst", "zstd", "*")):
+        return False
+    found = listed(spark, paths, pattern).agg(F.max("length").alias("largest"), F.count_if(~F.col("path").rlike("[.]zstd?$")).alias("others")).first()
+    return found["others"] == 0 and (found["largest"] or 0) > SPLIT
+
+
 def hidden_lines(spark: SparkSession, folder: str, pattern: str = ".*.ids.zst") -> DataFrame:
     """value, file of zstd or plain files whose names may begin with a dot, which Spark's own readers pass over. Names are
     listed by the driver, and each file is read by one task, piece by piece."""
@@ -65,7 +78,10 @@ SENT_BLOCKS = 1_000_000
 def numbered_lines(spark: SparkSession, paths: str | list[str], pattern: str | None = None) -> DataFrame:
     """path, file, line (from 0), value. For text, rows of a block of a file follow each other within one partition, so a
     line's number is its place there plus the lines of the file's earlier blocks; compressed files are one block. The table
-    of blocks is broadcast up to SENT_BLOCKS of them, so that the lines of a large file aren't one join key."""
+    of blocks is broadcast up to SENT_BLOCKS of them, so that the lines of a large file aren't one join key. Large zstd
+    files are read by ranges of frames, as in read_lines()."""
+    if _worth_cutting(spark, paths, pattern):
+        return zstd_lines(spark, paths, pattern)
     reader = spark.read.option("pathGlobFilter", pattern) if pattern else spark.read
     rows = reader.text(paths if isinstance(paths, list) else [paths]).select(
         "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at")

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import posixpath
 import re
+import time
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -15,7 +18,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
 
+from millrace.operators.mux import Spec, fanned
 from millrace.operators.shard import greedy_shards
+from millrace.sources.frames import seek_table
 from millrace.sources.lines import numbered_lines
 from millrace.sources.shared import write_text
 
@@ -41,85 +46,214 @@ def file_system(path: str) -> tuple[pafs.FileSystem, str]:
 
 @dataclass
 class Written(WriterCommitMessage):
-    #: (temporary file, file) of each that a task has written
-    files: list[tuple[str, str]]
+    #: Folder of the attempt that has succeeded, or None if it has written nothing.
+    attempt: str | None
 
 
 class ZstdLines(DataSource):
-    """format("zstdlines"): lines to zstd files below a folder of any file system, in frames of FRAME bytes.
+    """format("zstdlines"): lines to zstd files below a folder of any file system, in frames of FRAME bytes and with a seek
+    table, so that readers can start inside a file.
 
     With one string column, to `<prefix>_<task>.jsonl.zst`. With two, the first one names the file, and a file's rows
-    must come one after another in one task. Options: path, prefix, level, frame. Files appear under their names only
-    when the whole job has succeeded."""
+    must come one after another in one task; or, with the option `fan`, the first one names a folder, each task writes one
+    file to each, and rows may come in any order: a task holds as many files open as there are folders. A null name is an
+    error. Options: path, job, prefix, level, frame, fan.
+
+    Each attempt of a task writes below `.attempts/<job>/`, and at last the list of its files. The job is committed by one
+    small file, `.manifest/<job>`, which names the attempts that count. publish() then gives files their names."""
 
     @classmethod
     def name(cls) -> str:
         return "zstdlines"
 
     def writer(self, schema: StructType, overwrite: bool):
-        return _ZstdWriter(dict(self.options))
+        return ZstdWriter(dict(self.options))
+
+
+class _Sink:
+    """A file of frames that is being written."""
+
+    def __init__(self, stream, level: int, frame: int):
+        self.stream, self.squeeze, self.most = stream, zstandard.ZstdCompressor(level=level), frame
+        self.held: list[bytes] = []
+        self.size, self.frames = 0, []
+
+    def add(self, line: str | None) -> None:
+        data = (line or "").encode() + b"\n"
+        self.held.append(data)
+        self.size += len(data)
+        if self.size >= self.most:
+            self.flush()
 
+    def flush(self) -> None:
+        if self.held:
+            packed = self.squeeze.compress(b"".join(self.held))
+            self.stream.write(packed)
+            self.frames.append((len(packed), self.size))
+            self.held, self.size = [], 0
 
-class _ZstdWriter(DataSourceArrowWriter):
+    def close(self) -> None:
+        self.flush()
+        self.stream.write(seek_table(self.frames))
+        self.stream.close()
+
+
+ATTEMPTS, MANIFEST, FILES = ".attempts", ".manifest", ".files"
+
+
+class ZstdWriter(DataSourceArrowWriter):
     def __init__(self, options: dict):
-        self.folder = options["path"].rstrip("/")
+        self.folder, self.job = options["path"].rstrip("/"), options.get("job") or uuid.uuid4().hex
         self.prefix, self.level, self.frame = options.get("prefix", "part"), int(options.get("level", 3)), int(options.get("frame", FRAME))
+        self.fan = options.get("fan", "false").lower() == "true"
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         from pyspark import TaskContext
 
         task = TaskContext.get()
-        where, root = file_system(self.folder)
-        squeeze = zstandard.ZstdCompressor(level=self.level)
-        files: list[tuple[str, str]] = []
-        out, name, held, size = None, None, [], 0
+        return self.attempt(iterator, task.partitionId(), task.taskAttemptId())
 
-        def flush() -> None:
-            nonlocal held, size
-            if held:
-                out.write(squeeze.compress(b"".join(held)))
-                held, size = [], 0
+    def attempt(self, iterator: Iterator[pa.RecordBatch], part: int, number: int) -> Written:
+        where, root = file_system(self.folder)
+        own = posixpath.join(root, ATTEMPTS, self.job, f"{part}-{number}")
+        default, names, sinks = f"{self.prefix}_{part}.jsonl.zst", [], {}
+
+        def sink(file: str | None) -> _Sink:
+            if file is None:
+                raise ValueError("a row has no file to go to")
+            if file not in sinks:
+                if not self.fan:
+                    for name in list(sinks):
+                        sinks.pop(name).close()
+                name = posixpath.join(file, default) if self.fan else file
+                place = posixpath.normpath(posixpath.join(own, name))
+                if not place.startswith(own + "/"):
+                    raise ValueError(f"no name of a file: {name!r}")
+                where.create_dir(posixpath.dirname(place), recursive=True)
+                sinks[file] = _Sink(where.open_output_stream(place, compression=None), self.level, self.frame)
+                names.append(name)
+            return sinks[file]
 
         for batch in iterator:
             lines = batch.column(batch.num_columns - 1).to_pylist()
-            names = batch.column(0).to_pylist() if batch.num_columns > 1 else [f"{self.prefix}_{task.partitionId()}.jsonl.zst"] * len(lines)
-            for file, line in zip(names, lines):
-                if file != name:
-                    if out is not None:
-                        flush()
-                        out.close()
-                    name, final = file, posixpath.join(root, file)
-                    temporary = posixpath.join(posixpath.dirname(final), f".{posixpath.basename(final)}.{task.taskAttemptId()}.tmp")
-                    where.create_dir(posixpath.dirname(final), recursive=True)
-                    out = where.open_output_stream(temporary, compression=None)
-                    files.append((temporary, final))
-                data = (line or "").encode() + b"\n"
-                held.append(data)
-                size += len(data)
-                if size >= self.frame:
-                    flush()
-        if out is not None:
-            flush()
-            out.close()
-        return Written(files)
+            files = batch.column(0).to_pylist() if batch.num_columns > 1 else [default] * len(lines)
+            for file, line in zip(files, lines):
+                sink(file).add(line)
+        for s in sinks.values():
+            s.close()
+        if not names:
+            return Written(None)
+        with where.open_output_stream(posixpath.join(own, FILES), compression=None) as out:
+            out.write(json.dumps(names).encode())
+        return Written(posixpath.basename(own))
 
     def commit(self, messages) -> None:
-        where, _ = file_system(self.folder)
-        for m in messages:
-            for temporary, final in m.files if m else ():
-                where.move(temporary, final)
+        """One small file, which appears at once or not at all, makes the attempts count."""
+        where, root = file_system(self.folder)
+        counted = sorted(m.attempt for m in messages if m and m.attempt)
+        if counted:
+            draft, final = (posixpath.join(root, MANIFEST, name) for name in (f".{self.job}.draft", self.job))
+            where.create_dir(posixpath.dirname(final), recursive=True)
+            with where.open_output_stream(draft, compression=None) as out:
+                out.write(json.dumps(counted).encode())
+            where.move(draft, final)
 
     def abort(self, messages) -> None:
-        where, _ = file_system(self.folder)
-        for m in messages:
-            for temporary, _ in m.files if m else ():
-                if where.get_file_info(temporary).type != pafs.FileType.NotFound:
-                    where.delete_file(temporary)
+        where, root = file_system(self.folder)
+        _delete(where, posixpath.join(root, ATTEMPTS, self.job))
+
+
+def _there(where: pafs.FileSystem, path: str) -> bool:
+    return where.get_file_info(path).type != pafs.FileType.NotFound
+
+
+def _delete(where: pafs.FileSystem, folder: str) -> None:
+    if _there(where, folder):
+        where.delete_dir(folder)
+
+
+def _names(where: pafs.FileSystem, folder: str) -> list[str]:
+    return sorted(i.base_name for i in where.get_file_info(pafs.FileSelector(folder, allow_not_found=True)) if not i.base_name.endswith(".draft"))
+
+
+def _load(where: pafs.FileSystem, path: str) -> list[str]:
+    with where.open_input_stream(path, compression=None) as f:
+        return json.loads(f.read())
+
+
+def pending(folder: str) -> list[tuple[str, str]]:
+    """(job, attempt) of what has been committed below a folder and not yet published."""
+    where, root = file_system(folder.rstrip("/"))
+    jobs = _names(where, posixpath.join(root, MANIFEST))
+    return [(job, a) for job in jobs for a in _load(where, posixpath.join(root, MANIFEST, job))]
+
+
+def committed_files(folder: str) -> list[tuple[str, str]]:
+    """(name, where it lies now) of the files that are committed and not yet published: what a reader that can't wait for
+    publish(), or runs where moving is dear, reads beside those that have their names."""
+    where, root = file_system(folder.rstrip("/"))
+    found = []
+    for job, attempt in pending(folder):
+        own = posixpath.join(root, ATTEMPTS, job, attempt)
+        if _there(where, posixpath.join(own, FILES)):
+            found += [(name, place if _there(where, place := posixpath.join(own, name)) else posixpath.join(root, name)) for name in _load(where, posixpath.join(own, FILES))]
+    return sorted(found)
+
+
+def publish(spark: SparkSession, folder: str) -> None:
+    """Gives every committed file its name, in as many tasks as there were attempts. What has been moved is passed over, so
+    that a run which was cut off, by the loss of a task or of the driver, is finished by the next one. What attempts that
+    don't count have left is deleted with the job's folder."""
+    folder = folder.rstrip("/")
+    todo = pending(folder)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        where, root = file_system(folder)
+        for batch in batches:
+            moved = []
+            for job, attempt in zip(*(batch.column(i).to_pylist() for i in range(2))):
+                own, n = posixpath.join(root, ATTEMPTS, job, attempt), 0
+                # without its list, an attempt has been published, and its folder deleted
+                for name in _load(where, posixpath.join(own, FILES)) if _there(where, posixpath.join(own, FILES)) else ():
+                    place, final = posixpath.join(own, name), posixpath.join(root, name)
+                    if _there(where, place):
+                        where.create_dir(posixpath.dirname(final), recursive=True)
+                        where.move(place, final)
+                        n += 1
+                    elif not _there(where, final):
+                        raise ValueError(f"committed, but nowhere to be found: {name}")
+                moved.append(n)
+            yield pa.RecordBatch.from_arrays([pa.array(moved, pa.int64())], names=["moved"])
+
+    if todo:
+        spark.createDataFrame(todo, "job string, attempt string").repartition(min(len(todo), 10_000)).mapInArrow(run, "moved long").agg(F.sum("moved")).collect()
+    where, root = file_system(folder)
+    for job in dict.fromkeys(job for job, _ in todo):
+        _delete(where, posixpath.join(root, ATTEMPTS, job))
+        where.delete_file(posixpath.join(root, MANIFEST, job))
+    for name in (ATTEMPTS, MANIFEST):
+        if _there(where, posixpath.join(root, name)) and not where.get_file_info(pafs.FileSelector(posixpath.join(root, name))):
+            where.delete_dir(posixpath.join(root, name))
+
+
+def sweep(folder: str, older: float = 86_400.0) -> int:
+    """Deletes what jobs without a manifest, whose driver was lost, have left below a folder, if it is `older` seconds old;
+    the number of those jobs. A job that is still running must not be swept."""
+    where, root = file_system(folder.rstrip("/"))
+    known, gone = {job for job, _ in pending(folder)}, 0
+    for info in where.get_file_info(pafs.FileSelector(posixpath.join(root, ATTEMPTS), allow_not_found=True)):
+        newest = max((i.mtime_ns or 0 for i in [info, *where.get_file_info(pafs.FileSelector(info.path, recursive=True))]), default=0)
+        if info.base_name not in known and newest / 1e9 <= time.time() - older:
+            where.delete_dir(info.path)
+            gone += 1
+    return gone
 
 
 def _save(lines: DataFrame, path: str, **options) -> None:
-    lines.sparkSession.dataSource.register(ZstdLines)
-    lines.write.format("zstdlines").options(path=path, **{k: str(v) for k, v in options.items()}).mode("append").save()
+    spark = lines.sparkSession
+    spark.dataSource.register(ZstdLines)
+    lines.write.format("zstdlines").options(path=path, job=uuid.uuid4().hex, **{k: str(v) for k, v in options.items()}).mode("append").save()
+    publish(spark, path)
 
 
 def as_json(df: DataFrame, leave: tuple[str, ...] = ()) -> Column:
@@ -145,21 +279,40 @@ def write_single(df: DataFrame, path: str, name: str, order: list[Column], level
     write_files(lines, path, "__file", "__value", order, level)
 
 
+#: Folder of rows whose folder column is null or empty, as Spark's own partitioned writers name it.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def folder_name(value: Column) -> Column:
+    """A column's values as names of folders: null and empty ones as NO_VALUE, what would leave the folder escaped."""
+    text = F.replace(F.replace(value.cast("string"), F.lit("%"), F.lit("%25")), F.lit("/"), F.lit("%2F"))
+    return F.when(F.coalesce(text, F.lit("")) == "", NO_VALUE).when(text.rlike(r"^\.+$"), F.replace(text, F.lit("."), F.lit("%2E"))).otherwise(text)
+
+
 def write_shards(df: DataFrame, path: str, folder: list[str], bin_: str | None, order: list[tuple[str, bool]], size: int, infix: str | None = None, lines: bool = False, start: int = 1, level: int = 3) -> None:
     """Rows as JSON Lines to `<folder columns>/[<bin>_]<n>[.<infix>].jsonl.zst`, each file closed once it has `size` bytes (or
     lines), n from `start`, in order within each. What names a file isn't written into it; folders without rows do not come
-    into being."""
-    group = [*folder, *([bin_] if bin_ else []), *([infix] if infix else [])]
-    record = df.withColumn("__value", as_json(df, tuple(folder)))
-    sized = record.withColumn("__size", F.lit(1) if lines else F.octet_length("__value") + 1).withColumns({f"__o{i}": F.col(c) for i, (c, _) in enumerate(order)})
-    placed = greedy_shards(sized.select(*group, *(f"__o{i}" for i in range(len(order))), "__value", "__size"), group, [(f"__o{i}", up) for i, (_, up) in enumerate(order)], [*(f"__o{i}" for i in range(len(order))), "__value"], "__size", size, "__shard")
+    into being. Rows whose folder is null or empty go to NO_VALUE; a null bin or infix is left out of the name."""
+    record = df.withColumn("__value", as_json(df, tuple(folder))).withColumns({f"__f{i}": folder_name(F.col(f"`{c}`")) for i, c in enumerate(folder)})
+    for name, c in (("__bin", bin_), ("__infix", infix)):
+        record = record.withColumn(name, F.replace(F.col(f"`{c}`").cast("string"), F.lit("/"), F.lit("%2F")) if c else F.lit(None).cast("string"))
+    group = [*(f"__f{i}" for i in range(len(folder))), *(["__bin"] if bin_ else []), *(["__infix"] if infix else [])]
+    sized = record.withColumn("__size", F.lit(1) if lines else F.octet_length("__value") + 1).withColumns({f"__o{i}": F.col(f"`{c}`") for i, (c, _) in enumerate(order)})
+    by = [f"__o{i}" for i in range(len(order))]
+    placed = greedy_shards(sized.select("__value", "__size", *group, *by), group, list(zip(by, (up for _, up in order))), [*by, "__value"], "__size", size, "__shard")
     number = (F.col("__shard") + (start - 1)).cast("string")
-    base = F.concat_ws("_", *([F.col(bin_).cast("string")] if bin_ else []), number)
-    name = F.concat(*(x for c in folder for x in (F.col(c).cast("string"), F.lit("/"))), base, *([F.coalesce(F.concat(F.lit("."), F.col(infix)), F.lit(""))] if infix else []), F.lit(".jsonl.zst"))
+    base = F.concat_ws("_", *([F.col("__bin")] if bin_ else []), number)
+    name = F.concat(*(x for i in range(len(folder)) for x in (F.col(f"__f{i}"), F.lit("/"))), base, *([F.coalesce(F.concat(F.lit("."), F.col("__infix")), F.lit(""))] if infix else []), F.lit(".jsonl.zst"))
     keys = [F.col(f"__o{i}").asc() if up else F.col(f"__o{i}").desc() for i, (_, up) in enumerate(order)]
     write_files(placed.withColumn("__file", name), path, "__file", "__value", keys, level)
 
 
+def write_fan_out(records: DataFrame, path: str, specs: list[tuple[str, Spec]], together: bool = False, prefix: str = "part", level: int = 3) -> None:
+    """Records (a column `rec`) to the folders `<path>/<output>/` of all specifications, read and parsed once: each task has a
+    file in each. Of an output that is named twice the later specification counts; together: it gets the records of both."""
+    _save(fanned(records, specs, together), path, prefix=prefix, level=level, fan=True)
+
+
 def reshard(spark: SparkSession, source: str, target: str, bins: range = range(11), size: int = 128 << 30, suffix: str = ".jsonl.l.zst", level: int = 10) -> None:
     """Existing files `<bin>_*<suffix>` of a folder anew as `<bin>_<n>.jsonl.zst`, lines in the order of files, each file
     closed once it has `size` characters. The only file of a bin keeps its name and its lines, whatever its size."""
@@ -191,8 +344,10 @@ def line_counts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def mark_done(spark: SparkSession, folder: str, counts: dict[str, int]) -> bool:
-    """Write `.done` with the counts if all are equal; whether it was written."""
-    if len(set(counts.values())) > 1:
+    """Write `.done` with the counts if all are equal; whether it was written. A folder with files that are committed and not
+    yet published isn't done: publish() first."""
+    manifests = spark._jvm.org.apache.hadoop.fs.Path(folder.rstrip("/") + "/" + MANIFEST)
+    if len(set(counts.values())) > 1 or manifests.getFileSystem(spark._jsc.hadoopConfiguration()).exists(manifests):
         return False
     write_text(spark, folder.rstrip("/") + "/.done", "".join(f"{n}\t{c}\n" for n, c in sorted(counts.items())))
     return True

@@ -111,24 +111,37 @@ def test_robots(spark):
 
 
 def _fold(sizes, size, before):
-    out, n, held = [], 1, 0
+    out, n, held, some = [], 1, 0, False
     for s in sizes:
-        if (held and held + s > size) if before else held >= size:
+        if (some and held + s > size) if before else held >= size:
             n, held = n + 1, 0
         out.append(n)
-        held += s
+        held, some = held + s, True
     return out
 
 
-@given(st.lists(st.integers(1, 30)), st.integers(1, 40), st.booleans(), st.integers(0, 10))
-def test_roll(sizes, size, before, cut):
-    state, got = (1, 0), []
-    for part in (sizes[:cut], sizes[cut:]):
-        shards, state = shard.roll(np.array(part, np.int64), size, state, before)
+@given(st.lists(st.integers(0, 30)), st.integers(1, 40), st.booleans(), st.lists(st.integers(0, 10), max_size=3))
+def test_roll(sizes, size, before, cuts):
+    """However rows are cut, in empty parts too."""
+    state, got, rest = (1, 0, False), [], list(sizes)
+    for cut in [*cuts, len(sizes)]:
+        shards, state = shard.roll(np.array(rest[:cut], np.int64), size, state, before)
         got += shards.tolist()
+        rest = rest[cut:]
     assert got == _fold(sizes, size, before)
 
 
+@given(st.lists(st.lists(st.integers(0, 12), min_size=1, max_size=12), min_size=1, max_size=6), st.integers(1, 30), st.booleans(), st.integers(0, 60))
+def test_steps_compose(parts, size, before, held):
+    """A composed step does what folding row by row does, from any bytes held."""
+    step = shard.Step.of(np.array(parts[0]), size, before)
+    for part in parts[1:]:
+        step = step.then(shard.Step.of(np.array(part), size, before))
+    _, (n, now, _) = shard.roll(np.array([s for p in parts for s in p], np.int64), size, (0, held, True), before)
+    begun, after = step(np.array([held]))
+    assert (begun[0], after[0]) == (n, now)
+
+
 def test_shards(spark):
     df = spark.createDataFrame([("a", i, 5) for i in range(5)] + [("b", 9, 4)], "g string, i int, n int")
     out = shard.greedy_shards(df, ["g"], [("i", True)], ["i"], "n", 8).orderBy("g", "i").collect()
@@ -141,22 +154,33 @@ def test_shards(spark):
     assert [r["number"] for r in shard.renumber({"a": 3}, df, "g", "i").orderBy("g", "i").collect()] == [4, 5, 6, 7, 8, 1]
 
 
-@pytest.mark.parametrize("before", [False, True])
-def test_shards_of_groups_that_span_blocks(spark, before):
-    """Blocks are walked and folded apart, and give what one pass gives: hot groups, small ones, null keys and sizes."""
+@pytest.mark.parametrize("before, block, sent", [(False, 5, 10**6), (True, 5, 10**6), (True, 1, 0), (False, 20, 0)])
+def test_shards_of_groups_that_span_blocks(spark, before, block, sent):
+    """Blocks are composed and folded apart, and give what one pass gives: hot groups, small ones, null keys, no sizes."""
     rng = np.random.default_rng(7)
-    rows = [(["hot", "b", "c", None][min(3, int(rng.integers(0, 12)) // 3 if i % 3 == 0 else 0)], int(i), None if i % 50 == 0 else int(rng.integers(0, 40))) for i in range(900)]
+    rows = [(["hot", "b", "c", None, "null"][min(4, int(rng.integers(0, 15)) // 3 if i % 3 == 0 else 0)], int(i), None if i % 50 == 0 else int(rng.integers(0, 40)) * int(rng.integers(0, 2))) for i in range(900)]
     df = spark.createDataFrame(rows, "g string, i int, n int").repartition(5)
     expected = {}
     for g in {r[0] for r in rows}:
         mine = sorted((r[1], r[2] or 0) for r in rows if r[0] == g)
         expected |= {(g, i): s for (i, _), s in zip(mine, _fold([n for _, n in mine], 100, before))}
     for size, want in ((100, expected), (100_000, {k: 1 for k in expected})):
-        got = shard.greedy_shards(df, ["g"], [("i", True)], ["i"], "n", size, before=before, fold_rows=0)
+        got = shard.greedy_shards(df, ["g"], [("i", True)], ["i"], "n", size, before=before, fold_rows=0, block=block, sent=sent)
         assert {(r["g"], r["i"]): r["shard"] for r in got.collect()} == want
-    alone = shard.greedy_shards(df, [], [("i", True)], ["i"], "n", 100, before=before, fold_rows=0).orderBy("i").collect()
+    alone = shard.greedy_shards(df, [], [("i", True)], ["i"], "n", 100, before=before, fold_rows=0, block=block, sent=sent).orderBy("i").collect()
     assert [r["shard"] for r in alone] == _fold([r[2] or 0 for r in rows], 100, before)
     assert shard.greedy_shards(df.limit(0), ["g"], [("i", True)], ["i"], "n", 100).count() == 0
+    assert shard.greedy_shards(df.limit(0), ["g"], [("i", True)], ["i"], "n", 100, fold_rows=-1).count() == 0
+
+
+def test_rounds_are_a_logarithm_of_blocks(spark, monkeypatch):
+    """A group of 200 blocks and more is composed in two levels."""
+    names, settle = [], shard.settle
+    monkeypatch.setattr(shard, "settle", lambda df, name: names.append(name) or settle(df, name))
+    df = spark.range(900).selectExpr("id", "id % 13 AS n")
+    got = shard.greedy_shards(df, [], [("id", True)], ["id"], "n", 60, fold_rows=0, block=2).orderBy("id").collect()
+    assert [r["shard"] for r in got] == _fold([i % 13 for i in range(900)], 60, False)
+    assert names.count("shard-steps") == 2
 
 
 def test_files_are_cut_at_their_size(spark, tmp_path):
