@@ -81,8 +81,9 @@ class Mapped:
         right = last[2] if last[3] else last[1] + end - last[0]
         return left, right
 
-    def rewrite(self, pattern: re.Pattern, new: Callable[[re.Match], str | None]) -> Mapped:
-        """Replace each match by new(match), or leave it where that is None."""
+    def rewrite(self, pattern: re.Pattern, new: Callable[[re.Match], str | tuple[int, str] | None]) -> Mapped:
+        """Replace each match by new(match), or leave it where that is None; of (place, text), only what lies from that place
+        on is replaced."""
         text, parts, size, done = [], [], 0, 0
 
         def copy(start: int, stop: int) -> None:
@@ -101,10 +102,11 @@ class Mapped:
             out = new(m)
             if out is None or m.end() == m.start():
                 continue
-            copy(done, m.start())
+            begin, out = (m.start(), out) if isinstance(out, str) else out
+            copy(done, begin)
             done = m.end()
             if out:
-                left, right = self.source(m.start(), m.end())
+                left, right = self.source(begin, m.end())
                 parts.append((size, left, right, True))
                 text.append(out)
                 size += len(out)
@@ -159,17 +161,34 @@ _bare_end = re.compile(rf"(?i)(?:\s(?:{_AT_WORDS})\s|@)\s{{0,3}}{_host}(?![a-z0-
 _bracket_hints = ("[", "(", "{", "<", "-at-", "-dot-")
 
 
-def _joined(m: re.Match) -> str | None:
-    whole = m[0]
-    if not re.search(rf"(?i)\s(?:{_AT_WORDS}|{_DOT_WORDS})\s|\s@|@\s|\s\.|\.\s", whole):
-        return None
-    if re.search(r"(?i)\s(?:" + _AT_WORDS + r")\s", m["at"]) and not re.search(rf"(?i)\s(?:{_DOT_WORDS})\s", m["host"]) and not re.search(r"[a-z0-9]\.[a-z0-9]", m["host"], re.I):
+_spoken_at = re.compile(rf"(?i)\s(?:{_AT_WORDS})\s")
+_spoken_or_apart = re.compile(rf"(?i)\s(?:{_DOT_WORDS})\s|\s\.\s")
+_apart_anywhere = re.compile(rf"(?i)\s(?:{_AT_WORDS}|{_DOT_WORDS})\s|\s@|@\s|\s\.|\.\s")
+#: Words that an address follows, in the languages of the corpus, and those that are no one's name before "at".
+_contact = re.compile(r"(?i)\b(?:e-?mails?|mails?|mailto|contact|write|reach|address|kontakt|schreib\w*|adresse|correo|escrib\w*|contacto|contacta\w*|courriel|contacte\w*|écri\w*)\b[^.!?\n]{0,24}$")
+_nobody = {*"me us him her them you it we i he she they is was are be or and to look looking shop mir uns mich dir sie ist war nos me moi nous vous es et".split()}
+
+
+def _joined(m: re.Match) -> tuple[int, str] | None:
+    """What is disguised as an address, from its user part on, joined. An at-word beside a host with plain dots is a place
+    ("the shop at example.com"): it takes a second sign, a spoken dot or one between spaces, or a word of contact before."""
+    if not _apart_anywhere.search(m[0]):
         return None
-    user = m["user"]
+    user, host, begin = m["user"], m["host"], m.start("user")
     # a full stop with white space behind ends the sentence before
-    if cut := [d for d in re.finditer(r"\.\s", user)]:
-        return None if not user[cut[-1].end() :] else whole[: cut[-1].end()] + _any_dot.sub(".", user[cut[-1].end() :]) + "@" + _any_dot.sub(".", m["host"])
-    return _any_dot.sub(".", user) + "@" + _any_dot.sub(".", m["host"])
+    if cut := list(re.finditer(r"\.\s+", user)):
+        user, begin = user[cut[-1].end() :], begin + cut[-1].end()
+        if not user:
+            return None
+    if _spoken_at.search(m["at"]):
+        if not _spoken_or_apart.search(host):
+            plain = re.search(r"[a-z0-9]\.[a-z0-9]", host, re.I) and not re.search(r"\.\s", host)
+            if not plain or user.lower() in _nobody or not _contact.search(m.string, max(0, begin - 48), begin):
+                return None
+    elif re.search(r"\S\.\s+[A-Z]", host) or (m["at"] != "@" and re.search(r"\S\.\s", host)):
+        # a sentence that ends after "@ home" is no host
+        return None
+    return begin, _any_dot.sub(".", user) + "@" + _any_dot.sub(".", host)
 
 
 # The digits as words in the four languages of the corpus.

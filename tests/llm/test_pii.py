@@ -94,3 +94,26 @@ def test_operator(spark):
     assert masked[9001]["text"] == "[EMAIL] [IP] x [CARD] [PHONE] [EMAIL]" and masked[9001]["n_chars"] == len(masked[9001]["text"])
     spans = pii.find_spans(documents(spark, [(1, "a@b.co")])).first()["spans"]
     assert spans[0].asDict() == {"kind": "email", "start": 0, "end": 6, "base": True}
+
+
+@pytest.mark.parametrize(
+    "text, found",
+    [
+        ("The shop at amazon.com sells books. Look at example.de for more.", []),
+        ("He was at home.com, and I am at work. It rained.", []),
+        ("See you @ home. It was fun @ noon. In all.", []),
+        ("Write to us at example.com or mail me at example.org.", []),
+        ("See the shop. bob at example dot com", ["bob at example dot com"]),
+        ("Thanks. joe@example .com", ["joe@example .com"]),
+        ("Please contact joe at example.com today.", ["joe at example.com"]),
+        ("Bye.  john dot smith at mail dot example dot org!", ["john dot smith at mail dot example dot org"]),
+        ("x bei example punkt de, y @ example . com", ["x bei example punkt de", "y @ example . com"]),
+        ("joe (at) example (dot) com", ["joe (at) example (dot) com"]),
+    ],
+)
+def test_disguised_addresses_and_prose(text, found):
+    """Spans begin at the user part; places that have a domain for a name are no addresses."""
+    base, every = pii.find(text)
+    assert [text[s:e] for k, s, e in every if k == "email"] == found and not base
+    if not found:
+        assert pii.mask(text, every) == text
