@@ -93,20 +93,21 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
-def sampled(df: DataFrame, text_col: str, lang_col: str, id_col: str, sample: int) -> DataFrame:
-    """text, lang of at most `sample` labelled rows of each language, chosen by a hash of id and text, so that copies of one
-    text are neither all in nor all out; all rows of a language that has no more."""
-    draw = F.xxhash64(id_col, text_col) if id_col in df.columns else F.xxhash64(text_col)
-    rows = df.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), draw.alias("draw")).where("lang is not null and text is not null")
+def sampled(df: DataFrame, text_col: str, lang_col: str, sample: int) -> DataFrame:
+    """text, lang of `sample` labelled rows of each language, all rows of one that has no more. Rows are drawn one by one,
+    whatever they hold, so that copies of a text, or rows that share an id, are neither all in nor all out."""
+    rows = df.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.monotonically_increasing_id().alias("row")).where("lang is not null and text is not null")
+    rows = rows.withColumn("draw", F.xxhash64("row"))
     large = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > sample)
-    # most rows go before any of them moves: half as many again as are wanted stay
+    # most rows go before any of them moves: so many more than are wanted stay that fewer never do
     share = F.pmod("draw", F.lit(1 << 40)) / F.lit(1 << 40)
-    few = rows.join(F.broadcast(large), "lang", "left").where(F.col("n").isNull() | (share * F.col("n") < 1.5 * sample)).withColumn("share", share)
-    place = F.row_number().over(Window.partitionBy("lang").orderBy("share", "draw"))
+    enough = sample + 10 * int(sample**0.5) + 100
+    few = rows.join(F.broadcast(large), "lang", "left").where(F.col("n").isNull() | (share * F.col("n") < enough))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "row"))
     return few.withColumn("place", place).where(F.col("place") <= sample).select("text", "lang")
 
 
-def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", sample: int = SAMPLE) -> Model:
+def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> Model:
     """Learn from a bounded sample of the labelled rows of df: of each language at most `sample` of them, and all rows of a
     language that has no more.
 
@@ -136,7 +137,7 @@ def fit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: s
 
         return work
 
-    rows = sampled(df, text_col, lang_col, id_col, sample)
+    rows = sampled(df, text_col, lang_col, sample)
     counted = map_rows(rows, make, "lang string, size int, key long, n long").groupBy("lang", "size", "key").agg(F.sum("n").alias("n"))
     place = F.row_number().over(Window.partitionBy("lang", "size").orderBy(F.desc("n"), "key"))
     top = counted.withColumn("place", place).where(F.col("place") <= F.when(F.col("size") == 0, WORDS).otherwise(GRAMS)).drop("place").toArrow()

@@ -4,6 +4,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from helpers import documents
 
 from millrace.llm import langid
@@ -130,7 +131,7 @@ def test_memory_for_many_languages():
 
 def test_one_text_many_times_is_sampled_by_row(spark):
     data = [(i, TEXTS["en"], "en") for i in range(3000)] + [(5000 + i, f"{TEXTS['de']} {chr(97 + i % 26)}", "de") for i in range(400)]
-    rows = langid.sampled(documents(spark, data), "text", "lang", "doc_id", 100)
+    rows = langid.sampled(documents(spark, data), "text", "lang", 100)
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     assert counts == {"en": 100, "de": 100}
 
@@ -150,3 +151,13 @@ def test_no_labels(spark):
     got = langid.identify(documents(spark, [(1, "some text", None), (2, None, None)])).collect()
     assert {r["lang_pred"] for r in got} == {"und"}
     assert langid.identify(documents(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("doc_id", [1, 5, 7, None])
+def test_rows_that_repeat_are_drawn_one_by_one(spark, doc_id):
+    """No language goes because all its rows are alike."""
+    same = spark.range(30_000).select(F.lit(doc_id).cast("long").alias("doc_id"), F.lit("der gleiche Satz").alias("text"), F.lit("de").alias("lang"))
+    docs = same.unionByName(spark.createDataFrame([(i, f"the same {i}", "en") for i in range(50)], "doc_id long, text string, lang string"))
+    counts = {r["lang"]: r["count"] for r in langid.sampled(docs, "text", "lang", 400).groupBy("lang").count().collect()}
+    assert counts == {"de": 400, "en": 50}
+    assert langid.fit(docs, sample=400).langs == ("de", "en")
