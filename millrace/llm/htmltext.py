@@ -7,8 +7,10 @@ that come again under a name for comments, adverts and the like are slots of som
 path of labels are counted over all pages of the host: those that most pages of the host or of one layout have, and those
 of paths whose texts mostly come again, are template too.
 
-Every page of the host is aligned with the wrapper: the text is what stands in the article's slot and is no template.
-Class names decide by themselves only on pages whose host has no wrapper, and never about a paragraph.
+Every page of the host is aligned with the wrapper: the text is what stands in the article's slot and is no template. In the
+slot, a heading that all pages have stays where it stands before text of the page's own, and no part goes by its class name
+but lists of reader comments that the wrapper has, too. Outside a slot, class names decide only about parts that are short,
+linked or forms, or of a name that can be nothing else, and never about a paragraph.
 """
 
 from __future__ import annotations
@@ -33,8 +35,9 @@ SEEDS, AGREE, LEAST = 8, 0.75, 3
 #: Elements deeper than this become leaves side by side at this depth, in page order; pairs of children that are all compared:
 #: longer lists are first cut at children that are the same, and alike once, in both. Both bound the time, and drop nothing.
 DEPTH, PAIRS = 120, 60_000
-#: Share of the varying prose that the article's slot holds.
-SLOT = 0.9
+#: Share of the varying prose that the article's slot holds, and of its letters that are the same on all pages where it is one
+#: article on many of them.
+SLOT, COPIED = 0.9, 0.8
 #: Bytes of wrappers, and ids of seeds, that may be broadcast; beyond, they are joined by shuffle.
 SENT_BYTES, SENT_IDS = 32 << 20, 1_000_000
 
@@ -62,6 +65,15 @@ NOISE = re.compile(
     r"alert|hidden|sr-?only|screen-?reader-?text|print-?only|tag-?cloud|outbrain|taboola)(?:$|[-_\s0-9])",
     re.I,
 )
+#: Names that are only ever given to what is no article; of these, readers' comments.
+SURE = re.compile(
+    r"(?:^|[-_\s])(?:ads?|advert|adverts|advertisement|advertising|adsense|sponsored|cookie|cookies|consent|gdpr|newsletter|comments?|comment-?list|respond|disqus|breadcrumbs?|pagination|outbrain|taboola|sr-?only|screen-?reader-?text)(?:$|[-_\s0-9])",
+    re.I,
+)
+COMMENTS = re.compile(r"(?:^|[-_\s])(?:comments?|comment-?list|respond|disqus)(?:$|[-_\s0-9])", re.I)
+#: Words, and share of letters in links, from which a part of another name stays, or goes, whatever its name.
+SHORT, LINKED = 8, 0.5
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that a name may take out; paragraphs, headings, items and cells it never does.
 NAMED = frozenset("div section header table figure center details".split())
 HOLDER = re.compile(r"(?:^|[-_\s])(?:article|article-?body|post|post-?body|post-?content|entry|entry-?content|story|content|main|main-?content|page-?content|text-?body)(?:$|[-_\s0-9])", re.I)
@@ -166,12 +178,33 @@ def _named_noise(node: Node) -> bool:
     return node.tag in NAMED and bool(node.name) and bool(NOISE.search(node.name))
 
 
-def _is_noise(node: Node, inside: bool, wrapped: bool = False) -> bool:
+def _slight(node: Node) -> bool:
+    """Whether a part has few words, mostly links, or what a form has: what a doubtful name may take out."""
+    words, letters, linked, todo = 0, 0, 0, [(node, False)]
+    while todo:
+        n, in_link = todo.pop()
+        if n.tag in ("input", "textarea", "select", "button", "form"):
+            return True
+        for item in n.items:
+            if isinstance(item, str):
+                own = item.split()
+                size = sum(map(len, own))
+                words, letters, linked = words + len(own), letters + size, linked + in_link * size
+            elif item.tag not in SILENT and not item.hidden:
+                todo.append((item, in_link or item.tag == "a"))
+    return words < SHORT or linked >= LINKED * letters
+
+
+def _is_noise(node: Node, inside: bool, slot: bool = False) -> bool:
     """Whether a part is no article text by what it is: its element, or its name. A header inside the article holds its
-    heading. wrapped: names count only where the wrapper has the part, too."""
+    heading. slot: below the slot that the alignment has found, where only comments that all pages have go by a name."""
     if node.hidden or node.tag in SILENT or node.tag in ASIDE or node.role in ROLES or node.tag == "header" and not inside:
         return True
-    return _named_noise(node) and (node.known or not wrapped)
+    if not _named_noise(node):
+        return False
+    if slot:
+        return node.known and bool(COMMENTS.search(node.name))
+    return bool(SURE.search(node.name)) or _slight(node)
 
 
 def _digests(root: Node) -> None:
@@ -341,8 +374,8 @@ def induce(pages: list[str]) -> str | None:
 
     def keep(node: Node, doubtful: bool):
         # an article of which most stays the same is one text on many pages, and not template
-        if _holds(node) or node is slot:
-            doubtful = 2 * same_letters(node) > _letters(node)
+        if node is slot or slot is None and _holds(node):
+            doubtful = same_letters(node) > (COPIED if node is slot else 0.5) * _letters(node)
         kids = [k for k in (keep(c, doubtful) for c in node.children()) if k]
         text = node.own_text() if is_template(node) and not doubtful else None
         known = met[id(node)] >= enough and (node is slot or _named_noise(node))
@@ -386,23 +419,38 @@ def _mark(page: Node, wrapper: str) -> Node | None:
     return found
 
 
-def _blocks(node: Node, inside: bool, wrapped: bool = False) -> list[tuple[str, int]]:
+def _own(node: Node) -> bool:
+    """Whether a node has text of its page's own, that is no template."""
+    return any(n.own_text() and not n.template and n.tag not in SILENT for n in _walk(node))
+
+
+def _blocks(node: Node, inside: bool, slot: bool = False) -> list[tuple[str, int]]:
     """(text, letters in links) of each block below a node, in page order; texts with white space as it comes."""
     out: list[list] = [["", 0]]
 
-    def walk(n: Node, linked: bool) -> None:
-        for item in n.items:
+    def heads(items: list, i: int) -> bool:
+        """Whether the heading at place i, which all pages have, stands before text of the page's own."""
+        for item in items[i + 1 :]:
+            if isinstance(item, Node) and not _is_noise(item, inside, slot):
+                if item.tag in HEADINGS:
+                    return False
+                if any(n.own_text() for n in _walk(item)):
+                    return _own(item)
+        return False
+
+    def walk(n: Node, linked: bool, stays: bool = False) -> None:
+        for i, item in enumerate(n.items):
             if isinstance(item, str):
-                if not n.template:
+                if not n.template or stays:
                     out[-1][0] += item
                     out[-1][1] += linked * len("".join(item.split()))
             elif item.tag in ("br", "wbr"):
                 out[-1][0] += " " if item.tag == "br" else ""
-            elif not _is_noise(item, inside, wrapped):
+            elif not _is_noise(item, inside, slot):
                 block = item.tag not in INLINE
                 if block:
                     out.append(["", 0])
-                walk(item, linked or item.tag == "a")
+                walk(item, linked or item.tag == "a", stays or inside and item.tag in HEADINGS and not _own(item) and heads(n.items, i))
                 if block:
                     out.append(["", 0])
 
@@ -435,9 +483,9 @@ def _layout(root: Node) -> str:
     return _hash(*sorted(seen))
 
 
-def _mark_common(root: Node, body: Node, common: set[str]) -> None:
-    """Mark nodes whose text at their path is common; an article, or a page without one, that is mostly so is one text on
-    many pages, and stays."""
+def _mark_common(root: Node, body: Node, common: set[str], slot: Node | None) -> None:
+    """Mark nodes whose text at their path is common; an article (the slot, or what is named so), or a page without one, that
+    is mostly so is one text on many pages, and stays."""
     found = {id(n) for n, _, key in _texts(root) if key in common and not n.template}
     if not found:
         return
@@ -446,30 +494,31 @@ def _mark_common(root: Node, body: Node, common: set[str]) -> None:
         nodes = [(n, len(n.own_text())) for n in _walk(top)]
         return sum(k for n, k in nodes if id(n) in found or n.template) / max(1, sum(k for _, k in nodes))
 
-    holding = [n for n in _walk(body) if _holds(n)]
+    holding = [slot] if slot is not None else [n for n in _walk(body) if _holds(n)]
     for top in holding or [body]:
-        if share(top) > (0.5 if holding else 0.9):
+        if share(top) > (COPIED if slot is not None else 0.5 if holding else 0.9):
             found -= {id(n) for n in _walk(top)}
     for node in _walk(root):
         node.template = node.template or id(node) in found
 
 
 def extract(html: str | None, wrapper: str | None = None, common: set[str] | None = None) -> str:
-    """Blocks of the article joined by empty lines; empty if there are none. White space in a block becomes one space."""
+    """Blocks of the article joined by empty lines; empty if there are none. White space in a block becomes one space.
+
+    With a wrapper whose slot is found and holds the better part of what the page has to say, the slot decides; else the
+    page's articles, its main part, a part of such a name, or the lowest part with most of the running text."""
     root = parse(html)
     slot = _mark(root, wrapper) if wrapper else None
     body = next((n for n in root.children() if n.tag == "html"), root)
     if common:
-        _mark_common(root, body, common)
-    wrapped = bool(wrapper)
-    # the slot decides if it holds the better part of what the page has to say
+        _mark_common(root, body, common, slot)
     if slot is not None and 2 * _prose(slot) > _prose(body) and (blocks := _blocks(slot, True, True)):
         return "\n\n".join(text for text, _ in blocks)
     found: list[Node] = []
 
     def holders(node: Node, tags) -> None:
         for child in node.children():
-            if not _is_noise(child, False, wrapped) or child.tag in ("article", "main") and not child.hidden:
+            if not _is_noise(child, False) or child.tag in ("article", "main") and not child.hidden:
                 if tags(child):
                     found.append(child)
                 else:
@@ -477,25 +526,25 @@ def extract(html: str | None, wrapper: str | None = None, common: set[str] | Non
 
     for tags in (lambda n: n.tag == "article" or n.role == "article", lambda n: n.tag == "main" or n.role == "main", _holds):
         holders(body, tags)
-        found = [n for n in found if _blocks(n, True, wrapped)]
+        found = [n for n in found if _blocks(n, True)]
         if found:
             break
     if found:
-        blocks = [b for n in found for b in _blocks(n, True, wrapped)]
+        blocks = [b for n in found for b in _blocks(n, True)]
     else:
-        blocks = _largest(body, wrapped)
+        blocks = _largest(body)
         # without any name to go by, a block of links alone is a menu
         blocks = [b for b in blocks if b[1] < 0.8 * len("".join(b[0].split()))]
     return "\n\n".join(text for text, _ in blocks)
 
 
-def _largest(body: Node, wrapped: bool) -> list[tuple[str, int]]:
+def _largest(body: Node) -> list[tuple[str, int]]:
     """Blocks of the lowest part that holds most of the running text: from the top, go down while one child has it."""
     prose = lambda bs: sum(len(t) - n for t, n in bs if len(t.split()) >= 8)
-    node, blocks = body, _blocks(body, False, wrapped)
+    node, blocks = body, _blocks(body, False)
     while True:
-        kids = [k for k in node.children() if k.tag not in INLINE and k.tag not in VOID and not _is_noise(k, False, wrapped)]
-        best = max(((prose(b := _blocks(k, False, wrapped)), i, k, b) for i, k in enumerate(kids)), default=None, key=lambda x: x[:2])
+        kids = [k for k in node.children() if k.tag not in INLINE and k.tag not in VOID and not _is_noise(k, False)]
+        best = max(((prose(b := _blocks(k, False)), i, k, b) for i, k in enumerate(kids)), default=None, key=lambda x: x[:2])
         if best is None or not best[0] or best[0] < 0.8 * prose(blocks) or best[2].tag in ("p", "ul", "ol", "blockquote", "pre", "table"):
             return blocks
         node, blocks = best[2], best[3]

@@ -42,6 +42,69 @@ def test_deep_elements_close_no_others():
     assert H.extract(f"<article>{hidden}<p>rest</p></article>").replace("\n\n", " ") == "a b c d rest"
 
 
+def told(i, inner):
+    return f"<html><body><nav><a href=/>Home</a></nav><article><h1>Title {i}</h1><p>Story number {i} tells of {i * 37} things in many words, and of {i} more.</p>{inner}<p>The end of story {i} comes after {i * 11} words.</p></article><footer>All rights reserved</footer></body></html>"
+
+
+def test_alignment_decides_in_the_slot(spark):
+    """Paragraphs in boxes of any name stay where they differ from page to page; what all pages have goes, but for headings
+    of what is the page's own; lists of comments go."""
+    inner = lambda i: f"<div class='legal'><p>The court case {i} went on.</p></div><section class='related'>Third {i}.</section><h2>Background</h2><p>It began {i} years ago.</p><h2>Read on</h2><div class='box'>Our newsletter is out</div><div class='comments'><p>I liked number {i} a lot, says reader {i * 3}.</p></div>"
+    rows = [(i, f"http://one.example.org/{i}", told(i, inner(i))) for i in range(20)]
+    got = {r["page_id"]: r["text"].split("\n\n") for r in H.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(20):
+        assert got[i] == [f"Title {i}", f"Story number {i} tells of {i * 37} things in many words, and of {i} more.", f"The court case {i} went on.", f"Third {i}.", "Background", f"It began {i} years ago.", f"The end of story {i} comes after {i * 11} words."]
+
+
+def test_names_without_a_wrapper():
+    """Only what is short, linked or a form goes by a doubtful name; what can be nothing else always goes."""
+    html = told(1, "<div class='notice'><p>Second paragraph is a real part of this story</p></div><div class='related'><a href=/1>One story of many that you may read next</a> and more</div><div class='legal'>Only <input> this form with its many, many words</div><div class=comments><p>A reader has written so many words that it is long</p></div><div class='notice'>Short one</div>")
+    assert H.extract(html).split("\n\n")[2:] == ["Second paragraph is a real part of this story", "The end of story 1 comes after 11 words."]
+
+
+def _plain_text(node, strict):
+    """Texts of blocks by recursion, what is marked left out."""
+    out = [""]
+    for item in node.items:
+        if isinstance(item, str):
+            out[-1] += "" if id(node) in strict else item
+        elif item.tag == "br":
+            out[-1] += " "
+        elif not (item.tag in H.SILENT or item.tag in H.ASIDE or item.hidden):
+            inner = _plain_text(item, strict)
+            if item.tag in H.INLINE:
+                out[-1] += inner[0]
+                out += inner[1:]
+            else:
+                out += [*inner, ""]
+    return out
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_whole_hosts_against_a_plain_wrapper(spark, seed):
+    """Pages of made-up templates: the operator's text is what is left when every node whose text at its place all pages of
+    the host share is taken out of the part that all the varying text lies in."""
+    rng = random.Random(seed)
+    names = ["legal", "box", "side", "x1", "notice", "story", ""]
+    boxes = [(rng.choice(names), rng.random() < 0.5) for _ in range(6)]
+    fixed = [f"Fixed words {k} of this very site {rng.random()}" for k in range(6)]
+
+    def make(i):
+        parts = "".join(f"<div class='{n}'><p>{f'Own words {k} of page {i} number {i * 13 + k} and so on' if own else fixed[k]}</p></div>" for k, (n, own) in enumerate(boxes))
+        return f"<html><body><div class='top'>Welcome to this site</div><div class='mid'><h1>Heading {i}</h1><p>Long prose of page {i} that differs from all of the {i * 7} other ones in it.</p>{parts}</div><div class='end'>All rights reserved here</div></body></html>"
+
+    pages = {i: make(i) for i in range(10)}
+    trees_ = {i: H.parse(h) for i, h in pages.items()}
+    flat = {i: list(H._walk(t)) for i, t in trees_.items()}
+    wanted = {}
+    for i, nodes in flat.items():
+        strict = {id(n) for k, n in enumerate(nodes) if n.own_text() and all(flat[j][k].own_text() == n.own_text() for j in flat)}
+        slot = next(n for n in nodes if n.name == "mid")
+        wanted[i] = [" ".join(t.split()) for t in _plain_text(slot, strict) if t.split()]
+    got = {r["page_id"]: r["text"].split("\n\n") for r in H.extract_pages(spark.createDataFrame([(i, f"http://h{seed}.example.org/{i}", h) for i, h in pages.items()], "page_id long, url string, html string")).collect()}
+    assert got == wanted
+
+
 def test_no_paragraph_goes_for_its_name():
     html = "<article><p class='legal'>The legal history of X.</p><p class='side'>Body two.</p><h2 class='notice'>A notice</h2><div class='comments'>me too</div></article>"
     assert H.extract(html) == "The legal history of X.\n\nBody two.\n\nA notice"
