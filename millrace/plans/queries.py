@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millrace.functions import text as X
 from millrace.functions.html import TagFilter, html_records
 from millrace.functions.ids import document_id
-from millrace.functions.lid import fit_profiles, identify, labelled_language
+from millrace.functions.lid import fit_linear, identify, labelled_language
 from millrace.functions.xml2md import markdown_lines, xml_to_markdown
 from millrace.operators import joins, mux, quality, route, shard, stats, urls
 from millrace.plans import stages
@@ -569,7 +569,7 @@ def shard_sizes(spark, d):
 
 
 def _model(spark, d):
-    model = fit_profiles(table(spark, d, "documents"))
+    model = fit_linear(table(spark, d, "documents"))
     return lambda: model
 
 
@@ -578,6 +578,21 @@ def language_id(spark, d):
     return table(spark, d, "documents", deal=True).select("doc_id", identify(F.col("text"), _model(spark, d), "openlid-v3").alias("openlid_v3"))
 
 
+@query(
+    """SELECT doc_id, CASE WHEN doc_id % 5 > 1 AND length(text) > 0 THEN (SELECT least(3, count(DISTINCT lang)) FROM documents WHERE length(text) > 0) END AS labels,
+        CASE WHEN doc_id % 5 > 1 AND length(text) > 0 THEN true END AS falling, CASE WHEN doc_id % 5 > 1 AND length(text) > 0 THEN true END AS shares FROM documents"""
+)
+def language_id_forms(spark, d):
+    """What an identification has whatever the model: none for null and empty texts, else the likeliest three, best first."""
+    docs = table(spark, d, "documents", deal=True)
+    text = F.when(F.col("doc_id") % 5 > 1, F.col("text")).when(F.col("doc_id") % 5 == 1, "")
+    rows = docs.select("doc_id", identify(text, _model(spark, d), "openlid-v3").alias("r")).select("doc_id", "r.lang", "r.prob")
+    labels = F.when(F.size(F.array_distinct("lang")) == F.size("prob"), F.size("lang").cast("long"))
+    falling = F.when(F.col("prob").isNotNull(), F.sort_array("prob", asc=False) == F.col("prob"))
+    total = F.aggregate("prob", F.lit(0.0), lambda a, p: a + p)
+    return rows.select("doc_id", labels.alias("labels"), falling.alias("falling"), F.when(total.isNotNull(), (total > 0) & (total < 1.001)).alias("shares"))
+
+
 @query()
 def stage2(spark, d):
     return stages.pages_to_text(table(spark, d, "pages", deal=True).select("page_id", F.col("html").alias("h")), _model(spark, d))

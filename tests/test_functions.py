@@ -1,3 +1,5 @@
+import random
+import math
 import numpy as np
 import pytest
 import xxhash
@@ -6,7 +8,8 @@ from pyspark.sql import functions as F
 from millrace.functions import html as H
 from millrace.functions import text as X
 from millrace.functions.ids import document_id
-from millrace.functions.lid import ProfileModel, fit_profiles, with_language
+from millrace.functions import lid
+from millrace.functions.lid import LinearModel, fit_linear, with_language
 from millrace.functions.xml2md import CRITICAL, HIGH, LOW, MEDIUM, convert
 
 
@@ -120,32 +123,47 @@ def test_time_limit():
 
 def test_language(spark):
     rows = spark.createDataFrame([("the cat and the dog", "en"), ("der hund und die katze", "de")] * 3, "text string, lang string")
-    model = fit_profiles(rows)
-    assert isinstance(model, ProfileModel)
+    model = fit_linear(rows)
+    assert isinstance(model, LinearModel)
     out = with_language(rows.union(spark.createDataFrame([("", None), (None, None)], "text string, lang string")), lambda: model, "openlid-v3").collect()
     assert all(r["openlid_v3"]["lang"][0] == r["lang"] for r in out if r["text"])
     assert all(r["openlid_v3"]["lang"] is None for r in out if not r["text"])
 
 
-def test_profiles_against_plain_counts():
-    """Looking trigrams up all at once gives what adding them up one by one gives."""
-    import math
-    import random
+def _place(gram):
+    mixed = 0
+    for n, c in enumerate(gram, 1):
+        mixed = (mixed + ord(c) + n) * 0x9E3779B97F4A7C15 % 2**64
+    return (mixed >> 40) % lid.BUCKETS
 
+
+def test_linear_model_against_plain_sums(monkeypatch):
+    """All texts' n-grams looked up at once give what adding them up one by one gives, however they are cut."""
     rng = random.Random(3)
-    langs, grams = ["a", "b", "c"], ["".join(rng.choice("xyz é\U0001f600") for _ in range(3)) for _ in range(60)]
-    grams = sorted(set(grams))
-    logs = np.array([[rng.uniform(-9, -1) for _ in langs] for _ in grams])
-    model = ProfileModel(grams, logs, langs)
-    for _ in range(50):
-        text = "".join(rng.choice("xyz é\U0001f600") for _ in range(rng.randrange(1, 80)))
+    counts = np.array([[rng.randrange(50) * (rng.random() < 0.3) for _ in range(3)] for _ in range(lid.BUCKETS)])
+    model = LinearModel(counts, ["a", "b", "c"])
+    texts = ["".join(rng.choice("xyZ é\U0001f600") for _ in range(rng.randrange(0, 80))) for _ in range(50)]
+    wanted = []
+    for text in texts:
         padded = f" {text.lower()} "
-        seen = [padded[i : i + 3] for i in range(len(padded) - 2)]
-        mean = [sum(logs[grams.index(g)][k] if g in grams else -14.0 for g in seen) / len(seen) for k in range(3)]
-        weights = [math.exp(8 * (m - max(mean))) for m in mean]
-        names, probs = model.predict(text, 3)
-        assert names == ["__label__" + langs[k] for k in sorted(range(3), key=lambda k: -weights[k])]
-        assert probs == pytest.approx(sorted((w / sum(weights) for w in weights), reverse=True), abs=1e-5)
+        places = [_place(padded[i : i + n]) for i in range(len(padded)) for n in range(lid.LEAST, lid.MOST + 1) if i + n <= len(padded)]
+        mean = [sum(float(model.weights[p, k]) for p in places) / max(1, len(places)) for k in range(3)]
+        weights = [math.exp(lid.SHARP * (m - max(mean))) for m in mean]
+        wanted.append(sorted(((-w / sum(weights), f"__label__{x}") for w, x in zip(weights, "abc"))))
+    for together, added in ((1 << 20, 1 << 18), (100, 7), (1, 1)):
+        monkeypatch.setattr(lid, "TOGETHER", together)
+        monkeypatch.setattr(lid, "ADDED", added)
+        for (names, probs), want in zip(model.predict_all(texts, 3), wanted):
+            assert probs == pytest.approx([-p for p, _ in want], abs=1e-6)
+            assert names == [x for _, x in want] or probs[0] == pytest.approx(probs[-1], abs=1e-6)
+    assert LinearModel(np.zeros((lid.BUCKETS, 0)), []).predict("text", 3) == ([], [])
+
+
+def test_labelled_rows_are_drawn_one_by_one(spark):
+    same = spark.range(5_000).selectExpr("'der gleiche Satz' AS text", "'de' AS lang")
+    docs = same.unionByName(spark.createDataFrame([(f"the same {i}", "en") for i in range(20)] + [("", "fr"), (None, "fr"), ("x", None)], "text string, lang string"))
+    assert {r["lang"]: r["count"] for r in lid.sampled(docs, "text", "lang", 50).groupBy("lang").count().collect()} == {"de": 50, "en": 20}
+    assert fit_linear(docs, sample=50).langs == ["de", "en"] and fit_linear(docs.limit(0)).langs == []
 
 
 def test_ids_by_a_second_implementation(spark):

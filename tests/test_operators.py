@@ -306,10 +306,10 @@ def test_releases(spark, tmp_path):
 
 
 def test_stages(spark):
-    from millrace.functions.lid import fit_profiles
+    from millrace.functions.lid import fit_linear
 
     docs = spark.createDataFrame([("f", f"u{i}", "2020", "the cat", "<doc><main><p>the cat</p></main></doc>") for i in range(4)], "f string, u string, ts string, t string, x string")
-    model = fit_profiles(spark.createDataFrame([("the cat", "en")], "text string, lang string"))
+    model = fit_linear(spark.createDataFrame([("the cat", "en")], "text string, lang string"))
     plain = stages.augment(docs, {"openlid-v3": lambda: model})
     ids = [r["id"] for r in plain.orderBy("u").collect()]
     masks = spark.createDataFrame([(ids[0], True), (ids[1], False), (ids[2], None)], "id string, allowed boolean")
