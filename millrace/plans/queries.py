@@ -6,17 +6,20 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from millrace.functions import text as X
 from millrace.functions.html import TagFilter, html_records
 from millrace.functions.ids import document_id
 from millrace.functions.lid import fit_linear, identify, labelled_language
 from millrace.functions.xml2md import markdown_lines, xml_to_markdown
-from millrace.operators import joins, mux, quality, route, shard, stats, urls
+from millrace.operators import joins, mux, quality, route, runs, shard, stats, urls
 from millrace.plans import stages
 from millrace.session import spread
 from millrace.sources import frames, lines, sinks
-from millrace.sources.shared import shared_dir
+from millrace.sources.shared import settle, shared_dir
+from millrace.streaming import partials
+from millrace.streaming.incremental import stream_parquet
 
 # What the scored corpus has and the tables lack, as expressions that both engines read alike.
 DERIVED = {
@@ -311,6 +314,24 @@ def release_neighbours(spark, d):
     return rows.alias("a").join(rows.select((F.col("line") + 1).alias("line"), F.col("id").alias("before")), "line", "left").select("id", "before")
 
 
+@query(
+    SCORED
+    + """ SELECT id, wds, CAST(run AS INTEGER) AS run, row_number() OVER (ORDER BY wds DESC, run DESC, id DESC) - 1 AS place
+        FROM (SELECT id, wds, dense_rank() OVER (ORDER BY source) - 1 AS run FROM scored) WHERE wds >= 0.25"""
+)
+def merged_runs(spark, d):
+    """The sorted file of each source, written, and merged with the others into one order of the better scores."""
+    path = _scratch(spark, "runs")
+    docs = scored(spark, d).select("source", "id", "wds", "text")
+    sinks.write_shards(docs, path, ["source"], None, [("wds", False), ("id", False)], 1 << 40)
+    files = [f"{path}/{r['source']}/1.jsonl.zst" for r in docs.select("source").distinct().orderBy("source").collect()]
+    # small ranges, so that there are many at any size of the tables
+    rows = settle(runs.merged(spark, files, runs.number_of("wds"), 0.25, entry=1 << 16, part=1 << 18), "merged")
+    sizes = rows.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return rows.join(F.broadcast(sizes.select("part", before.alias("before"))), "part").select(F.get_json_object("value", "$.id").alias("id"), F.col("number").alias("wds"), "run", (F.col("before") + F.col("place")).alias("place"))
+
+
 @query(SCORED + " SELECT id, wds FROM scored WHERE wds >= 0.25 AND wds < 0.75")
 def wds_range(spark, d):
     return quality.score_range(quality.with_score(corpus(spark, d)), 0.25, 0.75).select("id", "wds")
@@ -383,6 +404,18 @@ def pool_stats_merged(spark, d):
     return stats.merged_pool_statistics(stats.pool_statistics(_pool(spark, d)).drop("batch"))
 
 
+@query(POOL + f" SELECT coalesce(split_part(crawl, '.', 1), 'total') AS crawl, {_SUMS} FROM pool GROUP BY GROUPING SETS ((split_part(crawl, '.', 1)), ())")
+def incremental_stats(spark, d):
+    """The pools' statistics from sums by file: of half the documents, then, in a second run that reads only those, of the rest."""
+    path = _scratch(spark, "stream")
+    pool = _pool(spark, d).withColumn("half", F.pmod(F.xxhash64("text"), F.lit(2)))
+    for half in (0, 1):
+        pool.where(F.col("half") == half).drop("half").write.mode("append").parquet(f"{path}/in")
+        stream = partials.with_file(stream_parquet(spark, f"{path}/in", pool.drop("half").schema))
+        partials.update(stream, lambda rows: stats.pool_statistics(rows, ("file", "crawl")), f"{path}/sums", f"{path}/seen").awaitTermination()
+    return stats.merged_pool_statistics(partials.partials(spark, f"{path}/sums").drop("file"))
+
+
 @query(POOL + " SELECT crawl, batch, coalesce(lang, 'null') AS lang, count(*) AS lang_docs, CAST(sum(length(text)) AS BIGINT) AS lang_chars FROM pool GROUP BY ALL")
 def pool_languages(spark, d):
     return stats.pool_languages(_pool(spark, d))

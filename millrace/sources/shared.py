@@ -8,6 +8,8 @@ import re
 import tempfile
 import time
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,9 +54,18 @@ def release(spark: SparkSession) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """A small text file, through the file system that Spark itself uses."""
+@contextmanager
+def text_writer(spark: SparkSession, path: str) -> Iterator[Callable[[str], None]]:
+    """A function that adds text to a new file, through the file system that Spark itself uses."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     out = where.getFileSystem(spark._jsc.hadoopConfiguration()).create(where, True)
-    out.write(bytearray(text.encode()))
-    out.close()
+    try:
+        yield lambda text: out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file."""
+    with text_writer(spark, path) as write:
+        write(text)

@@ -22,7 +22,7 @@ from millrace.operators.mux import Spec, fanned
 from millrace.operators.shard import greedy_shards
 from millrace.sources.frames import seek_table
 from millrace.sources.lines import numbered_lines
-from millrace.sources.shared import write_text
+from millrace.sources.shared import text_writer, write_text
 
 #: Uncompressed bytes of a frame, so that readers can start inside a file.
 FRAME = 512 * 1024
@@ -354,11 +354,20 @@ def mark_done(spark: SparkSession, folder: str, counts: dict[str, int]) -> bool:
 
 
 def write_filter_json(spark: SparkSession, folder: str, statistics: DataFrame, by: str = "file") -> None:
-    """`.<file>.filter.json` of each input and `.filter.json` of all (null): one small file for each row, known suffixes of
-    a file's name left out."""
-    for r in statistics.toLocalIterator():
-        name = re.sub(r"(\.jsonl)?(\.zstd?)?$", "", r[by], count=1) if r[by] is not None else None
-        write_text(spark, f"{folder.rstrip('/')}/{'' if name is None else f'.{name}'}.filter.json", r["statistics"])
+    """`.<file>.filter.json` of each input, known suffixes of a file's name left out, and `.filter.json` of all (null), which
+    also has an object for each file under its whole name. Rows stream through the driver one by one into the files."""
+    root = folder.rstrip("/")
+    total = next(iter(statistics.where(F.col(by).isNull()).select("statistics").collect()), None)
+    with text_writer(spark, f"{root}/.filter.json") as write:
+        head = (total["statistics"] if total else "{}").rstrip()[:-1]
+        write(head)
+        comma = "," if len(head) > 1 else ""
+        for r in statistics.where(F.col(by).isNotNull()).select(by, "statistics").toLocalIterator():
+            name = re.sub(r"(\.jsonl)?(\.zstd?)?$", "", r[by], count=1)
+            write_text(spark, f"{root}/.{name}.filter.json", r["statistics"])
+            write(f"{comma}{json.dumps(r[by], ensure_ascii=False)}:{r['statistics']}")
+            comma = ","
+        write("}")
 
 
 def write_statistics(df: DataFrame, path: str) -> None:

@@ -225,7 +225,7 @@ def test_small_frames_and_hidden_files(spark, tmp_path):
     assert [len(r["text"]) for r in extract_files(spark, str(tmp_path / "*.html")).orderBy("path").collect()] == [399, 0]
     stats_ = spark.createDataFrame([("a.jsonl.zst", '{"n":1}'), (None, '{"n":2}')], "file string, statistics string")
     sinks.write_filter_json(spark, str(tmp_path / "s"), stats_)
-    assert (tmp_path / "s" / ".a.filter.json").read_text() == '{"n":1}' and (tmp_path / "s" / ".filter.json").read_text() == '{"n":2}'
+    assert (tmp_path / "s" / ".a.filter.json").read_text() == '{"n":1}' and (tmp_path / "s" / ".filter.json").read_text() == '{"n":2,"a.jsonl.zst":{"n":1}}'
     assert {r["text_size"] for r in stats.pool_sizes(spark, str(tmp_path / "one")).collect()} == {0}
 
 
