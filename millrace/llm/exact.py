@@ -6,7 +6,8 @@ are different texts, so a text with many copies fills no bucket. Each bucket is
 orders the entries of one hash into a chain and tells them apart by their bytes.
 
 Only texts whose hash comes more than once have to move; they are summed up before they do. A row finds its entry from
-its hash: directory, bucket, and then along the chain.
+its hash alone: by the directory its bucket, and there the first link of its chain; only rows of a hash that several texts
+share look up which link is theirs.
 """
 
 from __future__ import annotations
@@ -20,8 +21,9 @@ from pyspark.sql.window import Window
 
 from .common import hot_keys, salted_join, settle
 
-#: Deepest directory; entries that a bucket holds before it splits.
-DEPTH, CAPACITY = 16, 16
+#: Least and greatest depth that a directory may reach, by the table's size: it is sent to every task, 2 MB at most; entries
+#: that a bucket holds before it splits.
+SHALLOW, DEEP, CAPACITY = 4, 18, 16
 #: Hashes that may be sent to every task, so that other texts don't move; beyond, both sides are shuffled.
 SENT_HASHES = 2_000_000
 
@@ -32,7 +34,12 @@ def normalised(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, ascii_uppercase, ascii_lowercase))
 
 
-def split(counts: dict[int, int], capacity: int, bits: int = DEPTH) -> list[tuple[int, int]]:
+def depth_for(entries: int, capacity: int) -> int:
+    """Bits of a directory in which buckets of `capacity` have room for all entries, and some to spare where they lie uneven."""
+    return max(SHALLOW, min(DEEP, (max(1, entries) // max(1, capacity)).bit_length() + 3))
+
+
+def split(counts: dict[int, int], capacity: int, bits: int) -> list[tuple[int, int]]:
     """(first prefix, own depth) of each bucket, in order, for counts of entries by prefix of `bits` bits."""
     sums = [0]
     for prefix in range(2**bits):
@@ -48,7 +55,7 @@ def split(counts: dict[int, int], capacity: int, bits: int = DEPTH) -> list[tupl
     return sorted(done)
 
 
-def directory(buckets: list[tuple[int, int]], bits: int = DEPTH) -> tuple[int, list[int]]:
+def directory(buckets: list[tuple[int, int]], bits: int) -> tuple[int, list[int]]:
     """(depth, bucket number of each entry): the directory is as deep as its deepest bucket, and a bucket of less depth
     has several entries."""
     depth = max(own for _, own in buckets)
@@ -62,21 +69,24 @@ class Index:
         """keyed: id, hash, text (normalised); keys: id, hash, digest of the same rows, stored."""
         self.spark = keyed.sparkSession
         hashes = settle(keys.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("keep_id"), F.min("digest").alias("digest")), "exact-hashes")
-        prefix = F.shiftrightunsigned("hash", 64 - DEPTH).cast("int").alias("prefix")
+        bits = depth_for(hashes.count(), capacity)
+        prefix = F.shiftrightunsigned("hash", 64 - bits).cast("int").alias("prefix")
         counts = {r["prefix"]: r["n"] for r in hashes.groupBy(prefix).agg(F.count(F.lit(1)).alias("n")).collect()}
-        self.depth, self.buckets = directory(split(counts, capacity))
+        self.depth, self.buckets = directory(split(counts, capacity, bits), bits)
         # a hash that comes once has one text
         single = hashes.where("n = 1").select("hash", F.lit(1).alias("chain"), "digest", "keep_id", F.col("n").alias("group_size"))
         met = hashes.where("n > 1").select("hash")
         if met.count() <= SENT_HASHES:
             met = F.broadcast(met)
+        # equal rows are summed up where they lie, so that a hot text is no one's work; what is left goes to the owners
         texts = keyed.join(met, "hash", "left_semi").groupBy("hash", "text").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-        owned = self.located(texts).repartition("bucket")
-        # the owner of a bucket puts the texts of one hash, compared by their bytes, into a chain
+        owned = self.located(texts).repartitionByRange("bucket")
+        # the owner of a range of buckets puts the texts of one hash, compared by their bytes, into a chain
         link = F.dense_rank().over(Window.partitionBy("bucket", "hash").orderBy("text"))
         chained = owned.withColumn("chain", link).select("bucket", "hash", "chain", F.sha2("text", 256).alias("digest"), "keep_id", "group_size")
         both = self.located(single).select(chained.columns).union(chained)
-        self.entries = settle(both.repartition("bucket").sortWithinPartitions("bucket", "hash", "chain"), "exact-index")
+        self.entries = settle(both.repartitionByRange("bucket").sortWithinPartitions("bucket", "hash", "chain"), "exact-index")
+        self.longer = settle(self.entries.where("chain > 1").select("hash", "digest", "chain"), "exact-chains")
 
     def located(self, df: DataFrame) -> DataFrame:
         """df with the bucket that the directory gives for its hash."""
@@ -86,9 +96,15 @@ class Index:
 
     def look_up(self, keys: DataFrame, rows: int) -> DataFrame:
         """keys (hash, digest and others) with chain, keep_id and group_size: by directory, bucket and chain."""
-        found = ["bucket", "hash", "digest"]
+        found = ["bucket", "hash", "chain"]
+        links = self.longer
+        if not links.isEmpty():
+            # texts beside another of the same 64 bits: few at any size, and the engine picks the join
+            keys = keys.join(links, ["hash", "digest"], "left").withColumn("chain", F.coalesce("chain", F.lit(1)))
+        else:
+            keys = keys.withColumn("chain", F.lit(1))
         hot = hot_keys(self.entries.select(*found, F.col("group_size").alias("n")), found, rows)
-        return salted_join(self.located(keys), self.entries.select(*found, "chain", "keep_id", "group_size"), found, ["id"], hot, "inner")
+        return salted_join(self.located(keys), self.entries.select(*found, "keep_id", "group_size"), found, ["id"], hot, "inner")
 
 
 def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
