@@ -259,13 +259,36 @@ class _Group:
         return out.astype(np.int64)
 
 
-def _in_blocks(members: DataFrame, hot: DataFrame | None, blocks: Column, columns: list[str], work, schema: str) -> DataFrame:
-    """work(rows) over each bucket, or over every two blocks of one that has several. members: key, digest and `columns`;
-    blocks: how many blocks a bucket is cut into, by its rows. work gets (block, digest, columns) and gives rows of `schema`."""
-    counts = members.groupBy("key").agg(blocks.cast("int").alias("__blocks"))
-    placed = salted_join(members, counts, ["key"], ["digest"], hot, "inner").withColumn("__block", F.pmod(F.xxhash64("digest"), F.col("__blocks")).cast("int"))
-    met = placed.withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)))
-    met = met.withColumns({"__i": F.least("__block", "__other"), "__j": F.greatest("__block", "__other")})
+def met_in_blocks(members: DataFrame, hot: DataFrame | None, most: int, size: Column | None = None) -> DataFrame:
+    """members (key, digest, label and others) with __block and the group (__i, __j) that they meet in, once for each group.
+
+    A bucket of at most `most` members (and BLOCK_BYTES of `size`) is one group. Of a larger one, members of its largest
+    component need not meet each other: only the others are cut into blocks of which every two meet, and each of these
+    blocks meets the largest component's members block by block. So members of the largest component are copied once for
+    each block of others, and where these fit into one block, copies stay in proportion to members, however many."""
+    by_label = members.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"), (F.sum(size) if size is not None else F.lit(0)).cast("long").alias("bytes"))
+    need = lambda n, size: F.greatest(F.ceil(n / most), F.ceil(size / BLOCK_BYTES), F.lit(1)).cast("int")
+    counts = by_label.groupBy("key").agg(F.max(F.struct("n", "label", "bytes")).alias("top"), F.sum("n").alias("all"), F.sum("bytes").alias("all_bytes"))
+    top = F.col("top")
+    counts = counts.select("key", top["label"].alias("__top"), (need(F.col("all"), F.col("all_bytes")) == 1).alias("__whole"), need(F.col("all") - top["n"], F.col("all_bytes") - top["bytes"]).alias("__few"), need(top["n"], top["bytes"]).alias("__many"))
+    placed = salted_join(members, counts, ["key"], ["digest"], hot, "inner")
+    part = lambda n: F.pmod(F.xxhash64("digest"), F.col(n)).cast("int")
+    pair = lambda i, j: F.struct(i.alias("i"), j.alias("j"))
+    # blocks of the largest component are numbered from -1 down
+    largest = F.col("label") == F.col("__top")
+    placed = placed.withColumn("__block", F.when(F.col("__whole"), 0).when(largest, -1 - part("__many")).otherwise(part("__few")))
+    block, others = F.col("__block"), F.sequence(F.lit(0), F.col("__few") - 1)
+    groups = (
+        F.when(F.col("__whole"), F.array(pair(F.lit(0), F.lit(0))))
+        .when(largest, F.transform(others, lambda i: pair(i, block)))
+        .otherwise(F.concat(F.transform(others, lambda j: pair(F.least(block, j), F.greatest(block, j))), F.transform(F.sequence(F.lit(1), F.col("__many")), lambda j: pair(block, -j))))
+    )
+    return placed.withColumn("__group", F.explode(groups)).withColumns({"__i": F.col("__group.i"), "__j": F.col("__group.j")})
+
+
+def _in_blocks(members: DataFrame, hot: DataFrame | None, most: int, columns: list[str], work, schema: str, size: Column | None = None) -> DataFrame:
+    """work(rows) over each group of met_in_blocks(). work gets (block, digest, columns) and gives rows of `schema`."""
+    met = met_in_blocks(members, hot, most, size)
     keys = ["key", "__i", "__j"]
     dealt = met.repartition(*keys).sortWithinPartitions(*keys).select(*keys, "__block", "digest", *columns)
     arrow = to_arrow_schema(T._parse_datatype_string(schema))
@@ -291,8 +314,8 @@ def cross_links(open_: DataFrame, sketches: DataFrame, classes: DataFrame, docs:
     """Confirmed links (a, b) between different components in the buckets of open_ (key, digest, label).
 
     No pair leaves a task but as a link, and no more links than join the bucket's components. Large buckets are cut into
-    blocks, and every two of them meet in a group of their own, so that none grows with the bucket. Members meet by
-    sizes and sketches first; only those that may have a partner meet by their texts."""
+    blocks, so that no group grows with the bucket. Members meet by sizes and sketches first; only those that may have a
+    partner meet by their texts."""
 
     def by_sketch():
         def work(now, rows):
@@ -310,12 +333,11 @@ def cross_links(open_: DataFrame, sketches: DataFrame, classes: DataFrame, docs:
         return min(most, max(LEAST_BLOCK, rows.count() // int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
     signed = open_.join(sketches, "digest")
-    maybe = _in_blocks(signed, hot, F.ceil(F.count(F.lit(1)) / block(open_, SKETCH_BLOCK)), ["label", "n", "sketch"], by_sketch, "key long, digest binary").distinct()
+    maybe = _in_blocks(signed, hot, block(open_, SKETCH_BLOCK), ["label", "n", "sketch"], by_sketch, "key long, digest binary").distinct()
     maybe = settle(maybe, "near-hopeful")
     texts = packed_texts(maybe.select("digest").distinct(), classes, docs, size)
     left = open_.join(maybe, ["key", "digest"]).join(sketches, "digest").join(texts, "digest")
-    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / block(maybe, BLOCK), F.sum(F.octet_length("packed")) / BLOCK_BYTES))
-    return settle(_in_blocks(left, hot, blocks, ["label", "n", "sketch", "packed"], by_text, "a binary, b binary").distinct(), "near-links")
+    return settle(_in_blocks(left, hot, block(maybe, BLOCK), ["label", "n", "sketch", "packed"], by_text, "a binary, b binary", F.octet_length("packed")).distinct(), "near-links")
 
 
 def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:

@@ -133,3 +133,27 @@ def test_components_follow_long_chains(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 2000)], "a long, b long")
     got = {r["node"]: r["label"] for r in near.components(links).collect()}
     assert all(got[i] == 0 for i in range(301)) and got[2000] == 1000
+
+
+def test_every_pair_across_components_meets(spark):
+    """Buckets of one block, of many, and with or without a large component: all that may be linked meets."""
+    rng = random.Random(6)
+    rows = [(k, f"{k}-{i}".encode(), rng.choice(labels)) for k, (n, labels) in enumerate([(5, "ab"), (40, "aaab"), (60, "abcdef"), (30, "a"), (25, "aaaaaaab")]) for i in range(n)]
+    members = spark.createDataFrame([(k, d, x.encode()) for k, d, x in rows], "key long, digest binary, label binary")
+    groups = {}
+    for r in near.met_in_blocks(members, None, 8).collect():
+        groups.setdefault((r["key"], r["__i"], r["__j"]), []).append((r["__block"], bytes(r["digest"]), bytes(r["label"])))
+    together = {(k, frozenset((a[1], b[1]))) for (k, *_), ms in groups.items() for x, a in enumerate(ms) for b in ms[x + 1 :] if a[0] != b[0] or len({m[0] for m in ms}) == 1}
+    for k, a, x in rows:
+        for j, b, y in rows:
+            if k == j and x != y:
+                assert (k, frozenset((a, b))) in together
+    assert max(map(len, groups.values())) <= 40
+
+
+def test_copies_are_in_proportion_to_members(spark):
+    """A bucket of 100,000 sets in a large component and some small ones, in blocks of 2,000."""
+    members = spark.range(100_000).selectExpr("1L AS key", "CAST(CAST(id AS STRING) AS BINARY) AS digest", "CAST(CASE WHEN id % 100 > 0 THEN 'big' ELSE CAST(id % 700 AS STRING) END AS BINARY) AS label")
+    met = near.met_in_blocks(members, None, 2000)
+    assert met.count() < 2.5 * 100_000
+    assert met.groupBy("key", "__i", "__j").count().agg({"count": "max"}).first()[0] < 4000
