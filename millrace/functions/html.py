@@ -1,7 +1,8 @@
 """HTML to text, XML and language hints: one struct-valued pandas UDF over whole pages.
 
 The extractor is pluggable: anything with `text(tree)` and `xml(tree)`. The one here drops parts that are no running
-text, keeps blocks that are long enough or stand in an article, and writes the XML vocabulary that xml2md reads.
+text, chooses the main part by scores of its blocks, in passes that grow looser, and writes the XML vocabulary that xml2md
+reads.
 """
 
 from __future__ import annotations
@@ -124,75 +125,175 @@ class Extractor(Protocol):
     def xml(self, root: ET.Element) -> str | None: ...
 
 
+#: Names of parts that are no article, and of readers' comments.
+ASIDE_NAMES = re.compile(r"(?i)(?:^|[-_\s])(?:ads?|advert\w*|banner|nav\w*|menu|side-?bar|footer|cookies?|share|social|related|promo\w*|newsletter|breadcrumbs?|teasers?)(?:$|[-_\s])")
+COMMENT_NAMES = re.compile(r"(?i)(?:^|[-_\s])(?:comments?|comment-?(?:list|area|section|body)|respond|replies|disqus\w*)(?:$|[-_\s])")
+#: Words that a block costs, and that a word in a link, or in a part of such a name, takes away, but no block more than WORST, so
+#: that one alone cuts no article; letters that are too few where a looser pass finds LOOSER times as many.
+COST, LINK, WORST, TOO_FEW, LOOSER = 5, 3, 8, 60, 3
+#: Share of a run's score that may stand before its title and yet go.
+BEFORE_TITLE = 0.2
+
+
+def best_run(scores: list[float]) -> tuple[int, int]:
+    """[start, end) of the run of the greatest sum; of equal sums the first, of these the longest. Nothing where none is above
+    zero."""
+    best, place, total, start = 0.0, (0, 0), 0.0, 0
+    for i, score in enumerate(scores):
+        if total < 0:
+            total, start = 0.0, i
+        total += score
+        if total > best or total == best > 0 and place[0] == start:
+            best, place = total, (start, i + 1)
+    return place
+
+
 class BlockExtractor:
-    """Paragraph-like blocks outside navigation; outside an article, only blocks that aren't mostly links."""
+    """Main text by blocks, in passes that grow looser where the one before leaves too little.
 
-    def __init__(self, least: int = 0):
-        self.least = least
+    precise: the article or main part whose blocks score best; balanced: the body's best run of blocks; loose: all blocks of
+    the body that aren't mostly links. A block scores by its words; those in links, or in parts named like menus or adverts,
+    count against it, and so does each block by itself. least: letters that a text must have more of, else there is none.
+    comments: readers' comments, which otherwise go, follow the text. precision: passes begin with the precise one."""
 
-    def _area(self, root: ET.Element) -> tuple[ET.Element, bool]:
-        for tag in ("article", "main"):
-            found = root.find(f".//{tag}")
-            if found is not None:
-                return found, True
-        body = root.find(".//body")
-        return (root if body is None else body), False
+    def __init__(self, least: int = 0, comments: bool = True, precision: bool = True):
+        self.least, self.comments, self.precision = least, comments, precision
+        #: words, words against it, and whether it stands in readers' comments, of each block in the making
+        self.seen: dict[ET.Element, tuple[int, int, bool]] = {}
 
     def _main(self, root: ET.Element) -> ET.Element:
-        area, trusted = self._area(root)
+        self.seen = {}
+        body = root.find(".//body")
+        body = root if body is None else body
+        passes = [self._precise, self._balanced, self._loose] if self.precision else [self._balanced, self._loose]
+        found: list[ET.Element] = []
+        for attempt in passes:
+            blocks = attempt(root, body)
+            if not found or self._letters(blocks) >= LOOSER * max(1, self._letters(found)):
+                found = blocks
+            if self._letters(found) >= TOO_FEW:
+                break
         main = ET.Element("main")
-        self._blocks(area, main, trusted)
+        main.extend(found)
+        if self.comments:
+            said = {id(b) for b in found}
+            main.extend(b for b in self._of(body, True) if self.seen[b][2] and id(b) not in said)
         return main
 
-    def _blocks(self, source: ET.Element, target: ET.Element, trusted: bool) -> None:
-        loose = [source.text or ""]
+    @staticmethod
+    def _letters(blocks: list[ET.Element]) -> int:
+        return sum(len("".join("".join(b.itertext()).split())) for b in blocks)
+
+    def _of(self, area: ET.Element, trusted: bool) -> list[ET.Element]:
+        holder = ET.Element("main")
+        self._blocks(area, holder, trusted, False, False)
+        return list(holder)
+
+    def _score(self, block: ET.Element) -> float:
+        words, against, comment = self.seen[block]
+        score = -WORST if comment else max(words - LINK * against - COST, -WORST)
+        # a heading neither makes an article nor ends one
+        return max(score, -1) if block.tag == "head" and not against else score
+
+    def _chosen(self, blocks: list[ET.Element], whole: bool) -> tuple[float, list[ET.Element]]:
+        """The sum of the best run and its blocks, without those that speak against it; whole: of all blocks that don't."""
+        scores = [self._score(b) for b in blocks]
+        start, end = best_run(scores)
+        total = sum(scores[start:end])
+        while start and blocks[start - 1].tag == "head" and not self.seen[blocks[start - 1]][1]:
+            start -= 1
+        # what little stands before the page's own title belongs to what is around it
+        title = next((i for i in range(start, end) if blocks[i].get("rend") == "h1"), start)
+        if sum(scores[start:title]) < BEFORE_TITLE * total:
+            start = title
+        kept = blocks if whole else blocks[start:end]
+        return total, [b for b in kept if not self.seen[b][2] and 2 * self.seen[b][1] <= self.seen[b][0]]
+
+    def _precise(self, root: ET.Element, body: ET.Element) -> list[ET.Element]:
+        """All that is text in the best of the outermost articles and main parts; of equal ones, the first."""
+        areas, todo = [], [body]
+        while todo:
+            node = todo.pop()
+            if node.tag in ("article", "main") or node.get("role") in ("article", "main"):
+                areas.append(node)
+            else:
+                todo += [c for c in reversed(list(node)) if c.tag not in DROPPED]
+        inner = [n for a in areas if a.tag == "main" or a.get("role") == "main" for n in a.iter("article")]
+        tried = [self._chosen(self._of(a, True), True) for a in [*inner, *areas]]
+        return max(tried, key=lambda t: t[0])[1] if tried else []
+
+    def _balanced(self, root: ET.Element, body: ET.Element) -> list[ET.Element]:
+        return self._chosen(self._of(body, True), False)[1]
+
+    def _loose(self, root: ET.Element, body: ET.Element) -> list[ET.Element]:
+        return [b for b in self._of(body, False) if not self.seen[b][2]]
+
+    def _note(self, block: ET.Element, text: str, linked: str, aside: bool, comment: bool) -> ET.Element:
+        words = len(text.split())
+        self.seen[block] = (words, words if aside else len(linked.split()), comment)
+        return block
+
+    def _blocks(self, source: ET.Element, target: ET.Element, trusted: bool, aside: bool, comment: bool) -> None:
+        loose, linked = [source.text or ""], []
 
         def flush():
             text = " ".join("".join(loose).split())
-            loose.clear()
             if text:
-                ET.SubElement(target, "p").text = text
+                made = ET.SubElement(target, "p")
+                made.text = text
+                self._note(made, text, " ".join(linked), aside, comment)
+            loose.clear()
+            linked.clear()
 
         for child in source:
             tag = child.tag
+            name = f"{child.get('class') or ''} {child.get('id') or ''}" if isinstance(tag, str) else ""
+            inner = (aside or bool(ASIDE_NAMES.search(name)), comment or bool(COMMENT_NAMES.search(name)))
             if tag in DROPPED or not isinstance(tag, str):
                 pass
             elif tag in PARAGRAPHS:
                 flush()
-                self._paragraph(child, target, trusted)
+                self._paragraph(child, target, trusted, *inner)
             elif tag in ("ul", "ol", "dl"):
                 flush()
                 items = ET.Element("list", rend="ol" if tag == "ol" else "ul")
-                self._blocks(child, items, trusted)
+                self._blocks(child, items, trusted, *inner)
                 for block in list(items):
                     block.tag = "item" if block.tag == "p" else block.tag
                 if len(items):
                     target.append(items)
+                    parts = [self.seen[i] for i in items]
+                    self.seen[items] = (sum(p[0] for p in parts), sum(p[1] for p in parts), inner[1])
             elif tag == "table":
                 flush()
                 self._table(child, target)
+                self._note(target[-1], " ".join(child.itertext()), " ".join("".join(a.itertext()) for a in child.iter("a")), *inner)
             elif tag == "br":
                 loose.append("\n")
             elif child.find(".//p") is None and tag not in ("div", "section", "article", "main", "body", "html", "center", "figure", "details"):
-                loose.append("".join(child.itertext()))
+                text = "".join(child.itertext())
+                loose.append(text)
+                linked += [text] if tag == "a" else ["".join(a.itertext()) for a in child.iter("a")]
             else:
                 flush()
-                self._blocks(child, target, trusted)
+                self._blocks(child, target, trusted, *inner)
             loose.append(child.tail or "")
         flush()
 
-    def _paragraph(self, source: ET.Element, target: ET.Element, trusted: bool) -> None:
-        whole = "".join(source.itertext())
-        linked = sum(len("".join(a.itertext())) for a in source.iter("a"))
-        if not whole.strip() or not trusted and 2 * linked > len(whole):
+    def _paragraph(self, source: ET.Element, target: ET.Element, trusted: bool, aside: bool, comment: bool) -> None:
+        whole, links = "".join(source.itertext()), ["".join(a.itertext()) for a in source.iter("a")]
+        if not whole.strip() or not trusted and 2 * sum(map(len, links)) > len(whole):
             return
         tag = source.tag
         if tag == "pre":
-            ET.SubElement(target, "code").text = whole
+            made = ET.SubElement(target, "code")
+            made.text = whole
+            self._note(made, whole, " ".join(links), aside, comment)
             return
         made = ET.SubElement(target, "head" if re.fullmatch("h[1-6]", tag) else "quote" if tag == "blockquote" else "item" if tag in ("li", "dt", "dd") else "p")
         if made.tag == "head":
             made.set("rend", tag)
+        self._note(made, whole, " ".join(links), aside, comment)
         self._inline(source, made)
 
     def _inline(self, source: ET.Element, target: ET.Element) -> None:

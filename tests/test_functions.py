@@ -1,14 +1,19 @@
-import random
 import math
+import random
+import re
+from collections import Counter
+
 import numpy as np
 import pytest
 import xxhash
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from millrace.functions import html as H
+from millrace.functions import lid
 from millrace.functions import text as X
 from millrace.functions.ids import document_id
-from millrace.functions import lid
 from millrace.functions.lid import LinearModel, fit_linear, with_language
 from millrace.functions.xml2md import CRITICAL, HIGH, LOW, MEDIUM, convert
 
@@ -193,3 +198,59 @@ def test_markdown_lines_and_raw(spark):
     assert [r[0] for r in rows.select(markdown_lines(F.col("v"), md_only=True)).collect()][:2] == ['{"md":"t"}', '{"md":null}']
     xml = spark.createDataFrame([("<doc><main><p>t</p></main></doc>",), ("",), (None,), ("<doc/>",)], "x string")
     assert [r[0] for r in xml.select(raw_markdown("x")).collect()] == ["t", None, None, None]
+
+
+@given(st.lists(st.integers(-9, 9), max_size=14))
+def test_best_run_against_all_runs(scores):
+    sums = {(i, j): sum(scores[i:j]) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1)}
+    start, end = H.best_run(scores)
+    if max(sums.values(), default=0) <= 0:
+        assert start == end
+    else:
+        assert sums[start, end] == max(sums.values())
+
+
+def _read(html, **options):
+    return H.BlockExtractor(**options).text(H.load(html))
+
+
+LONG = "This is a long paragraph of running text that says what the page is about, in some detail."
+
+
+def test_main_text_without_an_article():
+    menu = "<div class=menu>" + "".join(f"<div><a href=/{i}>Section {i} of the site</a></div>" for i in range(8)) + "</div>"
+    page = f"<body>{menu}<div><h1>Title</h1><p>{LONG}</p><p><a href=/x>Read more of these stories here</a></p><p>Short one.</p><p>{LONG} Again.</p></div><div class='related'><p>Something else that many words are said about, but not here at all.</p></div><p>(c) 2020</p></body>"
+    assert _read(page).split("\n") == ["Title", LONG, "Short one.", LONG + " Again."]
+
+
+def test_passes_grow_looser():
+    """A main part that leaves too little gives way; one that is short because the page is doesn't."""
+    teaser = f"<body><article><p>Teaser.</p></article><div><p>{LONG}</p><p>{LONG}</p></div></body>"
+    assert _read(teaser).split("\n") == ["Teaser.", LONG, LONG] or _read(teaser).split("\n") == [LONG, LONG]
+    assert _read("<body><p>Few words</p></body>") == "Few words"
+    assert _read("<body><article><p>Few words</p></article><p>And these</p></body>") == "Few words"
+    several = f"<body><article><p>One.</p></article><article><p>{LONG}</p></article><article><p>Two.</p></article></body>"
+    assert _read(several) == LONG
+    assert _read(several, precision=False) == LONG
+    assert _read("<body><a href=/>only</a> <a href=/b>links</a></body>", least=250) is None
+
+
+def test_comments_follow_or_go():
+    page = f"<body><article><p>{LONG}</p><div id=comments><p>A reader says that this is very good indeed.</p></div></article><p>{LONG} Outside.</p></body>"
+    assert _read(page).split("\n") == [LONG, "A reader says that this is very good indeed."]
+    assert _read(page, comments=False) == LONG
+
+
+def test_precision_and_recall_on_pages_without_article(data):
+    """The table's pages with all telling elements and names taken away: words found, and words of the pages as they were."""
+    import duckdb
+
+    right = found = wanted = 0
+    for (html,) in duckdb.sql(f"SELECT html FROM '{data}/pages.parquet'").fetchall():
+        truth = Counter((_read(html) or "").split())
+        for tag in ("nav", "article", "footer"):
+            html = re.sub(f"<(/?){tag}>", r"<\1div>", html)
+        got = Counter((_read(html.replace('class="ad"', "")) or "").split())
+        right, found, wanted = right + sum((got & truth).values()), found + sum(got.values()), wanted + sum(truth.values())
+    print("precision", right / found, "recall", right / wanted)
+    assert right / found > 0.95 and right / wanted > 0.97
