@@ -7,6 +7,8 @@ reads.
 
 from __future__ import annotations
 
+import multiprocessing
+import os
 import re
 import signal
 import xml.etree.ElementTree as ET
@@ -399,16 +401,89 @@ _STRINGS = T.ArrayType(T.StringType())
 PAGE = T.StructType([T.StructField("t", T.StringType()), T.StructField("x", T.StringType()), *(T.StructField(n, _STRINGS) for n in ("htmllang", "metalang", "tagfilter", "traferr"))])
 
 
+#: Seconds beyond the limit after which a page's process is killed; pages that it is sent at a time.
+GRACE, SENT = 1.0, 64
+
+
+class Watched:
+    """page_record() in a process of its own, which can be killed whatever it does.
+
+    Within it, the limit is a signal, and what was done before stays. Code that lets no signal through is ended with its
+    process, GRACE later; the page gets the error, and the next ones a new process. A process that ends by itself (a crash,
+    or memory that the system takes back) is an error of its page as well. The process ends with the worker that has it."""
+
+    def __init__(self, make: Callable[[], Extractor], tags: TagFilter | None, limit: float):
+        self.make, self.tags, self.limit = make, tags, limit
+        self.child, self.line = None, None
+
+    def _serve(self, line) -> None:
+        extractor = self.make()
+        try:
+            while True:
+                for html in line.recv():
+                    line.send(page_record(html, extractor, self.tags, self.limit))
+        except (EOFError, OSError, KeyboardInterrupt):
+            os._exit(0)
+
+    def _start(self) -> None:
+        fork = multiprocessing.get_context("fork")
+        self.line, theirs = fork.Pipe()
+        self.child = fork.Process(target=self._run, args=(self.line, theirs), daemon=True)
+        self.child.start()
+        theirs.close()
+
+    def _run(self, ours, theirs) -> None:
+        ours.close()
+        signal.signal(signal.SIGTERM, signal.SIG_DFL)
+        self._serve(theirs)
+
+    def close(self) -> None:
+        if self.child is not None:
+            self.line.close()
+            self.child.kill()
+            self.child.join()
+            self.child.close()
+            self.child = None
+
+    def __call__(self, pages: list[str | bytes | None]) -> list[dict]:
+        out: list[dict] = []
+        while len(out) < len(pages):
+            if self.child is None:
+                self._start()
+            some = pages[len(out) : len(out) + SENT]
+            try:
+                self.line.send(some)
+                for _ in some:
+                    if not self.line.poll(self.limit + GRACE):
+                        raise TimeoutError
+                    out.append(self.line.recv())
+            except TimeoutError:
+                self.close()
+                out.append({"traferr": [f"Extraction timed out: {self.limit}s"]})
+            except (EOFError, OSError):
+                self.child.join(GRACE)
+                code = self.child.exitcode
+                self.close()
+                out.append({"traferr": [f"Extraction ended by itself: {code}"]})
+        return out
+
+
 def html_records(make: Callable[[], Extractor] = BlockExtractor, tags: TagFilter | None = None, limit: float | None = 10.0):
-    """A pandas UDF: HTML (string or binary) -> struct PAGE. One struct, so that several fields cost one pass."""
+    """A pandas UDF: HTML (string or binary) -> struct PAGE. One struct, so that several fields cost one pass. limit: seconds
+    a page, held by a process beside the worker's; None: pages are done by the worker itself."""
     rules = TagFilter() if tags is None else tags
 
     @F.pandas_udf(PAGE)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        extractor = make()
-        for html in batches:
-            rows = [page_record(h, extractor, rules, limit) for h in html]
-            yield pd.DataFrame({f: [r.get(f) for r in rows] for f in PAGE.names}, dtype=object)
+        watched = Watched(make, rules, limit) if limit else None
+        extractor = None if limit else make()
+        try:
+            for html in batches:
+                rows = watched(list(html)) if watched else [page_record(h, extractor, rules, None) for h in html]
+                yield pd.DataFrame({f: [r.get(f) for r in rows] for f in PAGE.names}, dtype=object)
+        finally:
+            if watched:
+                watched.close()
 
     return run
 

@@ -1,4 +1,5 @@
 import math
+import os
 import random
 import re
 from collections import Counter
@@ -126,6 +127,32 @@ def test_time_limit():
     assert H.page_record(b"<p>a\xff</p>", H.BlockExtractor(), None, None)["t"] == "a"
 
 
+def test_time_limit_holds_in_c_code(spark):
+    """The page ends with the error, its neighbours are there, and what was done before a mere slowness stays."""
+
+    class Stuck(H.BlockExtractor):
+        """Hangs in C, where no signal is seen; dies; or is only slow."""
+
+        def text(self, root):
+            whole = "".join(root.itertext())
+            if "stuck" in whole:
+                sum(iter(int, 1))
+            if "dies" in whole:
+                os.kill(os.getpid(), 9)
+            while "slow" in whole:
+                pass
+            return super().text(root)
+
+    pages = ["one", "stuck", "two", "slow", "dies", "three", "stuck", None]
+    html = [p and f'<html lang="en"><p>{p}</p></html>' for p in pages]
+    rows = spark.createDataFrame(list(enumerate(html)), "i int, h string").coalesce(1)
+    got = {r["i"]: r["r"] for r in rows.select("i", H.html_records(Stuck, limit=0.5)("h").alias("r")).collect()}
+    assert [got[i]["t"] for i in (0, 2, 5)] == ["one", "two", "three"] and all(got[i]["traferr"] is None for i in (0, 2, 5))
+    assert [got[i]["traferr"] for i in (1, 3, 6)] == [["Extraction timed out: 0.5s"]] * 3
+    assert got[3]["htmllang"] == ["en"] and got[1]["htmllang"] is None
+    assert got[4]["traferr"] == ["Extraction ended by itself: -9"] and got[7]["traferr"]
+
+
 def test_language(spark):
     rows = spark.createDataFrame([("the cat and the dog", "en"), ("der hund und die katze", "de")] * 3, "text string, lang string")
     model = fit_linear(rows)
