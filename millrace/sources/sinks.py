@@ -19,7 +19,7 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 from pyspark.sql.types import StructType
 
 from millrace.operators.mux import Spec, fanned
-from millrace.operators.shard import greedy_shards
+from millrace.operators.shard import greedy_shards, shard_totals
 from millrace.sources.frames import seek_table
 from millrace.sources.lines import numbered_lines
 from millrace.sources.shared import text_writer, write_text
@@ -315,7 +315,8 @@ def write_fan_out(records: DataFrame, path: str, specs: list[tuple[str, Spec]],
 
 def reshard(spark: SparkSession, source: str, target: str, bins: range = range(11), size: int = 128 << 30, suffix: str = ".jsonl.l.zst", level: int = 10) -> None:
     """Existing files `<bin>_*<suffix>` of a folder anew as `<bin>_<n>.jsonl.zst`, lines in the order of files, each file
-    closed once it has `size` characters. The only file of a bin keeps its name and its lines, whatever its size."""
+    closed once it has `size` characters; where the last one of a bin is, an empty one follows, as a writer that opens the next
+    file at once leaves it. The only file of a bin keeps its name and its lines, whatever its size."""
     where, root = file_system(source)
     names = sorted(i.base_name for i in where.get_file_info(pafs.FileSelector(root)) if i.is_file and i.base_name.endswith(suffix))
     of = {b: [n for n in names if n.startswith(f"{b}_")] for b in bins}
@@ -329,6 +330,12 @@ def reshard(spark: SparkSession, source: str, target: str, bins: range = range(1
     new = F.concat(F.col("__bin").cast("string"), F.lit("_"), F.col("shard").cast("string"), F.lit(".jsonl.zst"))
     named = placed.withColumn("__file", F.when(F.col("file").isin(sorted(alone)), own).otherwise(new))
     write_files(named, target, "__file", "value", [F.col("file"), F.col("line")], level)
+    several = placed.where(~F.col("file").isin(sorted(alone))).withColumn("__n", (F.length("value") + 1).cast("long"))
+    out, at = file_system(target)
+    # at most one for each bin
+    for r in shard_totals(several, ["__bin"], "__n", size).where("documents = 0").collect():
+        with out.open_output_stream(posixpath.join(at, f"{r['__bin']}_{r['shard']}.jsonl.zst"), compression=None) as f:
+            f.write(zstandard.ZstdCompressor(level=level).compress(b"") + seek_table([]))
 
 
 def shard_names(bin_col: str = "wds_bin", shard_col: str = "shard", infix: str | None = None):

@@ -156,3 +156,15 @@ def test_splice(spark):
     assert [r[0] for r in df.select(joins.spliced([F.col("a")])).collect()][4] == '{"a":1}'
     with pytest.raises(Exception, match="no JSON object"):
         spark.createDataFrame([("{}", "[1]")], "a string, b string").select(joins.spliced([F.col("a"), F.col("b")])).collect()
+
+
+def test_an_empty_file_follows_a_full_one(spark, tmp_path):
+    source, target = tmp_path / "in", tmp_path / "out"
+    source.mkdir()
+    for k in (1, 2):
+        _frames(source / f"3_{k}.jsonl.l.zst", [b"12345\n" * 2])
+        _frames(source / f"4_{k}.jsonl.l.zst", [b"123\n"])
+    _frames(source / "5_1.jsonl.l.zst", [b"12345\n" * 4])
+    sinks.reshard(spark, str(source), str(target), size=12)
+    assert {p.name: _text(p) for p in target.iterdir() if p.is_file() and not p.name.startswith(".")} == {"3_1.jsonl.zst": "12345\n" * 2, "3_2.jsonl.zst": "12345\n" * 2, "3_3.jsonl.zst": "", "4_1.jsonl.zst": "123\n" * 2, "5_1.jsonl.zst": "12345\n" * 4}
+    assert lines.numbered_lines(spark, str(target / "3_3.jsonl.zst")).count() == 0
