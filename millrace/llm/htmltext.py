@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import hot_keys, map_rows, salted_join, settle
+from .common import counted, hot_keys, map_rows, salted_join, settle
 
 #: Pages of a host that its wrapper is fitted on, at most; share of them that must agree, and their least number.
 SEEDS, AGREE, LEAST = 8, 0.75, 3
@@ -555,7 +555,7 @@ def host_of(url: Column) -> Column:
 
 
 def common_texts(pages: DataFrame) -> DataFrame:
-    """host, common: the hashes, one after another, of the texts that are template by their support over all pages.
+    """host, key: the hashes of the texts that are template by their support over all pages; stored.
 
     A text at a path counts if LEAST pages have it and it is on AGREE of the pages of its host or of one layout, or if
     AGREE of what stands at that path is on LEAST pages. A page that comes in several rows counts once."""
@@ -578,20 +578,28 @@ def common_texts(pages: DataFrame) -> DataFrame:
 
         return work
 
-    counted = map_rows(rows, make, "host string, layout string, path string, key string, weight double").groupBy("host", "layout", "path", "key").agg(F.sum("weight").alias("n"))
-    counted = settle(counted, "html-texts")
-    sizes = counted.where("key = ''").select("host", "layout", F.col("n").alias("in_layout"))
+    seen = map_rows(rows, make, "host string, layout string, path string, key string, weight double").groupBy("host", "layout", "path", "key").agg(F.sum("weight").alias("n"))
+    seen = settle(seen, "html-texts")
+    sizes = settle(seen.where("key = ''").select("host", "layout", F.col("n").alias("in_layout")), "html-sizes")
     hosts = sizes.groupBy("host").agg(F.sum("in_layout").alias("in_host"))
     # what is on fewer than LEAST pages in all is only summed by its path
-    texts = counted.where("key <> ''").join(sizes, ["host", "layout"]).groupBy("host", "path", "key").agg(F.sum("n").alias("n"), F.max(F.when(F.col("n") > LEAST - 0.01, F.col("n") / F.col("in_layout"))).alias("share"))
+    texts = _sized(seen.where("key <> ''"), sizes, ["host", "layout"]).groupBy("host", "path", "key").agg(F.sum("n").alias("n"), F.max(F.when(F.col("n") > LEAST - 0.01, F.col("n") / F.col("in_layout"))).alias("share"))
+    texts = settle(texts, "html-by-path")
     often = F.col("n") > LEAST - 0.01
-    paths = texts.groupBy("host", "path").agg((F.sum(F.when(often, F.col("n")).otherwise(0)) / F.sum("n")).alias("repeated"))
-    kept = texts.where(often).join(hosts, "host").join(paths, ["host", "path"]).where(f"n >= {AGREE} * in_host or share >= {AGREE} or repeated >= {AGREE}")
-    return kept.groupBy("host").agg(F.array_join(F.sort_array(F.collect_set("key")), "").alias("common"))
+    paths = texts.groupBy("host", "path").agg((F.sum(F.when(often, F.col("n")).otherwise(0)) / F.sum("n")).alias("repeated")).where(F.col("repeated") >= AGREE)
+    few = _sized(_sized(texts.where(often), hosts, ["host"]), settle(paths, "html-paths"), ["host", "path"], "left")
+    return settle(few.where(f"n >= {AGREE} * in_host or share >= {AGREE} or repeated >= {AGREE}").select("host", "key").distinct(), "html-common")
+
+
+def _sized(rows: DataFrame, sizes: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """rows (with a text's `key`) joined with one row for each of `keys`: sent to every task while that is few, else salted."""
+    if sizes.count() <= SENT_IDS:
+        return rows.join(F.broadcast(sizes), keys, how)
+    return salted_join(rows, sizes, keys, ["key"], hot_keys(counted(rows, *keys), keys, rows.count()), how)
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """host, wrapper, common, n (pages of the host), stored; hosts of fewer than LEAST pages, or without template, have none."""
+    """host, wrapper, n (pages of the host), stored; hosts of fewer than LEAST pages, or without a wrapper, have none."""
     light = pages.select("page_id", host_of(F.col("url")).alias("host")).where("host <> '' and page_id is not null")
     counts = light.groupBy("host").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST)
     place = F.dense_rank().over(Window.partitionBy("host").orderBy(F.xxhash64("page_id"), "page_id"))
@@ -606,18 +614,39 @@ def wrappers(pages: DataFrame) -> DataFrame:
         return frame.iloc[: 1 if made else 0][["host", "n"]].assign(wrapper=made)
 
     made = texts.groupBy("host").applyInPandas(work, "host string, n long, wrapper string").select("host", "wrapper")
-    return settle(counts.join(made, "host", "left").join(common_texts(pages), "host", "left").where("wrapper is not null or common is not null"), "html-wrappers")
+    return settle(counts.join(made, "host"), "html-wrappers")
+
+
+def _with_common(rows: DataFrame, common: DataFrame) -> DataFrame:
+    """rows (__row, host, html) with `common`: of the host's common texts those that a page has. Where all of them are too many
+    to be sent, a page's texts are looked up one by one, so that no row carries more than it has."""
+
+    def make():
+        def work(b):
+            found = [(r, h, k) for r, h, html in zip(b["__row"], b["host"], b["html"]) if h for k in {k for _, _, k in _texts(parse(html))}]
+            return dict(zip(("__row", "host", "key"), map(list, zip(*found)) if found else ([], [], [])))
+
+        return work
+
+    texts = settle(map_rows(rows.select("__row", "host", "html"), make, "__row long, host string, key string"), "html-page-texts")
+    keyed = common.withColumn("__there", F.lit(True))
+    own = salted_join(texts, keyed, ["host", "key"], ["__row"], hot_keys(counted(texts, "host", "key"), ["host", "key"], texts.count()), "inner")
+    held = own.groupBy("__row").agg(F.array_join(F.collect_set("key"), "").alias("common"))
+    return rows.join(held, "__row", "left")
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars (code points) of every page. Null and empty pages give an empty text; repeated rows are
     each returned; pages without a host, or of a host with few pages, go by the names of their parts alone."""
-    made = wrappers(pages)
+    made, common = wrappers(pages), common_texts(pages)
     rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
-    if (made.agg(F.sum(F.coalesce(F.octet_length("wrapper"), F.lit(0)) + F.coalesce(F.octet_length("common"), F.lit(0)))).first()[0] or 0) <= SENT_BYTES:
-        joined = rows.join(F.broadcast(made.select("host", "wrapper", "common")), "host", "left")
+    bytes_ = (made.agg(F.sum(F.octet_length("wrapper"))).first()[0] or 0) + 16 * common.count()
+    if bytes_ <= SENT_BYTES:
+        of_host = common.groupBy("host").agg(F.array_join(F.sort_array(F.collect_set("key")), "").alias("common"))
+        joined = rows.join(F.broadcast(made.select("host", "wrapper").join(of_host, "host", "full")), "host", "left")
     else:
-        joined = salted_join(rows, made.drop("n"), ["host"], ["page_id"], hot_keys(made.select("host", "n"), ["host"], pages.count()))
+        numbered = settle(rows.withColumn("__row", F.monotonically_increasing_id()), "html-rows")
+        joined = _with_common(salted_join(numbered, made.select("host", "wrapper"), ["host"], ["__row"], hot_keys(made.select("host", "n"), ["host"], pages.count())), common)
 
     def make():
         sets: dict[str, set[str]] = {}

@@ -195,3 +195,16 @@ def test_template_of_a_part_of_the_pages(spark):
         assert got[i] == f"Story number {i} tells of {i * 37} things in many words."
     for i in range(100, 160):
         assert "reserved" not in got[i] and f"Story number {i} " in got[i]
+
+
+def test_wrappers_too_large_to_be_sent(spark, data, monkeypatch):
+    """Where wrappers and common texts are looked up by joins, with hot hosts, the texts are the same."""
+    from millrace.llm import common
+
+    rows = [(i, f"http://{'hot' if i % 3 else 'h' + str(i % 7)}.example.org/{i}", page(i)) for i in range(90)] + [(1000, None, "<p>no host</p>"), (3, "http://hot.example.org/3", page(3)), (None, "http://hot.example.org/n", None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").unionByName(spark.read.parquet(f"{data}/pages.parquet").select("page_id", "url", "html"))
+    wanted = sorted(map(tuple, H.extract_pages(df).collect()), key=str)
+    monkeypatch.setattr(H, "SENT_BYTES", 0)
+    monkeypatch.setattr(H, "SENT_IDS", 0)
+    monkeypatch.setattr(common, "HOT_ROWS", 5)
+    assert sorted(map(tuple, H.extract_pages(df).collect()), key=str) == wanted
