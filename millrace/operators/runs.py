@@ -44,7 +44,7 @@ def run_index(spark: SparkSession, runs: list[str], key: Callable[[bytes], float
     # a listed path is the given one, made a URI
     files = listed(spark, runs, None).crossJoin(F.broadcast(order)).where(F.endswith("path", F.col("given")) | (F.col("path") == F.col("given")))
     numbered = files.groupBy("path").agg(F.max_by("run", F.length("given")).alias("run"))
-    ranges = frame_splits(files.select("path", "length").distinct(), entry)
+    ranges = settle(frame_splits(files.select("path", "length").distinct(), entry), "run-ranges")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from millrace.sources.shared import settle
+
 #: Compressed bytes of a split, about; bytes read, decompressed, and given out as lines, at a time.
 SPLIT, PIECE, FED, BATCH = 32 << 20, 1 << 20, 32 << 10, 4 << 20
 # Fixed values of the format: first bytes of a frame, of skippable ones, and of a seek table's footer.
@@ -234,13 +236,9 @@ def zstd_lines(spark: SparkSession, paths: str | list[str], pattern: str | None
     A file of one frame, or one that can't be cut because it has no later frame, is one split, read piece by piece. Empty
     files have no lines, skippable frames are passed over, and a file that ends within a frame is an error. Bytes that
     are no UTF-8 are passed on as they are."""
-    ranges = frame_splits(listed(spark, paths, pattern), target)
-    if numbers:
-        from millrace.sources.shared import settle
-
-        ranges = numbered(settle(ranges, "frame-splits"))
-    else:
-        ranges = ranges.withColumn("first", F.lit(None).cast("long"))
+    # stored, as they are counted before they are dealt out: files are walked, and breaks counted, once
+    ranges = settle(frame_splits(listed(spark, paths, pattern), target), "frame-splits")
+    ranges = settle(numbered(ranges), "frame-lines") if numbers else ranges.withColumn("first", F.lit(None).cast("long"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
