@@ -116,7 +116,7 @@ class ZstdWriter(DataSourceArrowWriter):
     def attempt(self, iterator: Iterator[pa.RecordBatch], part: int, number: int) -> Written:
         where, root = file_system(self.folder)
         own = posixpath.join(root, ATTEMPTS, self.job, f"{part}-{number}")
-        default, names, sinks = f"{self.prefix}_{part}.jsonl.zst", [], {}
+        default, names, written, sinks = f"{self.prefix}_{part}.jsonl.zst", [], set(), {}
 
         def sink(file: str | None) -> _Sink:
             if file is None:
@@ -126,12 +126,15 @@ class ZstdWriter(DataSourceArrowWriter):
                     for name in list(sinks):
                         sinks.pop(name).close()
                 name = posixpath.join(file, default) if self.fan else file
+                if name in written:
+                    raise ValueError(f"rows of a file have to come one after another: {name!r}")
                 place = posixpath.normpath(posixpath.join(own, name))
                 if not place.startswith(own + "/"):
                     raise ValueError(f"no name of a file: {name!r}")
                 where.create_dir(posixpath.dirname(place), recursive=True)
                 sinks[file] = _Sink(where.open_output_stream(place, compression=None), self.level, self.frame)
                 names.append(name)
+                written.add(name)
             return sinks[file]
 
         for batch in iterator:

@@ -116,6 +116,8 @@ def test_lost_tasks_and_drivers(spark, tmp_path):
     assert not (out / ".attempts" / "j2").exists()
     with pytest.raises(ValueError, match="no file"):
         lost.attempt(_batches([(None, "w")]), 0, 2)
+    with pytest.raises(ValueError, match="one after another"):
+        lost.attempt(_batches([("a", "1"), ("b", "2"), ("a", "3")]), 0, 4)
     with pytest.raises(ValueError, match="name"):
         lost.attempt(_batches([("../../x", "w")]), 0, 3)
 
