@@ -102,7 +102,8 @@ def sampled(df: DataFrame, text: str, lang: str, sample: int) -> DataFrame:
     one, whatever they hold, so that copies are neither all in nor all out."""
     rows = df.where(F.col(lang).isNotNull() & has_text(F.col(text))).select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.monotonically_increasing_id().alias("row"))
     rows = rows.withColumn("draw", F.xxhash64("row"))
-    large = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > sample)
+    # of over `sample` rows each, so that these languages are few beside the rows: sent, as texts must not be brought together by them
+    large = F.broadcast(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > sample))
     # most rows go before any of them moves: so many more than are wanted stay that fewer never do
     share = F.pmod("draw", F.lit(1 << 40)) / F.lit(1 << 40)
     some = rows.join(large, "lang", "left").where(F.col("n").isNull() | (share * F.col("n") < sample + 10 * int(sample**0.5) + 100))

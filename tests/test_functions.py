@@ -198,6 +198,18 @@ def test_labelled_rows_are_drawn_one_by_one(spark):
     assert fit_linear(docs, sample=50).langs == ["de", "en"] and fit_linear(docs.limit(0)).langs == []
 
 
+def test_labelled_rows_are_not_brought_together_before_they_are_drawn(spark):
+    """The counts of languages are sent to the rows, whatever Spark thinks of their size: else a task gets all texts of one."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = spark.range(500).selectExpr("concat('text ', id) AS text", "if(id % 2 = 0, 'de', 'en') AS lang")
+        plan = lid.sampled(docs, "text", "lang", 50)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+
+
 def test_ids_by_a_second_implementation(spark):
     """128-bit xxHash of the parts as they are; the value for abc was worked out apart."""
     from millrace.functions.ids import document_id
