@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
@@ -50,8 +51,8 @@ class _Window:
         return found
 
 
-def from_table(read: _Window) -> list[int] | None:
-    """Where frames begin, and where the last one ends, by the file's seek table; None without one."""
+def frame_sizes(read: _Window) -> list[tuple[int, int]] | None:
+    """(compressed, decompressed) bytes of each frame, by the file's seek table; None without one."""
     if read.size < 17:
         return None
     n, flags, magic = struct.unpack("<IBI", read(read.size - 9, 9))
@@ -61,12 +62,16 @@ def from_table(read: _Window) -> list[int] | None:
     begins = read.size - 9 - n * width
     if begins < 8 or struct.unpack("<I", read(begins - 8, 4))[0] != TABLE_MAGIC:
         return None
-    places = [0]
     table = read(begins, n * width) if n else b""
-    for i in range(n):
-        places.append(places[-1] + struct.unpack_from("<I", table, i * width)[0])
+    found = [struct.unpack_from("<II", table, i * width) for i in range(n)]
     # other skippable frames before or between would not be in the table: then the file has to be walked
-    return places if places[-1] == begins - 8 else None
+    return found if sum(size for size, _ in found) == begins - 8 else None
+
+
+def from_table(read: _Window) -> list[int] | None:
+    """Where frames begin, and where the last one ends, by the file's seek table; None without one."""
+    found = frame_sizes(read)
+    return None if found is None else [0, *accumulate(size for size, _ in found)]
 
 
 def walked(read: _Window) -> Iterator[int]:

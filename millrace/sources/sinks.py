@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 import posixpath
 import re
 import time
@@ -20,9 +21,9 @@ from pyspark.sql.types import StructType
 
 from millrace.operators.mux import Spec, fanned
 from millrace.operators.shard import greedy_shards, shard_totals
-from millrace.sources.frames import seek_table
+from millrace.sources.frames import PIECE, _Window, frame_sizes, seek_table
 from millrace.sources.lines import numbered_lines
-from millrace.sources.shared import text_writer, write_text
+from millrace.sources.shared import settle, text_writer, write_text
 
 #: Uncompressed bytes of a frame, so that readers can start inside a file.
 FRAME = 512 * 1024
@@ -55,12 +56,13 @@ class ZstdLines(DataSource):
     table, so that readers can start inside a file.
 
     With one string column, to `<prefix>_<task>.jsonl.zst`. With two, the first one names the file, and a file's rows
-    must come one after another in one task; or, with the option `fan`, the first one names a folder, each task writes one
-    file to each, and rows may come in any order: a task holds as many files open as there are folders. A null name is an
-    error. Options: path, job, prefix, level, frame, fan.
+    must come one after another in a task; what several tasks have of a file are its pieces, in the order of the tasks. Or,
+    with the option `fan`, the first one names a folder, each task writes one file to each, and rows may come in any order: a
+    task holds as many files open as there are folders. A null name is an error. Options: path, job, prefix, level, frame, fan.
 
     Each attempt of a task writes below `.attempts/<job>/`, and at last the list of its files. The job is committed by one
-    small file, `.manifest/<job>`, which names the attempts that count. publish() then gives files their names."""
+    small file, `.manifest/<job>`, which names the attempts that count. publish() then puts pieces together and gives files
+    their names."""
 
     @classmethod
     def name(cls) -> str:
@@ -191,49 +193,131 @@ def pending(folder: str) -> list[tuple[str, str]]:
     return [(job, a) for job in jobs for a in _load(where, posixpath.join(root, MANIFEST, job))]
 
 
+def _part(attempt: str) -> int:
+    return int(attempt.split("-")[0])
+
+
 def committed_files(folder: str) -> list[tuple[str, str]]:
     """(name, where it lies now) of the files that are committed and not yet published: what a reader that can't wait for
-    publish(), or runs where moving is dear, reads beside those that have their names."""
+    publish(), or runs where moving is dear, reads beside those that have their names. A file in pieces comes once for each,
+    in their order, and once when it has been put together."""
     where, root = file_system(folder.rstrip("/"))
-    found = []
-    for job, attempt in pending(folder):
+    pieces: dict[tuple[str, str], list[str]] = {}
+    for job, attempt in sorted(pending(folder), key=lambda a: (a[0], _part(a[1]))):
         own = posixpath.join(root, ATTEMPTS, job, attempt)
         if _there(where, posixpath.join(own, FILES)):
-            found += [(name, place if _there(where, place := posixpath.join(own, name)) else posixpath.join(root, name)) for name in _load(where, posixpath.join(own, FILES))]
-    return sorted(found)
+            for name in _load(where, posixpath.join(own, FILES)):
+                pieces.setdefault((name, job), []).append(posixpath.join(own, name))
+    # without its first piece, a file has its name
+    return [(name, place) for (name, _), places in sorted(pieces.items()) for place in (places if _there(where, places[0]) else [posixpath.join(root, name)])]
+
+
+def _sizes(where: pafs.FileSystem, place: str) -> list[tuple[int, int]]:
+    """Frames of a piece, as its seek table tells them."""
+    with where.open_input_file(place) as file:
+        return frame_sizes(_Window(file, file.size()))
+
+
+def _copied(source, target, size: int) -> None:
+    """The first `size` bytes, some at a time."""
+    while size:
+        data = source.read(min(size, PIECE))
+        if not data:
+            raise ValueError("a piece is shorter than its seek table tells")
+        target.write(data)
+        size -= len(data)
 
 
 def publish(spark: SparkSession, folder: str) -> None:
-    """Gives every committed file its name, in as many tasks as there were attempts. What has been moved is passed over, so
-    that a run which was cut off, by the loss of a task or of the driver, is finished by the next one. What attempts that
-    don't count have left is deleted with the job's folder."""
+    """Gives every committed file its name. What has been moved is passed over, so that a run which was cut off, by the loss
+    of a task or of the driver, is finished by the next one. What attempts that don't count have left is deleted with the
+    job's folder.
+
+    Pieces of a file are put together without being decompressed: on a file system that is a folder here, each piece is
+    copied to its place by a task of its own; elsewhere, where files can only be written from start to end, one task
+    streams a file's pieces. A file's first piece goes last, so that until then it can be put together anew."""
     folder = folder.rstrip("/")
     todo = pending(folder)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def draft(root: str, job: str, name: str) -> str:
+        return posixpath.join(root, ATTEMPTS, job, ".whole", name)
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         where, root = file_system(folder)
         for batch in batches:
-            moved = []
             for job, attempt in zip(*(batch.column(i).to_pylist() for i in range(2))):
-                own, n = posixpath.join(root, ATTEMPTS, job, attempt), 0
+                own = posixpath.join(root, ATTEMPTS, job, attempt)
                 # without its list, an attempt has been published, and its folder deleted
                 for name in _load(where, posixpath.join(own, FILES)) if _there(where, posixpath.join(own, FILES)) else ():
-                    place, final = posixpath.join(own, name), posixpath.join(root, name)
-                    if _there(where, place):
-                        where.create_dir(posixpath.dirname(final), recursive=True)
-                        where.move(place, final)
-                        n += 1
-                    elif not _there(where, final):
+                    place = posixpath.join(own, name)
+                    size = sum(n for n, _ in _sizes(where, place)) if _there(where, place) else -1
+                    yield pa.RecordBatch.from_arrays([pa.array([v]) for v in (job, name, _part(attempt), attempt, size)], names=["job", "name", "part", "attempt", "size"])
+
+    def copied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        where, root = file_system(folder)
+        for batch in batches:
+            for job, name, attempt, size, at in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                target = draft(root, job, name)
+                where.create_dir(posixpath.dirname(target), recursive=True)
+                with open(posixpath.join(root, ATTEMPTS, job, attempt, name), "rb") as source, open(os.open(target, os.O_WRONLY | os.O_CREAT, 0o666), "wb") as out:
+                    out.seek(at)
+                    _copied(source, out, size)
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["copied"])
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        where, root = file_system(folder)
+        for batch in batches:
+            for job, name, pieces in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                final, whole = posixpath.join(root, name), draft(root, job, name)
+                places = [posixpath.join(root, ATTEMPTS, job, p["attempt"], name) for p in pieces]
+                if not _there(where, places[0]):
+                    if not _there(where, final):
                         raise ValueError(f"committed, but nowhere to be found: {name}")
-                moved.append(n)
-            yield pa.RecordBatch.from_arrays([pa.array(moved, pa.int64())], names=["moved"])
+                    continue
+                where.create_dir(posixpath.dirname(final), recursive=True)
+                if len(pieces) == 1:
+                    where.move(places[0], final)
+                    continue
+                table, end = seek_table([f for p in places for f in _sizes(where, p)]), sum(p["size"] for p in pieces)
+                if isinstance(where, pafs.LocalFileSystem):
+                    # moved by an attempt that was lost before it told so
+                    if _there(where, whole):
+                        with open(whole, "r+b") as out:
+                            out.truncate(end)
+                            out.seek(end)
+                            out.write(table)
+                        where.move(whole, final)
+                else:
+                    where.create_dir(posixpath.dirname(whole), recursive=True)
+                    with where.open_output_stream(whole, compression=None) as out:
+                        for place, p in zip(places, pieces):
+                            with where.open_input_stream(place, compression=None) as source:
+                                _copied(source, out, p["size"])
+                        out.write(table)
+                    where.move(whole, final)
+                where.delete_file(places[0])
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["named"])
 
     if todo:
-        spark.createDataFrame(todo, "job string, attempt string").repartition(min(len(todo), 10_000)).mapInArrow(run, "moved long").agg(F.sum("moved")).collect()
+        found = spark.createDataFrame(todo, "job string, attempt string").repartition(min(len(todo), 10_000)).mapInArrow(listed, "job string, name string, part long, attempt string, size long")
+        piece = F.struct("part", "attempt", "size")
+        files = found.groupBy("job", "name").agg(F.sort_array(F.collect_list(piece)).alias("pieces"))
+        if len(todo) > len({job for job, _ in todo}):
+            files = settle(files, "published")
+            where, _ = file_system(folder)
+            # begun ones are those whose first piece is still there
+            several = files.where((F.size("pieces") > 1) & (F.col("pieces")[0]["size"] >= 0))
+            if isinstance(where, pafs.LocalFileSystem) and (n := several.agg(F.sum(F.size("pieces"))).first()[0]):
+                before = F.aggregate(F.slice("pieces", 1, F.col("i")), F.lit(0).cast("long"), lambda a, p: a + p["size"])
+                each = several.select("job", "name", "pieces", F.posexplode("pieces").alias("i", "p")).select("job", "name", "p.attempt", "p.size", before.alias("at"))
+                each.repartition(min(n, 10_000)).mapInArrow(copied, "copied long").agg(F.sum("copied")).collect()
+            files = files.repartition(min(len(todo), 10_000))
+        files.mapInArrow(named, "named long").agg(F.sum("named")).collect()
     where, root = file_system(folder)
     for job in dict.fromkeys(job for job, _ in todo):
-        _delete(where, posixpath.join(root, ATTEMPTS, job))
+        # first the manifest: what is cut off after it leaves a folder to be swept, and never pieces that look like a file
         where.delete_file(posixpath.join(root, MANIFEST, job))
+        _delete(where, posixpath.join(root, ATTEMPTS, job))
     for name in (ATTEMPTS, MANIFEST):
         if _there(where, posixpath.join(root, name)) and not where.get_file_info(pafs.FileSelector(posixpath.join(root, name))):
             where.delete_dir(posixpath.join(root, name))
@@ -270,14 +354,15 @@ def write_jsonl(df: DataFrame, path: str, prefix: str = "part", level: int = 3)
 
 
 def write_files(df: DataFrame, path: str, file: str, value: str, order: list[Column], level: int = 3, frame: int = FRAME) -> None:
-    """Lines (`value`) to the files that each row names, in order. A file is one task's work, so that its rows lie one after
-    another: bound files by their size (greedy_shards)."""
-    dealt = df.repartition(file).sortWithinPartitions(file, *order)
+    """Lines (`value`) to the files that each row names, in order; lines alike in it by a hash. Tasks have ranges of files and
+    order, so that a file of any size is the work of many, each of which writes a piece."""
+    keys = [F.col(file), *order, F.xxhash64(value)]
+    dealt = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     _save(dealt.select(F.col(file), F.col(value)), path, level=level, frame=frame)
 
 
 def write_single(df: DataFrame, path: str, name: str, order: list[Column], level: int = 3) -> None:
-    """Rows as JSON Lines in one file `name`, in order; writing it is one task's work."""
+    """Rows as JSON Lines in one file `name`, in order."""
     lines = df.withColumns({"__file": F.lit(name), "__value": as_json(df)})
     write_files(lines, path, "__file", "__value", order, level)
 

@@ -122,6 +122,37 @@ def test_lost_tasks_and_drivers(spark, tmp_path):
         lost.attempt(_batches([("../../x", "w")]), 0, 3)
 
 
+def test_a_file_is_the_work_of_many_tasks(spark, tmp_path):
+    """Pieces of several tasks make one file, in order and with one seek table, whatever is cut off meanwhile."""
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = spark.range(5_000).select(F.lit("a/all.zst").alias("f"), F.concat(F.lit("line "), "id").alias("v"), "id")
+        kept = []
+        publish, sinks.publish = sinks.publish, lambda _, folder: kept.extend(sinks.pending(folder))
+        try:
+            sinks.write_files(rows, str(tmp_path), "f", "v", [F.col("id").desc()], frame=1_000)
+        finally:
+            sinks.publish = publish
+        assert len(kept) > 2
+        wanted = "".join(f"line {i}\n" for i in reversed(range(5_000)))
+        assert "".join(_text(type(tmp_path)(p)) for _, p in sinks.committed_files(str(tmp_path))) == wanted
+        # a draft that was cut off, and an older file of that name
+        (tmp_path / ".attempts" / kept[0][0] / ".whole" / "a").mkdir(parents=True)
+        (tmp_path / ".attempts" / kept[0][0] / ".whole" / "a" / "all.zst").write_bytes(b"x" * 100_000)
+        (tmp_path / "a").mkdir()
+        (tmp_path / "a" / "all.zst").write_bytes(b"old")
+        sinks.publish(spark, str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    path = tmp_path / "a" / "all.zst"
+    assert [str(p.relative_to(tmp_path)) for p in tmp_path.rglob("*") if p.is_file()] == ["a/all.zst"] and _text(path) == wanted
+    with open(path, "rb") as file:
+        window = frames._Window(file, path.stat().st_size)
+        assert frames.from_table(window)[:-1] == list(frames.walked(window))[:-1] and len(frames.frame_sizes(window)) > 20
+        assert sum(n for _, n in frames.frame_sizes(window)) == len(wanted)
+
+
 def test_a_failing_job_leaves_nothing(spark, tmp_path):
     rows = spark.range(100).repartition(3).select(F.lit("f.zst").alias("f"), F.when(F.col("id") < 90, F.col("id").cast("string")).otherwise(F.raise_error(F.lit("broken"))).alias("v"))
     with pytest.raises(Exception, match="broken"):
