@@ -79,7 +79,7 @@ NAMED = frozenset("div section header table figure center details".split())
 HOLDER = re.compile(r"(?:^|[-_\s])(?:article|article-?body|post|post-?body|post-?content|entry|entry-?content|story|content|main|main-?content|page-?content|text-?body)(?:$|[-_\s0-9])", re.I)
 
 
-@dataclass(eq=False)
+@dataclass(eq=False, slots=True)
 class Node:
     tag: str
     name: str = ""
@@ -104,7 +104,8 @@ class Node:
     def own_text(self) -> str:
         """The node's own strings, white space as one space; kept, as it is asked for often: call it on finished trees."""
         if self.text is None:
-            self.text = " ".join(" ".join(i for i in self.items if isinstance(i, str)).split())
+            own = [i for i in self.items if isinstance(i, str)]
+            self.text = " ".join(" ".join(own).split()) if own else ""
         return self.text
 
 
@@ -118,18 +119,28 @@ class _Builder(HTMLParser):
         #: open elements that lie too deep to be opened
         self.deep: list[Node] = []
 
+    def updatepos(self, i, j):
+        """Lines and columns of the page are asked for by nobody."""
+        return j
+
     def handle_starttag(self, tag, attrs):
-        for closing in [tag] if tag in CLOSES else ["p"] if tag not in INLINE and tag not in VOID else []:
+        closes = CLOSES.get(tag) or (None if tag in INLINE or tag in VOID else CLOSES["p"])
+        if closes:
             for i in range(len(self.open) - 1, 0, -1):
-                if self.open[i].tag in CLOSES[closing] and not self.deep:
+                above = self.open[i].tag
+                if above in closes and not self.deep:
                     del self.open[i:]
                     break
-                if self.open[i].tag in SCOPES and not (closing == "tr" and self.open[i].tag in ("td", "th")):
+                if above in SCOPES and not (tag == "tr" and above in ("td", "th")):
                     break
-        at = dict(attrs)
-        style = (at.get("style") or "").replace(" ", "").lower()
-        hidden = "hidden" in at or at.get("aria-hidden") == "true" or "display:none" in style or "visibility:hidden" in style
-        node = Node(tag, " ".join(filter(None, (at.get("class"), at.get("id")))), hidden, (at.get("role") or "").lower())
+        if attrs:
+            at = dict(attrs)
+            style = at.get("style")
+            style = style.replace(" ", "").lower() if style else ""
+            hidden = "hidden" in at or at.get("aria-hidden") == "true" or "display:none" in style or "visibility:hidden" in style
+            node = Node(tag, " ".join(filter(None, (at.get("class"), at.get("id")))), hidden, (at.get("role") or "").lower())
+        else:
+            node = Node(tag)
         self.open[-1].items.append(node)
         if self.deep:
             above = self.deep[-1]
@@ -212,10 +223,11 @@ def _digests(root: Node) -> None:
     order, todo = [], [root]
     while todo:
         node = todo.pop()
-        order.append(node)
-        todo += node.children()
-    for node in reversed(order):
-        node.digest = hash((node.tag, node.name, node.own_text(), *(c.digest for c in node.children())))
+        children = node.children()
+        order.append((node, children))
+        todo += children
+    for node, children in reversed(order):
+        node.digest = hash((node.tag, node.name, node.own_text(), *[c.digest for c in children]))
 
 
 def _pairs_of(a: Node, b: Node) -> list[tuple[Node, Node]]:
@@ -462,12 +474,24 @@ def _hash(*parts: str) -> str:
     return f"{xxhash.xxh3_64_intdigest(chr(0).join(parts).encode('utf-8', 'replace')):016X}"
 
 
+@lru_cache(1 << 14)
+def _plain(label: str) -> str:
+    """A label without what its digits tell."""
+    return re.sub("[0-9]+", "#", label)
+
+
+@lru_cache(1 << 14)
+def _path(above: str, label: str) -> str:
+    """The hash of a path of labels; pages of a host have the same ones."""
+    return _hash(above, _plain(label))
+
+
 def _texts(root: Node) -> list[tuple[Node, str, str]]:
     """(node, hash of its path of labels, hash of that and its text) of each node with text; digits in names don't tell."""
     out, todo = [], [(root, "")]
     while todo:
         node, above = todo.pop()
-        path = _hash(above, re.sub("[0-9]+", "#", node.label))
+        path = _path(above, node.label)
         if text := node.own_text():
             out.append((node, path, _hash(path, text)))
         todo += [(c, path) for c in node.children() if not c.hidden and c.tag not in SILENT]
@@ -479,7 +503,7 @@ def _layout(root: Node) -> str:
     level, seen = [root], set()
     for _ in range(4):
         level = [c for n in level for c in n.children() if c.tag not in SILENT and c.tag not in INLINE]
-        seen |= {re.sub("[0-9]+", "#", n.label) for n in level}
+        seen |= {_plain(n.label) for n in level}
     return _hash(*sorted(seen))
 
 

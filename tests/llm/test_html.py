@@ -208,3 +208,13 @@ def test_wrappers_too_large_to_be_sent(spark, data, monkeypatch):
     monkeypatch.setattr(H, "SENT_IDS", 0)
     monkeypatch.setattr(common, "HOT_ROWS", 5)
     assert sorted(map(tuple, H.extract_pages(df).collect()), key=str) == wanted
+
+
+def test_paths_are_hashed_once_for_like_pages():
+    """Pages of a host share their paths: only the first one's are hashed; digits in names don't tell."""
+    html = "<html><body><div class='item7'><p>one</p></div><div class='item8'><p>two</p></div></body></html>"
+    first = [(path, key) for _, path, key in H._texts(H.parse(html))]
+    before = H._path.cache_info().misses
+    again = [(path, key) for _, path, key in H._texts(H.parse(html.replace("two", "other")))]
+    assert H._path.cache_info().misses == before
+    assert len({path for path, _ in first}) == 1 and {path for path, _ in again} == {path for path, _ in first} and len(set(first) & set(again)) == 1
