@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from hypothesis import given
@@ -293,3 +294,14 @@ def test_precision_and_recall_on_pages_without_article(data):
         right, found, wanted = right + sum((got & truth).values()), found + sum(got.values()), wanted + sum(truth.values())
     print("precision", right / found, "recall", right / wanted)
     assert right / found > 0.95 and right / wanted > 0.97
+
+
+@pytest.mark.parametrize("limit", [None, 10.0])
+def test_pages_go_on_in_parts(limit):
+    """Records of a batch are given out some at a time, all pages in order; long pages are a part each."""
+    from millrace.functions import html
+
+    texts = ["<p>" + "long " * (html.GIVEN_SIZE // 4) + "</p>", *(f'<html lang="l{i}"><p>text' for i in range(600)), None]
+    got = list(html.html_records(limit=limit).func(iter([pd.Series(texts, dtype=object), pd.Series([], dtype=object)])))
+    assert [len(g) for g in got] == [1, 256, 256, 89, 0]
+    assert [r for g in got for r in g["htmllang"]][1:-1] == [[f"l{i}"] for i in range(600)]
