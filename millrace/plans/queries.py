@@ -326,10 +326,11 @@ def merged_runs(spark, d):
     sinks.write_shards(docs, path, ["source"], None, [("wds", False), ("id", False)], 1 << 40)
     files = [f"{path}/{r['source']}/1.jsonl.zst" for r in docs.select("source").distinct().orderBy("source").collect()]
     # small ranges, so that there are many at any size of the tables
-    rows = settle(runs.merged(spark, files, runs.number_of("wds"), 0.25, entry=1 << 16, part=1 << 18), "merged")
+    lines_ = runs.merged(spark, files, runs.number_of("wds"), 0.25, entry=1 << 16, part=1 << 18)
+    rows = settle(lines_.select("part", "place", "number", "run", F.get_json_object("value", "$.id").alias("id")), "merged")
     sizes = rows.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
     before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return rows.join(F.broadcast(sizes.select("part", before.alias("before"))), "part").select(F.get_json_object("value", "$.id").alias("id"), F.col("number").alias("wds"), "run", (F.col("before") + F.col("place")).alias("place"))
+    return rows.join(F.broadcast(sizes.select("part", before.alias("before"))), "part").select("id", F.col("number").alias("wds"), "run", (F.col("before") + F.col("place")).alias("place"))
 
 
 @query(SCORED + " SELECT id, wds FROM scored WHERE wds >= 0.25 AND wds < 0.75")

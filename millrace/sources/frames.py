@@ -116,14 +116,15 @@ def _open(path: str):
     return fs.open_input_file(place)
 
 
-def _pieces(file, start: int) -> Iterator[tuple[int, bytes]]:
-    """(where its frame begins, piece) of all that follows `start`, skippable frames left out."""
+def _pieces(file, start: int, end: int) -> Iterator[tuple[int, bytes]]:
+    """(where its frame begins, piece) of all that follows `start`, skippable frames left out; what lies from `end` on, of which
+    little is wanted, is read in smaller pieces."""
     file.seek(start)
     held, at = b"", start
 
     def more() -> bool:
         nonlocal held
-        data = file.read(PIECE)
+        data = file.read(max(FED, min(PIECE, end - at - len(held))))
         held += data
         return bool(data)
 
@@ -150,10 +151,10 @@ def _pieces(file, start: int) -> Iterator[tuple[int, bytes]]:
         held = out.unused_data + held
 
 
-def split_lines(file, start: int, end: int) -> Iterator[list[bytes]]:
-    """Lines that begin in the frames of [start, end), without their breaks, some at a time."""
+def split_lines(file, start: int, end: int, batch: int = BATCH) -> Iterator[list[bytes]]:
+    """Lines that begin in the frames of [start, end), without their breaks, about `batch` bytes at a time."""
     waiting, first, size, over = [], start > 0, 0, False
-    for begin, data in _pieces(file, start):
+    for begin, data in _pieces(file, start, end):
         over = begin >= end
         if first:
             if over:
@@ -170,7 +171,7 @@ def split_lines(file, start: int, end: int) -> Iterator[list[bytes]]:
                 return
         waiting.append(data)
         size += len(data)
-        if size >= BATCH and not over:
+        if size >= batch and not over and b"\n" in data:
             held = b"".join(waiting)
             *lines, rest = held.split(b"\n")
             if lines:
@@ -205,10 +206,11 @@ def frame_splits(files: DataFrame, target: int = SPLIT) -> DataFrame:
     return _dealt(files).mapInArrow(run, "path string, start long, end long")
 
 
-def _dealt(df: DataFrame) -> DataFrame:
-    """Rows that each stand for much work, dealt out evenly: no fewer partitions than cores, no more than rows need."""
+def _dealt(df: DataFrame, each: int = 1) -> DataFrame:
+    """Rows that each stand for much work, dealt out evenly: no fewer partitions than cores, no more than rows need, which are
+    `each` to a partition, at least, where there are so many."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(max(cores, min(10_000, df.count())))
+    return df.repartition(max(cores, min(10_000, df.count() // each)))
 
 
 def numbered(splits_: DataFrame) -> DataFrame:
@@ -220,7 +222,7 @@ def numbered(splits_: DataFrame) -> DataFrame:
             for path, start, end in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 n = 0
                 with _open(path) as file:
-                    for begin, data in _pieces(file, start):
+                    for begin, data in _pieces(file, start, end):
                         if begin >= end:
                             break
                         n += data.count(b"\n")

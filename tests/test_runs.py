@@ -51,6 +51,43 @@ def test_lines_are_not_sorted(spark, tmp_path):
         runs.merged(spark, [broken], runs.number_of("wds")).collect()
 
 
+@pytest.mark.parametrize("values, task", [(1000, 1), (4, 1), (1000, 8 << 20)])
+def test_merge_reads_runs_a_few_times(spark, tmp_path, monkeypatch, values, task):
+    """However small the parts, tasks are not many more than the frames of a run, and what all read is in proportion to the runs."""
+    rng = random.Random(values)
+    files = [sorted(({"wds": rng.randrange(values) / 7, "i": i, "t": "x" * rng.randrange(60)} for i in range(300)), key=lambda r: -r["wds"]) for _ in range(8)]
+    paths = [_run(tmp_path / f"run{k}.zst", rows) for k, rows in enumerate(files)]
+    monkeypatch.setattr(runs, "TASK", task, raising=False)
+    index = runs.run_index(spark, paths, runs.number_of("wds"), 1)
+    entries, cores = index.count(), spark.sparkContext.defaultParallelism
+    assert entries > 300 and index.rdd.getNumPartitions() < entries / 16
+    read, number = spark.sparkContext.accumulator(0), runs.number_of("wds")
+
+    def key(line):
+        read.add(1)
+        return number(line)
+
+    got = runs.merged(spark, paths, key, entry=1, part=1)
+    wanted = max(cores, 4 * entries // len(files) if task == 1 else 0)
+    assert got.rdd.getNumPartitions() == wanted
+    before = read.value
+    rows = got.collect()
+    assert [(r["number"], r["run"], json.loads(r["value"])) for r in rows] == _ordered(files)
+    assert read.value - before < (8 if task == 1 else 2) * len(rows)
+    # places count within parts, which are as many as asked for
+    parts = [(r["part"], r["place"]) for r in rows]
+    assert parts == sorted(set(parts)) and len({p for p, _ in parts}) > wanted
+    assert all(place == 0 for (part, place), (last, _) in zip(parts, [(-1, 0), *parts]) if part != last)
+
+
+def test_runs_are_named_by_uri(spark, tmp_path):
+    files = [[{"wds": 5 - i, "k": k} for i in range(5)] for k in range(2)]
+    paths = [_run(tmp_path / f"{k}.zst", rows) for k, rows in enumerate(files)]
+    for named in (["file://" + p for p in paths], ["file:" + p for p in paths], [paths[0], "file://" + paths[1]]):
+        got = runs.merged(spark, named, runs.number_of("wds")).collect()
+        assert [(r["number"], r["run"], json.loads(r["value"])) for r in got] == _ordered(files)
+
+
 def _stats(rows):
     return stats.pool_statistics(rows.withColumn("crawl", F.lit("c")), ("file", "crawl"))
 
