@@ -72,7 +72,7 @@ def run_index(spark: SparkSession, runs: list[str], key: Callable[[bytes], float
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found)], names=["path", "start", "end", "first"])
 
-    heads = _dealt(ranges, HEADS).mapInArrow(run, "path string, start long, end long, first double")
+    heads = _dealt(ranges, F.count(F.lit(1)) / HEADS).mapInArrow(run, "path string, start long, end long, first double")
     return heads.join(F.broadcast(numbered.select("path", "run")), "path")
 
 

@@ -15,14 +15,15 @@ from itertools import accumulate
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.sources.shared import settle
 
-#: Compressed bytes of a split, about; bytes read, decompressed, and given out as lines, at a time.
-SPLIT, PIECE, FED, BATCH = 32 << 20, 1 << 20, 32 << 10, 4 << 20
+#: Compressed bytes of a split, about; bytes read, decompressed, and given out as lines, at a time; compressed bytes of a task,
+#: about, where splits are smaller.
+SPLIT, PIECE, FED, BATCH, TASK = 32 << 20, 1 << 20, 32 << 10, 4 << 20, 8 << 20
 # Fixed values of the format: first bytes of a frame, of skippable ones, and of a seek table's footer.
 FRAME_MAGIC, SKIPPABLE, SEEKABLE = 0xFD2FB528, 0x184D2A50, 0x8F92EAB1
 TABLE_MAGIC = SKIPPABLE | 0xE
@@ -206,11 +207,17 @@ def frame_splits(files: DataFrame, target: int = SPLIT) -> DataFrame:
     return _dealt(files).mapInArrow(run, "path string, start long, end long")
 
 
-def _dealt(df: DataFrame, each: int = 1) -> DataFrame:
-    """Rows that each stand for much work, dealt out evenly: no fewer partitions than cores, no more than rows need, which are
-    `each` to a partition, at least, where there are so many."""
+def _dealt(df: DataFrame, worth: Column | None = None) -> DataFrame:
+    """Rows that each stand for much work, dealt out evenly: no fewer partitions than cores, no more than rows need. worth: how
+    many partitions the rows need (an aggregate), where that isn't one each."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(max(cores, min(10_000, df.count() // each)))
+    needed = df.agg(F.count(F.lit(1)) if worth is None else worth).first()[0] or 0
+    return df.repartition(max(cores, min(10_000, int(needed))))
+
+
+def _tasks() -> Column:
+    """Partitions that ranges of files need: one each, or, where they are smaller than TASK, one for so many bytes."""
+    return F.least(F.count(F.lit(1)), F.sum(F.col("end") - F.col("start")) / TASK)
 
 
 def numbered(splits_: DataFrame) -> DataFrame:
@@ -229,7 +236,7 @@ def numbered(splits_: DataFrame) -> DataFrame:
                 counts.append(n)
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array(counts, pa.int64())], names=["path", "start", "end", "breaks"])
 
-    counted = _dealt(splits_).mapInArrow(run, "path string, start long, end long, breaks long")
+    counted = _dealt(splits_, _tasks()).mapInArrow(run, "path string, start long, end long, breaks long")
     # a split's first line is the one after its first break: breaks before it, and that one, but for the file's first split
     before = Window.partitionBy("path").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     first = F.coalesce(F.sum("breaks").over(before), F.lit(0)) + F.when(F.col("start") > 0, 1).otherwise(0)
@@ -238,7 +245,8 @@ def numbered(splits_: DataFrame) -> DataFrame:
 
 def zstd_lines(spark: SparkSession, paths: str | list[str], pattern: str | None = "*.zst", numbers: bool = True, target: int = SPLIT) -> DataFrame:
     """path, file, line (from 0; without `numbers`, null), value of zstd files, each in as many tasks as it has splits of
-    `target` compressed bytes. A line ends with \\n; one \\r before it is left out, too, as Spark's own reader does.
+    `target` compressed bytes; of splits smaller than TASK, a task has several. A line ends with \\n; one \\r before it is left
+    out, too, as Spark's own reader does.
 
     A file of one frame, or one that can't be cut because it has no later frame, is one split, read piece by piece. Empty
     files have no lines, skippable frames are passed over, and a file that ends within a frame is an error. Bytes that
@@ -257,5 +265,5 @@ def zstd_lines(spark: SparkSession, paths: str | list[str], pattern: str | None
                         yield pa.RecordBatch.from_arrays([pa.array([path] * len(found), pa.string()), lines, pa.array(found, pa.binary())], names=["path", "line", "data"])
                         n = None if n is None else n + len(found)
 
-    rows = _dealt(ranges).mapInArrow(run, "path string, line long, data binary")
+    rows = _dealt(ranges, _tasks()).mapInArrow(run, "path string, line long, data binary")
     return rows.select("path", F.regexp_extract("path", "([^/]*)$", 1).alias("file"), "line", F.col("data").cast("string").alias("value"))

@@ -78,6 +78,22 @@ def test_large_files_are_many_tasks(spark, tmp_path, monkeypatch):
     assert frames.zstd_lines(spark, str(tmp_path / "none.zst")).count() == 0
 
 
+def test_small_splits_share_tasks(spark, tmp_path, monkeypatch):
+    rows = [json.dumps({"i": i, "t": "x" * (i % 90)}) for i in range(3000)]
+    text = "\n".join(rows).encode() + b"\n"
+    _frames(tmp_path / "many.zst", [text[i : i + 700] for i in range(0, len(text), 700)])
+    cores, path = spark.sparkContext.defaultParallelism, str(tmp_path / "many.zst")
+    n = frames.frame_splits(frames.listed(spark, path), 1).count()
+    got = frames.zstd_lines(spark, path, target=1)
+    assert n > 200 and got.rdd.getNumPartitions() == cores
+    assert [(r["line"], r["value"]) for r in got.orderBy("line").collect()] == list(enumerate(rows))
+    size = (tmp_path / "many.zst").stat().st_size
+    monkeypatch.setattr(frames, "TASK", size // 20)
+    assert cores < frames.zstd_lines(spark, path, numbers=False, target=1).rdd.getNumPartitions() <= 20
+    monkeypatch.setattr(frames, "TASK", 1)
+    assert frames.zstd_lines(spark, path, numbers=False, target=1).rdd.getNumPartitions() == n
+
+
 def _text(path):
     return zstandard.ZstdDecompressor().stream_reader(path.open("rb"), read_across_frames=True).read().decode()
 
