@@ -2,6 +2,7 @@ import math
 import os
 import random
 import re
+import sys
 from collections import Counter
 
 import numpy as np
@@ -74,6 +75,17 @@ def test_markdown_problems(xml, md, severity):
     assert convert(xml)[::2] == (md, severity)
 
 
+def test_markdown_of_deep_elements_by_any_limit_of_calls():
+    usual = sys.getrecursionlimit()
+    try:
+        for limit in (1000, 10_000):
+            sys.setrecursionlimit(limit)
+            for levels, md in ((400, "x"), (600, None), (3000, None)):
+                assert convert(doc("<div>" * levels + "x" + "</div>" * levels))[::2] == (md, None if md else HIGH)
+    finally:
+        sys.setrecursionlimit(usual)
+
+
 def test_text_functions(spark):
     rows = spark.createDataFrame([(1, "  Hello,  World 42!\nÉté "), (2, ""), (3, None), (4, "a")], "i int, t string")
     got = {r["i"]: r for r in rows.select("i", X.lid_normalise(F.col("t")).alias("n"), X.length_class(F.col("t")).alias("c"), X.line_count(F.col("t")).alias("l"), X.has_text(F.col("t")).alias("h")).collect()}
