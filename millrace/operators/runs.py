@@ -3,10 +3,10 @@
 The first number of each range of frames is a sparse index of a run. Bounds drawn from the index cut the whole order, numbers
 falling, then runs from the last to the first, then lines, into ranges of about as many frames. A task has some ranges that
 follow each other: it reads of each run the frames that may hold their lines and merges them line by line through a heap, in
-one pass. As it may read a range of frames of each run that it gives little of, it has about as many frames as there are runs,
-at least, so that what all tasks read is in proportion to the runs. Equal numbers of one run stay together in their order, and
-those of the run that is named last come first; bounds may lie within them, so that a number that very many lines share is the
-work of many tasks, too.
+one pass. It may read a range of frames of every run for little; so tasks are no more than 4 for as many ranges of frames as
+there are runs, or than cores, which bounds what all read, however small the ranges of the order. Equal numbers of one run stay
+together in their order, and those of the run that is named last come first; bounds may lie within them, so that a number that
+very many lines share is the work of many tasks, too.
 """
 
 from __future__ import annotations
